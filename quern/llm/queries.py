@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .mixing import OP5_SQL, op5_mixing
+from .packing import op9_packing
+from .token_output import op4_token_output
+from .warc import op7_warc
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_token_output": op4_token_output,
     "op5_mixing": op5_mixing,
+    "op7_warc": op7_warc,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL = {
