@@ -20,20 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Where the column of this exact name is (else of this name in another case); the first, if it repeats."""
+    found = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not found:
+        raise ValueError(f"no column {name!r} in {df.columns}")
+    return found[0]
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """The columns named c0, c1 and so on, so that names that clash don't matter."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only these columns, found by exact name (else ignoring case), whatever other columns are called.
-
-    Columns whose names differ only in case, or repeat, don't make the reference ambiguous: they are
-    found by position.
-    """
-    at = []
-    for name in names:
-        found = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if not found:
-            raise ValueError(f"no column {name!r} in {df.columns}")
-        at.append(found[0])
-    plain = df.toDF(*(f"__c{i}" for i in range(len(df.columns))))
-    return plain.select(*(F.col(f"__c{i}").alias(n) for i, n in zip(at, names)))
+    """Only these columns, whatever other columns are called."""
+    return by_place(df).select(*(F.col(f"c{position(df, n)}").alias(n) for n in names))
 
 
 def shared_dir(spark: SparkSession) -> str:
