@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_bytes, by_place, held_out, in_slices, pick, position, small_batches, table
-from .labelled import sample_of, texts_of
+from .labelled import calibrated, sample_of, texts_of
 
 #: Bytes of a filter, even; filters.
 WIDTH, FILTERS = 6, 24
@@ -132,21 +132,6 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.scale * self.logits(texts) + self.model.shift, -40, 40)))
 
 
-def _calibrated(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of y on x, by Newton's steps, with a little pull to the origin."""
-    a = np.array([1.0, 0.0])
-    z = np.stack([x, np.ones_like(x)], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ a, -30, 30)))
-        g = z.T @ (w * (p - y)) + 1e-3 * a
-        h = (z * (w * p * (1 - p) + 1e-9)[:, None]).T @ z + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a = a - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(a[0]), float(a[1])
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD) -> ByteConv:
     """A model of labels.quality, from at most most_labelled documents with each label outside the held-out fold.
 
@@ -183,7 +168,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
     there = np.bincount(y.astype(int), minlength=2)
     real = np.array([counts[0] / there[0], counts[1] / there[1]])
     w = real[y.astype(int)]
-    model.scale, model.shift = _calibrated(x, y, w / w.mean())
+    model.scale, model.shift = calibrated(x, y, w / w.mean())
     return model
 
 

@@ -5,15 +5,19 @@ from __future__ import annotations
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
+from .quality import op10_quality
 from .token_output import op4_token_output
+from .toxicity import op1_toxicity
 from .warc import op7_warc
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_output": op4_token_output,
     "op5_mixing": op5_mixing,
     "op7_warc": op7_warc,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {

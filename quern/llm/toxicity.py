@@ -2,6 +2,8 @@
 
 Fit. Tokens are words and, for inflected forms, the first 4, 5 and 6 bytes of words. A token's weight is
 its log-odds between toxic and other labelled documents with a Dirichlet prior (PRIOR for each token);
+counted are documents, but places where the same words stand around a token count once, lest copies of
+a document make its rare words look telling, and a prefix counts only if it begins LEAST_FORMS words;
 tokens whose weight is LEAST_ODDS at least, and LEAST_Z standard deviations above zero, are kept; every other word weighs
 -DRIFT, so that a random text's score falls.
 
@@ -11,7 +13,8 @@ made higher by growing or cutting them. They are the toxic passages.
 Calibration. In text that isn't toxic, maximal scores follow an extreme-value law: a segment of score
 s in n words is expected n * exp(-rate * s) times, where the rate solves sum p(w) exp(rate * w) = 1 over the weights of
 words that aren't toxic. A document's segments are combined by the law for the sum of the r best,
-the best r is taken, and the document's score is the probability of nothing like it: exp(-expected).
+and the best r is taken. The document's score is a logistic function, fitted on the sample, of minus the logarithm of that
+expected number.
 
 Scale. The model is fitted on at most MOST_LABELLED documents with each label, and is one table of 64-bit
 hashes. Scoring is one narrow stage over whole texts. Words are hashed and looked up by
@@ -30,17 +33,21 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import by_place, held_out, in_slices, pick, position, small_batches, table
-from .labelled import sample_of, texts_of
-from .words import NO_LETTER, Words
+from ._common import by_place, held_out, in_slices, pick, position, small_batches, stored, table
+from .labelled import calibrated, sample_of, texts_of
+from .words import NO_LETTER, Words, mixed
 
 #: Documents with each label that the model is fitted on, at most.
-MOST_LABELLED = 10_000
+MOST_LABELLED = 4000
 PREFIXES = (6, 5, 4)
 PRIOR = 0.5
 LEAST_Z, LEAST_ODDS = 3.0, 2.5
 DRIFT = 0.5
 THRESHOLD = 0.7
+#: Beyond this nothing is less certain.
+MOST_SURPRISE = 30.0
+#: Different words that a prefix begins, at least: an inflected stem has many forms.
+LEAST_FORMS = 5
 #: The held-out fold of labels: crc32(doc_id) mod FOLDS = FOLD.
 FOLDS, FOLD = 3, 1
 
@@ -56,8 +63,12 @@ class Odds:
     hashes: np.ndarray
     weights: np.ndarray
     rate: float
-    #: The score of every text where there is no model.
-    constant: float | None = None
+    #: A text's score is sigmoid(scale * surprise + shift).
+    scale: float = 0.0
+    shift: float = 0.0
+
+    def score(self, surprise: float) -> float:
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.scale * surprise + self.shift))))
 
     def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words that have a weight of their own, and the weights: of the whole word, else of its longest kept prefix."""
@@ -98,17 +109,17 @@ def maximal_segments(places: list[int], weights: list[float], drift: float = DRI
     return [(a, b, high - low) for a, b, low, high in stack]
 
 
-def expected(scores: list[float], n: int, rate: float) -> float:
-    """How often text that isn't toxic, of n words, has segments like these: the smallest over the r best.
+def surprise(scores: list[float], n: int, rate: float) -> float:
+    """Minus the logarithm of how often text that isn't toxic, of n words, has segments like these: the best over the r best; 0 at least.
 
     The law for a sum: the r best normalised scores are expected as high as t with e**-t t**(r-1) / (r! (r-1)!).
     """
-    best, total = math.inf, 0.0
+    best, total = 0.0, 0.0
     for r, s in enumerate(sorted(scores, reverse=True)[:64], 1):
         total += rate * s - math.log(max(n, 1))
         if total > 0:
-            best = min(best, math.exp(-total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)) if r > 1 else math.exp(-total))
-    return best
+            best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r))
+    return min(best, MOST_SURPRISE)
 
 
 def law_rate(chance: np.ndarray, weights: np.ndarray, drift: float = DRIFT) -> float:
@@ -144,33 +155,73 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"h": pa.array(np.append(h.view(np.int64), 0)), "n0": pa.array(np.append(found[0], total[0])), "n1": pa.array(np.append(found[1], total[1]))})
 
 
+def _contexts(tokens: np.ndarray):
+    """Of each place of these tokens in texts: the token, the label, the document, the words around it and the word itself, as hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text"):
+            words, labels = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), np.array(batch.column("label").to_pylist())
+            ids, document, whole = batch.column("doc_id").to_numpy(zero_copy_only=False), words.document(), words.hashes()
+            around = np.concatenate([[0], whole, [0]]).astype(np.uint64)
+            around = mixed(around[:-2] * np.uint64(3) + around[2:] * np.uint64(5))
+            for h in (whole, *(words.prefixes(n) for n in PREFIXES)):
+                at = np.flatnonzero(np.isin(h, tokens))
+                rows = np.unique(np.stack([h[at].view(np.int64), labels[document[at]], ids[document[at]], around[at].view(np.int64), whole[at].view(np.int64)], 1), axis=0) if len(at) else np.empty((0, 5), np.int64)
+                yield pa.record_batch({k: pa.array(rows[:, i].astype(np.int64)) for i, k in enumerate(("h", "label", "doc_id", "around", "whole"))})
+
+    return run
+
+
+def _log_odds(y0: np.ndarray, y1: np.ndarray, n0: float, n1: float) -> tuple[np.ndarray, np.ndarray]:
+    odds = np.log((y1 + PRIOR) / (n1 + PRIOR)) - np.log((y0 + PRIOR) / (n0 + PRIOR))
+    return odds, odds / np.sqrt(1 / (y1 + PRIOR) + 1 / (y0 + PRIOR))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD) -> Odds:
     """A model of labels.toxic, from at most most_labelled documents with each label outside the held-out fold.
 
-    Of sample documents that begin alike and have one label, one counts, lest copies make rare words look
-    telling. Without labels of both kinds every text's score is (ones + 1) / (labels + 2).
+    Without labels of both kinds every text's score is (ones + 1) / (labels + 2).
     """
     small_batches(docs.sparkSession)
     sample, counts = sample_of(labels, "toxic", most_labelled, folds, fold)
-    texts = texts_of(docs, sample).select(F.coalesce("text", F.lit("")).alias("text"), "label", "doc_id")
-    texts = texts.groupBy("label", F.substring("text", 1, 64).alias("begins")).agg(F.max_by("text", F.struct("doc_id", "text")).alias("text"))
-    seen = texts.select("text", "label").mapInArrow(_presence, "h bigint, n0 bigint, n1 bigint").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label"), "toxic-sample")
+    seen = texts.mapInArrow(_presence, "h bigint, n0 bigint, n1 bigint").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     # The sample bounds these rows, and a token counts only if toxic documents have it.
-    rows = seen.where("h = 0 or n1 > 2 and n1 > n0").collect()
+    rows = seen.where("h = 0 or n1 > 2 and n1 > n0 / 4").collect()
     totals = next((r for r in rows if r.h == 0), None)
     if not (counts[0] and counts[1]) or totals is None:
-        return Odds(np.empty(0, np.uint64), np.empty(0), 1.0, (counts[1] + 1) / (counts[0] + counts[1] + 2))
+        return Odds(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, math.log((counts[1] + 1) / (counts[0] + 1)))
     rows = [r for r in rows if r.h]
-    y0, y1 = (np.array([r[k] for r in rows], float) for k in ("n0", "n1"))
     n0, n1 = max(1.0, float(totals.n0)), max(1.0, float(totals.n1))
-    odds = np.log((y1 + PRIOR) / (n1 + PRIOR)) - np.log((y0 + PRIOR) / (n0 + PRIOR))
-    z = odds / np.sqrt(1 / (y1 + PRIOR) + 1 / (y0 + PRIOR))
-    keep = (z >= LEAST_Z) & (odds >= LEAST_ODDS)
-    hashes = np.array([r.h for r in rows], np.int64).view(np.uint64)[keep]
-    order = np.argsort(hashes)
-    weights = odds[keep]
+    odds, z = _log_odds(*(np.array([r[k] for r in rows], float) for k in ("n0", "n1")), n0, n1)
+    maybe = np.sort(np.array([r.h for r in rows], np.int64)[(z >= LEAST_Z) & (odds >= LEAST_ODDS)].view(np.uint64))
+    places = texts.mapInArrow(_contexts(maybe), "h bigint, label bigint, doc_id bigint, around bigint, whole bigint")
+    each = [F.countDistinct(F.when(F.col("label") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("doc_id", "around")]
+    found = sorted(places.groupBy("h").agg(*each, F.countDistinct(F.when(F.col("label") == 1, F.col("whole"))).alias("forms"), F.max(F.col("h") == F.col("whole")).alias("is_word")).collect(), key=lambda r: r.h & (1 << 64) - 1)
+    y0, y1 = (np.array([min(r[f"doc_id{k}"], r[f"around{k}"]) for r in found], float) for k in (0, 1))
+    odds, z = _log_odds(y0, y1, n0, n1)
+    keep = (z >= LEAST_Z) & (odds >= LEAST_ODDS) & np.array([r.is_word or r.forms >= LEAST_FORMS for r in found], bool)
+    weights, hashes = odds[keep], np.array([r.h for r in found], np.int64).view(np.uint64)[keep]
     chance = (y0[keep] + PRIOR / max(1, keep.sum())) / n0
-    return Odds(hashes[order], weights[order], law_rate(chance, weights) if keep.any() else 1.0)
+    model = Odds(hashes, weights, law_rate(chance, weights) if keep.any() else 1.0)
+    felt = texts.mapInArrow(_surprises(model), "label int, surprise double").groupBy("label", F.round("surprise", 1).alias("surprise")).agg(F.count("*").alias("n")).collect()
+    felt.sort(key=lambda r: (r.label, r.surprise))
+    there = {k: sum(r.n for r in felt if r.label == k) for k in (0, 1)}
+    w = np.array([r.n * counts[r.label] / there[r.label] for r in felt])
+    # Weighed as among all labels, of which the sample may have another share.
+    model.scale, model.shift = calibrated(np.array([r.surprise for r in felt]), np.array([r.label for r in felt], float), w * sum(there.values()) / w.sum())
+    model.scale = max(model.scale, 0.0)
+    return model
+
+
+def _surprises(model: Odds):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text"):
+            words = Words(lowered(batch.column("text").to_pylist()), NO_LETTER)
+            found = [surprise([s for *_, s in x], int(words.counts[d]), model.rate) for d, x in enumerate(passages(words, model))]
+            yield pa.record_batch({"label": batch.column("label"), "surprise": pa.array(found, pa.float64())})
+
+    return run
 
 
 def passages(words: Words, model: Odds) -> list[list[tuple[int, int, float]]]:
@@ -191,7 +242,7 @@ def score_toxicity(docs: DataFrame, model: Odds, score: str = "toxicity") -> Dat
 
     passages: of each maximal segment, begins and ends (bytes of the lower-cased text's UTF-8), score,
     and expected (how often a text of this length that isn't toxic has one like it). A null or empty text has
-    none, and score 0 (or the model's constant).
+    none, and the score of no surprise.
     """
     small_batches(docs.sparkSession)
     text, names, plain = position(docs, "text"), [*docs.columns, score, "passages"], by_place(docs)
@@ -206,7 +257,7 @@ def score_toxicity(docs: DataFrame, model: Odds, score: str = "toxicity") -> Dat
             scores, spans = [], []
             for d, segments in enumerate(passages(words, m)):
                 n, first, base = int(words.counts[d]), int(words.first[d]), int(words.bounds[d])
-                scores.append(m.constant if m.constant is not None else math.exp(-expected([s for *_, s in segments], n, m.rate)))
+                scores.append(m.score(surprise([s for *_, s in segments], n, m.rate)))
                 spans.append([{"begins": int(words.start[first + a]) - base, "ends": int(words.start[first + b - 1] + words.length[first + b - 1]) - base, "score": s, "expected": n * math.exp(-m.rate * s)} for a, b, s in segments])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, kind)], [*batch.schema.names, "score", "passages"])
 
