@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .mixing import OP5_SQL, op5_mixing
+from .near_dedup import OP8_SQL, op8_minhash_dedup
 from .packing import op9_packing
 from .quality import op10_quality
 from .token_output import op4_token_output
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_token_output": op4_token_output,
     "op5_mixing": op5_mixing,
     "op7_warc": op7_warc,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
@@ -23,4 +25,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op5_mixing": OP5_SQL,
+    "op8_minhash_dedup": OP8_SQL,
 }
