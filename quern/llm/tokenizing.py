@@ -1,4 +1,4 @@
-"""Token ids by the tokenizers library, with the ids of words that come back remembered.
+"""Token ids by the tokenizers library, with the ids of pieces that come back remembered.
 
 A tokenizer that splits its text before it merges gives each split's ids whatever stands around it.
 So a text is cut where no split can cross, and only pieces that this worker has not met lately go to
@@ -7,8 +7,10 @@ the library. Two ways of cutting:
 - drop: white space is no part of any token (word vocabularies): cut at runs of ASCII white space;
 - lead: white space before a word belongs to it (byte-level vocabularies): cut before each such run.
 
-A text with other white space, on which libraries differ, goes to the library whole, as do words of
-over LONG bytes. What comes out is always the library's own ids of the whole text.
+Both also cut between ASCII punctuation and the letters around it, in texts where that is sure to be a
+split: those without apostrophes (contractions) and without characters beyond ASCII other than Latin-1
+letters. A text with white space on which libraries differ goes to the library whole. What comes out is
+always the library's own ids of the whole text.
 """
 
 from __future__ import annotations
@@ -19,13 +21,35 @@ import zlib
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Remembered words in each of two generations; the older one is dropped when the younger is full.
-REMEMBERED = 200_000
+#: Remembered pieces in each of two generations; the older one is dropped when the younger is full.
+REMEMBERED = 300_000
+#: Longer pieces aren't remembered.
 LONG = 64
+#: Pieces that are sent to the library as one text.
+TOGETHER = 512
 #: UTF-8 of white space outside ASCII, and ASCII controls that only some libraries count as such.
 _ODD = [b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _ODD_2 = re.compile(rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
 _LEAD = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+#: What makes cuts at punctuation unsure: an apostrophe, or a character that is neither ASCII nor a Latin-1 letter.
+_UNSURE = re.compile(rb"['\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+_MARKS = rb"[!-&(-/:-@\[-`{-~]+"
+_PUNCTUATION = re.compile(_MARKS)
+#: White space in runs, or of other kinds than a space and a line end, or the separator itself.
+_RUNS = re.compile(rb"[ \n][ \n]|[\t\r\x0b\x0c\0]")
+
+
+def cut_drop(text: bytes) -> list[bytes]:
+    return (text if _UNSURE.search(text) else _PUNCTUATION.sub(rb" \g<0> ", text)).split()
+
+
+def cut_lead(text: bytes) -> list[bytes]:
+    if _RUNS.search(text) or _UNSURE.search(text):
+        return _LEAD.findall(text)
+    marked = _PUNCTUATION.sub(b"\0\\g<0>\0", text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n"))
+    # White space before punctuation stays with it.
+    return [x for x in marked.replace(b" \0", b" ").replace(b"\n\0", b"\n").split(b"\0") if x]
 
 
 class Ids:
@@ -34,41 +58,65 @@ class Ids:
     def __init__(self, path: str, white_space: str) -> None:
         if white_space not in ("drop", "lead"):
             raise ValueError(white_space)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = bytes.split if white_space == "drop" else _LEAD.findall
-        self.young: dict[bytes, bytes] = {}
+        self.tokenizer = t = Tokenizer.from_file(path)
+        t.no_truncation()
+        t.no_padding()
+        t.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.cut = cut_drop if white_space == "drop" else cut_lead
+        #: Whether the tokenizer lower-cases its text itself, so that doing it for A-Z before changes nothing.
+        self.lower = white_space == "drop" and "Lowercase" in str(t.normalizer)
+        # Ids that end a split (drop), or begin one (lead): they tell apart pieces that were encoded together.
+        vocabulary, suffix = t.get_vocab(), getattr(t.model, "end_of_word_suffix", None)
+        self.border = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.border[i] = token.startswith("\u0120") if white_space == "lead" else bool(suffix) and token.endswith(suffix)
+        self.leads = white_space == "lead"
+        self.plain = re.compile(b"%s(?:%s|%s)" % (b" " if self.leads else b"", _LETTERS, _MARKS))
+        self.young: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
 
     def _library(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([x.decode() for x in pieces], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.young) + len(words) > REMEMBERED:
-            self.young, self.old = {}, self.young
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            self.young.update(zip(part, self._library(part)))
+    def _together(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces that are one split each, encoded as one text; one by one if their borders don't tell them apart."""
+        found = self.tokenizer.encode_batch_fast([(b"" if self.leads else b" ").join(pieces).decode()], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        at = np.flatnonzero(self.border[ids])
+        if len(at) != len(pieces) or self.leads and at[0] != 0 or not self.leads and at[-1] != len(ids) - 1:
+            return self._library(pieces)
+        raw, ends = ids.tobytes(), (4 * (np.append(at[1:], len(ids)) if self.leads else at + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        out, plain, other = {}, [], []
+        for x in pieces:
+            (plain if self.plain.fullmatch(x) else other).append(x)
+        for i in range(0, len(plain), TOGETHER):
+            part = plain[i : i + TOGETHER]
+            out.update(zip(part, self._together(part)))
+        for i in range(0, len(other), 4096):
+            part = other[i : i + 4096]
+            out.update(zip(part, self._library(part)))
+        return out
 
     def of(self, texts: list[bytes]) -> list[bytes]:
+        if self.lower:
+            texts = [t.lower() for t in texts]
         cut = [None if any(x in t for x in _ODD) or _ODD_2.search(t) else self.cut(t) for t in texts]
         seen = set().union(*(x for x in cut if x is not None))
-        long = {x: self._library([x])[0] for x in seen if len(x) > LONG}
-        new = [x for x in seen if x not in self.young and len(x) <= LONG]
-        held = {x: self.old[x] for x in new if x in self.old}
-        # What this batch needs stays at hand even if the younger generation turns over meanwhile.
-        before = self.young
-        self._learn([x for x in new if x not in held])
-        if self.young is before:
-            self.young.update(held)
-            known = self.young
-        else:
-            known = {**{x: before[x] for x in seen if x in before}, **held, **self.young}
-        if long:
-            known = {**known, **long}
+        # What this batch needs stays at hand even if a generation turns over meanwhile.
+        young, old = self.young, self.old
+        new = seen.difference(young)
+        held = {x: old[x] for x in new.intersection(old)} if old else {}
+        learnt = self._learn([x for x in new if x not in held])
+        long = {x for x in learnt if len(x) > LONG}
+        if len(young) + len(new) > REMEMBERED:
+            self.young, self.old = {b"": b""}, young
+        self.young.update(held)
+        self.young.update((x, y) for x, y in learnt.items() if x not in long)
+        known = young if self.young is young and not long else {**{x: young[x] for x in seen.intersection(young)}, **held, **learnt}
         get = known.__getitem__
         return [self._library([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, cut)]
 
