@@ -160,5 +160,6 @@ with v as (
 ), p as (
   select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score from v q join v c on q.vec_id % 100 = 0 and q.vec_id != c.vec_id and len(q.e) = len(c.e)
 )
-select query_id, cast(row_number() over w as integer) as rank, vec_id, score from p qualify row_number() over w <= 10 window w as (partition by query_id order by score, vec_id)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score, vec_id) as rank from p) where rank <= 10
 """

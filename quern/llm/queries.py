@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .exact_dedup import OP2_SQL, op2_exact_dedup
+from .line_dedup import OP3_SQL, op3_line_dedup
 from .mixing import OP5_SQL, op5_mixing
 from .near_dedup import OP8_SQL, op8_minhash_dedup
+from .neighbours import OP6_SQL, op6_neighbours
 from .packing import op9_packing
 from .quality import op10_quality
 from .token_output import op4_token_output
@@ -14,8 +16,10 @@ from .warc import op7_warc
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_output": op4_token_output,
     "op5_mixing": op5_mixing,
+    "op6_neighbours": op6_neighbours,
     "op7_warc": op7_warc,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_packing": op9_packing,
@@ -24,6 +28,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
+    "op3_line_dedup": OP3_SQL,
     "op5_mixing": OP5_SQL,
+    "op6_neighbours": OP6_SQL,
     "op8_minhash_dedup": OP8_SQL,
 }
