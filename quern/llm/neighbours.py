@@ -42,6 +42,11 @@ def _enough(p: float, m: int, least: int) -> float:
     return 0.5 * math.erfc((least - 0.5 - m * p) / math.sqrt(2 * m * p * (1 - p)))
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean, with squares summed from the first component to the last."""
+    return np.sqrt(np.cumsum((vectors - query) ** 2, 1)[:, -1])
+
+
 class Arrays:
     """The sorted projections of a part's vectors."""
 
@@ -79,7 +84,7 @@ class Arrays:
                 if len(at):
                     seen[at] = True
                     found = np.concatenate([found, at])
-                    far = np.concatenate([far, np.sqrt(((self.vectors[at] - query) ** 2).sum(1))])
+                    far = np.concatenate([far, distances(self.vectors[at], query)])
                     best = np.lexsort((self.ids[found], far))[:most]
                     if len(best) < len(found):
                         keep = best
@@ -158,7 +163,7 @@ with v as (
   select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
   where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x != 0)) > 0
 ), p as (
-  select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score from v q join v c on q.vec_id % 100 = 0 and q.vec_id != c.vec_id and len(q.e) = len(c.e)
+  select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (c.e[i] - q.e[i]) * (c.e[i] - q.e[i])), lambda a, b: a + b)) as score from v q join v c on q.vec_id % 100 = 0 and q.vec_id != c.vec_id and len(q.e) = len(c.e)
 )
 select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score, vec_id) as rank from p) where rank <= 10
