@@ -28,7 +28,7 @@ PROJECTIONS = 128
 #: Of the projections: a vector that is near in so many is measured.
 FRACTION = 0.6
 GROWTH = 1.15
-SURE = 0.99
+SURE = 0.9995
 #: Of a part's vectors, in double precision, about; queries of a part.
 PART_BYTES = 8 << 20
 PART_QUERIES = 2000

@@ -190,7 +190,7 @@ def test_buckets_of_unlike_members(spark, monkeypatch):
         asked.extend((r.a, r.b) for r in pairs.collect())
         return pairs.where(F.col("b") - F.col("a") == 3)
 
-    def survivors(cells):
+    def survivors(cells, every):
         rows, out = cells.collect(), []
         for a in rows:
             for b in rows:
@@ -202,6 +202,17 @@ def test_buckets_of_unlike_members(spark, monkeypatch):
     assert found == {i: i % 3 for i in range(30)} and real <= set(asked)
 
 
+def test_joining_pairs():
+    import numpy as np
+
+    likely = np.zeros((6, 6), np.int16)
+    for a, b, w in ((0, 1, 9), (1, 2, 8), (0, 2, 7), (3, 4, 5), (2, 3, 0)):
+        likely[a, b] = likely[b, a] = w
+    a, b = near_dedup._joining(likely, np.array([0, 1, 2, 3, 4, 5]))
+    assert {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist())} == {(0, 1), (1, 2), (3, 4)}
+    assert not len(near_dedup._joining(likely, np.zeros(6, int))[0])
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 240)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)]
@@ -221,5 +232,5 @@ def test_bayes_keeps_similar_pairs():
     for _ in range(300):
         a = np.frombuffer(rng.randbytes(near_dedup._K), np.uint8)
         b = np.where(np.array([rng.random() < 0.75 for _ in a]), a, np.frombuffer(rng.randbytes(len(a)), np.uint8))
-        lost += not len(near_dedup.may_link(a[None], b[None], least))
+        lost += not len(near_dedup.may_link(a[None], b[None], least)[0])
     assert lost == 0
