@@ -6,9 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the 29 characters that Python's str.split() and str.strip() take as white space. Neither
-# Spark's \s nor its (?U)\s is the same set.
-WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_NOT_WHITE_SPACE = WHITE_SPACE.replace("[", "[^", 1)
+# Spark's \s nor its (?U)\s is the same set. The 12 that are below U+0100 are listed one by one, which Java's
+# matcher looks up in a table, and the others are behind one comparison that most characters fail.
+_WIDE = r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE_SPACE = rf"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&[{_WIDE}]]]"
+_NOT_WHITE_SPACE = rf"[^\t-\r\x1c-\x20\x85\xa0{_WIDE}]"
 
 
 def collapse_ws(c: Column) -> Column:
@@ -41,16 +43,19 @@ _ESCAPES = {"\\": "\\\\", '"': '\\"', "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r
 _CONTROLS = {chr(i): f"\\u{i:04x}" for i in range(0x20) if chr(i) not in _ESCAPES}
 
 
-def json_quote(c: Column) -> Column:
+def escape_controls(c: Column) -> Column:
+    """Controls without a short escape as \\u00xx. They are rare: one pattern looks for them, and only texts that have any are rewritten."""
+    rare = c
+    for raw, escaped in _CONTROLS.items():
+        rare = F.replace(rare, F.lit(raw), F.lit(escaped))
+    return F.when(c.rlike(r"[\x00-\x07\x0b\x0e-\x1f]"), rare).otherwise(c)
+
+
+def json_quote(c: Column, controls: bool = True) -> Column:
     """A JSON string of the text, other than ASCII as it is. Null stays null.
 
-    Rare controls are looked for once, by one pattern; only texts that have any go through their 25 replacements.
+    controls: as False, rare controls are left to escape_controls() on the JSON text that this becomes part of.
     """
-    plain = c
     for raw, escaped in _ESCAPES.items():
-        plain = F.replace(plain, F.lit(raw), F.lit(escaped))
-    rare = plain
-    for raw, escaped in _CONTROLS.items():
-        rare = F.replace(rare, F.lit(raw), F.lit(escaped))
-    any_rare = c.rlike(r"[\x00-\x07\x0b\x0e-\x1f]")
-    return F.concat(F.lit('"'), F.when(any_rare, rare).otherwise(plain), F.lit('"'))
+        c = F.replace(c, F.lit(raw), F.lit(escaped))
+    return F.concat(F.lit('"'), escape_controls(c) if controls else c, F.lit('"'))

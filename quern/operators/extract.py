@@ -64,7 +64,10 @@ def with_source_text(df: DataFrame, max_chars: int = SOURCE_CHARS, skip: tuple[s
         used = F.concat_ws(",", *(F.when(is_nonblank(c[i]), F.lit(names[i])) for i in fallback))
         choices.append(F.when(used != "", F.struct(used.alias("fields"), parts.alias("text"))))
     best = F.coalesce(*choices) if choices else F.lit(None).cast("struct<fields: string, text: string>")
-    return _add(df, {"source_fields": best["fields"], "source_text": truncate_ellipsis(collapse_ws(best["text"]), max_chars)})
+    # Cutting looks at the collapsed text several times; a step of its own makes that once.
+    collapsed = _add(df, {"source_fields": best["fields"], "source_text": collapse_ws(best["text"])})
+    plain = collapsed.toDF(*(f"c{i}" for i in range(len(collapsed.columns))))
+    return plain.select(*plain.columns[:-1], truncate_ellipsis(F.col(plain.columns[-1]), max_chars)).toDF(*collapsed.columns)
 
 
 def _python_str(c: Column, kind: T.DataType) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import json_quote
+from ..functions.text import escape_controls, json_quote
 
 
 def _object(**values: Column) -> Column:
@@ -14,9 +14,14 @@ def _object(**values: Column) -> Column:
     return F.concat(*parts, F.lit("}"))
 
 
+def raw_assistant_json(question: Column, answer: Column) -> Column:
+    """assistant_json() but for escape_controls(), which looks at its text several times and is best a step of its own."""
+    return _object(question=json_quote(question, False), answer=json_quote(answer, False))
+
+
 def assistant_json(question: Column, answer: Column) -> Column:
     """What the assistant says: the pair, as JSON text."""
-    return _object(question=json_quote(question), answer=json_quote(answer))
+    return escape_controls(raw_assistant_json(question, answer))
 
 
 def chat_record(prompt: Column, assistant: Column, dataset: Column, split: Column, row_id: Column, source_fields: Column) -> Column:
@@ -26,11 +31,16 @@ def chat_record(prompt: Column, assistant: Column, dataset: Column, split: Colum
     return F.struct(messages.alias("messages"), meta.alias("meta"))
 
 
+def raw_record_json(record: Column) -> Column:
+    """chat_record_json() but for escape_controls()."""
+    said = [_object(**{k: json_quote(record["messages"][i][k], False) for k in ("role", "content")}) for i in (0, 1)]
+    meta = _object(**{k: json_quote(record["meta"][k], False) for k in ("dataset", "split", "row_id", "source_fields")})
+    return _object(messages=F.concat(F.lit("["), said[0], F.lit(", "), said[1], F.lit("]")), meta=meta)
+
+
 def chat_record_json(record: Column) -> Column:
     """The record's line in a JSON Lines file, byte for byte as Python's json writes it, other than ASCII as it is.
 
     Spark's to_json has no spaces after separators, drops nulls and writes controls in upper case.
     """
-    said = [_object(role=json_quote(record["messages"][i]["role"]), content=json_quote(record["messages"][i]["content"])) for i in (0, 1)]
-    meta = _object(**{k: json_quote(record["meta"][k]) for k in ("dataset", "split", "row_id", "source_fields")})
-    return _object(messages=F.concat(F.lit("["), said[0], F.lit(", "), said[1], F.lit("]")), meta=meta)
+    return escape_controls(raw_record_json(record))

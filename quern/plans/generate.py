@@ -15,10 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import escape_controls
 from ..operators.extract import SOURCE_CHARS, with_row_id, with_source_text
 from ..operators.inference import NO_TEXT, Backend, EchoBackend, HttpChatBackend, infer, wait_until_healthy
 from ..operators.prompts import user_prompt
-from ..operators.records import assistant_json, chat_record, chat_record_json
+from ..operators.records import chat_record, raw_assistant_json, raw_record_json
 from ..operators.rows import select_rows, with_row_index
 from ..operators.summary import run_summary
 from ..sources.datasets import read_dataset
@@ -77,9 +78,10 @@ def statuses(prepared: DataFrame, backend: Backend, parallelism: int | None = No
 
 def records(done: DataFrame, dataset: str, split: str) -> DataFrame:
     """Rows that were written, as row_index, record (typed) and line (its JSON)."""
-    said = assistant_json(F.col("question"), F.col("answer"))
-    record = chat_record(F.col("prompt"), said, F.lit(dataset), F.lit(split), F.col("row_id"), F.col("source_fields"))
-    return done.where("status = 'written'").select("row_index", record.alias("record")).select("*", chat_record_json(F.col("record")).alias("line"))
+    # Steps one by one: what a step looks at several times is then made once.
+    written = done.where("status = 'written'").withColumn("__said", raw_assistant_json(F.col("question"), F.col("answer"))).withColumn("__said", escape_controls(F.col("__said")))
+    record = chat_record(F.col("prompt"), F.col("__said"), F.lit(dataset), F.lit(split), F.col("row_id"), F.col("source_fields"))
+    return written.select("row_index", record.alias("record")).select("*", raw_record_json(F.col("record")).alias("line")).withColumn("line", escape_controls(F.col("line")))
 
 
 def _without_written(prepared: DataFrame, cfg: GenerateConfig) -> DataFrame:
