@@ -183,11 +183,12 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
         full = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
         return full.select("a", "b", "la", "lb").mapInArrow(_exact(distance), "a bigint, b bigint")
 
-    def survivors(cells: DataFrame) -> DataFrame:
+    def survivors(cells: DataFrame, every: bool) -> DataFrame:
         with_lines = cells.join(texts, "id")
         return with_lines.repartition(shuffle_partitions(spark), "key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(_across(distance), "a bigint, b bigint")
 
-    found = linked_components(members, verify, survivors)
+    # A cell's pairs are verified in the cell, so one round is all.
+    found = linked_components(members, verify, survivors, rounds=(True,))
     first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     named = first.join(found.withColumnRenamed("id", "hash"), "hash", "left").withColumn("component", F.coalesce("component", "hash"))
     firsts = named.groupBy("component").agg(F.min("first").alias("of"))

@@ -6,8 +6,9 @@ are worked through in two steps:
 1. Each bucket's members are compared with two of its members, the smallest and the largest id: a
    number of pairs that is linear in the bucket. In groups of near copies this joins nearly all.
 2. Buckets of over three members that still have several components are compared member by member, but only across
-   components, inside tasks, in cells of at most 2 * CELL members; only pairs that may be links leave
-   a task. A large bucket is many cells, so no task holds it whole.
+   components, inside tasks, in cells of at most 2 * CELL members, of which a large bucket has many, so no task
+   holds it whole. In the first rounds a cell gives only the likeliest pairs that would join all it
+   can, fewer than its members; most of what is left joins by them. The last round gives every pair that may be a link.
 
 Every pair that shares a bucket and isn't joined by then has been compared, so no link is lost.
 """
@@ -63,17 +64,31 @@ def components(links: DataFrame) -> DataFrame:
     return ends.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
 
-def linked_components(members: DataFrame, verify: Check, survivors: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(members: DataFrame, verify: Check, survivors: Callable[[DataFrame, bool], DataFrame], rounds: tuple[bool, ...] = (False, False, True)) -> DataFrame:
     """(id, component) of every id with a link.
 
     members: (key, id, low, high, many), stored: the members of each bucket with its smallest and largest id and
     whether it has over three members, one row for each member. verify: pairs (a, b) to those that are links. survivors:
-    members of unsettled cells, (key, cell, side, id, component), to pairs (a, b) that may be links.
+    members of unsettled cells, (key, cell, side, id, component), to pairs (a, b) that may be links: all of them, or (if
+    the second argument is false) enough to join all that they could join. rounds: that argument, round by round.
     """
     ends = F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))
     pairs = members.select(F.explode(ends).alias("p")).select("p.a", "p.b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stored(verify(pairs), "links")
     found = stored(components(links), "components")
+    for every in rounds:
+        more = stored(survivors(_cells(members, found), every), "survivors")
+        if more.isEmpty():
+            break
+        more_links = stored(verify(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "more-links")
+        # What is joined so far counts as links too.
+        joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        found = stored(components(more_links.unionByName(joined)), "components")
+    return found
+
+
+def _cells(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Of buckets with several components, the members in each of their cells."""
     named = members.where("many").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     unsettled = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members")).where("c0 != c1")
     cells = F.greatest(F.lit(1), F.ceil(F.col("members") / CELL)).cast("int")
@@ -81,10 +96,5 @@ def linked_components(members: DataFrame, verify: Check, survivors: Callable[[Da
     left = left.withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
     # A cell is a pair of parts of the bucket; a member is in all cells of its own part.
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    left = left.select("key", (F.greatest("own", "other") * F.lit(1 << 15).cast("long") * (1 << 15) + F.least("own", "other")).alias("cell"), (F.col("own") > F.col("other")).alias("side"), "id", "component")
-    more = stored(survivors(left), "survivors")
-    if more.isEmpty():
-        return found
-    more_links = verify(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    # What is joined so far counts as links too.
-    return components(stored(more_links.select("a", "b").unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))), "all-links"))
+    cell = F.greatest("own", "other") * F.lit(1 << 30).cast("long") + F.least("own", "other")
+    return left.select("key", cell.alias("cell"), (F.col("own") > F.col("other")).alias("side"), "id", "component")

@@ -80,8 +80,8 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
     return np.array(out)
 
 
-def may_link(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Of rows of two arrays of sketches, which stay to the end."""
+def may_link(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of two arrays of sketches, which stay to the end, and in how many minima they agree."""
     stay, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
     for k, few in enumerate(least):
         span = slice(k * BATCH, (k + 1) * BATCH)
@@ -90,7 +90,7 @@ def may_link(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
         stay, matches = stay[keep], matches[keep]
         if not len(stay):
             break
-    return stay
+    return stay, matches
 
 
 def sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,7 +134,7 @@ def _probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = np.flatnonzero(sizes_allow(batch.column("na").to_numpy(), batch.column("nb").to_numpy()))
         if len(at):
-            at = at[may_link(_array(batch.column("ka"))[at], _array(batch.column("kb"))[at], least)]
+            at = at[may_link(_array(batch.column("ka"))[at], _array(batch.column("kb"))[at], least)[0]]
         yield pa.record_batch({"a": batch.column("a").take(pa.array(at)), "b": batch.column("b").take(pa.array(at))})
 
 
@@ -152,34 +152,64 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": pa.array([ids[i] for i in keep], pa.int64()), "b": pa.array([others[i] for i in keep], pa.int64())})
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of cells, sorted by cell, to pairs across components that may be links."""
-    least, held = least_matches(), None
+def _joining(likely: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest pairs that would join all components that likely (a square of matches, 0 for none) can join.
+
+    Every component takes its best pair, components are joined by them, and so on.
+    """
+    rows, columns = [], []
+    component = component.copy()
+    every = np.arange(len(component))
+    while True:
+        open_ = np.where(component[:, None] != component[None, :], likely, 0)
+        best = open_.argmax(1)
+        value = open_[every, best]
+        if not value.any():
+            return np.array(rows, np.int64), np.array(columns, np.int64)
+        order = np.argsort(-value, kind="stable")
+        order = order[value[order] > 0]
+        _, first = np.unique(component[order], return_index=True)
+        for i in order[np.sort(first)]:
+            j = best[i]
+            if component[i] != component[j]:
+                rows.append(i)
+                columns.append(j)
+                component[component == component[j]] = component[i]
+
+
+def _across(every: bool):
+    """Members of cells, sorted by cell, to pairs across components that may be links: every one, or those that join most."""
+    least = least_matches()
 
     def pairs(cell: pa.Table) -> pa.RecordBatch:
         ids, component, n = (cell.column(k).to_numpy() for k in ("id", "component", "n"))
         side = cell.column("side").to_numpy()
         rows = _array(cell.column("sketch").combine_chunks())
-        out = []
+        likely = np.zeros((len(ids), len(ids)), np.int16)
         for i in range(len(ids)):
             # Within one part each pair is met once; between two parts, from one side only.
             at = np.arange(i + 1, len(ids)) if not side.any() else np.flatnonzero(~side) if side[i] else np.empty(0, np.int64)
             at = at[(component[at] != component[i]) & sizes_allow(n[at], n[i])]
             if len(at):
-                at = at[may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)]
-                out += [(ids[i], x) for x in ids[at]]
-        return pa.record_batch({"a": pa.array([int(a) for a, _ in out], pa.int64()), "b": pa.array([int(b) for _, b in out], pa.int64())})
-
-    for batch in batches:
-        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        key, cell = held.column("key").to_numpy(), held.column("cell").to_numpy()
-        cuts = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
-        starts = np.concatenate([[0], cuts])
-        for a, b in zip(starts[:-1], starts[1:]):
-            yield pairs(held.slice(a, b - a))
-        held = held.slice(starts[-1])
-    if held is not None and held.num_rows:
-        yield pairs(held)
+                stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
+                likely[i, at[stay]] = matches
+        a, b = np.nonzero(likely) if every else _joining(np.maximum(likely, likely.T), component)
+        return pa.record_batch({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            key, cell = held.column("key").to_numpy(), held.column("cell").to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
+            starts = np.concatenate([[0], cuts])
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield pairs(held.slice(a, b - a))
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return run
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -218,8 +248,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         full = probable.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
         return full.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint")
 
-    def survivors(cells: DataFrame) -> DataFrame:
-        return cells.join(sketches, "id").repartition(parts, "key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(_across, "a bigint, b bigint")
+    def survivors(cells: DataFrame, every: bool) -> DataFrame:
+        return cells.join(sketches, "id").repartition(parts, "key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(_across(every), "a bigint, b bigint")
 
     found = linked_components(members, verify, survivors)
     named = classes.join(found, "id", "left").select("s0", "s1", "doc_id", F.coalesce("component", "id").alias("component"))
