@@ -27,8 +27,10 @@ from ._common import pick, stored, table
 PROJECTIONS = 128
 #: Of the projections: a vector that is near in so many is measured.
 FRACTION = 0.6
-GROWTH = 1.15
+GROWTH = 1.3
 SURE = 0.9995
+#: Counts of collisions that are held at once: queries times vectors.
+HELD = 8 << 20
 #: Of a part's vectors, in double precision, about; queries of a part.
 PART_BYTES = 8 << 20
 PART_QUERIES = 2000
@@ -60,46 +62,52 @@ class Arrays:
         self.order = np.argsort(places, 0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(places.T, self.order, 1)
         spread = float(self.sorted[:, -1].max() - self.sorted[:, 0].min())
-        self.first, self.all = max(spread / 500, 1e-300), max(spread, 1e-300)
-
-    def nearest(self, query_id: int | None, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and Euclidean distances of the k nearest found other than query_id, nearest first, ties to the smaller id."""
-        n, places = len(self.ids), (query / self.scale) @ self.directions
-        with np.errstate(over="ignore"):
-            counts, seen = np.zeros(n, np.int64), self.ids == query_id
-            most = min(k, int((~seen).sum()))
-            found, far = np.empty(0, np.int64), np.empty(0)
-            low = np.array([np.searchsorted(s, p) for s, p in zip(self.sorted, places)])
-            high, width = low.copy(), self.first
-            reach = np.abs(places[:, None] - self.sorted[:, [0, -1]]).max()
-            while True:
+        self.first = max(spread / 100, 1e-300)
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query, ids and Euclidean distances of the k nearest found other than its own id, nearest first, ties to the smaller id."""
+        step = max(1, HELD // len(self.ids))
+        return [x for i in range(0, len(queries), step) for x in self._some(query_ids[i : i + step], queries[i : i + step], k)]
+
+    def _some(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, places = len(self.ids), (queries / self.scale) @ self.directions
+        counts, seen = np.zeros((len(queries), n), np.int16), self.ids[None, :] == query_ids[:, None]
+        most = np.minimum(k, (~seen).sum(1))
+        found = [np.empty(0, np.int64) for _ in queries]
+        far = [np.empty(0) for _ in queries]
+        low = np.stack([np.searchsorted(s, p) for s, p in zip(self.sorted, places.T)], 1)
+        high, width = low.copy(), self.first
+        reach = np.maximum(np.abs(places - self.sorted[:, 0]), np.abs(places - self.sorted[:, -1])).max(1)
+        open_ = np.flatnonzero(most > 0)
+        while len(open_):
+            # The ends of all open queries' windows, array by array.
+            ends = [(np.searchsorted(s, p - width, "left"), np.searchsorted(s, p + width, "right")) for s, p in zip(self.sorted, places[open_].T)]
+            a, b = (np.stack(x, 1) for x in zip(*ends))
+            left = []
+            for row, q in enumerate(open_):
                 new = []
-                for i in range(self.m):
-                    a = np.searchsorted(self.sorted[i], places[i] - width, "left")
-                    b = np.searchsorted(self.sorted[i], places[i] + width, "right")
-                    new += [self.order[i, a : low[i]], self.order[i, high[i] : b]]
-                    low[i], high[i] = min(a, low[i]), max(b, high[i])
-                counts += np.bincount(np.concatenate(new), minlength=n)
-                at = np.flatnonzero((counts >= self.least) & ~seen)
+                for order, a0, a1, b0, b1 in zip(self.order, a[row].tolist(), low[q].tolist(), high[q].tolist(), b[row].tolist()):
+                    if a0 < a1:
+                        new.append(order[a0:a1])
+                    if b0 < b1:
+                        new.append(order[b0:b1])
+                if new:
+                    counts[q] += np.bincount(np.concatenate(new), minlength=n).astype(np.int16)
+                low[q], high[q] = np.minimum(a[row], low[q]), np.maximum(b[row], high[q])
+                at = np.flatnonzero((counts[q] >= self.least) & ~seen[q])
                 if len(at):
-                    seen[at] = True
-                    found = np.concatenate([found, at])
-                    far = np.concatenate([far, distances(self.vectors[at], query)])
-                    best = np.lexsort((self.ids[found], far))[:most]
-                    if len(best) < len(found):
-                        keep = best
-                        found, far = found[keep], far[keep]
-                if width >= reach:
-                    break
-                if len(found) >= most:
-                    if not most:
-                        break
-                    kth = float(far.max()) / self.scale
-                    if kth == 0 or _enough(math.erf(width / (kth * math.sqrt(2))), self.m, self.least) >= SURE:
-                        break
-                width *= GROWTH
-            order = np.lexsort((self.ids[found], far))[:most]
-            return self.ids[found[order]], far[order]
+                    seen[q, at] = True
+                    ids, d = np.concatenate([found[q], at]), np.concatenate([far[q], distances(self.vectors[at], queries[q])])
+                    best = np.lexsort((self.ids[ids], d))[: most[q]]
+                    found[q], far[q] = ids[best], d[best]
+                if width < reach[q] and not (len(found[q]) == most[q] and self._sure(float(far[q][-1]) / self.scale, width)):
+                    left.append(q)
+            open_, width = np.array(left, np.int64), width * GROWTH
+        return [(self.ids[x], d) for x, d in zip(found, far)]
+
+    def _sure(self, kth: float, width: float) -> bool:
+        """Whether a vector as far as the k-th best would have collided often enough by now."""
+        return kth == 0 or _enough(math.erf(width / (kth * math.sqrt(2))), self.m, self.least) >= SURE
 
 
 def _usable(vector: Column) -> Column:
@@ -145,8 +153,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
             at = np.flatnonzero(~query)
             at = at[np.argsort(ids[at], kind="stable")]
             arrays = Arrays(ids[at], every[at])
-            for i in np.flatnonzero(query):
-                out += [(ids[i], v, d) for v, d in zip(*arrays.nearest(ids[i], every[i], k))]
+            asked = np.flatnonzero(query)
+            for i, (v, d) in zip(asked, arrays.nearest(ids[asked], every[asked], k)):
+                out += [(ids[i], *x) for x in zip(v, d)]
         return pa.table({"query_id": pa.array([x[0] for x in out], pa.int64()), "vec_id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
 
     found = grid.groupBy("dim", "part", "q_part").applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
