@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quern.llm._common import by_place, position, stored, table
 from quern.llm.line_dedup import drop_lines, line_classes
 from quern.llm.mixing import mix
-from quern.llm.near_dedup import near_duplicates
+from quern.llm.near_dedup import near_duplicates, text_hash
 from quern.llm.packing import cut_documents, pack
 from quern.llm.quality import THRESHOLD, fit_quality, score_quality
 
@@ -35,10 +35,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    """One document of each group of near duplicates, the one with the smallest doc_id.
+
+    Each row is decided by itself, whatever other rows have its doc_id. Of a group, all rows that have the smallest doc_id
+    stay, if it repeats in the group. Rows with a null doc_id go if any row of their group has one; a group
+    without any stays whole.
+    """
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone"), F.col("hash").alias("__hash")).distinct()
     d, names = by_place(docs), docs.columns
-    return d.join(gone, F.col(f"c{position(docs, 'doc_id')}") == F.col("__gone"), "left_anti").toDF(*names)
+    id_, text = F.col(f"c{position(docs, 'doc_id')}"), F.col(f"c{position(docs, 'text')}")
+    return d.join(gone, id_.cast("long").eqNullSafe(F.col("__gone")) & (text_hash(text) == F.col("__hash")), "left_anti").toDF(*names)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_bytes, in_slices, lower_az, pick, shuffle_partitions, small_batches, stored, table
@@ -115,6 +115,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
+                "hash": batch.column("hash"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "s0": pa.array([x for x, _ in names], pa.int64()),
                 "s1": pa.array([x for _, x in names], pa.int64()),
@@ -212,8 +213,13 @@ def _across(every: bool):
     return run
 
 
+def text_hash(text: Column) -> Column:
+    """With the doc_id, what a row's decision is known by: rows that agree in both are decided alike."""
+    return F.xxhash64(lower_az(F.coalesce(text, F.lit(""))))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row for each row of docs (doc_id, text): doc_id, n_shingles, component_id, kept, hash (text_hash).
 
     A text of fewer than five words has one shingle, all of them; a null or empty one none, and no links.
     component_id is the smallest doc_id reachable over links, kept says whether it's the row's own. A row
@@ -223,9 +229,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), lower_az(F.coalesce("text", F.lit(""))).alias("text"))
+    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("hash"), lower_az(F.coalesce("text", F.lit(""))).alias("text"))
     parts = shuffle_partitions(spark)
-    signed = stored(slim.mapInArrow(_signatures, "doc_id bigint, n bigint, s0 bigint, s1 bigint, bands array<bigint>, sketch binary"), "signatures")
+    signed = stored(slim.mapInArrow(_signatures, "doc_id bigint, hash bigint, n bigint, s0 bigint, s1 bigint, bands array<bigint>, sketch binary"), "signatures")
     # One row for each set, numbered; the number is kept in the written table, so it's the same ever after.
     one = signed.where("n > 0").groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     classes = stored(one.select(F.monotonically_increasing_id().alias("id"), "s0", "s1", "doc_id", "n"), "classes")
@@ -255,9 +261,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = classes.join(found, "id", "left").select("s0", "s1", "doc_id", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_set = named.join(least, "component").select("s0", "s1", "component_id")
-    out = signed.where("n > 0").select("doc_id", "n", "s0", "s1").join(by_set, ["s0", "s1"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    out = out.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = signed.where("n > 0").select("doc_id", "hash", "n", "s0", "s1").join(by_set, ["s0", "s1"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "hash")
+    out = out.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "hash"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "hash")
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +275,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op8_minhash_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("hash")
 
 
 OP8_SQL = f"""

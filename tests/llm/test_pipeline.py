@@ -83,6 +83,15 @@ def test_near_stage(stages):
     assert found == [r for r in given if r["doc_id"] in kept]
 
 
+def test_near_stage_decides_row_by_row(spark):
+    """Ids that repeat with other texts, and null ids."""
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    given = [(1, a), (2, a + " more"), (2, b), (None, a.upper()), (None, "alone without an id"), (None, None), (3, b + " more"), (3, ""), (4, "two of"), (4, "two of"), (None, "twins"), (None, "Twins")]
+    found = corpus_pipeline.near(spark, spark.createDataFrame(given, "doc_id long, text string"), SF)
+    gone = [(2, a + " more"), (None, a.upper()), (3, b + " more")]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted((r for r in given if r not in gone), key=str)
+
+
 def test_mix_stage(stages):
     given, found = (rows(x) for x in stages["mix"])
     known, times, size = {r["doc_id"]: r for r in given}, Counter(r["doc_id"] for r in found), {}
