@@ -10,10 +10,10 @@ all for a distance of 2). What meets is verified by a banded bit-parallel edit d
 Linked lines form classes; of a class the first occurrence, by doc_id and line number, stays. Shorter
 lines are compared for equality alone, and blank ones are left as they are.
 
-Scale. Lines are known by a 64-bit hash, so copies of a hot line are one line: they are
-combined in each task before anything is shuffled. Index entries become one row for each key, whatever their
-number; buckets of any size are settled as in links.py. Only lines that share a bucket are shuffled
-with their text. Two different lines have one hash with a chance of n**2 / 2**65 among n lines.
+Scale. Distinct lines come first: lines are known by a 128-bit hash, copies of a hot line are combined in
+each task before they are shuffled, and each distinct line gets a number, under which it is indexed and probes.
+Index entries become one row for each key, whatever their number; buckets of any size are settled as in
+links.py. Two different lines have one hash with a chance of n**2 / 2**129 among n lines.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import by_place, pick, position, shuffle_partitions, small_batches, stored, table
-from .links import linked_components
+from .links import cell_starts, linked_components
 
 DISTANCE = 2
 LEAST_CHARS = 32
@@ -120,11 +120,20 @@ def _exact(distance: int):
     return run
 
 
+def bags(lines: list[str]) -> np.ndarray:
+    """How often each line has characters of each of 64 kinds. An edit changes a bag by 2 at most."""
+    return np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64) for x in lines]).astype(np.int32)
+
+
 def _across(distance: int):
     """Members of cells with their lines, sorted by cell, to linked pairs that join different components."""
 
-    def pairs(cell: list[dict]) -> pa.RecordBatch:
-        out, root = [], {r["component"]: r["component"] for r in cell}
+    def pairs(cell: pa.Table) -> pa.RecordBatch:
+        ids, component, stray, asks = (cell.column(k).to_pylist() for k in ("id", "component", "stray", "asks"))
+        lines = cell.column("line").to_pylist()
+        answers = np.array([i for i, x in enumerate(asks) if not x], np.int64)
+        lengths, bag = np.array([len(x) for x in lines]), bags(lines)
+        out, root = [], {c: c for c in component}
 
         def top(x: int) -> int:
             while root[x] != x:
@@ -132,31 +141,36 @@ def _across(distance: int):
                 x = root[x]
             return x
 
-        sides = any(r["side"] for r in cell)
-        for i, r in enumerate(cell):
-            for other in cell[i + 1 :] if not sides else cell if r["side"] else ():
-                if sides and other["side"] or abs(len(r["line"]) - len(other["line"])) > distance:
+        for i in (i for i, x in enumerate(asks) if x):
+            at = answers[np.abs(lengths[answers] - lengths[i]) <= distance]
+            at = at[np.abs(bag[at] - bag[i]).sum(1) <= 2 * distance]
+            for j in at.tolist():
+                if stray[j] and ids[j] <= ids[i]:
                     continue
-                a, b = top(r["component"]), top(other["component"])
-                if a != b and within(r["line"], other["line"], distance):
+                a, b = top(component[i]), top(component[j])
+                if a != b and within(lines[i], lines[j], distance):
                     root[a] = b
-                    out.append((r["id"], other["id"]))
-        return pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+                    out.append((ids[i], ids[j], component[i], 1))
+        return pa.record_batch({k: pa.array([x[n] for x in out], pa.int64()) for n, k in enumerate(("a", "b", "stray", "weight"))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held = None
         for batch in batches:
-            for r in batch.to_pylist():
-                if held and (held[-1]["key"], held[-1]["cell"]) != (r["key"], r["cell"]):
-                    yield pairs(held)
-                    held = []
-                held.append(r)
-        if held:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            starts = cell_starts(held)
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield pairs(held.slice(a, b - a))
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
             yield pairs(held)
 
     return run
 
 
+def line_hash(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
 def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row for each line of docs (doc_id, text) that isn't blank: doc_id, line_no, class_doc_id, class_line_no, kept, hash.
 
@@ -166,33 +180,37 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     """
     spark = docs.sparkSession
     small_batches(spark)
-    lines = lines_of(docs)
-    places = stored(lines.select("doc_id", "line_no", F.xxhash64("line").alias("hash")), "line-places")
-    long = lines.where(F.length("line") >= least_chars).select(F.xxhash64("line").alias("id"), "line")
-    index = long.select("id", F.explode(index_keys(F.col("line"), distance)).alias("key"))
+    lines = lines_of(docs).withColumn("hash", line_hash(F.col("line")))
+    places = stored(lines.select("doc_id", "line_no", "hash"), "line-places")
+    # Numbered where they are written, so a line's number is the same ever after.
+    long = lines.where(F.length("line") >= least_chars).groupBy("hash").agg(F.first("line").alias("line"))
+    distinct = stored(long.select(F.monotonically_increasing_id().alias("id"), "hash", "line"), "distinct-lines")
+    index = distinct.select("id", F.explode(index_keys(F.col("line"), distance)).alias("key"))
     ends = index.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members"))
-    probes = long.select("id", F.explode(probe_keys(F.col("line"), distance)).alias("key"))
+    probes = distinct.select("id", F.explode(F.array_distinct(probe_keys(F.col("line"), distance))).alias("key"))
     # A line finds itself; what finds nothing else is dropped in the join.
     met = probes.join(ends, "key").where("low != id or high != id").select("key", "id", "low", "high", (F.col("members") > 2).alias("many"))
-    members = stored(met.distinct(), "line-members")
+    members = stored(met, "line-members")
     # A line that is only found, or only one end of a bucket, takes part too.
     ids = members.select(F.explode(F.array("id", "low", "high")).alias("id")).distinct()
-    texts = stored(long.join(ids, "id").groupBy("id").agg(F.min("line").alias("line")), "lines")
+    texts = stored(distinct.join(ids, "id").select("id", "line"), "lines")
 
     def verify(pairs: DataFrame) -> DataFrame:
         full = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
         return full.select("a", "b", "la", "lb").mapInArrow(_exact(distance), "a bigint, b bigint")
 
     def survivors(cells: DataFrame, every: bool) -> DataFrame:
-        with_lines = cells.join(texts, "id")
-        return with_lines.repartition(shuffle_partitions(spark), "key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(_across(distance), "a bigint, b bigint")
+        place = ["key", "row", "column"]
+        return cells.join(texts, "id").repartition(shuffle_partitions(spark), *place).sortWithinPartitions(*place).mapInArrow(_across(distance), "a bigint, b bigint, stray bigint, weight bigint")
 
     # A cell's pairs are verified in the cell, so one round is all.
     found = linked_components(members, verify, survivors, rounds=(True,))
+    linked = distinct.select("id", "hash").join(found, "id").select("hash", "component")
     first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    named = first.join(found.withColumnRenamed("id", "hash"), "hash", "left").withColumn("component", F.coalesce("component", "hash"))
-    firsts = named.groupBy("component").agg(F.min("first").alias("of"))
-    by_hash = named.join(firsts, "component").select("hash", F.col("of.doc_id").alias("class_doc_id"), F.col("of.line_no").alias("class_line_no"))
+    named = first.join(linked, "hash", "left")
+    firsts = named.where("component is not null").groupBy("component").agg(F.min("first").alias("of"))
+    by_hash = named.join(firsts, "component", "left").select("hash", F.coalesce("of", "first").alias("of"))
+    by_hash = by_hash.select("hash", F.col("of.doc_id").alias("class_doc_id"), F.col("of.line_no").alias("class_line_no"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))
     return places.join(by_hash, "hash").select("doc_id", "line_no", "class_doc_id", "class_line_no", kept.alias("kept"), "hash")
 
@@ -208,7 +226,7 @@ def drop_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     id_, text = f"c{position(docs, 'doc_id')}", f"c{position(docs, 'text')}"
     joined = d.join(dropped.withColumnRenamed("doc_id", "__id"), F.col(id_).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
     split = F.split(text, "\n", -1)
-    numbered = F.transform(split, lambda line, i: F.when(F.array_contains(F.col("dropped"), F.struct(i.alias("line_no"), F.xxhash64(line).alias("hash"))), F.lit(None)).otherwise(line))
+    numbered = F.transform(split, lambda line, i: F.when(F.array_contains(F.col("dropped"), F.struct(i.alias("line_no"), line_hash(line).alias("hash"))), F.lit(None)).otherwise(line))
     left = F.array_compact(numbered)
     changed = joined.withColumn("__lines", F.when(F.col("dropped").isNotNull(), left))
     gone = F.col("__lines").isNotNull() & ~F.exists("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))

@@ -5,10 +5,12 @@ are worked through in two steps:
 
 1. Each bucket's members are compared with two of its members, the smallest and the largest id: a
    number of pairs that is linear in the bucket. In groups of near copies this joins nearly all.
-2. Buckets of over three members that still have several components are compared member by member, but only across
-   components, inside tasks, in cells of at most 2 * CELL members, of which a large bucket has many, so no task
-   holds it whole. In the first rounds a cell gives only the likeliest pairs that would join all it
-   can, fewer than its members; most of what is left joins by them. The last round gives every pair that may be a link.
+2. Buckets of over three members that still have several components: the component with most members
+   is one side, and only the other members, the strays, are compared with all. Strays and members are dealt to a
+   grid of cells of about CELL of each, so no task holds a large bucket whole, and a bucket with few strays has about
+   one row for each member. In the first rounds each stray component takes its one likeliest pair of
+   all cells (no more pairs than components); most of what is left joins by them. The last round takes every
+   pair that may be a link.
 
 Every pair that shares a bucket and isn't joined by then has been compared, so no link is lost.
 """
@@ -17,84 +19,104 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import stored
 
-#: Members of a bucket that one cell takes from either side, about.
-CELL = 512
+#: Members and strays of a bucket that one cell takes, about.
+CELL = 1024
+#: Parts of a bucket when its members are told what it holds, so that a large bucket isn't one task's.
+SALTS = 16
 
 Check = Callable[[DataFrame], DataFrame]
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Whether each a has one edge only and is no edge's b."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up")), F.struct(F.col("b").alias("v"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+    each = ends.groupBy("v").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return not each.agg(F.max((F.col("up") > 0) & (F.col("n") > 1)).alias("x")).first().x
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) to (id, component): the smallest id that is reachable, for each id in a link.
 
-    Alternating large-star and small-star steps: neighbours are hung on the smallest one near, until nothing
-    changes. The number of steps grows with the logarithm of the ids. Each is written to the shared folder.
+    Alternating large-star and small-star steps: neighbours are hung on the smallest one near, until all edges
+    are stars. The number of steps grows with the logarithm of the ids. Each is written to the shared folder.
     """
-
-    def smallest(edges: DataFrame) -> DataFrame:
-        return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-
-    def both(edges: DataFrame) -> DataFrame:
-        return edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
-
-    def mark(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     # a > b from here on: b is nearer to the root.
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
-    before = mark(edges)
-    while True:
-        two = both(edges)
-        large = two.join(smallest(two), "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    while not _is_star(edges):
+        two = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
+        nearest = two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = two.join(nearest, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large, "large-star")
-        down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        near = down.groupBy("u").agg(F.min("v").alias("m"))
-        hung = down.join(near, "u")
-        small = hung.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(near.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct()
-        edges = stored(small, "small-star")
-        now = mark(edges)
-        if now == before:
-            break
-        before = now
-    ends = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return ends.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+        near = large.groupBy("u").agg(F.min("v").alias("m"))
+        hung = large.join(near, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        edges = stored(hung.unionByName(near.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct(), "small-star")
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
 def linked_components(members: DataFrame, verify: Check, survivors: Callable[[DataFrame, bool], DataFrame], rounds: tuple[bool, ...] = (False, False, True)) -> DataFrame:
     """(id, component) of every id with a link.
 
     members: (key, id, low, high, many), stored: the members of each bucket with its smallest and largest id and
-    whether it has over three members, one row for each member. verify: pairs (a, b) to those that are links. survivors:
-    members of unsettled cells, (key, cell, side, id, component), to pairs (a, b) that may be links: all of them, or (if
-    the second argument is false) enough to join all that they could join. rounds: that argument, round by round.
+    whether it has over three members, one row for each member; other columns are handed on. verify: pairs (a, b) to those that
+    are links. survivors: cells of unsettled buckets (see _cells), to pairs (a, b) that may be links, with a's component
+    (stray) and how likely each is (weight): all of them, or (if the second argument is false) each stray's
+    likeliest. rounds: that argument, round by round.
     """
     ends = F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))
     pairs = members.select(F.explode(ends).alias("p")).select("p.a", "p.b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stored(verify(pairs), "links")
     found = stored(components(links), "components")
     for every in rounds:
-        more = stored(survivors(_cells(members, found), every), "survivors")
+        more = survivors(_cells(members, found), every)
+        if not every:
+            more = more.groupBy("stray").agg(F.max(F.struct("weight", "a", "b")).alias("p")).select("p.a", "p.b")
+        more = stored(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "survivors")
         if more.isEmpty():
             break
-        more_links = stored(verify(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "more-links")
+        more_links = stored(verify(more), "more-links")
+        if more_links.isEmpty():
+            continue
         # What is joined so far counts as links too.
         joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = stored(components(more_links.unionByName(joined)), "components")
     return found
 
 
+def _part(of: str, parts: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(of, F.lit(seed)), parts).cast("int")
+
+
 def _cells(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Of buckets with several components, the members in each of their cells."""
-    named = members.where("many").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    unsettled = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members")).where("c0 != c1")
-    cells = F.greatest(F.lit(1), F.ceil(F.col("members") / CELL)).cast("int")
-    left = named.join(unsettled.select("key", cells.alias("cells")), "key")
-    left = left.withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
-    # A cell is a pair of parts of the bucket; a member is in all cells of its own part.
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    cell = F.greatest("own", "other") * F.lit(1 << 30).cast("long") + F.least("own", "other")
-    return left.select("key", cell.alias("cell"), (F.col("own") > F.col("other")).alias("side"), "id", "component")
+    """Of buckets with several components, what each of their cells holds: key, row and column of the cell, the member and its component.
+
+    asks: the row is a stray that is to be compared with the cell's members (rows that don't ask). stray: the member isn't in the
+    bucket's largest component. Each stray asks in all cells of its row, each member answers in all of its column,
+    so there are strays * (members / CELL) and members * (strays / CELL) rows, both rounded up.
+    """
+    named = members.where("many").join(found, "id", "left").drop("low", "high", "many").withColumn("component", F.coalesce("component", "id"))
+    counts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
+    buckets = counts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"), F.sum("n").alias("members"), F.count("*").alias("components")).where("components > 1")
+    cells = lambda n: F.greatest(F.lit(1), F.ceil(n / CELL)).cast("int")
+    buckets = buckets.select("key", (-F.col("top.c")).alias("largest"), cells(F.col("members")).alias("columns"), cells(F.col("members") - F.col("top.n")).alias("rows"))
+    buckets = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = named.withColumn("salt", _part("id", F.lit(SALTS), 1)).join(buckets, ["key", "salt"]).drop("salt")
+    left = left.withColumn("stray", F.col("component") != F.col("largest")).drop("largest")
+    own = left.withColumn("column", _part("id", F.col("columns"), 2)).withColumn("row", _part("id", F.col("rows"), 3))
+    seats = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: F.struct(F.lit(False).alias("asks"), r.alias("row"), F.col("column").alias("column")))
+    asked = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda c: F.struct(F.lit(True).alias("asks"), F.col("row").alias("row"), c.alias("column")))
+    seated = own.withColumn("at", F.explode(F.when(F.col("stray"), F.concat(seats, asked)).otherwise(seats)))
+    return seated.drop("rows", "columns", "row", "column").select("*", "at.asks", "at.row", "at.column").drop("at")
+
+
+def cell_starts(rows: pa.Table) -> np.ndarray:
+    """Where cells begin in rows that are sorted by cell."""
+    place = [rows.column(k).to_numpy() for k in ("key", "row", "column")]
+    cuts = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in place])) + 1
+    return np.concatenate([[0], cuts])

@@ -1,20 +1,22 @@
 """Near-duplicate documents by MinHash, with sequential Bayesian verification.
 
 1. Words are runs of other than white space, after lower-casing A-Z; a document's set is its distinct
-   runs of five. Equal sets (by 128 bits) are one class.
+   runs of five. Equal texts (by SHA-256) are one class.
 2. Each class gets BANDS * ROWS minima. Classes that agree in all rows of a band share a bucket: at the
    threshold a pair shares none with probability (1 - 0.75**ROWS)**BANDS, 2e-5.
 3. Candidates' sketches (one byte of each minimum) are compared BATCH minima at a time. After each, a pair
    is dropped if the posterior probability that its similarity reaches the threshold is under MISS.
-4. The sets of what is left are compared in full.
+4. The sets of what is left are compared in full, word by word. Equal sets of unlike texts share all bands,
+   and are linked in the same way.
 
 Links join components; see links.py for buckets of any size. Texts are shuffled only for documents that
-share a bucket. Equal sets never meet in one task: their class is made by partial sums.
+share a bucket. Equal texts never meet in one task: their class is made by partial sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_bytes, in_slices, lower_az, pick, shuffle_partitions, small_batches, stored, table
-from .links import linked_components
+from .links import cell_starts, linked_components
 from .words import Words, mixed, shingles
 
 SHINGLE = 5
@@ -33,12 +35,13 @@ BANDS, ROWS = 40, 5
 #: Minima compared between two looks at the posterior, and the chosen probability to miss a pair at each look.
 BATCH, MISS = 20, 1e-5
 SEED = 42
+#: Texts whose signatures a task keeps at hand, in case they come again.
+REMEMBERED = 4096
 
 _K = BANDS * ROWS
 _RNG = np.random.default_rng(SEED)
 _XOR = _RNG.integers(0, 1 << 32, _K, np.uint32)
 _TIMES = _RNG.integers(0, 1 << 31, _K, np.uint32) * np.uint32(2) + np.uint32(1)
-_SET_SEED = np.uint64(0xD6E8FEB86659FD93)
 #: Hashes that are in the work array at once.
 _SPAN = 4096
 
@@ -98,29 +101,56 @@ def sizes_allow(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The sorted distinct shingles of each text."""
+    """Hashes of the distinct shingles of each text."""
     hashes, runs = shingles(Words(texts), SHINGLE)
     return [np.unique(x) for x in np.split(hashes, np.cumsum(runs)[:-1])] if len(texts) else []
 
 
-def _identity(s: np.ndarray) -> tuple[int, int]:
-    return int(mixed(s).sum(dtype=np.uint64).view(np.int64)), int(mixed(s ^ _SET_SEED).sum(dtype=np.uint64).view(np.int64))
+def in_common(a: bytes, b: bytes) -> tuple[int, int]:
+    """How many shingles two normalised texts share, and how many there are in either. Words are compared, not hashes.
+
+    Runs are named like blocks of exact dedup: words get numbers, distinct pairs of numbers get numbers,
+    then pairs of pairs, and those with the fifth word.
+    """
+    x, y = a.split(), b.split()
+    if min(len(x), len(y)) < SHINGLE:
+        sizes = [max(1, len(w) - SHINGLE + 1) if w else 0 for w in (x, y)]
+        if x and x == y:
+            return 1, 1
+        return 0, sum(sizes)
+    names: dict[bytes, int] = {}
+    words = np.fromiter((names.setdefault(w, len(names)) for w in chain(x, y)), np.int64, len(x) + len(y))
+
+    def named(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return np.unique(p * (int(q.max()) + 1) + q, return_inverse=True)[1]
+
+    two = named(words[:-1], words[1:])
+    four = named(two[:-2], two[2:])
+    five = named(four[:-1], words[SHINGLE - 1 :])
+    own, other = np.unique(five[: len(x) - SHINGLE + 1]), np.unique(five[len(x) :])
+    both = len(np.intersect1d(own, other, assume_unique=True))
+    return both, len(own) + len(other) - both
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[bytes, tuple] = {}
     for batch in in_slices(batches, "text", 1 << 20):
-        sets = _sets(as_bytes(batch.column("text")))
-        names = [_identity(s) for s in sets]
-        lows = [minima(s) if len(s) else None for s in sets]
+        texts, shas = as_bytes(batch.column("text")), batch.column("sha").to_pylist()
+        if len(held) > REMEMBERED:
+            held = {}
+        # Copies of a text are signed once in a while, not each time.
+        new = {sha: i for i, sha in enumerate(shas) if sha not in held}
+        for sha, s in zip(new, _sets([texts[i] for i in new.values()])):
+            low = minima(s) if len(s) else None
+            held[sha] = (len(s), [], b"") if low is None else (len(s), band_keys(low).view(np.int64), sketch(low))
+        found = [held[sha] for sha in shas]
         yield pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
-                "hash": batch.column("hash"),
-                "n": pa.array([len(s) for s in sets], pa.int64()),
-                "s0": pa.array([x for x, _ in names], pa.int64()),
-                "s1": pa.array([x for _, x in names], pa.int64()),
-                "bands": pa.array([[] if x is None else band_keys(x).view(np.int64) for x in lows], pa.list_(pa.int64())),
-                "sketch": pa.array([b"" if x is None else sketch(x) for x in lows], pa.binary()),
+                "sha": batch.column("sha"),
+                "n": pa.array([n for n, *_ in found], pa.int64()),
+                "bands": pa.array([x for _, x, _ in found], pa.list_(pa.int64())),
+                "sketch": pa.array([x for *_, x in found], pa.binary()),
             }
         )
 
@@ -140,70 +170,45 @@ def _probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, held = None, None
     for batch in batches:
-        ids, others, keep = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
-        for i, (a, ta, tb) in enumerate(zip(ids, as_bytes(batch.column("ta")), as_bytes(batch.column("tb")))):
-            if a != last:
-                last, held = a, _sets([ta])[0]
-            other = _sets([tb])[0]
-            both = len(held) + len(other) - len(np.union1d(held, other))
-            if 100 * both >= PERCENT * (len(held) + len(other) - both):
-                keep.append(i)
-        yield pa.record_batch({"a": pa.array([ids[i] for i in keep], pa.int64()), "b": pa.array([others[i] for i in keep], pa.int64())})
+        keep = []
+        for ta, tb in zip(as_bytes(batch.column("ta")), as_bytes(batch.column("tb"))):
+            both, either = in_common(ta, tb)
+            keep.append(both > 0 and 100 * both >= PERCENT * either)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _joining(likely: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The likeliest pairs that would join all components that likely (a square of matches, 0 for none) can join.
+def _across(every: bool):
+    """Members of cells, sorted by cell, to pairs across components that may be links: every one, or each stray's likeliest.
 
-    Every component takes its best pair, components are joined by them, and so on.
+    A pair is looked at in the first band that it shares, and in no other. Of two strays, every pair
+    once, but the likeliest of each.
     """
-    rows, columns = [], []
-    component = component.copy()
-    every = np.arange(len(component))
-    while True:
-        open_ = np.where(component[:, None] != component[None, :], likely, 0)
-        best = open_.argmax(1)
-        value = open_[every, best]
-        if not value.any():
-            return np.array(rows, np.int64), np.array(columns, np.int64)
-        order = np.argsort(-value, kind="stable")
-        order = order[value[order] > 0]
-        _, first = np.unique(component[order], return_index=True)
-        for i in order[np.sort(first)]:
-            j = best[i]
-            if component[i] != component[j]:
-                rows.append(i)
-                columns.append(j)
-                component[component == component[j]] = component[i]
-
-
-def _across(every: bool):
-    """Members of cells, sorted by cell, to pairs across components that may be links: every one, or those that join most."""
     least = least_matches()
 
     def pairs(cell: pa.Table) -> pa.RecordBatch:
-        ids, component, n = (cell.column(k).to_numpy() for k in ("id", "component", "n"))
-        side = cell.column("side").to_numpy()
+        ids, component, n, stray, asks = (cell.column(k).to_numpy() for k in ("id", "component", "n", "stray", "asks"))
+        band = cell.column("band")[0].as_py()
         rows = _array(cell.column("sketch").combine_chunks())
-        likely = np.zeros((len(ids), len(ids)), np.int16)
-        for i in range(len(ids)):
-            # Within one part each pair is met once; between two parts, from one side only.
-            at = np.arange(i + 1, len(ids)) if not side.any() else np.flatnonzero(~side) if side[i] else np.empty(0, np.int64)
-            at = at[(component[at] != component[i]) & sizes_allow(n[at], n[i])]
-            if len(at):
-                stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
-                likely[i, at[stay]] = matches
-        a, b = np.nonzero(likely) if every else _joining(np.maximum(likely, likely.T), component)
-        return pa.record_batch({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+        answers, out = np.flatnonzero(~asks), []
+        shared = rows[answers].reshape(len(answers), BANDS, ROWS)
+        for i in np.flatnonzero(asks):
+            at = np.flatnonzero((component[answers] != component[i]) & sizes_allow(n[answers], n[i]) & (~stray[answers] | (ids[answers] > ids[i]) if every else True))
+            at = at[(shared[at] == rows[i].reshape(BANDS, ROWS)).all(2).argmax(1) == band] if len(at) else at
+            if not len(at):
+                continue
+            at = answers[at]
+            stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
+            if len(stay):
+                some = np.arange(len(stay)) if every else [int(np.argmax(matches))]
+                out += [(ids[i], ids[at[stay[k]]], component[i], matches[k]) for k in some]
+        return pa.record_batch({k: pa.array([x[j] for x in out], pa.int64()) for j, k in enumerate(("a", "b", "stray", "weight"))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            key, cell = held.column("key").to_numpy(), held.column("cell").to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
-            starts = np.concatenate([[0], cuts])
+            starts = cell_starts(held)
             for a, b in zip(starts[:-1], starts[1:]):
                 yield pairs(held.slice(a, b - a))
             held = held.slice(starts[-1])
@@ -214,8 +219,8 @@ def _across(every: bool):
 
 
 def text_hash(text: Column) -> Column:
-    """With the doc_id, what a row's decision is known by: rows that agree in both are decided alike."""
-    return F.xxhash64(lower_az(F.coalesce(text, F.lit(""))))
+    """SHA-256 of the normalised text. With the doc_id, what a row's decision is known by: rows that agree in both are decided alike."""
+    return F.unhex(F.sha2(lower_az(F.coalesce(text, F.lit(""))).cast("binary"), 256))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -229,23 +234,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("hash"), lower_az(F.coalesce("text", F.lit(""))).alias("text"))
+    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("sha"), lower_az(F.coalesce("text", F.lit(""))).alias("text"))
     parts = shuffle_partitions(spark)
-    signed = stored(slim.mapInArrow(_signatures, "doc_id bigint, hash bigint, n bigint, s0 bigint, s1 bigint, bands array<bigint>, sketch binary"), "signatures")
-    # One row for each set, numbered; the number is kept in the written table, so it's the same ever after.
-    one = signed.where("n > 0").groupBy("s0", "s1").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    classes = stored(one.select(F.monotonically_increasing_id().alias("id"), "s0", "s1", "doc_id", "n"), "classes")
-    first = signed.select("doc_id", "s0", "s1", "bands", "sketch").join(classes.select("id", "s0", "s1", F.col("doc_id").alias("first"), "n"), ["s0", "s1"]).where(F.col("doc_id").eqNullSafe(F.col("first")))
-    # Rows that repeat a doc_id and its set have equal signatures.
-    signs = stored(first.select("id", "n", "bands", "sketch"), "class-signatures")
-    rows = signs.select("id", F.explode("bands").alias("key"))
+    signed = stored(slim.mapInArrow(_signatures, "doc_id bigint, sha binary, n bigint, bands array<bigint>, sketch binary"), "signatures")
+    # One row for each text, numbered; the number is kept in the written table, so it's the same ever after.
+    one = signed.where("n > 0").groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = stored(one.select(F.monotonically_increasing_id().alias("id"), "*"), "classes")
+    rows = classes.select("id", F.posexplode("bands").alias("band", "key"))
     # Most buckets have one member; the two ends of the others are joined back to their members.
     ends = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members")).where("low != high")
     members = stored(rows.join(ends.select("key", "low", "high", (F.col("members") > 3).alias("many")), "key"), "members")
-    sketches = signs.select("id", "n", "sketch").dropDuplicates(["id"])
-    # Texts of classes that share a bucket, found by doc_id and told apart by their set.
-    shared = members.select("id").distinct().join(classes, "id").select("id", F.col("doc_id").alias("first"), "s0", "s1")
-    texts = stored(slim.join(shared, F.col("doc_id").eqNullSafe(F.col("first"))).select("id", "s0", "s1", "text").mapInArrow(_own, "id bigint, text string").dropDuplicates(["id"]), "texts")
+    sketches = classes.select("id", "n", "sketch")
+    # Of each class that shares a bucket, the text of one document that has it.
+    shared = members.select("id").distinct().join(classes, "id").select("id", F.col("doc_id").alias("first"), F.col("sha").alias("own"))
+    texts = stored(slim.join(shared, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("sha") == F.col("own"))).select("id", "text").dropDuplicates(["id"]), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = sketches.toDF("a", "na", "ka")
@@ -255,23 +257,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return full.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint")
 
     def survivors(cells: DataFrame, every: bool) -> DataFrame:
-        return cells.join(sketches, "id").repartition(parts, "key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(_across(every), "a bigint, b bigint")
+        place = ["key", "row", "column"]
+        return cells.join(sketches, "id").repartition(parts, *place).sortWithinPartitions(*place).mapInArrow(_across(every), "a bigint, b bigint, stray bigint, weight bigint")
 
     found = linked_components(members, verify, survivors)
-    named = classes.join(found, "id", "left").select("s0", "s1", "doc_id", F.coalesce("component", "id").alias("component"))
+    named = classes.select("id", "sha", "doc_id").join(found, "id", "left").select("sha", "doc_id", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.join(least, "component").select("s0", "s1", "component_id")
-    out = signed.where("n > 0").select("doc_id", "hash", "n", "s0", "s1").join(by_set, ["s0", "s1"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "hash")
-    out = out.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "hash"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "hash")
-
-
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts whose set is the one that is looked for."""
-    for batch in in_slices(batches, "text", 1 << 20):
-        names = zip(batch.column("s0").to_pylist(), batch.column("s1").to_pylist())
-        own = pa.array([_identity(s) == name for s, name in zip(_sets(as_bytes(batch.column("text"))), names)], pa.bool_())
-        yield pa.record_batch({"id": batch.column("id"), "text": batch.column("text")}).filter(own)
+    by_text = named.join(least, "component").select("sha", "component_id")
+    out = signed.where("n > 0").select("doc_id", "sha", "n").join(by_text, "sha").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "sha")
+    out = out.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "sha"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), F.col("sha").alias("hash"))
 
 
 def op8_minhash_dedup(spark, sf_dir: str) -> DataFrame:

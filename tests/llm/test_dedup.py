@@ -194,23 +194,34 @@ def test_buckets_of_unlike_members(spark, monkeypatch):
         rows, out = cells.collect(), []
         for a in rows:
             for b in rows:
-                if (a.key, a.cell) == (b.key, b.cell) and a.id < b.id and a.component != b.component and (a.side != b.side or not any(x.side for x in rows if (x.key, x.cell) == (a.key, a.cell))):
-                    out.append((a.id, b.id))
-        return spark.createDataFrame(out, "a long, b long")
+                if (a.key, a.row, a.column) == (b.key, b.row, b.column) and a.asks and not b.asks and a.component != b.component:
+                    out.append((a.id, b.id, a.component, 1))
+        return spark.createDataFrame(out, "a long, b long, stray long, weight long")
 
     found = {r.id: r.component for r in links.linked_components(members, verify, survivors).collect()}
-    assert found == {i: i % 3 for i in range(30)} and real <= set(asked)
+    assert found == {i: i % 3 for i in range(30)} and real <= {tuple(sorted(x)) for x in asked}
 
 
-def test_joining_pairs():
-    import numpy as np
+@pytest.mark.parametrize("members", [3001, 30_010])
+def test_cells_are_linear_where_few_are_strays(spark, members):
+    bucket = spark.range(members).select(F.lit(7).cast("long").alias("key"), "id", F.lit(0).alias("low"), F.lit(members).alias("high"), F.lit(True).alias("many"))
+    found = spark.range(members - 2).select("id", F.lit(0).cast("long").alias("component"))
+    cells = links._cells(bucket, found)
+    assert cells.count() <= 1.1 * members + 2
+    each = cells.groupBy("key", "row", "column").count().agg(F.max("count")).first()[0]
+    assert each <= 1.3 * links.CELL + 2
+
 
-    likely = np.zeros((6, 6), np.int16)
-    for a, b, w in ((0, 1, 9), (1, 2, 8), (0, 2, 7), (3, 4, 5), (2, 3, 0)):
-        likely[a, b] = likely[b, a] = w
-    a, b = near_dedup._joining(likely, np.array([0, 1, 2, 3, 4, 5]))
-    assert {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist())} == {(0, 1), (1, 2), (3, 4)}
-    assert not len(near_dedup._joining(likely, np.zeros(6, int))[0])
+def test_shingles_in_common():
+    rng = random.Random(5)
+    for _ in range(300):
+        x = [rng.choice("abc") for _ in range(rng.randint(0, 30))]
+        y = list(x)
+        for _ in range(rng.randint(0, 4)):
+            y.insert(rng.randint(0, len(y)), rng.choice("abcd"))
+        x, y = " ".join(x), " ".join(y[rng.randint(0, 2) :])
+        a, b = shingles(x), shingles(y)
+        assert near_dedup.in_common(x.encode(), y.encode()) == (len(a & b), len(a | b))
 
 
 def test_components(spark):
