@@ -6,8 +6,10 @@ chunk's logit, and the mean logit of all chunks through a calibrated sigmoid to
 Filters are tables of a weight for each byte at each place; two places are folded into one table of
 byte pairs, so an answer is a sum of WIDTH / 2 rows.
 
-It is fitted on the driver, on a sample of labelled documents that is bounded by MOST_LABELLED and
-CHUNKS_EACH. Scoring is one narrow stage over whole texts, with the tables (a few MB) broadcast.
+It is fitted on the driver, on all chunks of a sample of labelled documents that is bounded by MOST_LABELLED rows
+and MOST_BYTES of their whole texts; one document of CALIBRATED isn't fitted on, but calibrated on.
+Scoring is one narrow stage over whole texts, with the tables (a few MB) broadcast. A text's score depends on its own
+bytes alone: the bytes after its end are zeros, whatever text comes next in the batch.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, by_place, held_out, in_slices, pick, position, small_batches, table
+from ._common import as_bytes, by_place, held_out, in_slices, pick, position, small_batches, stored, table
 from .labelled import calibrated, sample_of, texts_of
 
 #: Bytes of a filter, even; filters.
@@ -29,9 +31,14 @@ WIDTH, FILTERS = 6, 24
 #: A chunk is BLOCKS blocks of BLOCK bytes; it shares one block with the next.
 BLOCK, BLOCKS = 128, 4
 CHUNK, STEP = BLOCK * BLOCKS, BLOCK * (BLOCKS - 1)
-#: Of the sample that the model is fitted on: documents with each label, and chunks of each document.
-MOST_LABELLED, CHUNKS_EACH = 3000, 6
-EPOCHS, BATCH, RATE = 6, 64, 0.004
+#: The sample of labelled rows that the model is made of: documents with each label at most, and bytes of all their texts
+#: (those whose hashed ids are smallest, each whole).
+MOST_LABELLED, MOST_BYTES = 3000, 32 << 20
+#: Of so many documents of the sample one is for calibration.
+CALIBRATED = 5
+#: Chunks that are looked at in all epochs together, about; epochs at least and at most.
+VISITS, EPOCHS = 240_000, (3, 40)
+BATCH, RATE = 64, 0.004
 THRESHOLD = 0.7
 #: The held-out fold of labels: crc32(doc_id) mod FOLDS = FOLD.
 FOLDS, FOLD = 4, 2
@@ -69,17 +76,18 @@ class ByteConv:
         t = self.tables
         return np.stack([(t[2 * k][None, :, :] + t[2 * k + 1][:, None, :]).reshape(1 << 16, FILTERS) for k in range(WIDTH // 2)])
 
-    def fit(self, chunks: np.ndarray, labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
-        """chunks: n x (CHUNK + WIDTH - 1) bytes. By Adam; only the place of each filter's largest answer has a gradient."""
+    def fit(self, raw: np.ndarray, starts: np.ndarray, labels: np.ndarray, weights: np.ndarray, epochs: int, seed: int = 11) -> None:
+        """A chunk is the CHUNK + WIDTH - 1 bytes of raw from its start. By Adam; only the place of each filter's largest answer has a gradient."""
         rng, step = np.random.default_rng(seed), 0
+        within = np.arange(CHUNK + WIDTH - 1)
         params = [self.tables, self.bias, self.dense, np.zeros(1, np.float32)]
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
         for epoch in range(epochs):
-            order = rng.permutation(len(chunks))
+            order = rng.permutation(len(starts))
             rate = RATE * (1 - 0.8 * epoch / epochs)
             for i in range(0, len(order), BATCH):
                 at = order[i : i + BATCH]
-                x, y, w = chunks[at], labels[at], weights[at]
+                x, y, w = raw[starts[at][:, None] + within], labels[at], weights[at]
                 answers = sum(self.tables[j][x[:, j : j + CHUNK]] for j in range(WIDTH)) + self.bias
                 where = answers.argmax(1)
                 top = np.take_along_axis(answers, where[:, None, :], 1)[:, 0]
@@ -108,18 +116,20 @@ class Scorer:
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """Mean chunk logit of each text."""
-        lengths = [max(1, -(-len(t) // BLOCK)) for t in texts]
-        raw = b"".join(t + b"\0" * (n * BLOCK - len(t)) for t, n in zip(texts, lengths)) + b"\0" * WIDTH
+        lengths = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
+        raw = b"".join(t + b"\0" * (n * BLOCK - len(t) + WIDTH) for t, n in zip(texts, lengths.tolist()))
         firsts = np.concatenate([[0], np.cumsum(lengths)])
         two = np.ndarray((len(raw) - 1,), "<u2", raw, strides=(1,))
-        blocks = np.empty((firsts[-1], FILTERS), np.float32)
+        # Where each block's windows begin: texts stand WIDTH bytes apart, so no window reaches into another text.
+        starts = np.arange(firsts[-1]) * BLOCK + np.repeat(np.arange(len(texts)), lengths) * WIDTH
+        blocks = np.empty((len(starts), FILTERS), np.float32)
         step = SLICE // BLOCK
         for i in range(0, len(blocks), step):
-            n = min(step, len(blocks) - i) * BLOCK
-            answers = self.pairs[0].take(two[i * BLOCK : i * BLOCK + n], axis=0)
+            at = (starts[i : i + step, None] + np.arange(BLOCK)).ravel()
+            answers = self.pairs[0].take(two[at], axis=0)
             for k in range(1, WIDTH // 2):
-                answers += self.pairs[k].take(two[i * BLOCK + 2 * k : i * BLOCK + 2 * k + n], axis=0)
-            blocks[i : i + n // BLOCK] = answers.reshape(-1, BLOCK, FILTERS).max(1)
+                answers += self.pairs[k].take(two[at + 2 * k], axis=0)
+            blocks[i : i + step] = answers.reshape(-1, BLOCK, FILTERS).max(1)
         out = np.empty(len(texts))
         for d in range(len(texts)):
             own = blocks[firsts[d] : firsts[d + 1]]
@@ -132,43 +142,47 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.scale * self.logits(texts) + self.model.shift, -40, 40)))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD) -> ByteConv:
-    """A model of labels.quality, from at most most_labelled documents with each label outside the held-out fold.
+def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD, most_bytes: int = MOST_BYTES) -> ByteConv:
+    """A model of labels.quality, from at most most_labelled documents with each label and most_bytes of text outside the held-out fold.
 
-    Without labels of both kinds it gives every text one probability, (ones + 1) / (labels + 2).
+    Without labels of both kinds it gives every text one probability, (ones + 1) / (labels + 2). A null
+    text is empty; of rows that repeat a doc_id the smallest text counts.
     """
     small_batches(docs.sparkSession)
     sample, counts = sample_of(labels, "quality", most_labelled, folds, fold)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text in as_bytes(batch.column("text")):
-                starts = chunk_starts(len(text))
-                some = sorted({starts[round(k * (len(starts) - 1) / max(1, CHUNKS_EACH - 1))] for k in range(CHUNKS_EACH)})
-                out.append([text[s : s + CHUNK + WIDTH - 1].ljust(CHUNK + WIDTH - 1, b"\0") for s in some])
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "chunks": pa.array(out, pa.list_(pa.binary()))})
-
-    found = texts_of(docs, sample).select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(cut, "doc_id bigint, label int, chunks array<binary>")
-    rows = sorted(found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("chunks").alias("chunks")).collect(), key=lambda r: r.doc_id)
-    if len({r.label for r in rows}) < 2:
-        return ByteConv.constant((sum(r.label for r in rows) + 1) / (len(rows) + 2))
+    found = texts_of(docs, sample).groupBy("doc_id").agg(F.min("label").alias("label"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    found = stored(found.select("doc_id", "label", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"), "text"), "quality-sample")
+    # Rows of the sample, whose number is bounded; then their texts, whose bytes are.
+    rows = sorted(found.select("doc_id", "label", "hash", "size").collect(), key=lambda r: (r.hash, r.doc_id))
+    rows = [r for r, total in zip(rows, np.cumsum([r["size"] for r in rows]).tolist()) if total <= most_bytes]
+    there = np.bincount(np.array([r.label for r in rows], int), minlength=2)
+    if not there.all():
+        return ByteConv.constant((counts[1] + 1) / (counts[0] + counts[1] + 2))
+    last = F.struct(F.lit(rows[-1]["hash"]).alias("hash"), F.lit(rows[-1].doc_id).alias("doc_id"))
+    text_of = {r.doc_id: r.text.encode() for r in found.where(F.struct("hash", "doc_id") <= last).select("doc_id", "text").toLocalIterator()}
+    texts, y = [text_of.pop(r.doc_id) for r in rows], np.array([r.label for r in rows], float)
+    # Every so many documents of each label are kept for calibration, if there are enough.
+    order = np.concatenate([np.arange((y == k).sum()) for k in (0, 1)])[np.argsort(np.argsort(y, kind="stable"), kind="stable")]
+    kept = order % CALIBRATED == CALIBRATED - 1 if there.min() >= CALIBRATED else np.zeros(len(y), bool)
     model = ByteConv.fresh()
-    of = np.concatenate([np.full(len(r.chunks), i) for i, r in enumerate(rows)])
-    chunks = np.frombuffer(b"".join(bytes(x) for r in rows for x in r.chunks), np.uint8).reshape(len(of), -1)
-    y = np.array([r.label for r in rows], float)
+    fitted = np.flatnonzero(~kept)
+    padded = [texts[i] + b"\0" * (chunk_starts(len(texts[i]))[-1] + CHUNK + WIDTH - 1 - len(texts[i])) for i in fitted]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in padded])])
+    chunks = [chunk_starts(len(texts[i])) for i in fitted]
+    of = np.repeat(np.arange(len(fitted)), [len(x) for x in chunks])
+    starts = np.concatenate(chunks) + bounds[of]
     # Documents with few chunks weigh as much as others, and both labels as much in fitting the filters.
-    each = 1 / np.bincount(of)[of]
-    half = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    weights = each * half[of]
-    epochs = max(EPOCHS, min(40, 60_000 // len(chunks)))
-    model.fit(chunks, y[of], (weights / weights.mean()).astype(np.float32), epochs)
-    x = np.bincount(of, each * Scorer(model).logits([c.tobytes()[:CHUNK] for c in chunks]))
-    # The sample is cut at as many of each label; the probability is that among all labels.
-    there = np.bincount(y.astype(int), minlength=2)
-    real = np.array([counts[0] / there[0], counts[1] / there[1]])
-    w = real[y.astype(int)]
-    model.scale, model.shift = calibrated(x, y, w / w.mean())
+    own = y[fitted]
+    weights = (np.where(own == 1, 0.5 / own.mean(), 0.5 / (1 - own.mean())))[of] / np.bincount(of)[of]
+    epochs = max(EPOCHS[0], min(EPOCHS[1], VISITS // len(starts)))
+    model.fit(np.frombuffer(b"".join(padded), np.uint8), starts, own[of], (weights / weights.mean()).astype(np.float32), epochs)
+    # Calibrated on what is scored: whole texts, that weren't fitted on. The sample is cut at as many of each label;
+    # the probability is that among all labels.
+    at = np.flatnonzero(kept) if kept.any() else np.arange(len(y))
+    scorer = Scorer(model)
+    x = np.concatenate([scorer.logits([texts[i] for i in at[k : k + 200]]) for k in range(0, len(at), 200)])
+    w = np.array([counts[k] / (y[at] == k).sum() for k in (0, 1)])[y[at].astype(int)]
+    model.scale, model.shift = calibrated(x, y[at], w / w.mean())
     return model
 
 

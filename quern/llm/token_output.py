@@ -40,6 +40,8 @@ END_ID = 2
 #: Numbers in a shard file, about: a task cuts its documents into several files beyond that.
 SHARD_NUMBERS = 4_000_000
 
+_COUNTED = "doc_id bigint, ids binary, id array<bigint>, n array<bigint>"
+
 #: Of each control byte, the lengths of its four numbers.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -73,21 +75,25 @@ def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def encode_texts(docs: DataFrame, tokenizer: str, white_space: str = "drop", end_id: int = END_ID, narrow: bool = False) -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer: str, white_space: str = "drop", end_id: int = END_ID, counted: bool = False) -> DataFrame:
     """(doc_id, text) to (doc_id, ids): the text's ids and end_id, as little-endian unsigned 32-bit bytes. A null text is empty.
 
-    narrow: ids as write_token_files stores them, with a width in front and 2 bytes each where that is enough.
+    counted: as write_token_files stores them, with their counts, so that it need not read them once more.
     """
     small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
         ids = ids_by(tokenizer, white_space)
         for batch in in_slices(batches, "text"):
-            found = ids.of(as_bytes(batch.column("text")))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array([_narrowed(x + end) if narrow else x + end for x in found], pa.binary())})
+            yield batch.column("doc_id"), [x + end for x in ids.of(as_bytes(batch.column("text")))]
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_id, found in encoded(batches):
+            yield pa.record_batch({"doc_id": doc_id, "ids": pa.array(found, pa.binary())})
 
-    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id bigint, ids binary")
+    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    return slim.mapInArrow(lambda x: _counted(encoded(x)), _COUNTED) if counted else slim.mapInArrow(plain, "doc_id bigint, ids binary")
 
 
 def _narrowed(x: bytes) -> bytes:
@@ -96,38 +102,38 @@ def _narrowed(x: bytes) -> bytes:
     return b"\2" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 1 << 16 else b"\4" + x
 
 
-def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array([_narrowed(x) for x in batch.column("ids").to_pylist()], pa.binary())})
-
-
 def _wide(x: bytes) -> np.ndarray:
     return np.frombuffer(x, "<u2" if x[0] == 2 else "<u4", offset=1).astype(np.uint32)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often this task's ids occur: one row for each id it met."""
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for x in batch.column("ids").to_pylist():
-            found = np.bincount(_wide(x))
-            if len(found) > len(total):
-                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-            total[: len(found)] += found
+def _counted(documents: Iterator[tuple[pa.Array, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+    """Documents' ids, narrowed, and after them one row of the task's counts: the ids it met, and how often."""
+    total, longs = np.zeros(1 << 16, np.int64), pa.list_(pa.int64())
+    for doc_id, found in documents:
+        counts = np.bincount(np.frombuffer(b"".join(found), "<u4"), minlength=len(total))
+        counts[: len(total)] += total
+        total = counts
+        none = pa.nulls(len(found), longs)
+        yield pa.record_batch({"doc_id": doc_id, "ids": pa.array([_narrowed(x) for x in found], pa.binary()), "id": none, "n": none})
     at = np.flatnonzero(total)
-    yield pa.record_batch({"id": pa.array(at), "n": pa.array(total[at])})
+    yield pa.record_batch({"doc_id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "id": pa.array([at], longs), "n": pa.array([total[at]], longs)})
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _counted((b.column("doc_id"), b.column("ids").to_pylist()) for b in batches)
 
 
-def write_token_files(encoded: DataFrame, folder: str, narrow: bool = False) -> DataFrame:
-    """(doc_id, ids) to shard files in folder; the index: shard, part, path, documents, numbers. narrow: as of encode_texts.
+def write_token_files(encoded: DataFrame, folder: str, counted: bool = False) -> DataFrame:
+    """(doc_id, ids) to shard files in folder; the index: shard, part, path, documents, numbers. counted: as of encode_texts.
 
-    encoded is stored first, as its ids are counted and then written. Documents are in ascending
+    encoded is stored and counted first, and written when all counts are known. A file's name holds its task's attempt, so one that is
+    late or repeated replaces nothing: the index names the files that count. Documents are in ascending
     doc_id, null first; of equal ones the order is by their ids. An empty table writes no shard.
     """
     spark = encoded.sparkSession
-    kept = stored(encoded if narrow else encoded.mapInArrow(_narrow, "doc_id bigint, ids binary"), "ids")
+    kept = stored(encoded if counted else encoded.select("doc_id", "ids").mapInArrow(_count, _COUNTED), "ids")
     # As many rows as the vocabulary has ids: bounded by the tokenizer.
-    counts = kept.mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = kept.where("id is not null").select(F.explode(F.arrays_zip("id", "n")).alias("c")).groupBy("c.id").agg(F.sum("c.n").alias("n")).collect()
     by_rank = np.array([r.id for r in sorted(counts, key=lambda r: (-r.n, r.id))], "<u4")
     with new_file(f"{folder}/ranks") as out:
         out.write(by_rank.tobytes())
@@ -136,10 +142,10 @@ def write_token_files(encoded: DataFrame, folder: str, narrow: bool = False) ->
     shared = spark.sparkContext.broadcast(rank_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, part, ids, numbers, size = TaskContext.get().partitionId(), 0, [], [], 0
+        shard, attempt, part, ids, numbers, size = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/shard-{shard:06d}-{part:06d}"
+            path = f"{folder}/shard-{shard:06d}-{part:06d}-{attempt}"
             control, data = encode_numbers(shared.value[np.concatenate(numbers)])
             with new_file(path) as out:
                 out.write(MAGIC + np.array([len(ids), size, len(control), len(data)], "<u8").tobytes())
@@ -160,15 +166,18 @@ def write_token_files(encoded: DataFrame, folder: str, narrow: bool = False) ->
         if ids:
             yield flush()
 
-    ordered = kept.repartitionByRange(shuffle_partitions(spark), "doc_id", F.crc32("ids")).sortWithinPartitions("doc_id", F.crc32("ids"))
+    ordered = kept.where("ids is not null").select("doc_id", "ids").repartitionByRange(shuffle_partitions(spark), "doc_id", F.crc32("ids")).sortWithinPartitions("doc_id", F.crc32("ids"))
     return stored(ordered.mapInArrow(run, "shard bigint, part bigint, path string, documents bigint, numbers bigint"), "token-index")
 
 
 def read_token_files(index: DataFrame, folder: str) -> DataFrame:
     """Every document of the shards that index lists: doc_id, start (numbers of all documents before it), ids."""
     spark = index.sparkSession
-    # The index has a row for each shard file, millions of numbers each.
-    totals = index.select("shard", "part", "path", F.coalesce(F.sum("numbers").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    # The one window without a partition has a row for each partition of the writing shuffle.
+    before = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shards = index.groupBy("shard").agg(F.sum("numbers").alias("all")).select("shard", before("all", Window.orderBy("shard")).alias("base"))
+    own = index.select("shard", "path", before("numbers", Window.partitionBy("shard").orderBy("part")).alias("own"))
+    totals = own.join(shards, "shard").select("path", (F.col("base") + F.col("own")).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_rank = None
@@ -216,5 +225,5 @@ def op4_token_output(spark, sf_dir: str, tokenizer: str | None = None) -> DataFr
     import public_tokenizers
 
     folder = scratch(spark, "tokens")
-    encoded = encode_texts(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"), narrow=True)
-    return digest(read_token_files(write_token_files(encoded, folder, narrow=True), folder))
+    encoded = encode_texts(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"), counted=True)
+    return digest(read_token_files(write_token_files(encoded, folder, counted=True), folder))

@@ -8,9 +8,12 @@ the library. Two ways of cutting:
 - lead: white space before a word belongs to it (byte-level vocabularies): cut before each such run.
 
 Both also cut between ASCII punctuation and the letters around it, in texts where that is sure to be a
-split: those without apostrophes (contractions) and without characters beyond ASCII other than Latin-1
-letters. A text with white space on which libraries differ goes to the library whole. What comes out is
-always the library's own ids of the whole text.
+split: those without apostrophes (contractions), without runs of white space, and without characters beyond ASCII
+other than Latin-1 letters. A text with white space on which libraries differ, or with a string that is a special token, goes to the
+library whole. What comes out is always the library's own ids of the whole text.
+
+Texts of a batch lie end to end in one byte array, and numpy finds the pieces, looks them up and gathers
+their ids; there is no Python loop over pieces. A piece of up to 16 bytes is its own key, so nothing rests on a hash.
 """
 
 from __future__ import annotations
@@ -21,35 +24,97 @@ import zlib
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Remembered pieces in each of two generations; the older one is dropped when the younger is full.
-REMEMBERED = 300_000
-#: Longer pieces aren't remembered.
-LONG = 64
+from .words import MASKS, mixed
+
+#: Remembered pieces, and ids of them; beyond that a worker begins anew.
+REMEMBERED, HELD_IDS = 1 << 20, 1 << 24
 #: Pieces that are sent to the library as one text.
 TOGETHER = 512
+#: Bytes that raise no question: ASCII letters, digits and marks other than the apostrophe, the space and the line end.
+_SAFE = bytes(c for c in range(32, 127) if c != ord("'")) + b"\n"
 #: UTF-8 of white space outside ASCII, and ASCII controls that only some libraries count as such.
-_ODD = [b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
-_ODD_2 = re.compile(rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
-_LEAD = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-#: What makes cuts at punctuation unsure: an apostrophe, or a character that is neither ASCII nor a Latin-1 letter.
-_UNSURE = re.compile(rb"['\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+_ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x81\x9f|\xe3\x80\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
+#: What makes cuts at punctuation unsure: a control, an apostrophe, or a character that is neither ASCII nor a Latin-1 letter.
+_UNSURE = re.compile(rb"[\x00-\x09\x0b-\x1f\x7f'\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+_RUNS = (b"  ", b"\n\n", b" \n", b"\n ")
 _LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
 _MARKS = rb"[!-&(-/:-@\[-`{-~]+"
-_PUNCTUATION = re.compile(_MARKS)
-#: White space in runs, or of other kinds than a space and a line end, or the separator itself.
-_RUNS = re.compile(rb"[ \n][ \n]|[\t\r\x0b\x0c\0]")
-
-
-def cut_drop(text: bytes) -> list[bytes]:
-    return (text if _UNSURE.search(text) else _PUNCTUATION.sub(rb" \g<0> ", text)).split()
-
+#: Classes of bytes: white space, ASCII marks, others.
+_SPACE, _MARK, _OTHER = range(3)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[c for c in range(33, 127) if not chr(c).isalnum()]] = _MARK
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_NO_MARKS = np.where(_CLASS == _SPACE, _SPACE, _OTHER).astype(np.uint8)
+
+
+class Table:
+    """Pairs of 64-bit keys to numbers: open addressing, for arrays of keys at once."""
+
+    def __init__(self, size: int = 1 << 16) -> None:
+        self.a, self.b, self.number, self.n = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, -1, np.int32), 0
+
+    def _slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (mixed(a ^ (b * np.uint64(0x9E3779B97F4A7C15))) & np.uint64(len(self.a) - 1)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 if it isn't there."""
+        slot = self._slot(a, b)
+        out = self.number[slot]
+        left = np.flatnonzero((out >= 0) & ((self.a[slot] != a) | (self.b[slot] != b)))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.a) - 1)
+            got = self.number[slot]
+            out[left] = got
+            go = (got >= 0) & ((self.a[slot] != a[left]) | (self.b[slot] != b[left]))
+            left, slot = left[go], slot[go]
+        return out
 
-def cut_lead(text: bytes) -> list[bytes]:
-    if _RUNS.search(text) or _UNSURE.search(text):
-        return _LEAD.findall(text)
-    marked = _PUNCTUATION.sub(b"\0\\g<0>\0", text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n"))
-    # White space before punctuation stays with it.
-    return [x for x in marked.replace(b" \0", b" ").replace(b"\n\0", b"\n").split(b"\0") if x]
+    def add(self, a: np.ndarray, b: np.ndarray, number: np.ndarray) -> None:
+        """Different keys that aren't there yet."""
+        if 2 * (self.n + len(a)) > len(self.a):
+            at, size = np.flatnonzero(self.number >= 0), len(self.a)
+            while 2 * (self.n + len(a)) > size:
+                size *= 4
+            a, b, number = (np.concatenate(x) for x in ((self.a[at], a), (self.b[at], b), (self.number[at], number)))
+            self.__init__(size)
+        self.n += len(a)
+        slot, left = self._slot(a, b), np.arange(len(a))
+        while len(left):
+            free = left[self.number[slot[left]] < 0]
+            self.number[slot[free]] = number[free]  # one of those that want a place has it
+            free = free[self.number[slot[free]] == number[free]]
+            self.a[slot[free]], self.b[slot[free]] = a[free], b[free]
+            left = left[self.number[slot[left]] != number[left]]
+            slot[left] = (slot[left] + 1) & (len(self.a) - 1)
+
+
+class Pieces:
+    """Where texts that lie end to end are cut."""
+
+    def __init__(self, texts: list[bytes], leads: bool, marks: bool) -> None:
+        self.data = b"".join(texts) + b"\0" * 16
+        kind = (_CLASS if marks else _NO_MARKS)[np.frombuffer(self.data, np.uint8)[:-16]]
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        cut = np.empty(len(kind), bool)
+        # Where the class changes; if white space leads, not between it and what follows.
+        cut[1:] = kind[1:] != kind[:-1]
+        if leads:
+            cut[1:] &= kind[:-1] != _SPACE
+        cut[bounds[:-1][bounds[:-1] < len(kind)]] = True
+        start = np.flatnonzero(cut)
+        length = np.diff(np.append(start, len(kind)))
+        if not leads:
+            own = kind[start] != _SPACE
+            start, length = start[own], length[own]
+        self.start, self.length = start, length
+        self.first = np.searchsorted(start, bounds)
+        eight = np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,))
+        self.a = eight[start] & MASKS[np.minimum(length, 8)]
+        self.b = eight[start + 8] & MASKS[np.clip(length - 8, 0, 8)]
+
+    def bytes_of(self, at: np.ndarray) -> list[bytes]:
+        return [self.data[s : s + n] for s, n in zip(self.start[at].tolist(), self.length[at].tolist())]
 
 
 class Ids:
@@ -61,64 +126,106 @@ class Ids:
         self.tokenizer = t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = cut_drop if white_space == "drop" else cut_lead
+        self.leads = white_space == "lead"
         #: Whether the tokenizer lower-cases its text itself, so that doing it for A-Z before changes nothing.
-        self.lower = white_space == "drop" and "Lowercase" in str(t.normalizer)
+        self.lower = not self.leads and "Lowercase" in str(t.normalizer)
+        #: Strings that the library takes for one token wherever they stand.
+        self.special = [x.content.encode() for x in t.get_added_tokens_decoder().values()]
         # Ids that end a split (drop), or begin one (lead): they tell apart pieces that were encoded together.
         vocabulary, suffix = t.get_vocab(), getattr(t.model, "end_of_word_suffix", None)
         self.border = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
-            self.border[i] = token.startswith("\u0120") if white_space == "lead" else bool(suffix) and token.endswith(suffix)
-        self.leads = white_space == "lead"
+            self.border[i] = token.startswith("Ġ") if self.leads else bool(suffix) and token.endswith(suffix)
         self.plain = re.compile(b"%s(?:%s|%s)" % (b" " if self.leads else b"", _LETTERS, _MARKS))
-        self.young: dict[bytes, bytes] = {b"": b""}
-        self.old: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table, self.long = Table(), {}
+        #: The ids of all remembered pieces; of each piece, where its ids begin and how many they are.
+        self.pool, self.begin, self.count = np.empty(1 << 16, "<u4"), np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.used = self.known = 0
 
-    def _library(self, pieces: list[bytes]) -> list[bytes]:
+    def _library(self, pieces: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([x.decode() for x in pieces], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, "<u4") for x in found]
 
-    def _together(self, pieces: list[bytes]) -> list[bytes]:
+    def _together(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Pieces that are one split each, encoded as one text; one by one if their borders don't tell them apart."""
         found = self.tokenizer.encode_batch_fast([(b"" if self.leads else b" ").join(pieces).decode()], add_special_tokens=False)[0]
         ids = np.array(found.ids, "<u4")
         at = np.flatnonzero(self.border[ids])
         if len(at) != len(pieces) or self.leads and at[0] != 0 or not self.leads and at[-1] != len(ids) - 1:
             return self._library(pieces)
-        raw, ends = ids.tobytes(), (4 * (np.append(at[1:], len(ids)) if self.leads else at + 1)).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-
-    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        out, plain, other = {}, [], []
-        for x in pieces:
-            (plain if self.plain.fullmatch(x) else other).append(x)
-        for i in range(0, len(plain), TOGETHER):
-            part = plain[i : i + TOGETHER]
-            out.update(zip(part, self._together(part)))
-        for i in range(0, len(other), 4096):
-            part = other[i : i + 4096]
-            out.update(zip(part, self._library(part)))
-        return out
+        ends = (np.append(at[1:], len(ids)) if self.leads else at + 1).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
+        """The numbers of pieces that aren't remembered yet, from now on."""
+        found: list = [None] * len(pieces)
+        plain, other = [], []
+        for i, x in enumerate(pieces):
+            (plain if self.plain.fullmatch(x) else other).append(i)
+        for some, most, encode in ((plain, TOGETHER, self._together), (other, 4096, self._library)):
+            for k in range(0, len(some), most):
+                at = some[k : k + most]
+                for i, ids in zip(at, encode([pieces[i] for i in at])):
+                    found[i] = ids
+        counts = np.array([len(x) for x in found], np.int64)
+        numbers = np.arange(self.known, self.known + len(pieces))
+        new = np.concatenate(found) if found else np.empty(0, "<u4")
+        self.pool, self.begin, self.count = (_roomy(x, n) for x, n in ((self.pool, self.used + len(new)), (self.begin, self.known + len(pieces)), (self.count, self.known + len(pieces))))
+        self.pool[self.used : self.used + len(new)] = new
+        self.begin[numbers], self.count[numbers] = self.used + np.cumsum(counts) - counts, counts
+        self.used, self.known = self.used + len(new), self.known + len(pieces)
+        return numbers
+
+    def _cut(self, texts: list[bytes], marks: bool) -> list[bytes]:
+        """Texts by their pieces."""
+        pieces = Pieces(texts, self.leads, marks)
+        number = self.table.find(pieces.a, pieces.b)
+        long = np.flatnonzero(pieces.length > 16)
+        number[long] = -1
+        new = np.flatnonzero((number < 0) & (pieces.length <= 16))
+        if len(new):
+            _, one = np.unique(np.stack([pieces.a[new], pieces.b[new]], 1).view("V16").ravel(), return_index=True)
+            one = new[one]
+            self.table.add(pieces.a[one], pieces.b[one], self._learn(pieces.bytes_of(one)).astype(np.int32))
+            number[new] = self.table.find(pieces.a[new], pieces.b[new])
+        if len(long):
+            words = pieces.bytes_of(long)
+            unknown = [x for x in dict.fromkeys(words) if x not in self.long]
+            self.long.update(zip(unknown, self._learn(unknown).tolist()))
+            number[long] = [self.long[x] for x in words]
+        counts = self.count[number]
+        ends = np.cumsum(counts)
+        ids = self.pool[np.repeat(self.begin[number] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[pieces.first].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        if self.lower:
-            texts = [t.lower() for t in texts]
-        cut = [None if any(x in t for x in _ODD) or _ODD_2.search(t) else self.cut(t) for t in texts]
-        seen = set().union(*(x for x in cut if x is not None))
-        # What this batch needs stays at hand even if a generation turns over meanwhile.
-        young, old = self.young, self.old
-        new = seen.difference(young)
-        held = {x: old[x] for x in new.intersection(old)} if old else {}
-        learnt = self._learn([x for x in new if x not in held])
-        long = {x for x in learnt if len(x) > LONG}
-        if len(young) + len(new) > REMEMBERED:
-            self.young, self.old = {b"": b""}, young
-        self.young.update(held)
-        self.young.update((x, y) for x, y in learnt.items() if x not in long)
-        known = young if self.young is young and not long else {**{x: young[x] for x in seen.intersection(young)}, **held, **learnt}
-        get = known.__getitem__
-        return [self._library([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, cut)]
+        if self.known > REMEMBERED or self.used > HELD_IDS:
+            self._forget()
+        out: list[bytes] = [b""] * len(texts)
+        groups: tuple[list[int], ...] = ([], [], [])
+        lower = [t.lower() for t in texts] if self.lower else texts
+        for i, t in enumerate(lower):
+            odd = t.translate(None, _SAFE)
+            if any(x in t for x in self.special) or odd and _ODD.search(odd):
+                groups[2].append(i)
+            else:
+                groups[bool(odd and _UNSURE.search(odd)) or self.leads and any(x in t for x in _RUNS)].append(i)
+        for k, at in enumerate(groups[:2]):
+            if at:
+                for i, x in zip(at, self._cut([lower[i] for i in at], k == 0)):
+                    out[i] = x
+        for i in groups[2]:
+            out[i] = self._library([texts[i]])[0].tobytes()
+        return out
+
+
+def _roomy(x: np.ndarray, n: int) -> np.ndarray:
+    """x with room for n, and as much again if it has to grow."""
+    return x if n <= len(x) else np.concatenate([x, np.empty(2 * n - len(x), x.dtype)])
 
 
 _MADE: dict[tuple[str, str], Ids] = {}

@@ -10,7 +10,8 @@ the others are revisit records, which name that response and have no payload.
 
 Scale. Digests are made where pages are read. The smallest page_id of each digest is found by partial
 sums in each task, and joined back by digest, which the adaptive planner splits where one payload is
-hot. Archives are written by each task, in files of about FILE_BYTES. Reads are dealt by ranges of the
+hot. Archives are written by each task, in files of about FILE_BYTES, whose names hold the task's attempt: a repeated or
+late attempt replaces no file, and the index names those that count. Reads are dealt by ranges of the
 index, so a long archive is read by many tasks.
 """
 
@@ -128,10 +129,10 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
     keyed = slim.withColumn("sha", F.sha1(payload)).join(again, F.col("page_id").eqNullSafe(F.col("pid")) & (F.col("sha") == F.col("again")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, held, rows, at = TaskContext.get().partitionId(), 0, [], [], 0
+        task, attempt, number, held, rows, at = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/pages-{task:06d}-{number:06d}.warc.gz"
+            path = f"{folder}/pages-{task:06d}-{number:06d}-{attempt}.warc.gz"
             with new_file(path) as out:
                 for x in held:
                     out.write(x)

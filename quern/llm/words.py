@@ -10,7 +10,8 @@ import numpy as np
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _31, _29, _32 = np.uint64(31), np.uint64(29), np.uint64(32)
-_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+#: Of n bytes, the first n of a little-endian number.
+MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 #: U+0020 and U+0009 to U+000D.
 WHITE_SPACE = np.zeros(256, bool)
@@ -52,17 +53,17 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """Of whole words. Words of up to 8 bytes never collide with others of their length."""
-        h = mixed((self._eight[self.start] & _MASK[np.minimum(self.length, 8)]) + self.length.astype(np.uint64) * _C2)
+        h = mixed((self._eight[self.start] & MASKS[np.minimum(self.length, 8)]) + self.length.astype(np.uint64) * _C2)
         at, done = np.flatnonzero(self.length > 8), 8
         while len(at):
             left = self.length[at] - done
-            h[at] = mixed((h[at] * _C1) ^ (self._eight[self.start[at] + done] & _MASK[np.minimum(left, 8)]))
+            h[at] = mixed((h[at] * _C1) ^ (self._eight[self.start[at] + done] & MASKS[np.minimum(left, 8)]))
             at, done = at[left > 8], done + 8
         return h
 
     def prefixes(self, n: int) -> np.ndarray:
         """Hashes of words' first n (up to 8) bytes, apart from those of whole words; 0 for words that aren't longer."""
-        h = mixed((self._eight[self.start] & _MASK[n]) ^ mixed(np.uint64([n]))[0])
+        h = mixed((self._eight[self.start] & MASKS[n]) ^ mixed(np.uint64([n]))[0])
         h[self.length <= n] = 0
         return h
 

@@ -103,10 +103,8 @@ def test_convolution_against_loops():
     texts = [b"", b"a", bytes(rng.integers(1, 256, 700, np.uint8)), bytes(rng.integers(1, 256, 2048, np.uint8)), b"end"]
     found = quality.Scorer(model).logits(texts)
     for t, x in zip(texts, found):
-        i = texts.index(t)
         n = max(1, -(-len(t) // quality.BLOCK)) * quality.BLOCK
-        after = (b"".join(y.ljust(max(1, -(-len(y) // quality.BLOCK)) * quality.BLOCK, b"\0") for y in texts[i + 1 :]) + b"\0" * 8)[: quality.WIDTH]
-        raw = t.ljust(n, b"\0") + after
+        raw = t.ljust(n, b"\0") + b"\0" * quality.WIDTH
         answers = np.array([sum(model.tables[j][raw[p + j]] for j in range(quality.WIDTH)) for p in range(n)])
         chunks = [answers[s : s + quality.CHUNK].max(0) for s in quality.chunk_starts(len(t))]
         wanted = np.mean([np.maximum(c + model.bias, 0) @ model.dense + model.offset for c in chunks])
@@ -115,6 +113,29 @@ def test_convolution_against_loops():
         assert set(range(len(t))) <= covered
 
 
+def test_quality_score_depends_on_the_text_alone(spark, corpus):
+    model = quality.ByteConv.fresh()
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(1, 256, n, np.uint8)) for n in (0, 1, 122, 123, 127, 128, 129, 511, 512, 4000, 100_000)]
+    scorer = quality.Scorer(model)
+    alone = [float(scorer.logits([t])[0]) for t in texts]
+    assert scorer.logits(texts).tolist() == alone and scorer.logits(texts[::-1]).tolist() == alone[::-1]
+    docs, labels = corpus
+    model = quality.fit_quality(docs, labels)
+    a, b = ({r.doc_id: r.p for r in quality.score_quality(docs.repartition(n), model, "p").collect()} for n in (2, 7))
+    assert a == b
+
+
+def test_quality_sample_is_bounded_by_bytes(spark, corpus):
+    docs, labels = corpus
+    few = quality.fit_quality(docs, labels, most_bytes=60_000)
+    scores = {r.p for r in quality.score_quality(docs, few, "p").collect()}
+    assert len(scores) > 100
+    assert len({r.p for r in quality.score_quality(docs, quality.fit_quality(docs, labels, most_bytes=0), "p").collect()}) == 1
+    assert quality.fit_quality(docs.where("false"), labels).scale == 0
+    assert quality.fit_quality(docs, labels.where("quality = 1")).scale == 0
+
+
 ODD = [(1, None), (2, ""), (2, ""), (None, "some text"), (3, "wörd " * 30_000), (4, " \n\t ")]
 
 

@@ -39,11 +39,10 @@ def corpus():
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda s: t.encode(s or "", add_special_tokens=False).ids
 
 
-ODD = st.lists(st.sampled_from([*"ab AB',.!1 \n\t\r\x1c\x85é×ß“́😀Ġ", "<|endoftext|>", "n't", "  "]), max_size=40).map("".join)
+ODD = st.lists(st.sampled_from([*"ab AB',.!1 \n\t\r\x1c\x85é×ß“́😀Ġ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "longer than sixteen".replace(" ", ""), "n't", "  "]), max_size=40).map("".join)
 
 
 @pytest.mark.parametrize(("path", "white_space"), [(WORD, "drop"), (BYTE, "lead")])
@@ -66,6 +65,16 @@ def test_ids_when_memory_turns_over(monkeypatch):
         assert ours.of([t.encode() for t in texts]) == [np.array(theirs(t), "<u4").tobytes() for t in texts]
 
 
+def test_table_of_keys():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 40, (60_000, 2), np.uint64) * np.uint64(1 << 20), axis=0)
+    table = tokenizing.Table(64)
+    for i in range(0, len(keys), 7000):
+        table.add(keys[i : i + 7000, 0], keys[i : i + 7000, 1], np.arange(i, min(len(keys), i + 7000), dtype=np.int32))
+    assert (table.find(keys[:, 0], keys[:, 1]) == np.arange(len(keys))).all()
+    assert (table.find(keys[:, 1], keys[:, 0])[keys[:, 0] != keys[:, 1]] == -1).all()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 70_000), st.integers(0, 2**32 - 1)), max_size=30))
 def test_variable_length_coding(numbers):
