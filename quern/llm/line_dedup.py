@@ -26,8 +26,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import by_place, pick, position, shuffle_partitions, small_batches, stored, table
-from .links import cell_starts, linked_components
+from ._common import by_place, pick, position, small_batches, stored, table
+from .links import Joined, by_cell, linked_components
 
 DISTANCE = 2
 LEAST_CHARS = 32
@@ -125,46 +125,25 @@ def bags(lines: list[str]) -> np.ndarray:
     return np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64) for x in lines]).astype(np.int32)
 
 
-def _across(distance: int):
-    """Members of cells with their lines, sorted by cell, to linked pairs that join different components."""
+def _settled(distance: int):
+    """A cell's members with their lines, to linked pairs that join different components."""
 
     def pairs(cell: pa.Table) -> pa.RecordBatch:
         ids, component, stray, asks = (cell.column(k).to_pylist() for k in ("id", "component", "stray", "asks"))
-        lines = cell.column("line").to_pylist()
+        lines, joined, out = cell.column("line").to_pylist(), Joined(component), []
         answers = np.array([i for i, x in enumerate(asks) if not x], np.int64)
         lengths, bag = np.array([len(x) for x in lines]), bags(lines)
-        out, root = [], {c: c for c in component}
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
         for i in (i for i, x in enumerate(asks) if x):
+            # What these exclude is further apart; what is left is compared in full.
             at = answers[np.abs(lengths[answers] - lengths[i]) <= distance]
             at = at[np.abs(bag[at] - bag[i]).sum(1) <= 2 * distance]
             for j in at.tolist():
-                if stray[j] and ids[j] <= ids[i]:
-                    continue
-                a, b = top(component[i]), top(component[j])
-                if a != b and within(lines[i], lines[j], distance):
-                    root[a] = b
-                    out.append((ids[i], ids[j], component[i], 1))
-        return pa.record_batch({k: pa.array([x[n] for x in out], pa.int64()) for n, k in enumerate(("a", "b", "stray", "weight"))})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            starts = cell_starts(held)
-            for a, b in zip(starts[:-1], starts[1:]):
-                yield pairs(held.slice(a, b - a))
-            held = held.slice(starts[-1])
-        if held is not None and held.num_rows:
-            yield pairs(held)
+                if not (stray[j] and ids[j] <= ids[i]) and joined.top(i) != joined.top(j) and within(lines[i], lines[j], distance):
+                    joined.join(i, j)
+                    out.append((ids[i], ids[j]))
+        return pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    return run
+    return pairs
 
 
 def line_hash(line: Column) -> Column:
@@ -187,9 +166,9 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     distinct = stored(long.select(F.monotonically_increasing_id().alias("id"), "hash", "line"), "distinct-lines")
     index = distinct.select("id", F.explode(index_keys(F.col("line"), distance)).alias("key"))
     ends = index.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members"))
-    probes = distinct.select("id", F.explode(F.array_distinct(probe_keys(F.col("line"), distance))).alias("key"))
+    probes = distinct.select("id", F.length("line").alias("size"), F.explode(F.array_distinct(probe_keys(F.col("line"), distance))).alias("key"))
     # A line finds itself; what finds nothing else is dropped in the join.
-    met = probes.join(ends, "key").where("low != id or high != id").select("key", "id", "low", "high", (F.col("members") > 2).alias("many"))
+    met = probes.join(ends, "key").where("low != id or high != id").select("key", "id", "size", "low", "high", (F.col("members") > 2).alias("many"))
     members = stored(met, "line-members")
     # A line that is only found, or only one end of a bucket, takes part too.
     ids = members.select(F.explode(F.array("id", "low", "high")).alias("id")).distinct()
@@ -199,12 +178,10 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
         full = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
         return full.select("a", "b", "la", "lb").mapInArrow(_exact(distance), "a bigint, b bigint")
 
-    def survivors(cells: DataFrame, every: bool) -> DataFrame:
-        place = ["key", "row", "column"]
-        return cells.join(texts, "id").repartition(shuffle_partitions(spark), *place).sortWithinPartitions(*place).mapInArrow(_across(distance), "a bigint, b bigint, stray bigint, weight bigint")
+    def settle(cells: DataFrame) -> DataFrame:
+        return by_cell(cells.join(texts, "id"), "a bigint, b bigint", _settled(distance))
 
-    # A cell's pairs are verified in the cell, so one round is all.
-    found = linked_components(members, verify, survivors, rounds=(True,))
+    found = linked_components(members, verify, settle)
     linked = distinct.select("id", "hash").join(found, "id").select("hash", "component")
     first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     named = first.join(linked, "hash", "left")

@@ -7,17 +7,16 @@ are worked through in two steps:
    number of pairs that is linear in the bucket. In groups of near copies this joins nearly all.
 2. Buckets of over three members that still have several components: the component with most members
    is one side, and only the other members, the strays, are compared with all. Strays and members are dealt to a
-   grid of cells of about CELL of each, so no task holds a large bucket whole, and a bucket with few strays has about
-   one row for each member. In the first rounds each stray component takes its one likeliest pair of
-   all cells (no more pairs than components); most of what is left joins by them. The last round takes every
-   pair that may be a link.
+   grid of cells, of about CELL of each and no more than about CELL_SIZE of their sizes, so no task holds a large
+   bucket whole, and a bucket with few strays has about one row for each member. A cell gives links that join
+   components, fewer than it has members.
 
 Every pair that shares a bucket and isn't joined by then has been compared, so no link is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,8 @@ from ._common import stored
 
 #: Members and strays of a bucket that one cell takes, about.
 CELL = 1024
+#: Sizes of a cell's members that are held at once, about, in all.
+CELL_SIZE = 2 << 20
 #: Parts of a bucket when its members are told what it holds, so that a large bucket isn't one task's.
 SALTS = 16
 
@@ -60,33 +61,26 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def linked_components(members: DataFrame, verify: Check, survivors: Callable[[DataFrame, bool], DataFrame], rounds: tuple[bool, ...] = (False, False, True)) -> DataFrame:
+def linked_components(members: DataFrame, verify: Check, settle: Check) -> DataFrame:
     """(id, component) of every id with a link.
 
-    members: (key, id, low, high, many), stored: the members of each bucket with its smallest and largest id and
+    members: (key, id, low, high, many, size), stored: the members of each bucket with its smallest and largest id and
     whether it has over three members, one row for each member; other columns are handed on. verify: pairs (a, b) to those that
-    are links. survivors: cells of unsettled buckets (see _cells), to pairs (a, b) that may be links, with a's component
-    (stray) and how likely each is (weight): all of them, or (if the second argument is false) each stray's
-    likeliest. rounds: that argument, round by round.
+    are links. settle: cells of unsettled buckets (see _cells), stored, to pairs (a, b) that join all that the
+    cell's links join; they are verified.
     """
     ends = F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))
     pairs = members.select(F.explode(ends).alias("p")).select("p.a", "p.b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = stored(verify(pairs), "links")
-    found = stored(components(links), "components")
-    for every in rounds:
-        more = survivors(_cells(members, found), every)
-        if not every:
-            more = more.groupBy("stray").agg(F.max(F.struct("weight", "a", "b")).alias("p")).select("p.a", "p.b")
-        more = stored(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "survivors")
-        if more.isEmpty():
-            break
-        more_links = stored(verify(more), "more-links")
-        if more_links.isEmpty():
-            continue
-        # What is joined so far counts as links too.
-        joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        found = stored(components(more_links.unionByName(joined)), "components")
-    return found
+    found = stored(components(verify(pairs)), "components")
+    cells = stored(_cells(members, found), "cells")
+    if cells.isEmpty():
+        return found
+    more = stored(settle(cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "settled")
+    if more.isEmpty():
+        return found
+    # What is joined so far counts as links too.
+    joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return stored(components(verify(more).unionByName(joined)), "components")
 
 
 def _part(of: str, parts: Column, seed: int) -> Column:
@@ -94,16 +88,17 @@ def _part(of: str, parts: Column, seed: int) -> Column:
 
 
 def _cells(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Of buckets with several components, what each of their cells holds: key, row and column of the cell, the member and its component.
+    """Of buckets with several components, what each of their cells holds: key, row and column of the cell, the member, its size and component.
 
     asks: the row is a stray that is to be compared with the cell's members (rows that don't ask). stray: the member isn't in the
     bucket's largest component. Each stray asks in all cells of its row, each member answers in all of its column,
     so there are strays * (members / CELL) and members * (strays / CELL) rows, both rounded up.
     """
     named = members.where("many").join(found, "id", "left").drop("low", "high", "many").withColumn("component", F.coalesce("component", "id"))
-    counts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    buckets = counts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"), F.sum("n").alias("members"), F.count("*").alias("components")).where("components > 1")
-    cells = lambda n: F.greatest(F.lit(1), F.ceil(n / CELL)).cast("int")
+    counts = named.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    buckets = counts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"), F.sum("n").alias("members"), F.sum("size").alias("size"), F.count("*").alias("components")).where("components > 1")
+    mean = F.col("size") / F.col("members")
+    cells = lambda n: F.greatest(F.lit(1), F.ceil(n / CELL), F.ceil(n * mean / CELL_SIZE)).cast("int")
     buckets = buckets.select("key", (-F.col("top.c")).alias("largest"), cells(F.col("members")).alias("columns"), cells(F.col("members") - F.col("top.n")).alias("rows"))
     buckets = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     left = named.withColumn("salt", _part("id", F.lit(SALTS), 1)).join(buckets, ["key", "salt"]).drop("salt")
@@ -115,8 +110,39 @@ def _cells(members: DataFrame, found: DataFrame) -> DataFrame:
     return seated.drop("rows", "columns", "row", "column").select("*", "at.asks", "at.row", "at.column").drop("at")
 
 
-def cell_starts(rows: pa.Table) -> np.ndarray:
-    """Where cells begin in rows that are sorted by cell."""
-    place = [rows.column(k).to_numpy() for k in ("key", "row", "column")]
-    cuts = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in place])) + 1
-    return np.concatenate([[0], cuts])
+def by_cell(cells: DataFrame, schema: str, of: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """What a function gives for each cell's rows."""
+    place = ["key", "row", "column"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            where = [held.column(k).to_numpy() for k in place]
+            starts = [0, *(np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in where])) + 1).tolist()]
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield of(held.slice(a, b - a))
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield of(held)
+
+    # The number of partitions follows the rows.
+    return cells.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, schema)
+
+
+class Joined:
+    """Components that are joined as links are found."""
+
+    def __init__(self, component: list[int]) -> None:
+        self.component, self.root = component, {c: c for c in component}
+
+    def top(self, i: int) -> int:
+        root, x = self.root, self.component[i]
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def join(self, i: int, j: int) -> None:
+        self.root[self.top(i)] = self.top(j)

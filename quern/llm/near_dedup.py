@@ -24,8 +24,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, lower_az, pick, shuffle_partitions, small_batches, stored, table
-from .links import cell_starts, linked_components
+from ._common import as_bytes, in_slices, lower_az, pick, small_batches, stored, table
+from .links import Joined, by_cell, linked_components
 from .words import Words, mixed, shingles
 
 SHINGLE = 5
@@ -71,7 +71,7 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
 
     The similarity's prior is uniform. Bytes of different minima agree in one case of 256.
     """
-    s = (np.arange(20_000) + 0.5) / 20_000
+    s = (np.arange(1000) + 0.5) / 1000
     q = s + (1 - s) / 256
     over = s >= percent / 100
     out = []
@@ -178,44 +178,51 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _across(every: bool):
-    """Members of cells, sorted by cell, to pairs across components that may be links: every one, or each stray's likeliest.
+def _candidates(cell: pa.Table) -> pa.RecordBatch:
+    """A cell's members to those that have a pair across components that may be a link; strays with the ids they may be linked with.
 
-    A pair is looked at in the first band that it shares, and in no other. Of two strays, every pair
-    once, but the likeliest of each.
+    A pair is looked at in the first band that it shares, and in no other; of two strays, once.
     """
-    least = least_matches()
-
-    def pairs(cell: pa.Table) -> pa.RecordBatch:
-        ids, component, n, stray, asks = (cell.column(k).to_numpy() for k in ("id", "component", "n", "stray", "asks"))
-        band = cell.column("band")[0].as_py()
-        rows = _array(cell.column("sketch").combine_chunks())
-        answers, out = np.flatnonzero(~asks), []
-        shared = rows[answers].reshape(len(answers), BANDS, ROWS)
-        for i in np.flatnonzero(asks):
-            at = np.flatnonzero((component[answers] != component[i]) & sizes_allow(n[answers], n[i]) & (~stray[answers] | (ids[answers] > ids[i]) if every else True))
-            at = at[(shared[at] == rows[i].reshape(BANDS, ROWS)).all(2).argmax(1) == band] if len(at) else at
-            if not len(at):
-                continue
-            at = answers[at]
-            stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
-            if len(stay):
-                some = np.arange(len(stay)) if every else [int(np.argmax(matches))]
-                out += [(ids[i], ids[at[stay[k]]], component[i], matches[k]) for k in some]
-        return pa.record_batch({k: pa.array([x[j] for x in out], pa.int64()) for j, k in enumerate(("a", "b", "stray", "weight"))})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            starts = cell_starts(held)
-            for a, b in zip(starts[:-1], starts[1:]):
-                yield pairs(held.slice(a, b - a))
-            held = held.slice(starts[-1])
-        if held is not None and held.num_rows:
-            yield pairs(held)
-
-    return run
+    least, (ids, component, n, stray, asks) = least_matches(), (cell.column(k).to_numpy() for k in ("id", "component", "size", "stray", "asks"))
+    band = cell.column("band")[0].as_py()
+    rows = _array(cell.column("sketch").combine_chunks())
+    answers, lists = np.flatnonzero(~asks), {}
+    shared = rows[answers].reshape(len(answers), BANDS, ROWS)
+    for i in np.flatnonzero(asks):
+        at = np.flatnonzero((component[answers] != component[i]) & sizes_allow(n[answers], n[i]) & (~stray[answers] | (ids[answers] > ids[i])))
+        at = at[(shared[at] == rows[i].reshape(BANDS, ROWS)).all(2).argmax(1) == band]
+        at = answers[at]
+        stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
+        if len(stay):
+            lists[int(i)] = ids[at[stay[np.argsort(-matches, kind="stable")]]]
+    wanted = np.isin(ids, np.concatenate(list(lists.values()))) & ~asks if lists else np.zeros(len(ids), bool)
+    kept = sorted([*lists, *np.flatnonzero(wanted).tolist()])
+    out = cell.select(["key", "row", "column", "id", "component", "asks"]).take(pa.array(kept, pa.int64()))
+    out = out.append_column("others", pa.array([lists.get(i) for i in kept], pa.list_(pa.int64())))
+    return out.combine_chunks().to_batches()[0] if kept else pa.RecordBatch.from_pylist([], schema=out.schema)
+
+
+def _settled(cell: pa.Table) -> pa.RecordBatch:
+    """A cell's candidates with their texts, to linked pairs that join different components."""
+    ids, asks, others = (cell.column(k).to_pylist() for k in ("id", "asks", "others"))
+    joined, out = Joined(cell.column("component").to_pylist()), []
+    sets = _sets(as_bytes(cell.column("text")))
+    place = {x: i for i, x in enumerate(ids) if not asks[i]}
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    values, number = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.zeros(len(values), bool)
+    for i in (i for i, x in enumerate(asks) if x):
+        at = np.array([place[x] for x in others[i]])
+        mine = number[starts[i] : starts[i] + sizes[i]]
+        own[mine] = True
+        both = np.array([np.count_nonzero(own[number[starts[j] : starts[j] + sizes[j]]]) for j in at])
+        own[mine] = False
+        for j in at[100 * both >= PERCENT * (sizes[i] + sizes[at] - both)].tolist():
+            if joined.top(i) != joined.top(j):
+                joined.join(i, j)
+                out.append((ids[i], ids[j]))
+    return pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def text_hash(text: Column) -> Column:
@@ -235,12 +242,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("sha"), lower_az(F.coalesce("text", F.lit(""))).alias("text"))
-    parts = shuffle_partitions(spark)
     signed = stored(slim.mapInArrow(_signatures, "doc_id bigint, sha binary, n bigint, bands array<bigint>, sketch binary"), "signatures")
     # One row for each text, numbered; the number is kept in the written table, so it's the same ever after.
     one = signed.where("n > 0").groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = stored(one.select(F.monotonically_increasing_id().alias("id"), "*"), "classes")
-    rows = classes.select("id", F.posexplode("bands").alias("band", "key"))
+    rows = classes.select("id", F.col("n").alias("size"), F.posexplode("bands").alias("band", "key"))
     # Most buckets have one member; the two ends of the others are joined back to their members.
     ends = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members")).where("low != high")
     members = stored(rows.join(ends.select("key", "low", "high", (F.col("members") > 3).alias("many")), "key"), "members")
@@ -256,11 +262,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         full = probable.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
         return full.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint")
 
-    def survivors(cells: DataFrame, every: bool) -> DataFrame:
-        place = ["key", "row", "column"]
-        return cells.join(sketches, "id").repartition(parts, *place).sortWithinPartitions(*place).mapInArrow(_across(every), "a bigint, b bigint, stray bigint, weight bigint")
+    def settle(cells: DataFrame) -> DataFrame:
+        schema = "key bigint, row int, column int, id bigint, component bigint, asks boolean, others array<bigint>"
+        maybe = stored(by_cell(cells.join(classes.select("id", "sketch"), "id"), schema, _candidates), "candidates")
+        return by_cell(maybe.join(texts, "id"), "a bigint, b bigint", _settled)
 
-    found = linked_components(members, verify, survivors)
+    found = linked_components(members, verify, settle)
     named = classes.select("id", "sha", "doc_id").join(found, "id", "left").select("sha", "doc_id", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_text = named.join(least, "component").select("sha", "component_id")

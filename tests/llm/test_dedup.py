@@ -182,7 +182,7 @@ def test_near(spark, corpus, cell, monkeypatch):
 def test_buckets_of_unlike_members(spark, monkeypatch):
     """All documents share most buckets, as a poor hash would make them, and two groups are linked only by their middle members."""
     monkeypatch.setattr(links, "CELL", 4)
-    members = spark.createDataFrame([(k, i, 0, 29, True) for k in range(2) for i in range(30)], "key long, id long, low long, high long, many boolean")
+    members = spark.createDataFrame([(k, i, 0, 29, True, 1) for k in range(2) for i in range(30)], "key long, id long, low long, high long, many boolean, size long")
     real = {(i, i + 3) for i in range(27)}
     asked = []
 
@@ -190,21 +190,21 @@ def test_buckets_of_unlike_members(spark, monkeypatch):
         asked.extend((r.a, r.b) for r in pairs.collect())
         return pairs.where(F.col("b") - F.col("a") == 3)
 
-    def survivors(cells, every):
+    def settle(cells):
         rows, out = cells.collect(), []
         for a in rows:
             for b in rows:
                 if (a.key, a.row, a.column) == (b.key, b.row, b.column) and a.asks and not b.asks and a.component != b.component:
-                    out.append((a.id, b.id, a.component, 1))
-        return spark.createDataFrame(out, "a long, b long, stray long, weight long")
+                    out.append((a.id, b.id))
+        return spark.createDataFrame(out, "a long, b long")
 
-    found = {r.id: r.component for r in links.linked_components(members, verify, survivors).collect()}
+    found = {r.id: r.component for r in links.linked_components(members, verify, settle).collect()}
     assert found == {i: i % 3 for i in range(30)} and real <= {tuple(sorted(x)) for x in asked}
 
 
 @pytest.mark.parametrize("members", [3001, 30_010])
 def test_cells_are_linear_where_few_are_strays(spark, members):
-    bucket = spark.range(members).select(F.lit(7).cast("long").alias("key"), "id", F.lit(0).alias("low"), F.lit(members).alias("high"), F.lit(True).alias("many"))
+    bucket = spark.range(members).select(F.lit(7).cast("long").alias("key"), "id", F.lit(0).alias("low"), F.lit(members).alias("high"), F.lit(True).alias("many"), F.lit(9).alias("size"))
     found = spark.range(members - 2).select("id", F.lit(0).cast("long").alias("component"))
     cells = links._cells(bucket, found)
     assert cells.count() <= 1.1 * members + 2
