@@ -1,31 +1,35 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Fit. Tokens are words and, for inflected forms, the first 4, 5 and 6 bytes of words. A token's weight is
-its log-odds between toxic and other labelled documents with a Dirichlet prior (PRIOR for each token);
-counted are documents, but places where the same words stand around a token count once, lest copies of
-a document make its rare words look telling, and a prefix counts only if it begins LEAST_FORMS words;
-tokens whose weight is LEAST_ODDS at least, and LEAST_Z standard deviations above zero, are kept; every other word weighs
--DRIFT, so that a random text's score falls.
+Fit. Tokens are words and, for inflected forms, the first 4, 5 and 6 bytes of words. A token's log-odds
+between toxic and other labelled documents have a Dirichlet prior in either class, PRIOR for each token and shared out as the
+classes are, so that a token which neither has seen has odds of zero. They are drawn towards zero by CAUTION standard
+deviations, so that few documents tell little. Counted are documents; for tokens that speak for toxicity, places where the same words stand
+around a token count once, lest copies of a document make its rare words look telling, and a prefix
+counts only if it begins LEAST_FORMS words. Every word weighs its own log-odds, else those of its longest known
+prefix, else zero; less DRIFT, so that a random text's score falls.
 
 Search. One linear pass over a text's words finds all maximal segments: those whose score can't be
-made higher by growing or cutting them. They are the toxic passages.
+made higher by growing or cutting them. The passages are those that are expected in text that isn't toxic at most
+SIGNIFICANT times.
 
 Calibration. In text that isn't toxic, maximal scores follow an extreme-value law: a segment of score
-s in n words is expected n * exp(-rate * s) times, where the rate solves sum p(w) exp(rate * w) = 1 over the weights of
-words that aren't toxic. A document's segments are combined by the law for the sum of the r best,
-and the best r is taken. The document's score is a logistic function, fitted on the sample, of minus the logarithm of that
-expected number.
+s in n words is expected n * exp(-rate * s) times, where the rate solves E exp(rate * weight) = 1 over the words of
+documents that aren't toxic. A document's segments are combined by the law for the sum of the r best,
+and the best r is taken. The document's score is a logistic function of the logarithm of one more than minus the logarithm of that
+expected number. The rate and the function are fitted on documents of the sample whose words weren't counted.
 
 Scale. The model is fitted on at most MOST_LABELLED documents with each label, and is one table of 64-bit
-hashes. Scoring is one narrow stage over whole texts. Words are hashed and looked up by
-numpy; only kept words (few in any text) are seen by Python.
+hashes. Scoring is one narrow stage over whole texts. Words are hashed, looked up and weighed by
+numpy; only words of positive weight (few in any text) are seen by Python.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,70 +43,84 @@ from .words import NO_LETTER, Words, mixed
 
 #: Documents with each label that the model is fitted on, at most.
 MOST_LABELLED = 4000
+#: Of so many of them one is for calibration.
+CALIBRATED = 5
 PREFIXES = (6, 5, 4)
-PRIOR = 0.5
-LEAST_Z, LEAST_ODDS = 3.0, 2.5
+PRIOR = 1.0
+CAUTION = 2.0
 DRIFT = 0.5
 THRESHOLD = 0.7
-#: Beyond this nothing is less certain.
-MOST_SURPRISE = 30.0
+SIGNIFICANT = 0.1
 #: Different words that a prefix begins, at least: an inflected stem has many forms.
 LEAST_FORMS = 5
 #: The held-out fold of labels: crc32(doc_id) mod FOLDS = FOLD.
 FOLDS, FOLD = 3, 1
 
 
+@cache
+def _resized() -> re.Pattern:
+    """Characters that have more or fewer bytes in lower case."""
+    sizes = ((c, c.lower()) for c in map(chr, range(0x80, 0x110000)) if not 0xD800 <= ord(c) < 0xE000)
+    return re.compile("[%s]" % "".join(re.escape(c) for c, low in sizes if c != low and len(c.encode()) != len(low.encode())))
+
+
 def lowered(texts: list[str | None]) -> list[bytes]:
-    return [(x or "").lower().encode() for x in texts]
+    """UTF-8 of texts in lower case, byte for byte where it was; characters that would change their size stay as they are."""
+    out = []
+    for x in texts:
+        x = x or ""
+        if not x.isascii() and (odd := _resized()).search(x):
+            x = "".join(c if odd.match(c) else c.lower() for c in x)
+        out.append((x if "Σ" not in x else x.replace("Σ", "σ")).lower().encode())
+    return out
 
 
 @dataclass
 class Odds:
-    """Sorted token hashes and their weights; the rate of the extreme-value law."""
+    """Sorted token hashes and their log-odds; the rate of the extreme-value law."""
 
     hashes: np.ndarray
     weights: np.ndarray
     rate: float
-    #: A text's score is sigmoid(scale * surprise + shift).
+    #: A text's score is sigmoid(scale * log(1 + surprise) + shift).
     scale: float = 0.0
     shift: float = 0.0
 
     def score(self, surprise: float) -> float:
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.scale * surprise + self.shift))))
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.scale * math.log1p(surprise) + self.shift))))
 
-    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words that have a weight of their own, and the weights: of the whole word, else of its longest kept prefix."""
-        if not len(self.hashes):
-            return np.empty(0, np.int64), np.empty(0)
-        weight = np.zeros(len(words.start))
-        for h in (words.hashes(), *(words.prefixes(n) for n in PREFIXES)):
-            at = np.searchsorted(self.hashes, h)
-            at[at == len(self.hashes)] = 0
-            hit = (self.hashes[at] == h) & (weight == 0)
-            weight[hit] = self.weights[at[hit]]
-        kept = np.flatnonzero(weight)
-        return kept, weight[kept]
+    def of(self, words: Words) -> np.ndarray:
+        """The weight of each word: its log-odds, else those of its longest known prefix, less DRIFT."""
+        weight = np.full(len(words.start), -DRIFT)
+        if len(self.hashes):
+            open_ = np.arange(len(words.start))
+            for h in (words.hashes(), *(words.prefixes(n) for n in PREFIXES)):
+                at = np.minimum(np.searchsorted(self.hashes, h[open_]), len(self.hashes) - 1)
+                hit = self.hashes[at] == h[open_]
+                weight[open_[hit]] += self.weights[at[hit]]
+                open_ = open_[~hit]
+        return weight
 
 
-def maximal_segments(places: list[int], weights: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
-    """All maximal segments (first, beyond the last, score) of words that weigh -drift but at places, where weights are positive.
+def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal segments (first, beyond the last, score) of words of these weights.
 
     A stack of candidates, each with the running total before and at its end: a new one joins back
     to the nearest earlier candidate that begins lower, if it ends higher than that one does. Every candidate
-    enters and leaves the stack once.
+    enters and leaves the stack once. Only words of positive weight begin one.
     """
     stack: list[tuple[int, int, float, float]] = []
-    total, at = 0.0, 0
-    for place, weight in zip(places, weights):
-        before = total - drift * (place - at)
-        total, at = before + weight, place + 1
-        first, low = place, before
+    totals, places = np.cumsum(weights), np.flatnonzero(weights > 0)
+    after = totals[places]
+    before = np.where(places > 0, totals[places - 1], 0.0) if len(places) else after
+    for place, before_, total in zip(places.tolist(), before.tolist(), after.tolist()):
+        first, low = place, before_
         while True:
             k = len(stack) - 1
             while k >= 0 and stack[k][2] >= low:
                 k -= 1
             if k < 0 or stack[k][3] >= total:
-                stack.append((first, at, low, total))
+                stack.append((first, place + 1, low, total))
                 break
             first, low = stack[k][0], stack[k][2]
             del stack[k:]
@@ -114,20 +132,21 @@ def surprise(scores: list[float], n: int, rate: float) -> float:
 
     The law for a sum: the r best normalised scores are expected as high as t with e**-t t**(r-1) / (r! (r-1)!).
     """
-    best, total = 0.0, 0.0
-    for r, s in enumerate(sorted(scores, reverse=True)[:64], 1):
-        total += rate * s - math.log(max(n, 1))
-        if total > 0:
-            best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r))
-    return min(best, MOST_SURPRISE)
+    if not scores:
+        return 0.0
+    total = np.cumsum(rate * np.sort(scores)[::-1] - math.log(max(n, 1)))
+    before = np.arange(len(total))
+    factorials = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, len(total) + 1)))])
+    at = total > 0
+    found = total[at] - before[at] * np.log(total[at]) + factorials[1:][at] + factorials[:-1][at]
+    return max(0.0, float(found.max())) if at.any() else 0.0
 
 
-def law_rate(chance: np.ndarray, weights: np.ndarray, drift: float = DRIFT) -> float:
-    """The positive root of sum p(w) exp(rate * w) = 1."""
-    rest = 1 - chance.sum()
+def law_rate(chance: np.ndarray, weights: np.ndarray) -> float:
+    """The positive root of sum chance * exp(rate * weight) = 1."""
 
     def over(x: float) -> bool:
-        return float((chance * np.exp(np.minimum(x * weights, 700))).sum()) + rest * math.exp(-x * drift) > 1
+        return float((chance * np.exp(np.minimum(x * weights, 700))).sum()) > 1
 
     low, high = 0.0, 1e-3
     while not over(high) and high < 100:
@@ -139,7 +158,7 @@ def law_rate(chance: np.ndarray, weights: np.ndarray, drift: float = DRIFT) -> f
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each token of a batch: in how many of its documents with label 0 and 1 it is. At hash 0: documents' words in all."""
+    """Of each token of a batch: in how many of its documents with label 0 and 1 it is. At hash 0: documents in all."""
     for batch in in_slices(batches, "text"):
         words, labels = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), np.array(batch.column("label").to_pylist())
         document = words.document()
@@ -151,7 +170,7 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, where = np.unique(every["h"], return_inverse=True)
         label = labels[every["d"]]
         found = [np.bincount(where[label == k], minlength=len(h)) for k in (0, 1)]
-        total = [int(words.counts[labels == k].sum()) for k in (0, 1)]
+        total = [int((labels == k).sum()) for k in (0, 1)]
         yield pa.record_batch({"h": pa.array(np.append(h.view(np.int64), 0)), "n0": pa.array(np.append(found[0], total[0])), "n1": pa.array(np.append(found[1], total[1]))})
 
 
@@ -172,77 +191,91 @@ def _contexts(tokens: np.ndarray):
     return run
 
 
-def _log_odds(y0: np.ndarray, y1: np.ndarray, n0: float, n1: float) -> tuple[np.ndarray, np.ndarray]:
-    odds = np.log((y1 + PRIOR) / (n1 + PRIOR)) - np.log((y0 + PRIOR) / (n0 + PRIOR))
-    return odds, odds / np.sqrt(1 / (y1 + PRIOR) + 1 / (y0 + PRIOR))
+def log_odds(y0: np.ndarray, y1: np.ndarray, n0: float, n1: float) -> np.ndarray:
+    """Of tokens that y0 of n0 and y1 of n1 documents have; drawn towards zero by their uncertainty, and zero where that is larger."""
+    a0, a1 = PRIOR * n0 / (n0 + n1), PRIOR * n1 / (n0 + n1)
+    odds = np.log1p(y1 / a1) - np.log1p(y0 / a0)
+    return np.sign(odds) * np.maximum(0, np.abs(odds) - CAUTION * np.sqrt(1 / (y1 + a1) + 1 / (y0 + a0)))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD) -> Odds:
     """A model of labels.toxic, from at most most_labelled documents with each label outside the held-out fold.
 
-    Without labels of both kinds every text's score is (ones + 1) / (labels + 2).
+    Without labels of both kinds every text's score is (ones + 1) / (labels + 2). A null text is empty.
     """
     small_batches(docs.sparkSession)
     sample, counts = sample_of(labels, "toxic", most_labelled, folds, fold)
-    texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label"), "toxic-sample")
-    seen = texts.mapInArrow(_presence, "h bigint, n0 bigint, n1 bigint").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # The sample bounds these rows, and a token counts only if toxic documents have it.
-    rows = seen.where("h = 0 or n1 > 2 and n1 > n0 / 4").collect()
-    totals = next((r for r in rows if r.h == 0), None)
-    if not (counts[0] and counts[1]) or totals is None:
+    kept = F.pmod(F.xxhash64("doc_id", F.lit(CALIBRATED)), F.lit(CALIBRATED)) == 0
+    texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label", kept.alias("kept")), "toxic-sample")
+    there = {(r.label, r.kept): r.n for r in texts.groupBy("label", "kept").agg(F.count("*").alias("n")).collect()}
+    few = min(there.get((k, x), 0) for k in (0, 1) for x in (False, True)) < CALIBRATED
+    learnt, other = (texts, texts) if few else (texts.where("not kept"), texts.where("kept"))
+    # The sample bounds these rows.
+    seen = learnt.select("text", "label").mapInArrow(_presence, "h bigint, n0 bigint, n1 bigint").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    seen = seen.where("h = 0 or n0 + n1 > 1").toPandas()
+    totals = seen[seen.h == 0]
+    n0, n1 = (float(totals[k].sum()) for k in ("n0", "n1"))
+    if not (n0 and n1):
         return Odds(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, math.log((counts[1] + 1) / (counts[0] + 1)))
-    rows = [r for r in rows if r.h]
-    n0, n1 = max(1.0, float(totals.n0)), max(1.0, float(totals.n1))
-    odds, z = _log_odds(*(np.array([r[k] for r in rows], float) for k in ("n0", "n1")), n0, n1)
-    maybe = np.sort(np.array([r.h for r in rows], np.int64)[(z >= LEAST_Z) & (odds >= LEAST_ODDS)].view(np.uint64))
-    places = texts.mapInArrow(_contexts(maybe), "h bigint, label bigint, doc_id bigint, around bigint, whole bigint")
+    seen = seen[seen.h != 0].sort_values("h")
+    hashes, odds = seen.h.to_numpy(np.int64), log_odds(seen.n0.to_numpy(float), seen.n1.to_numpy(float), n0, n1)
+    maybe = np.sort(hashes[odds > 0].view(np.uint64))
+    places = learnt.select("doc_id", "text", "label").mapInArrow(_contexts(maybe), "h bigint, label bigint, doc_id bigint, around bigint, whole bigint")
     each = [F.countDistinct(F.when(F.col("label") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("doc_id", "around")]
-    found = sorted(places.groupBy("h").agg(*each, F.countDistinct(F.when(F.col("label") == 1, F.col("whole"))).alias("forms"), F.max(F.col("h") == F.col("whole")).alias("is_word")).collect(), key=lambda r: r.h & (1 << 64) - 1)
-    y0, y1 = (np.array([min(r[f"doc_id{k}"], r[f"around{k}"]) for r in found], float) for k in (0, 1))
-    odds, z = _log_odds(y0, y1, n0, n1)
-    keep = (z >= LEAST_Z) & (odds >= LEAST_ODDS) & np.array([r.is_word or r.forms >= LEAST_FORMS for r in found], bool)
-    weights, hashes = odds[keep], np.array([r.h for r in found], np.int64).view(np.uint64)[keep]
-    chance = (y0[keep] + PRIOR / max(1, keep.sum())) / n0
-    model = Odds(hashes, weights, law_rate(chance, weights) if keep.any() else 1.0)
-    felt = texts.mapInArrow(_surprises(model), "label int, surprise double").groupBy("label", F.round("surprise", 1).alias("surprise")).agg(F.count("*").alias("n")).collect()
-    felt.sort(key=lambda r: (r.label, r.surprise))
-    there = {k: sum(r.n for r in felt if r.label == k) for k in (0, 1)}
-    w = np.array([r.n * counts[r.label] / there[r.label] for r in felt])
+    found = places.groupBy("h").agg(*each, F.countDistinct(F.when(F.col("label") == 1, F.col("whole"))).alias("forms"), F.max(F.col("h") == F.col("whole")).alias("is_word")).toPandas().sort_values("h")
+    y0, y1 = (np.minimum(found[f"doc_id{k}"], found[f"around{k}"]).to_numpy(float) for k in (0, 1))
+    telling = np.where(found.is_word.to_numpy(bool) | (found.forms.to_numpy() >= LEAST_FORMS), log_odds(y0, y1, n0, n1), 0.0)
+    hashes, weights = np.concatenate([hashes[odds < 0], found.h.to_numpy(np.int64)]).view(np.uint64), np.concatenate([odds[odds < 0], telling])
+    order = np.argsort(hashes)
+    order = order[weights[order] != 0]
+    model = Odds(hashes[order], weights[order], 1.0)
+    spread = other.where("label = 0").select("text").mapInArrow(_weights(model), "weight double, n bigint").groupBy("weight").agg(F.sum("n").alias("n")).orderBy("weight").toPandas()
+    if len(spread):
+        model.rate = law_rate(spread.n.to_numpy(float) / spread.n.sum(), spread.weight.to_numpy(float))
+    felt = other.select("text", "label").mapInArrow(_surprises(model), "label int, surprise double").orderBy("surprise", "label").toPandas()
     # Weighed as among all labels, of which the sample may have another share.
-    model.scale, model.shift = calibrated(np.array([r.surprise for r in felt]), np.array([r.label for r in felt], float), w * sum(there.values()) / w.sum())
+    y = felt.label.to_numpy(float)
+    w = np.array([counts[k] / max(1, (y == k).sum()) for k in (0, 1)])[y.astype(int)]
+    model.scale, model.shift = calibrated(np.log1p(felt.surprise.to_numpy(float)), y, w / w.mean())
     model.scale = max(model.scale, 0.0)
     return model
 
 
+def _weights(model: Odds):
+    """How often a task's words have each weight, to a hundredth."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text"):
+            values, n = np.unique(np.round(model.of(Words(lowered(batch.column("text").to_pylist()), NO_LETTER)), 2), return_counts=True)
+            yield pa.record_batch({"weight": pa.array(values), "n": pa.array(n.astype(np.int64))})
+
+    return run
+
+
 def _surprises(model: Odds):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, "text"):
             words = Words(lowered(batch.column("text").to_pylist()), NO_LETTER)
-            found = [surprise([s for *_, s in x], int(words.counts[d]), model.rate) for d, x in enumerate(passages(words, model))]
+            found = [surprise([s for *_, s in x], int(n), model.rate) for x, n in zip(segments(words, model), words.counts)]
             yield pa.record_batch({"label": batch.column("label"), "surprise": pa.array(found, pa.float64())})
 
     return run
 
 
-def passages(words: Words, model: Odds) -> list[list[tuple[int, int, float]]]:
+def segments(words: Words, model: Odds) -> Iterator[list[tuple[int, int, float]]]:
     """Of each text, its maximal segments: first word, beyond the last, score."""
-    kept, weights = model.of(words)
-    of = np.searchsorted(words.first, kept, side="right") - 1
-    out: list[list[tuple[int, int, float]]] = [[] for _ in range(len(words.counts))]
-    cut = np.flatnonzero(np.diff(of)) + 1
-    for at, w in zip(np.split(kept, cut), np.split(weights, cut)):
-        if len(at):
-            d = int(np.searchsorted(words.first, at[0], side="right")) - 1
-            out[d] = maximal_segments((at - words.first[d]).tolist(), w.tolist())
-    return out
+    weights = model.of(words)
+    some = np.diff(np.concatenate([[0], np.cumsum(weights > 0)])[words.first])
+    for a, b, n in zip(words.first[:-1].tolist(), words.first[1:].tolist(), some.tolist()):
+        yield maximal_segments(weights[a:b]) if n else []
 
 
 def score_toxicity(docs: DataFrame, model: Odds, score: str = "toxicity") -> DataFrame:
     """docs (any columns, one of them text) with two more: the score, and passages.
 
-    passages: of each maximal segment, begins and ends (bytes of the lower-cased text's UTF-8), score,
+    passages: of each significant maximal segment, begins and ends (bytes of the text's UTF-8), score,
     and expected (how often a text of this length that isn't toxic has one like it). A null or empty text has
-    none, and the score of no surprise.
+    none, and the score of no surprise. Rows that repeat are scored alike; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     text, names, plain = position(docs, "text"), [*docs.columns, score, "passages"], by_place(docs)
@@ -255,10 +288,11 @@ def score_toxicity(docs: DataFrame, model: Odds, score: str = "toxicity") -> Dat
         for batch in in_slices(batches, f"c{text}"):
             words = Words(lowered(batch.column(text).to_pylist()), NO_LETTER)
             scores, spans = [], []
-            for d, segments in enumerate(passages(words, m)):
+            for d, found in enumerate(segments(words, m)):
                 n, first, base = int(words.counts[d]), int(words.first[d]), int(words.bounds[d])
-                scores.append(m.score(surprise([s for *_, s in segments], n, m.rate)))
-                spans.append([{"begins": int(words.start[first + a]) - base, "ends": int(words.start[first + b - 1] + words.length[first + b - 1]) - base, "score": s, "expected": n * math.exp(-m.rate * s)} for a, b, s in segments])
+                scores.append(m.score(surprise([s for *_, s in found], n, m.rate)))
+                told = [(a, b, s, n * math.exp(-m.rate * s)) for a, b, s in found]
+                spans.append([{"begins": int(words.start[first + a]) - base, "ends": int(words.start[first + b - 1] + words.length[first + b - 1]) - base, "score": s, "expected": e} for a, b, s, e in told if e <= SIGNIFICANT])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, kind)], [*batch.schema.names, "score", "passages"])
 
     return plain.mapInArrow(run, schema).toDF(*names)

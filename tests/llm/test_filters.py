@@ -75,8 +75,7 @@ def segments_by_force(weights):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([-0.5, -0.5, -0.5, 1.25, 0.75, 2.0, 3.0]), max_size=14))
 def test_maximal_segments(weights):
-    places = [i for i, w in enumerate(weights) if w > 0]
-    found = toxicity.maximal_segments(places, [weights[i] for i in places])
+    found = toxicity.maximal_segments(np.array(weights, float))
     total = lambda x: sum(weights[x[0] : x[1]])
     wanted = segments_by_force(weights)
     assert sorted(s for *_, s in found) == pytest.approx(sorted(s for *_, s in wanted))
@@ -84,11 +83,34 @@ def test_maximal_segments(weights):
 
 
 def test_law():
-    rate = toxicity.law_rate(np.array([0.01]), np.array([3.0]))
+    rate = toxicity.law_rate(np.array([0.01, 0.99]), np.array([3.0, -0.5]))
     assert 0.01 * math.exp(3 * rate) + 0.99 * math.exp(-0.5 * rate) == pytest.approx(1, abs=1e-6)
     assert toxicity.surprise([], 100, 1.0) == 0 and toxicity.surprise([9.0, 9.0], 100, 1.0) > toxicity.surprise([9.0], 100, 1.0) > 0
 
 
+def test_surprise_takes_all_segments():
+    scores = [float(s) for s in range(9, 300)]
+    best, total = 0.0, 0.0
+    for r, s in enumerate(sorted(scores, reverse=True), 1):
+        total += s - math.log(50)
+        if total > 0:
+            best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r))
+    assert toxicity.surprise(scores, 50, 1.0) == pytest.approx(best)
+    assert toxicity.surprise([5.0] * 200, 50, 1.0) > toxicity.surprise([5.0] * 100, 50, 1.0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=20))
+def test_lower_case_keeps_places(text):
+    assert [len(x) for x in toxicity.lowered([text, text + "İẞΣ"])] == [len(text.encode()), len((text + "İẞΣ").encode())]
+    assert toxicity.lowered(["Größe ÉTÉ"]) == ["größe été".encode()]
+
+
+def test_log_odds():
+    odds = toxicity.log_odds(np.array([0.0, 0, 0, 50, 400]), np.array([0.0, 1, 40, 50, 0]), 900.0, 100.0)
+    assert odds[0] == 0 and 0 <= odds[1] < 1 < odds[2] and odds[3] > 0 > odds[4]
+
+
 def test_quality_on_held_out_documents(spark, corpus):
     docs, labels = corpus
     model = quality.fit_quality(docs, labels)
