@@ -10,8 +10,11 @@ import sys
 
 from .plans.generate import GenerateConfig, generate
 from .session import session
+from .sources.datasets import parse_dataset_list
+from .sources.jsonl import default_output_name
 from .sources.prefetch import prefetch_datasets
 
+# The names and defaults of flags, and the log levels, are the public interface.
 LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR"]
 
 
@@ -22,7 +25,8 @@ def build_parser() -> argparse.ArgumentParser:
     g = commands.add_parser("generate", help="question-answer pairs from a dataset")
     g.add_argument("--dataset", required=True)
     g.add_argument("--split", default=default["split"])
-    g.add_argument("--out", required=True, help="folder of JSON Lines files, appended to")
+    g.add_argument("--out", default=None, help="folder of JSON Lines files, appended to; named after dataset and model if not given")
+    g.add_argument("--single-file", default=None, help="the run's records in one file too, in the order of rows")
     g.add_argument("--api-base", default=default["api_base"])
     g.add_argument("--model", default=default["model"])
     g.add_argument("--api-key", default=None)
@@ -34,11 +38,14 @@ def build_parser() -> argparse.ArgumentParser:
     g.add_argument("--root", default="", help="where datasets are looked for")
     g.add_argument("--format", dest="fmt", default=None)
     g.add_argument("--inference-parallelism", type=int, default=None, help="calls at a time")
+    g.add_argument("--calls-per-task", type=int, default=default["calls_per_task"], help="calls at a time in each partition")
+    g.add_argument("--health-attempts", type=int, default=default["health_attempts"])
+    g.add_argument("--health-delay-seconds", type=float, default=default["health_delay_seconds"])
     g.add_argument("--backend", choices=["http", "echo"], default="http")
     g.add_argument("--resume", action="store_true", help="leave out rows that have a record")
     p = commands.add_parser("prefetch", help="datasets to a Parquet cache")
     p.add_argument("--model", default=default["model"], help="taken for compatibility: models aren't fetched")
-    p.add_argument("--dataset", action="append", default=[])
+    p.add_argument("--dataset", action="append", default=[], help="a name, or names between commas; can be repeated")
     p.add_argument("--split", default="train")
     p.add_argument("--revision", default=None)
     p.add_argument("--token", default=None)
@@ -56,14 +63,16 @@ def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     logging.basicConfig(level=getattr(logging, args.log_level), format="%(asctime)s %(levelname)s %(message)s")
     if args.command == "generate":
+        args.out = args.out or default_output_name(args.dataset, args.model)
         names = {f.name for f in dataclasses.fields(GenerateConfig)}
         generate(session(), GenerateConfig(**{k: v for k, v in vars(args).items() if k in names}))
         return 0
-    args.token = args.token or os.environ.get("HF_TOKEN")
+    token = args.token or os.environ.get("HF_TOKEN")
     if not args.skip_model:
         logging.info("model weights aren't fetched by this engine; %s is left to the server", args.model)
     if not args.skip_datasets:
-        prefetch_datasets(session(), args.dataset, args.cache, args.split, args.root)
+        names = [x for text in args.dataset for x in parse_dataset_list(text)]
+        prefetch_datasets(session(), names, args.cache, args.split, args.root, revision=args.revision, token=token)
     return 0
 
 

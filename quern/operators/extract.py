@@ -71,9 +71,11 @@ def with_source_text(df: DataFrame, max_chars: int = SOURCE_CHARS, skip: tuple[s
 
 
 def _python_str(c: Column, kind: T.DataType) -> Column:
-    """Python's str() of a value; only strings and integers have it as Spark's cast."""
-    if isinstance(kind, (T.StringType, T.IntegralType)):
+    """Python's str() of a value: Spark's cast for strings, integers and dates; other kinds go through Python in Arrow batches."""
+    if isinstance(kind, (T.StringType, T.IntegralType, T.DateType)):
         return c.cast("string")
+    if isinstance(kind, T.BooleanType):
+        return F.initcap(c.cast("string"))
 
     def text(x):
         if x is None:
@@ -82,7 +84,7 @@ def _python_str(c: Column, kind: T.DataType) -> Column:
             x = bytes(x)
         return str(x.asDict(recursive=True) if hasattr(x, "asDict") else x)
 
-    return F.udf(text, "string")(c)
+    return F.udf(text, "string", useArrow=True)(c)
 
 
 def with_row_id(df: DataFrame, row_index: str = "row_index", name: str = "row_id_text") -> DataFrame:

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import http.client
 import json
+import threading
 import time
 import urllib.parse
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -73,7 +75,9 @@ class ScriptedBackend:
 
 @dataclass(frozen=True)
 class HttpChatBackend:
-    """An OpenAI-compatible server. One kept-alive connection for each partition; no retries.
+    """An OpenAI-compatible server. One kept-alive connection for each call in flight; no retries.
+
+    But a connection that the server closed while it was idle is opened anew, and the call sent again: no byte of an answer came.
 
     The key is never shown: it's in no column, log or repr.
     """
@@ -98,18 +102,27 @@ class HttpChatBackend:
         url = urllib.parse.urlsplit(f"{self.base}/chat/completions")
         kind = http.client.HTTPSConnection if url.scheme == "https" else http.client.HTTPConnection
         connection = kind(url.netloc, timeout=self.timeout_seconds)
+        target = url.path + (f"?{url.query}" if url.query else "")
         headers = {"Authorization": f"Bearer {self.api_key or 'EMPTY'}", "Content-Type": "application/json"}
 
         def reply(prompt: str) -> str | None:
-            body = json.dumps(request_body(prompt, self.model, self.temperature, self.max_tokens, self.enable_thinking, SYSTEM_PROMPT))
+            body = json.dumps(request_body(prompt, self.model, self.temperature, self.max_tokens, self.enable_thinking, SYSTEM_PROMPT)).encode()
             try:
-                connection.request("POST", url.path, body.encode(), headers)
-                response = connection.getresponse()
+                idle = connection.sock is not None
+                try:
+                    connection.request("POST", target, body, headers)
+                    response = connection.getresponse()
+                except (http.client.RemoteDisconnected, BrokenPipeError, ConnectionResetError, ConnectionAbortedError):
+                    connection.close()
+                    if not idle:
+                        raise
+                    connection.request("POST", target, body, headers)
+                    response = connection.getresponse()
                 data = response.read()
             except BaseException:
                 connection.close()  # the next call opens another
                 raise
-            if response.status >= 400:
+            if not 200 <= response.status < 300:
                 raise OSError(f"HTTP {response.status}")
             found = json.loads(data)
             try:
@@ -134,17 +147,19 @@ def wait_until_healthy(url: str, attempts: int = 1, delay_seconds: float = 2.0,
             time.sleep(delay_seconds)
 
 
-def infer(df: DataFrame, backend: Backend, parallelism: int | None = None, prompt: str = "prompt") -> DataFrame:
-    """df with question, answer, status and error: one call for each row.
+def infer(df: DataFrame, backend: Backend, parallelism: int | None = None, prompt: str = "prompt", calls_per_task: int = 1) -> DataFrame:
+    """df with question, answer, status and error: one call for each row that has a prompt; others are said to have no text.
 
-    parallelism: rows are first dealt to so many partitions, each of which has one call in flight. A failed
+    parallelism: rows are first dealt to so many partitions, each of which has calls_per_task calls in flight. A failed
     call or reply is a status of its row, and never ends the job.
     """
     if parallelism:
         df = df.repartition(parallelism)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), "question string, answer string, status string, error string"])
 
-    def call(ask: Callable[[str], str | None], text: str) -> tuple:
+    def call(ask: Callable[[str], str | None], text: str | None) -> tuple:
+        if not isinstance(text, str):
+            return None, None, NO_TEXT, "row does not contain any usable text fields"
         try:
             question, answer, error = parse_reply(ask(text))
         except InferenceError as e:
@@ -154,10 +169,18 @@ def infer(df: DataFrame, backend: Backend, parallelism: int | None = None, promp
         return question, answer, WRITTEN if error is None else OTHER if error in UNEXPECTED else INFERENCE, error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask = None
+        own = threading.local()
+
+        def one(text: str | None) -> tuple:
+            if not hasattr(own, "ask"):
+                own.ask = backend.open()
+            return call(own.ask, text)
+
+        pool = ThreadPoolExecutor(calls_per_task) if calls_per_task > 1 else None
         for batch in batches:
-            ask = ask or backend.open()
-            made = pd.DataFrame([call(ask, x) for x in batch[prompt]], columns=["question", "answer", "status", "error"], index=batch.index, dtype=object)
-            yield pd.concat([batch, made], axis=1)
+            found = list(pool.map(one, batch[prompt]) if pool else map(one, batch[prompt]))
+            yield pd.concat([batch, pd.DataFrame(found, columns=["question", "answer", "status", "error"], index=batch.index, dtype=object)], axis=1)
+        if pool:
+            pool.shutdown()
 
     return df.mapInPandas(run, schema)

@@ -7,35 +7,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROW_INDEX = "row_index"
+#: Files and splits whose row counts are broadcast, or looked through on the driver, at most; beyond that they are joined.
+MOST_BLOCKS = 100_000
 
 
-def _has_file_rows(df: DataFrame) -> bool:
-    """Whether the frame is a plain scan of files whose rows are numbered (Parquet)."""
+def _has(df: DataFrame, column: str) -> bool:
+    """Whether the frame is a plain scan of files that has this hidden column."""
     try:
-        df.select("_metadata.row_index").schema  # noqa: B018
+        df.select(column).schema  # noqa: B018
     except Exception:  # the analyzer's error for other sources
         return False
     return True
 
 
+def _placed(df: DataFrame) -> tuple[DataFrame, bool] | None:
+    """A scan of files with its columns by place (names that differ only in case would be ambiguous), and each row's file, block and number; whether numbers begin at 0 in each block.
+
+    A block is a file (Parquet, whose reader numbers rows) or a split of one (other formats, whose rows are numbered by the scan; the
+    numbers of a block have no gaps).
+    """
+    if _has(df, "_metadata.row_index"):
+        block, number = F.lit(0).cast("long"), F.col("_metadata.row_index")
+    elif _has(df, "_metadata.file_block_start"):
+        block, number = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    else:
+        return None
+    own = [f"c{i}" for i in range(len(df.columns))]
+    placed = df.select("*", F.col("_metadata.file_path").alias("f"), block.alias("b"), number.alias("r")).toDF(*own, "f", "b", "r")
+    return placed, _has(df, "_metadata.row_index")
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """Of each block its rows and first number; a pass that reads no column."""
+    return placed.select("f", "b", "r").groupBy("f", "b").agg(F.count("*").alias("rows"), F.min("r").alias("first"))
+
+
+def _are_few(df: DataFrame) -> bool:
+    """Whether there are so few files and splits that a row for each is surely small."""
+    return len(df.inputFiles()) + df.rdd.getNumPartitions() <= MOST_BLOCKS
+
+
 def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str = ROW_INDEX) -> DataFrame:
     """df with the row's 0-based place in the whole dataset as its first column.
 
-    A scan of Parquet files: the place in the file, which the reader gives, added to the rows of all
-    files whose paths sort before; one narrow pass, after a count that reads no column. Other frames: the
-    place in scan order, or in the order of order_by, by one pass over RDD partitions.
+    A scan of files: the place in its block, added to the rows of all blocks before it, in the order of paths;
+    no shuffle, after a count that reads no column. Other frames: the place in their own order, or in that of order_by,
+    by one pass over RDD partitions.
     """
-    if order_by is None and _has_file_rows(df):
-        # Columns by place: names that differ only in case would be ambiguous.
-        own = [f"c{i}" for i in range(len(df.columns))]
-        placed = df.select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")).toDF(*own, "f", "r")
-        if len(df.inputFiles()) == 1:
+    found = _placed(df) if order_by is None else None
+    if found:
+        placed, zero = found
+        own = placed.columns[:-3]
+        if zero and len(df.inputFiles()) == 1:
             return placed.select("r", *own).toDF(name, *df.columns)
-        files = df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows"))
-        # A row for each file.
-        before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-        files = files.select("path", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
-        joined = placed.join(files, F.col("f") == F.col("path"))
+        # A row for each block.
+        before = Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = _blocks(placed).select(F.col("f").alias("f2"), F.col("b").alias("b2"), (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("before"))
+        joined = placed.join(F.broadcast(blocks) if _are_few(df) else blocks, (F.col("f") == F.col("f2")) & (F.col("b") == F.col("b2")))
         return joined.select(F.col("before") + F.col("r"), *own).toDF(name, *df.columns)
     ordered = df.orderBy(*order_by) if order_by else df
     schema = T.StructType([T.StructField(name, T.LongType(), False), *df.schema.fields])
@@ -45,7 +73,36 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
 def select_rows(df: DataFrame, start_row: int = 0, max_rows: int | None = None, name: str = ROW_INDEX) -> DataFrame:
     """Rows whose ordinal is in [start_row, start_row + max_rows); max_rows counts rows looked at, usable or not.
 
-    A filter on the ordinal, so it's pushed to the scan, and the same however tasks run.
+    A filter on the ordinal, the same however tasks run.
     """
     out = df.where(F.col(name) >= start_row)
     return out if max_rows is None else out.where(F.col(name) < start_row + max_rows)
+
+
+def rows_in_range(df: DataFrame, start_row: int = 0, max_rows: int | None = None, name: str = ROW_INDEX) -> DataFrame:
+    """select_rows(with_row_index(df), ...), reading only files that the range reaches.
+
+    The blocks' row counts, which are taken first, say which these are; in one Parquet file the range is a filter that reaches the
+    reader.
+    """
+    found = _placed(df) if start_row > 0 or max_rows is not None else None
+    if not found or found[1] and len(df.inputFiles()) == 1 or not _are_few(df):
+        return select_rows(with_row_index(df, name=name), start_row, max_rows, name)
+    stop, total, before, wanted = None if max_rows is None else start_row + max_rows, 0, 0, []
+    # A row for each file, of which there are few.
+    for x in sorted(_blocks(found[0]).groupBy("f").agg(F.sum("rows").alias("rows")).collect(), key=lambda x: x.f):
+        if total + x.rows > start_row and (stop is None or total < stop):
+            before = before if wanted else total
+            wanted.append(x.f)
+        total += x.rows
+    if not wanted:
+        return with_row_index(df, name=name).where("false")
+    some = df.where(F.col("_metadata.file_path").between(wanted[0], wanted[-1]))
+    if found[1] and len(wanted) == 1:
+        # Bounds of the place in the file itself, so that they reach the reader.
+        placed, _ = _placed(some)
+        own = placed.columns[:-3]
+        return select_rows(placed, start_row - before, max_rows, "r").select(F.col("r") + before, *own).toDF(name, *df.columns)
+    numbered = with_row_index(some, name=name)
+    plain = numbered.toDF("r", *(f"c{i}" for i in range(len(df.columns))))
+    return select_rows(plain.withColumn("r", F.col("r") + before), start_row, max_rows, "r").toDF(*numbered.columns)

@@ -17,6 +17,12 @@ def status_breakdown(statuses: DataFrame) -> DataFrame:
     return statuses.groupBy("status").agg(F.count("*").alias("rows"))
 
 
+def skip_causes(statuses: DataFrame, most: int = 20) -> DataFrame:
+    """The commonest causes that rows were skipped of: status, error (its first 200 characters), rows. A report of at most so many rows."""
+    causes = statuses.where(F.col("status") != WRITTEN).groupBy("status", F.substring("error", 1, 200).alias("error")).agg(F.count("*").alias("rows"))
+    return causes.orderBy(F.desc("rows"), "status", "error").limit(most)
+
+
 def dataset_profile(df: DataFrame, name: str) -> DataFrame:
     """One row: the dataset's name, its number of rows and its columns. Reads no column."""
     return df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("dataset"), "rows", F.lit(",".join(df.columns)).alias("columns"))

@@ -12,18 +12,19 @@ import logging
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import escape_controls
 from ..operators.extract import SOURCE_CHARS, with_row_id, with_source_text
-from ..operators.inference import NO_TEXT, Backend, EchoBackend, HttpChatBackend, infer, wait_until_healthy
+from ..operators.inference import Backend, EchoBackend, HttpChatBackend, infer, wait_until_healthy
 from ..operators.prompts import user_prompt
 from ..operators.records import chat_record, raw_assistant_json, raw_record_json
-from ..operators.rows import select_rows, with_row_index
-from ..operators.summary import run_summary
+from ..operators.rows import rows_in_range
+from ..operators.summary import dataset_profile, run_summary, skip_causes
 from ..sources.datasets import read_dataset
-from ..sources.jsonl import write_jsonl
+from ..sources.jsonl import export_single_file, write_jsonl
 
 LOG = logging.getLogger("quern.generate")
 
@@ -48,6 +49,13 @@ class GenerateConfig:
     fmt: str | None = None
     #: Calls at a time, over all executors; None: as many as the dataset has partitions.
     inference_parallelism: int | None = None
+    #: Calls at a time in each of those partitions.
+    calls_per_task: int = 1
+    #: How often the server's health is asked for before a run is given up, and the seconds between.
+    health_attempts: int = 1
+    health_delay_seconds: float = 2.0
+    #: The run's records in one file too, in the order of rows.
+    single_file: str | None = None
     backend: str = "http"
     #: Leave out rows of which out has a record already.
     resume: bool = False
@@ -60,7 +68,7 @@ class GenerateConfig:
 
 def prepare(df: DataFrame, start_row: int = 0, max_rows: int | None = None, max_source_chars: int = SOURCE_CHARS) -> DataFrame:
     """A dataset's rows to row_index, row_id, source_fields, source_text and prompt; the last three are null without usable text."""
-    rows = select_rows(with_row_index(df, name="__row_index"), start_row, max_rows, "__row_index")
+    rows = rows_in_range(df, start_row, max_rows, "__row_index")
     texts = with_row_id(with_source_text(rows, max_source_chars, skip=("__row_index",)), "__row_index", "__row_id")
     # By place, from the end: the dataset's own columns may have these names too.
     plain = texts.toDF(*(f"c{i}" for i in range(len(texts.columns))))
@@ -68,12 +76,9 @@ def prepare(df: DataFrame, start_row: int = 0, max_rows: int | None = None, max_
     return plain.select(at["__row_index"].alias("row_index"), at["__row_id"].alias("row_id"), at["source_fields"].alias("source_fields"), at["source_text"].alias("source_text"), user_prompt(at["source_text"]).alias("prompt"))
 
 
-def statuses(prepared: DataFrame, backend: Backend, parallelism: int | None = None) -> DataFrame:
-    """Prepared rows with question, answer, status and error. Rows without text never come near the model."""
-    usable = infer(prepared.where(F.col("source_text").isNotNull()), backend, parallelism)
-    none = F.lit(None).cast("string")
-    skipped = prepared.where(F.col("source_text").isNull()).select("*", none.alias("question"), none.alias("answer"), F.lit(NO_TEXT).alias("status"), F.lit("row does not contain any usable text fields").alias("error"))
-    return usable.unionByName(skipped)
+def statuses(prepared: DataFrame, backend: Backend, parallelism: int | None = None, calls_per_task: int = 1) -> DataFrame:
+    """Prepared rows with question, answer, status and error, in one scan. Rows without text have no prompt, and never come near the model."""
+    return infer(prepared, backend, parallelism, calls_per_task=calls_per_task)
 
 
 def records(done: DataFrame, dataset: str, split: str) -> DataFrame:
@@ -89,8 +94,10 @@ def _without_written(prepared: DataFrame, cfg: GenerateConfig) -> DataFrame:
     meta = "meta struct<dataset: string, split: string, row_id: string>"
     try:
         old = spark.read.schema(meta).json(cfg.out)
-    except Exception:  # nothing was written yet
-        return prepared
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return prepared  # nothing was written yet
     old = old.where((F.col("meta.dataset") == cfg.dataset) & (F.col("meta.split") == cfg.split)).select(F.col("meta.row_id").alias("row_id")).distinct()
     return prepared.join(old, "row_id", "left_anti")
 
@@ -99,15 +106,23 @@ def generate(spark: SparkSession, cfg: GenerateConfig, backend: Backend | None =
     """Runs cfg, appends records to the folder cfg.out, and returns how many rows were written and skipped."""
     backend = backend or cfg.make_backend()
     if isinstance(backend, HttpChatBackend) and not cfg.skip_healthcheck:
-        wait_until_healthy(backend.health_url, timeout_seconds=cfg.timeout_seconds)
-    prepared = prepare(read_dataset(spark, cfg.dataset, cfg.split, cfg.root, cfg.fmt), cfg.start_row, cfg.max_rows, cfg.max_source_chars)
+        wait_until_healthy(backend.health_url, cfg.health_attempts, cfg.health_delay_seconds, cfg.timeout_seconds)
+    rows = read_dataset(spark, cfg.dataset, cfg.split, cfg.root, cfg.fmt)
+    if LOG.isEnabledFor(logging.INFO):
+        LOG.info("dataset=%s split=%s rows=%d columns=%s", cfg.dataset, cfg.split, dataset_profile(rows, cfg.dataset).first().rows, rows.columns)
+    prepared = prepare(rows, cfg.start_row, cfg.max_rows, cfg.max_source_chars)
     if cfg.resume:
         prepared = _without_written(prepared, cfg)
     work = f"{cfg.out.rstrip('/')}.work/{uuid.uuid4().hex}"
-    done = statuses(prepared, backend, cfg.inference_parallelism)
+    done = statuses(prepared, backend, cfg.inference_parallelism, cfg.calls_per_task)
     done.write.parquet(work)
     kept = spark.read.schema(done.schema).parquet(work)
-    write_jsonl(records(kept, cfg.dataset, cfg.split), cfg.out)
+    written = records(kept, cfg.dataset, cfg.split)
+    write_jsonl(written, cfg.out)
+    if cfg.single_file:
+        export_single_file(written, cfg.single_file, "row_index")
+    for cause in skip_causes(kept).collect():
+        LOG.warning("skipped: %d rows, %s: %s", cause.rows, cause.status, cause.error)
     total = run_summary(kept).first()
     LOG.info("written=%d skipped=%d out=%s", total.written, total.skipped, cfg.out)
     return {"written": total.written, "skipped": total.skipped}

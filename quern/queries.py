@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from . import functions as fn
 from . import operators as op
 from .plans.generate import prepare, records, statuses
+from .session import shared_root
 from .sources import prefetch_datasets, read_jsonl, write_jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,8 @@ def _text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _extracted(df: DataFrame, *keep: str, most: int = op.extract.SOURCE_CHARS) -> DataFrame:
-    return op.with_source_text(df, most).select(*keep, "source_fields", "source_text")
+def _extracted(df: DataFrame, *keep: str) -> DataFrame:
+    return op.with_source_text(df).select(*keep, "source_fields", "source_text")
 
 
 def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,15 +45,38 @@ def row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.select_rows(op.with_row_index(table(spark, sf_dir, "documents")), 100, 50).select("row_index", "doc_id", "text")
+    return op.rows_in_range(table(spark, sf_dir, "documents"), 100, 50).select("row_index", "doc_id", "text")
 
 
 def row_range_negative_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.select_rows(op.with_row_index(table(spark, sf_dir, "documents")), -5, 10).select("row_index", "doc_id")
+    return op.rows_in_range(table(spark, sf_dir, "documents"), -5, 10).select("row_index", "doc_id")
 
 
 def row_range_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.select_rows(op.with_row_index(table(spark, sf_dir, "conversations")), 20).select("row_index", "conv_id", "turn")
+    return op.rows_in_range(table(spark, sf_dir, "conversations"), 20).select("row_index", "conv_id", "turn")
+
+
+def _files(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The documents in five files of another format, in the order of doc_id."""
+    path, docs = _folder(spark, f"rows-{kind}"), table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.format(kind).save(path)
+    return spark.read.schema(docs.schema).format(kind).load(path)
+
+
+def row_ordinal_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.with_row_index(_files(spark, sf_dir, "json")).select("row_index", "doc_id")
+
+
+def row_range_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.rows_in_range(_files(spark, sf_dir, "json"), 30, 111).select("row_index", "doc_id", "text")
+
+
+def row_ordinal_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.with_row_index(_files(spark, sf_dir, "parquet")).select("row_index", "doc_id")
+
+
+def row_range_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.rows_in_range(_files(spark, sf_dir, "parquet"), 30, 111).select("row_index", "doc_id", "text")
 
 
 def collapse_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +125,7 @@ def preferred_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _text(spark, sf_dir)
     k = F.col("doc_id") % 3
     d = d.select("doc_id", F.concat(F.lit("body "), "text").alias("body"), F.when(k == 0, F.lit(None)).otherwise(F.concat(F.lit("content "), "text")).alias("content"), F.when(k == 2, F.col("text")).otherwise(F.lit("  ")).alias("text"))
-    return _extracted(d, "doc_id", most=120)
+    return _extracted(d, "doc_id")
 
 
 def skip_no_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,8 +242,7 @@ def _folder(spark: SparkSession, name: str) -> str:
     """A new folder where all executors can write."""
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quern-")
-    return f"{root.rstrip('/')}/quern/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_root(spark)}/quern/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def resume_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +262,7 @@ def prefetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        dataset_profile, row_ordinal, row_range, row_range_negative_start, row_range_open, collapse_whitespace, truncate_ellipsis_200, truncate_small_limit, nonblank_test,
+        dataset_profile, row_ordinal, row_ordinal_json, row_ordinal_many_files, row_range, row_range_json, row_range_many_files, row_range_negative_start, row_range_open, collapse_whitespace, truncate_ellipsis_200, truncate_small_limit, nonblank_test,
         preferred_text_documents, preferred_over_metadata_conversations, fallback_text_pages, fallback_text_part, fallback_with_blanks, preferred_priority, skip_no_text,
         infer_row_id_key, infer_row_id_ordinal, user_prompt, chat_request_json, strip_reasoning, json_span, parse_qa, assistant_json, chat_record_typed, generate_offline,
         generate_backend, run_summary, status_breakdown, resume_append, prefetch_report,
@@ -332,6 +354,10 @@ _PROFILE_COLUMNS = {
 ORACLE_SQL: dict[str, str] = {
     "dataset_profile": " union all ".join(f"select '{t}' as dataset, count(*) as rows, '{_PROFILE_COLUMNS[t]}' as columns from {t}" for t in TABLES),
     "row_ordinal": "select doc_id as row_index, doc_id from documents",
+    "row_ordinal_json": "select doc_id as row_index, doc_id from documents",
+    "row_ordinal_many_files": "select doc_id as row_index, doc_id from documents",
+    "row_range_json": "select doc_id as row_index, doc_id, text from documents where doc_id >= 30 and doc_id < 141",
+    "row_range_many_files": "select doc_id as row_index, doc_id, text from documents where doc_id >= 30 and doc_id < 141",
     "row_range": "select doc_id as row_index, doc_id, text from documents where doc_id >= 100 and doc_id < 150",
     "row_range_negative_start": "select doc_id as row_index, doc_id from documents where doc_id < 5",
     "row_range_open": "select * from (select row_number() over (order by conv_id, turn) - 1 as row_index, conv_id, turn from conversations) where row_index >= 20",
@@ -346,7 +372,7 @@ ORACLE_SQL: dict[str, str] = {
     "fallback_with_blanks": f"""select p_partkey, case p_partkey % 4 when 1 then null when 2 then 'p_name,p_type' else 'p_name,p_brand,p_type' end as source_fields,
         case p_partkey % 4 when 1 then null when 2 then {_source("p_name || ' ' || p_type")} else {_source("p_name || ' ' || p_brand || ' ' || p_type")} end as source_text from part""",
     "preferred_priority": f"""select doc_id, case doc_id % 3 when 2 then 'text' when 1 then 'content' else 'body' end as source_fields,
-        {_source("case doc_id % 3 when 2 then text when 1 then 'content ' || text else 'body ' || text end", 120)} as source_text from documents""",
+        {_source("case doc_id % 3 when 2 then text when 1 then 'content ' || text else 'body ' || text end")} as source_text from documents""",
     "skip_no_text": "select 'embeddings' as dataset, count(*) as skipped, count(*) as rows from embeddings union all select 'labels', count(*), count(*) from labels",
     "infer_row_id_key": "select doc_id, cast(doc_id as varchar) as row_id from documents",
     "infer_row_id_ordinal": "select page_id, cast(page_id as varchar) as row_id from pages",

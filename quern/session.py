@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. In local mode, where that is unset, a temporary one; on a cluster that's an error, as executors would each write to their own disk."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="quern-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
 def session(app: str = "quern", master: str | None = None, **conf: object) -> SparkSession:
     """Adaptive execution with skew joins; UTC; no speculation, which would call a model twice."""
     builder = SparkSession.builder.appName(app)

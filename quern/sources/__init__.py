@@ -1,7 +1,7 @@
 """Datasets in, JSON Lines out."""
 
-from .datasets import find_split, parse_dataset_list, read_dataset
+from .datasets import find_split, parse_dataset_list, read_dataset, register_reader
 from .jsonl import default_output_name, export_single_file, read_jsonl, write_jsonl
 from .prefetch import prefetch_datasets
 
-__all__ = ["default_output_name", "export_single_file", "find_split", "parse_dataset_list", "prefetch_datasets", "read_dataset", "read_jsonl", "write_jsonl"]
+__all__ = ["default_output_name", "export_single_file", "find_split", "parse_dataset_list", "prefetch_datasets", "read_dataset", "read_jsonl", "register_reader", "write_jsonl"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+LOG = logging.getLogger("quern.datasets")
 FORMATS = ("parquet", "json", "csv", "text", "orc")
 _SUFFIXES = {"parquet": ("parquet",), "json": ("jsonl", "json"), "csv": ("csv",), "text": ("txt",), "orc": ("orc",)}
 
@@ -41,8 +45,31 @@ def find_split(spark: SparkSession, root: str, dataset: str, split: str = "train
     raise NoDataFiles(f"no data files for {dataset!r}, split {split!r}, under {root!r}")
 
 
-def read_dataset(spark: SparkSession, dataset: str, split: str = "train", root: str = "", fmt: str | None = None) -> DataFrame:
-    """The split's rows. fmt: the path <root>/<dataset> is of this format, and holds the split alone."""
+Reader = Callable[..., DataFrame]
+_READERS: dict[str, Reader] = {}
+
+
+def register_reader(prefix: str, reader: Reader | None) -> None:
+    """From now on datasets named <prefix>:<name> are read by reader(spark, name, split, revision=..., token=...); None takes it back.
+
+    For datasets that aren't files under a root: a hub's client, a catalog. None is built in.
+    """
+    if reader is None:
+        _READERS.pop(prefix, None)
+    else:
+        _READERS[prefix] = reader
+
+
+def read_dataset(spark: SparkSession, dataset: str, split: str = "train", root: str = "", fmt: str | None = None, revision: str | None = None, token: str | None = None) -> DataFrame:
+    """The split's rows. fmt: the path <root>/<dataset> is of this format, and holds the split alone.
+
+    revision, token: for registered readers; a revision of files is warned about, as there is none.
+    """
+    prefix, colon, name = dataset.partition(":")
+    if colon and prefix in _READERS:
+        return _READERS[prefix](spark, name, split, revision=revision, token=token)
+    if revision:
+        LOG.warning("%s: files have no revisions; %s is not looked at", dataset, revision)
     path, kind = (f"{root.rstrip('/')}/{dataset}" if root else dataset, fmt) if fmt else find_split(spark, root, dataset, split)
     reader = spark.read.option("header", True) if kind == "csv" else spark.read
     if kind == "text":

@@ -12,18 +12,18 @@ LOG = logging.getLogger("quern.prefetch")
 REPORT = "dataset string, split string, status string, rows bigint, columns array<string>, error string"
 
 
-def prefetch_datasets(spark: SparkSession, datasets: list[str], cache: str, split: str = "train", root: str = "") -> DataFrame:
+def prefetch_datasets(spark: SparkSession, datasets: list[str], cache: str, split: str = "train", root: str = "", revision: str | None = None, token: str | None = None) -> DataFrame:
     """Each dataset's split to <cache>/<dataset>/<split>, and a report: dataset, split, status, rows, columns, error.
 
     One dataset's failure doesn't stop the others: its status is no_data_files or failed, else cached. Without datasets
-    there's a warning and an empty report.
+    there's a warning and an empty report. revision, token: for registered readers; files under root have neither.
     """
     if not datasets:
         LOG.warning("no datasets requested")
     report = []
     for name in datasets:
         try:
-            df = read_dataset(spark, name, split, root)
+            df = read_dataset(spark, name, split, root, revision=revision, token=token)
             path = f"{cache.rstrip('/')}/{name}/{split}"
             df.write.mode("overwrite").parquet(path)
             rows = spark.read.parquet(path).count()

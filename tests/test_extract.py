@@ -4,7 +4,7 @@ import decimal
 import pytest
 from pyspark.sql import types as T
 
-from quern.operators import select_rows, text_fields, with_row_id, with_row_index, with_source_text
+from quern.operators import rows_in_range, select_rows, text_fields, with_row_id, with_row_index, with_source_text
 from quern.plans import prepare
 
 S = T.StringType()
@@ -71,6 +71,38 @@ def test_ordinal_over_files(spark, tmp_path):
     assert sorted((r.row_index, r.id) for r in rows) == [(i, i) for i in range(100)]
 
 
+@pytest.mark.parametrize("kind", ["parquet", "json", "csv", "orc"])
+def test_ranges_over_files(spark, tmp_path, kind):
+    spark.range(300).selectExpr("id", "cast(id as string) as Text").repartitionByRange(6, "id").sortWithinPartitions("id").write.format(kind).save(f"{tmp_path}/f")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")  # files are split, and several files are in a task
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = spark.read.schema("id long, Text string").format(kind).load(f"{tmp_path}/f")
+        assert sorted((r.row_index, r.id, r.Text) for r in with_row_index(df).collect()) == [(i, i, str(i)) for i in range(300)]
+        for start, most in ((0, None), (0, 5), (100, 7), (40, 200), (-5, 20), (295, None), (300, 3), (10, 0), (10, -3), (10**9, None)):
+            stop = 300 if most is None else start + most
+            assert sorted((r.row_index, r.id) for r in rows_in_range(df, start, most).collect()) == [(i, i) for i in range(max(0, start), min(300, stop))]
+        plan = with_row_index(df)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ExistingRDD" not in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ranges_skip_files(spark, tmp_path):
+    spark.range(300).repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/f")
+    df = rows_in_range(spark.read.parquet(f"{tmp_path}/f"), 120, 3)
+    assert [r.id for r in df.collect()] == [120, 121, 122]
+    execution = df._jdf.queryExecution()
+    plan = execution.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(_tmp_metadata_row_index" in plan and "LessThan(_tmp_metadata_row_index" in plan
+    scan = execution.executedPlan()
+    while scan.children().size():
+        scan = scan.children().head()
+    execution.executedPlan().execute().count()
+    assert scan.metrics().get("numFiles").get().value() == 1
+
+
 def test_ordinal_of_other_frames(spark, tmp_path):
     spark.range(10).coalesce(2).selectExpr("cast(9 - id as string) as text").write.text(f"{tmp_path}/t")
     rows = with_row_index(spark.read.text(f"{tmp_path}/t").withColumnRenamed("value", "text"), ["text"]).collect()

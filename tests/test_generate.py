@@ -11,7 +11,7 @@ from quern.cli import build_parser, main
 from quern.operators import EchoBackend, HttpChatBackend, ScriptedBackend, infer, run_summary, status_breakdown
 from quern.operators.inference import InferenceError
 from quern.plans import GenerateConfig, generate, prepare, records, statuses
-from quern.sources import default_output_name, export_single_file, find_split, parse_dataset_list, prefetch_datasets, read_dataset
+from quern.sources import default_output_name, export_single_file, find_split, parse_dataset_list, prefetch_datasets, read_dataset, register_reader
 from quern.sources.datasets import NoDataFiles
 from quern.streaming import generate_stream
 
@@ -125,6 +125,94 @@ def test_http_statuses(spark, server):
     assert all("chat_template_kwargs" not in c[2] for c in Handler.calls) and {c[3] for c in Handler.calls} == {"Bearer EMPTY"}
 
 
+class Closing(Handler):
+    """Closes each connection after its answer, without saying so."""
+
+    def do_POST(self):
+        super().do_POST()
+        self.close_connection = True
+
+
+def test_connections_that_the_server_closes(spark):
+    one = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Closing)
+    threading.Thread(target=one.serve_forever, daemon=True).start()
+    try:
+        backend = HttpChatBackend(f"http://127.0.0.1:{one.server_port}/v1", "m")
+        df = spark.range(20).select(F.concat(F.lit("alpha "), F.col("id").cast("string")).alias("prompt"))
+        for calls in (1, 5):
+            assert {r.status for r in infer(df, backend, 2, calls_per_task=calls).collect()} == {"written"}
+    finally:
+        one.shutdown()
+    down = infer(df.limit(2), HttpChatBackend("http://127.0.0.1:9/v1", "m")).collect()
+    assert {r.status for r in down} == {"skipped_unexpected"} and all("ConnectionRefused" in r.error for r in down)
+
+
+def test_calls_in_flight(spark):
+    class SlowBackend:
+        """Replies with the number of calls that are in flight."""
+
+        def __init__(self):
+            self.now = []
+
+        def open(self):
+            import time
+
+            def reply(prompt):
+                self.now.append(prompt)
+                time.sleep(0.02)
+                n = len(self.now)
+                self.now.remove(prompt)
+                return json.dumps({"question": str(n), "answer": "a"})
+
+            return reply
+
+    df = spark.range(40).select(F.col("id").cast("string").alias("prompt")).coalesce(1)
+    found = infer(df, SlowBackend(), calls_per_task=8).collect()
+    assert [r.prompt for r in found] == [str(i) for i in range(40)] and max(int(r.question) for r in found) > 1
+    assert max(int(r.question) for r in infer(df, SlowBackend()).collect()) == 1
+
+
+def test_one_scan(spark, root):
+    done = statuses(prepare(read_dataset(spark, "set", root=f"{root}/data")), EchoBackend(), 3)
+    assert done._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_resuming_says_what_fails(spark, root):
+    (root / "broken").mkdir()
+    (root / "broken/part-0.json").write_text("{}")
+    assert generate(spark, GenerateConfig("set", f"{root}/new", root=f"{root}/data", backend="echo", resume=True))["written"] == 3
+    with pytest.raises(Exception, match="nosuchscheme"):
+        generate(spark, GenerateConfig("set", "nosuchscheme://x/y", root=f"{root}/data", backend="echo", resume=True))
+
+
+def test_readers_by_name(spark, root, caplog):
+    seen = []
+    register_reader("hub", lambda spark, name, split, revision, token: seen.append((name, split, revision, token)) or spark.createDataFrame([(1, "x")], "id long, text string"))
+    try:
+        assert main(["prefetch", "--skip-model", "--dataset", "hub:a/b, set", "--root", f"{root}/data", "--cache", f"{root}/cache2", "--revision", "r1", "--token", "t"]) == 0
+    finally:
+        register_reader("hub", None)
+    assert seen == [("a/b", "train", "r1", "t")] and "no revisions" in caplog.text
+    assert spark.read.parquet(f"{root}/cache2/set/train").count() == 4
+
+
+def test_cli_single_file_and_causes(spark, root, caplog):
+    caplog.set_level("INFO")
+    assert main(["generate", "--dataset", "set", "--out", f"{root}/o2", "--root", f"{root}/data", "--backend", "echo", "--single-file", f"{root}/one.jsonl", "--calls-per-task", "2"]) == 0
+    assert [json.loads(x)["meta"]["row_id"] for x in (root / "one.jsonl").read_text().splitlines()] == ["10", "12", "13"]
+    assert "skipped: 1 rows, skipped_no_text" in caplog.text and "rows=4 columns=['doc_id', 'text']" in caplog.text
+    args = build_parser().parse_args(["generate", "--dataset", "d/e"])
+    assert args.out is None and (args.health_attempts, args.health_delay_seconds) == (1, 2.0)
+
+
+def test_health_is_asked_for_again(spark, root, server):
+    server.health = 503
+    threading.Timer(0.5, lambda: setattr(server, "health", 200)).start()
+    cfg = GenerateConfig("set", f"{root}/o3", root=f"{root}/data", api_base=f"http://127.0.0.1:{server.server_port}/v1", health_attempts=30, health_delay_seconds=0.1)
+    assert generate(spark, cfg)["skipped"] == 4 - generate(spark, cfg)["written"]
+    assert len([c for c in Handler.calls if c[0] == "GET"]) > 2
+
+
 def test_cli(spark, root):
     args = build_parser().parse_args(["generate", "--dataset", "d", "--out", "o"])
     assert (args.split, args.api_base, args.start_row, args.max_rows, args.max_source_chars, args.max_tokens, args.temperature, args.timeout_seconds) == ("train", "http://localhost:8000/v1", 0, None, 4000, 512, 0.2, 180.0)

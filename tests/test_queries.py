@@ -41,6 +41,26 @@ def test_entry(spark):
     assert __spark_entry__.oracle_sql().keys() <= __spark_entry__.queries().keys()
 
 
+def test_entry_without_the_training_data_operators(tmp_path):
+    """An empty folder in their place, or one whose imports fail, leaves the other queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    for kind in ("absent", "empty", "broken"):
+        at = tmp_path / kind
+        shutil.copytree(root / "quern", at / "quern", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        shutil.copy(root / "__spark_entry__.py", at)
+        if kind != "absent":
+            (at / "quern/llm").mkdir()
+        if kind == "broken":
+            (at / "quern/llm/queries.py").write_text("import no_such_library")
+        said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*e.queries()); assert e.oracle_sql().keys() <= e.queries().keys()"], cwd=at, env=os.environ | {"PYTHONPATH": str(at)}, capture_output=True, text=True, check=True)
+        assert said.stdout.split() == list(QUERIES)
+
+
 def test_native_stages_have_no_python(spark):
     plan = QUERIES["generate_offline"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
