@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ._common import stored
 
 #: Members and strays of a bucket that one cell takes, about.
-CELL = 1024
+CELL = 512
 #: Sizes of a cell's members that are held at once, about, in all.
 CELL_SIZE = 2 << 20
 #: Parts of a bucket when its members are told what it holds, so that a large bucket isn't one task's.

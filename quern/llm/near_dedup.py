@@ -187,14 +187,17 @@ def _candidates(cell: pa.Table) -> pa.RecordBatch:
     band = cell.column("band")[0].as_py()
     rows = _array(cell.column("sketch").combine_chunks())
     answers, lists = np.flatnonzero(~asks), {}
-    shared = rows[answers].reshape(len(answers), BANDS, ROWS)
+    own, n_own, stray_own = rows[answers], n[answers], stray[answers]
     for i in np.flatnonzero(asks):
-        at = np.flatnonzero((component[answers] != component[i]) & sizes_allow(n[answers], n[i]) & (~stray[answers] | (ids[answers] > ids[i])))
-        at = at[(shared[at] == rows[i].reshape(BANDS, ROWS)).all(2).argmax(1) == band]
-        at = answers[at]
-        stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), rows[at], least)
-        if len(stay):
-            lists[int(i)] = ids[at[stay[np.argsort(-matches, kind="stable")]]]
+        # The first look is at all, without a copy of them; most end there.
+        few = (own[:, :BATCH] == rows[i, :BATCH]).sum(1) >= least[0]
+        at = np.flatnonzero(few & (component[answers] != component[i]) & sizes_allow(n_own, n[i]) & (~stray_own | (ids[answers] > ids[i])))
+        stay, matches = may_link(np.broadcast_to(rows[i], (len(at), _K)), own[at], least)
+        at = at[stay]
+        first = (own[at].reshape(len(at), BANDS, ROWS) == rows[i].reshape(BANDS, ROWS)).all(2).argmax(1) == band
+        at, matches = at[first], matches[first]
+        if len(at):
+            lists[int(i)] = ids[answers[at[np.argsort(-matches, kind="stable")]]]
     wanted = np.isin(ids, np.concatenate(list(lists.values()))) & ~asks if lists else np.zeros(len(ids), bool)
     kept = sorted([*lists, *np.flatnonzero(wanted).tolist()])
     out = cell.select(["key", "row", "column", "id", "component", "asks"]).take(pa.array(kept, pa.int64()))

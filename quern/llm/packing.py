@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_bytes, in_slices, pick, shuffle_partitions, small_batches, stored, table
-from .tokenizing import crc32, ids_by
+from .tokenizing import SLICE, crc32, ids_by
 
 SEQUENCE = 2048
 END_ID = 1
@@ -81,7 +81,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, white_space: str = "lead", en
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, piece = ids_by(tokenizer, white_space), TaskContext.get().partitionId() << 40
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", SLICE):
             rows = []
             for doc_id, x in zip(batch.column("doc_id").to_pylist(), ids.of(as_bytes(batch.column("text")))):
                 x += end

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ._common import as_bytes, in_slices, pick, scratch, shuffle_partitions, small_batches, stored, table
 from .files import Reader, new_file
-from .tokenizing import crc32, ids_by
+from .tokenizing import SLICE, crc32, ids_by
 
 MAGIC = b"QTOK0001"
 END_ID = 2
@@ -85,7 +85,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, white_space: str = "drop", end
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
         ids = ids_by(tokenizer, white_space)
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", SLICE):
             yield batch.column("doc_id"), [x + end for x in ids.of(as_bytes(batch.column("text")))]
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,8 @@ from .words import MASKS, mixed
 
 #: Remembered pieces, and ids of them; beyond that a worker begins anew.
 REMEMBERED, HELD_IDS = 1 << 20, 1 << 24
+#: Bytes of texts that are cut at once, about.
+SLICE = 2 << 20
 #: Pieces that are sent to the library as one text.
 TOGETHER = 512
 #: Bytes that raise no question: ASCII letters, digits and marks other than the apostrophe, the space and the line end.
@@ -75,7 +77,7 @@ class Table:
         if 2 * (self.n + len(a)) > len(self.a):
             at, size = np.flatnonzero(self.number >= 0), len(self.a)
             while 2 * (self.n + len(a)) > size:
-                size *= 4
+                size *= 2
             a, b, number = (np.concatenate(x) for x in ((self.a[at], a), (self.b[at], b), (self.number[at], number)))
             self.__init__(size)
         self.n += len(a)

@@ -1,12 +1,12 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Fit. Tokens are words and, for inflected forms, the first 4, 5 and 6 bytes of words. A token's log-odds
+Fit. Tokens are words and, for inflected forms, the first 4 to 7 bytes of words. A token's log-odds
 between toxic and other labelled documents have a Dirichlet prior in either class, PRIOR for each token and shared out as the
 classes are, so that a token which neither has seen has odds of zero. They are drawn towards zero by CAUTION standard
 deviations, so that few documents tell little. Counted are documents; for tokens that speak for toxicity, places where the same words stand
 around a token count once, lest copies of a document make its rare words look telling, and a prefix
-counts only if it begins LEAST_FORMS words. Every word weighs its own log-odds, else those of its longest known
-prefix, else zero; less DRIFT, so that a random text's score falls.
+counts only if it begins LEAST_FORMS words. Every word weighs its own log-odds, or those of its likeliest stem if they are
+higher, less DRIFT, so that a random text's score falls. A word that comes again in a text tells less each time.
 
 Search. One linear pass over a text's words finds all maximal segments: those whose score can't be
 made higher by growing or cutting them. The passages are those that are expected in text that isn't toxic at most
@@ -16,7 +16,8 @@ Calibration. In text that isn't toxic, maximal scores follow an extreme-value la
 s in n words is expected n * exp(-rate * s) times, where the rate solves E exp(rate * weight) = 1 over the words of
 documents that aren't toxic. A document's segments are combined by the law for the sum of the r best,
 and the best r is taken. The document's score is a logistic function of the logarithm of one more than minus the logarithm of that
-expected number. The rate and the function are fitted on documents of the sample whose words weren't counted.
+expected number. The rate and the function are fitted to the documents of each of PARTS parts as models see them in which
+their words weren't counted.
 
 Scale. The model is fitted on at most MOST_LABELLED documents with each label, and is one table of 64-bit
 hashes. Scoring is one narrow stage over whole texts. Words are hashed, looked up and weighed by
@@ -43,9 +44,9 @@ from .words import NO_LETTER, Words, mixed
 
 #: Documents with each label that the model is fitted on, at most.
 MOST_LABELLED = 4000
-#: Of so many of them one is for calibration.
-CALIBRATED = 5
-PREFIXES = (6, 5, 4)
+#: Parts of them: the law and the score's function are fitted to each part as a model of all other parts sees it.
+PARTS = 4
+PREFIXES = (7, 6, 5, 4)
 PRIOR = 1.0
 CAUTION = 2.0
 DRIFT = 0.5
@@ -90,16 +91,28 @@ class Odds:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.scale * math.log1p(surprise) + self.shift))))
 
     def of(self, words: Words) -> np.ndarray:
-        """The weight of each word: its log-odds, else those of its longest known prefix, less DRIFT."""
-        weight = np.full(len(words.start), -DRIFT)
-        if len(self.hashes):
-            open_ = np.arange(len(words.start))
-            for h in (words.hashes(), *(words.prefixes(n) for n in PREFIXES)):
-                at = np.minimum(np.searchsorted(self.hashes, h[open_]), len(self.hashes) - 1)
-                hit = self.hashes[at] == h[open_]
-                weight[open_[hit]] += self.weights[at[hit]]
-                open_ = open_[~hit]
-        return weight
+        """The weight of each word: its log-odds or, if these aren't negative, its stem's if they are higher; less DRIFT.
+
+        What tells of toxicity tells less each time it comes again: positive odds are divided by how often the text has had the word.
+        """
+        whole = words.hashes()
+        odds = self._known(whole)
+        stem = np.max([self._known(words.prefixes(n)) for n in PREFIXES], 0)
+        odds = np.where(odds < 0, odds, np.maximum(odds, stem))
+        at = np.flatnonzero(odds > 0)
+        order = at[np.lexsort((at, whole[at], np.searchsorted(words.first, at, side="right")))]
+        new = np.ones(len(order), bool)
+        of = np.searchsorted(words.first, order, side="right")
+        new[1:] = (whole[order][1:] != whole[order][:-1]) | (of[1:] != of[:-1])
+        begins = np.flatnonzero(new)
+        odds[order] /= np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order)))) + 1
+        return odds - DRIFT
+
+    def _known(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(h))
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, self.weights[at], 0.0)
 
 
 def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
@@ -158,35 +171,39 @@ def law_rate(chance: np.ndarray, weights: np.ndarray) -> float:
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each token of a batch: in how many of its documents with label 0 and 1 it is. At hash 0: documents in all."""
+    """Of each token of a batch: in how many of its documents of each part with label 0 and 1 it is. At hash 0: documents in all."""
     for batch in in_slices(batches, "text"):
-        words, labels = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), np.array(batch.column("label").to_pylist())
+        words, kind = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), _kinds(batch)
         document = words.document()
-        parts = []
+        found = [np.stack([np.zeros(len(kind), np.uint64), np.arange(len(kind), dtype=np.uint64)], 1)]
         for h in (words.hashes(), *(words.prefixes(n) for n in PREFIXES)):
             at = np.flatnonzero(h)
-            parts.append(np.unique(np.rec.fromarrays([h[at], document[at]], names="h,d")))
-        every = np.concatenate(parts)
-        h, where = np.unique(every["h"], return_inverse=True)
-        label = labels[every["d"]]
-        found = [np.bincount(where[label == k], minlength=len(h)) for k in (0, 1)]
-        total = [int((labels == k).sum()) for k in (0, 1)]
-        yield pa.record_batch({"h": pa.array(np.append(h.view(np.int64), 0)), "n0": pa.array(np.append(found[0], total[0])), "n1": pa.array(np.append(found[1], total[1]))})
+            found.append(np.stack([h[at], document[at].astype(np.uint64)], 1))
+        every = np.unique(np.concatenate(found), axis=0)
+        h, where = np.unique(every[:, 0], return_inverse=True)
+        counts = np.bincount(where * 2 * PARTS + kind[every[:, 1].astype(np.int64)], minlength=len(h) * 2 * PARTS).reshape(len(h), 2 * PARTS)
+        yield pa.record_batch({"h": pa.array(h.view(np.int64)), **{f"n{k}": pa.array(counts[:, k]) for k in range(2 * PARTS)}})
+
+
+def _kinds(batch: pa.RecordBatch) -> np.ndarray:
+    """Of each document its part and its label, in one number."""
+    return 2 * batch.column("part").to_numpy().astype(np.int64) + batch.column("label").to_numpy()
 
 
 def _contexts(tokens: np.ndarray):
-    """Of each place of these tokens in texts: the token, the label, the document, the words around it and the word itself, as hashes."""
+    """What stands at each place of these tokens in texts: the document (what 0), the words around it (1) and the word itself (2), as hashes; the part as a bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, "text"):
-            words, labels = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), np.array(batch.column("label").to_pylist())
+            words, kind = Words(lowered(batch.column("text").to_pylist()), NO_LETTER), _kinds(batch)
             ids, document, whole = batch.column("doc_id").to_numpy(zero_copy_only=False), words.document(), words.hashes()
             around = np.concatenate([[0], whole, [0]]).astype(np.uint64)
             around = mixed(around[:-2] * np.uint64(3) + around[2:] * np.uint64(5))
             for h in (whole, *(words.prefixes(n) for n in PREFIXES)):
                 at = np.flatnonzero(np.isin(h, tokens))
-                rows = np.unique(np.stack([h[at].view(np.int64), labels[document[at]], ids[document[at]], around[at].view(np.int64), whole[at].view(np.int64)], 1), axis=0) if len(at) else np.empty((0, 5), np.int64)
-                yield pa.record_batch({k: pa.array(rows[:, i].astype(np.int64)) for i, k in enumerate(("h", "label", "doc_id", "around", "whole"))})
+                for what, value in enumerate((ids[document[at]], around[at].view(np.int64), whole[at].view(np.int64))):
+                    rows = np.unique(np.stack([h[at].view(np.int64), kind[document[at]], value.astype(np.int64)], 1), axis=0)
+                    yield pa.record_batch({"h": pa.array(rows[:, 0]), "label": pa.array(rows[:, 1] & 1), "part": pa.array(1 << (rows[:, 1] >> 1)), "what": pa.array(np.full(len(rows), what)), "value": pa.array(rows[:, 2])})
 
     return run
 
@@ -205,34 +222,46 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_L
     """
     small_batches(docs.sparkSession)
     sample, counts = sample_of(labels, "toxic", most_labelled, folds, fold)
-    kept = F.pmod(F.xxhash64("doc_id", F.lit(CALIBRATED)), F.lit(CALIBRATED)) == 0
-    texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label", kept.alias("kept")), "toxic-sample")
-    there = {(r.label, r.kept): r.n for r in texts.groupBy("label", "kept").agg(F.count("*").alias("n")).collect()}
-    few = min(there.get((k, x), 0) for k in (0, 1) for x in (False, True)) < CALIBRATED
-    learnt, other = (texts, texts) if few else (texts.where("not kept"), texts.where("kept"))
+    part = F.pmod(F.xxhash64("doc_id", F.lit(PARTS)), F.lit(PARTS)).cast("int")
+    texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label", part.alias("part")), "toxic-sample")
+    names = [f"n{k}" for k in range(2 * PARTS)]
     # The sample bounds these rows.
-    seen = learnt.select("text", "label").mapInArrow(_presence, "h bigint, n0 bigint, n1 bigint").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    seen = seen.where("h = 0 or n0 + n1 > 1").toPandas()
-    totals = seen[seen.h == 0]
-    n0, n1 = (float(totals[k].sum()) for k in ("n0", "n1"))
-    if not (n0 and n1):
+    seen = texts.select("text", "label", "part").mapInArrow(_presence, "h bigint, " + ", ".join(f"{n} bigint" for n in names)).groupBy("h").agg(*(F.sum(n).alias(n) for n in names))
+    seen = seen.where("h = 0 or " + " + ".join(names) + " > 1").toPandas().sort_values("h")
+    each = seen[names].to_numpy(float).reshape(-1, PARTS, 2)
+    there = each[seen.h.to_numpy() == 0].sum(0)
+    if not len(there) or not there.sum(0).all():
         return Odds(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, math.log((counts[1] + 1) / (counts[0] + 1)))
-    seen = seen[seen.h != 0].sort_values("h")
-    hashes, odds = seen.h.to_numpy(np.int64), log_odds(seen.n0.to_numpy(float), seen.n1.to_numpy(float), n0, n1)
-    maybe = np.sort(hashes[odds > 0].view(np.uint64))
-    places = learnt.select("doc_id", "text", "label").mapInArrow(_contexts(maybe), "h bigint, label bigint, doc_id bigint, around bigint, whole bigint")
-    each = [F.countDistinct(F.when(F.col("label") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("doc_id", "around")]
-    found = places.groupBy("h").agg(*each, F.countDistinct(F.when(F.col("label") == 1, F.col("whole"))).alias("forms"), F.max(F.col("h") == F.col("whole")).alias("is_word")).toPandas().sort_values("h")
-    y0, y1 = (np.minimum(found[f"doc_id{k}"], found[f"around{k}"]).to_numpy(float) for k in (0, 1))
-    telling = np.where(found.is_word.to_numpy(bool) | (found.forms.to_numpy() >= LEAST_FORMS), log_odds(y0, y1, n0, n1), 0.0)
-    hashes, weights = np.concatenate([hashes[odds < 0], found.h.to_numpy(np.int64)]).view(np.uint64), np.concatenate([odds[odds < 0], telling])
-    order = np.argsort(hashes)
-    order = order[weights[order] != 0]
-    model = Odds(hashes[order], weights[order], 1.0)
-    spread = other.where("label = 0").select("text").mapInArrow(_weights(model), "weight double, n bigint").groupBy("weight").agg(F.sum("n").alias("n")).orderBy("weight").toPandas()
-    if len(spread):
-        model.rate = law_rate(spread.n.to_numpy(float) / spread.n.sum(), spread.weight.to_numpy(float))
-    felt = other.select("text", "label").mapInArrow(_surprises(model), "label int, surprise double").orderBy("surprise", "label").toPandas()
+    hashes, each = seen.h.to_numpy(np.int64)[seen.h.to_numpy() != 0], each[seen.h.to_numpy() != 0]
+    # The model itself is of all parts; one for each part is of all the others. With few documents, all are of all.
+    few = (there.sum(0) - there).min() < PARTS
+    left_out = [None] * (PARTS + 1) if few else [None, *range(PARTS)]
+    totals = [there.sum(0) - (0 if k is None else there[k]) for k in left_out]
+    odds = [log_odds(*(each.sum(1) - (0 if k is None else each[:, k])).T, *n) for k, n in zip(left_out, totals)]
+    maybe = np.sort(hashes[np.max(odds, 0) > 0].view(np.uint64))
+    places = texts.mapInArrow(_contexts(maybe), "h bigint, label bigint, part bigint, what bigint, value bigint")
+    places = places.groupBy("h", "label", "what", "value").agg(F.bit_or("part").alias("parts"), F.max(F.col("h") == F.col("value")).alias("own"))
+    some = [F.count_if(F.col("parts").bitwiseAND((1 << PARTS) - 1 if k is None else (1 << PARTS) - 1 - (1 << k)) != 0).alias(f"m{i}") for i, k in enumerate(left_out)]
+    places = places.groupBy("h", "label", "what").agg(*some, F.max(F.col("own") & (F.col("what") == 2)).alias("own")).toPandas()
+    tokens, at = np.unique(places.h.to_numpy(np.int64), return_inverse=True)
+    seen_in = np.zeros((len(tokens), 2, 3, len(left_out)))
+    seen_in[at, places.label.to_numpy(int), places.what.to_numpy(int)] = places[[f"m{i}" for i in range(len(left_out))]].to_numpy(float)
+    is_word = np.zeros(len(tokens), bool)
+    is_word[at[places.own.to_numpy(bool)]] = True
+    models = []
+    for i, n in enumerate(totals):
+        y0, y1 = (np.minimum(seen_in[:, label, 0, i], seen_in[:, label, 1, i]) for label in (0, 1))
+        telling = np.where(is_word | (seen_in[:, 1, 2, i] >= LEAST_FORMS), np.maximum(0, log_odds(y0, y1, *n)), 0.0)
+        h, w = np.concatenate([hashes[odds[i] < 0], tokens]).view(np.uint64), np.concatenate([odds[i][odds[i] < 0], telling])
+        order = np.argsort(h)
+        order = order[w[order] != 0]
+        models.append(Odds(h[order], w[order], 1.0))
+    spread = texts.where("label = 0").select("text", "part").mapInArrow(_weights(models[1:]), "part int, weight double, n bigint").groupBy("part", "weight").agg(F.sum("n").alias("n")).orderBy("part", "weight").toPandas()
+    for k, own in spread.groupby("part"):
+        models[1 + k].rate = law_rate(own.n.to_numpy(float) / own.n.sum(), own.weight.to_numpy(float))
+    model = models[0]
+    model.rate = float(np.mean([m.rate for m in models[1:]]))
+    felt = texts.select("text", "label", "part").mapInArrow(_surprises(models[1:]), "label int, surprise double").orderBy("surprise", "label").toPandas()
     # Weighed as among all labels, of which the sample may have another share.
     y = felt.label.to_numpy(float)
     w = np.array([counts[k] / max(1, (y == k).sum()) for k in (0, 1)])[y.astype(int)]
@@ -241,21 +270,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_L
     return model
 
 
-def _weights(model: Odds):
-    """How often a task's words have each weight, to a hundredth."""
+def _by_part(batches: Iterator[pa.RecordBatch], models: list[Odds]) -> Iterator[tuple[int, Odds, pa.RecordBatch, Words]]:
+    """Documents with the model that didn't count their part."""
+    for batch in in_slices(batches, "text"):
+        part = batch.column("part").to_numpy()
+        for k in np.unique(part).tolist():
+            own = batch.filter(pa.array(part == k))
+            yield k, models[k], own, Words(lowered(own.column("text").to_pylist()), NO_LETTER)
+
+
+def _weights(models: list[Odds]):
+    """How often words have each weight, to a hundredth, by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, "text"):
-            values, n = np.unique(np.round(model.of(Words(lowered(batch.column("text").to_pylist()), NO_LETTER)), 2), return_counts=True)
-            yield pa.record_batch({"weight": pa.array(values), "n": pa.array(n.astype(np.int64))})
+        for part, model, _, words in _by_part(batches, models):
+            values, n = np.unique(np.round(model.of(words), 2), return_counts=True)
+            yield pa.record_batch({"part": pa.array(np.full(len(n), part, np.int32)), "weight": pa.array(values), "n": pa.array(n.astype(np.int64))})
 
     return run
 
 
-def _surprises(model: Odds):
+def _surprises(models: list[Odds]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, "text"):
-            words = Words(lowered(batch.column("text").to_pylist()), NO_LETTER)
+        for _, model, batch, words in _by_part(batches, models):
             found = [surprise([s for *_, s in x], int(n), model.rate) for x, n in zip(segments(words, model), words.counts)]
             yield pa.record_batch({"label": batch.column("label"), "surprise": pa.array(found, pa.float64())})
 

@@ -106,9 +106,20 @@ def test_lower_case_keeps_places(text):
     assert toxicity.lowered(["Größe ÉTÉ"]) == ["größe été".encode()]
 
 
+def test_weights_of_words():
+    words = Words([b"slur fine slur", b"slur other"], NO_LETTER)
+    h = words.hashes()
+    order = np.argsort(h[[0, 1]])
+    model = toxicity.Odds(h[[0, 1]][order], np.array([4.0, -2.0])[order], 1.0)
+    assert (model.of(words) + toxicity.DRIFT).tolist() == [4.0, -2.0, 2.0, 4.0, 0.0]
+    stem = Words([b"slurring slur"], NO_LETTER)
+    model = toxicity.Odds(stem.prefixes(4)[:1], np.array([3.0]), 1.0)
+    assert (model.of(stem) + toxicity.DRIFT).tolist() == [3.0, 0.0]
+
+
 def test_log_odds():
-    odds = toxicity.log_odds(np.array([0.0, 0, 0, 50, 400]), np.array([0.0, 1, 40, 50, 0]), 900.0, 100.0)
-    assert odds[0] == 0 and 0 <= odds[1] < 1 < odds[2] and odds[3] > 0 > odds[4]
+    odds = toxicity.log_odds(np.array([0.0, 0, 0, 45, 400]), np.array([0.0, 1, 40, 5, 0]), 900.0, 100.0)
+    assert odds[0] == 0 and 0 <= odds[1] < 1 < odds[2] and odds[3] == 0 >= odds[4] and toxicity.log_odds(np.array([600.0]), np.array([5.0]), 900.0, 100.0)[0] < 0
 
 
 def test_quality_on_held_out_documents(spark, corpus):
