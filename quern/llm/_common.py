@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -11,6 +10,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_root
+
 #: Rows in an Arrow batch sent to a Python worker; texts can be long, so the default of 10,000 is too many.
 BATCH_ROWS = 1000
 
@@ -38,18 +39,9 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return by_place(df).select(*(F.col(f"c{position(df, n)}").alias(n) for n in names))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="quern-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder, under the application's own name; see clear_scratch."""
+    return f"{shared_root(spark)}/quern/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -57,7 +49,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df itself if its tasks see their rows in the same order whenever they run, as scans do; after a shuffle, a stored copy."""
+    return stored(df, "settled") if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for df in frames:
+        _delete(df.sparkSession, df.stored_at)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all that this application's operators stored. Frames that they returned, and that aren't written yet, can't be read after."""
+    _delete(spark, f"{shared_root(spark)}/quern/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -7,9 +7,10 @@ names, and different blocks different ones: no collision is possible. Then adjac
 the same way, again and again, until each document has one name. Documents are equal exactly when
 they were done in the same round with the same name.
 
-Scale. Each round is one shuffle. Its rows are first combined in each map task (bounded by
-COMBINE_BYTES): the rows of equal content become one row with the list of their positions, so a block
-that a third of all documents share is sent once by each map task, not once by each document. Texts
+Scale. Each round shuffles distinct contents, and places by other keys. A map task gives each distinct
+content of a chunk of its rows (bounded by COMBINE_BYTES) a number, and sends it once with that number to be named; the places where it stands
+keep the number, and are joined to its name by it. So a block that a third of all documents share is sent once by each
+chunk, and its places never meet in one task. Texts
 are shuffled once; later rounds move names only, and their number is the logarithm of the longest
 document's blocks. Every round is written to the shared folder.
 """
@@ -22,109 +23,116 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import lower_az, pick, shuffle_partitions, small_batches, stored, table
+from ._common import lower_az, pick, settled, shuffle_partitions, small_batches, stored, table
 
 BLOCK_BYTES = 16 << 10
 #: What a map task holds before it sends its combined rows on.
 COMBINE_BYTES = 32 << 20
-#: Positions in one row at most; a block with more has several rows.
-MOST_AT = 4096
 #: Bits of a name for the rank in its partition.
 RANK_BITS = 40
 
-_AT = pa.list_(pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("blocks", pa.int32()), ("sha", pa.binary())]))
-_COMBINED = "content binary, at array<struct<row: bigint, doc_id: bigint, pos: int, blocks: int, sha: binary>>"
-_NAMED = "row bigint, doc_id bigint, pos int, blocks int, sha binary, name bigint"
+#: Two kinds of rows: contents with their numbers, and places, whose content is their number again, so that they are dealt evenly.
+_PLACE = {"row": pa.int64(), "doc_id": pa.int64(), "pos": pa.int32(), "blocks": pa.int32(), "sha": pa.binary()}
+_ROWS = pa.schema({"place": pa.bool_(), "content": pa.binary(), "number": pa.int64(), **_PLACE})
+_NUMBERED = "place boolean, content binary, number bigint, row bigint, doc_id bigint, pos int, blocks int, sha binary"
+_NAMED = "place boolean, number bigint, name bigint, row bigint, doc_id bigint, pos int, blocks int, sha binary"
 
 
-class _Combiner:
-    """Rows of equal content, gathered up to a bound."""
+class _Numbered:
+    """Contents and places of a task, in chunks."""
 
     def __init__(self) -> None:
-        self.at: dict[bytes, list] = {}
+        self.next = TaskContext.get().partitionId() << RANK_BITS
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.places: list[tuple] = []
         self.bytes = 0
 
-    def add(self, content: bytes, where: dict) -> None:
-        if (found := self.at.get(content)) is None:
-            found = self.at[content] = []
+    def add(self, content: bytes, *place: object) -> None:
+        number = self.numbers.get(content)
+        if number is None:
+            number = self.numbers[content] = self.next
+            self.next += 1
             self.bytes += len(content) + 100
-        found.append(where)
+        self.places.append((number, *place))
         self.bytes += 150
 
     def full(self) -> bool:
         return self.bytes > COMBINE_BYTES
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        contents, lists, size = [], [], 0
-        for content, at in self.at.items():
-            for i in range(0, len(at), MOST_AT):
-                contents.append(content)
-                lists.append(at[i : i + MOST_AT])
-                size += len(content) + 50 * len(lists[-1])
-                if size > 4 << 20:
-                    yield _combined(contents, lists)
-                    contents, lists, size = [], [], 0
+        contents, size = [], 0
+        for content, number in self.numbers.items():
+            contents.append((content, number))
+            size += len(content) + 8
+            if size > 4 << 20:
+                yield _rows(False, contents)
+                contents, size = [], 0
         if contents:
-            yield _combined(contents, lists)
-        self.at, self.bytes = {}, 0
+            yield _rows(False, contents)
+        for i in range(0, len(self.places), 10_000):
+            yield _rows(True, [(x[0].to_bytes(8, "big"), *x) for x in self.places[i : i + 10_000]])
+        self._clear()
 
 
-def _combined(contents: list[bytes], lists: list[list]) -> pa.RecordBatch:
-    return pa.record_batch({"content": pa.array(contents, pa.binary()), "at": pa.array(lists, _AT)})
+def _rows(place: bool, rows: list[tuple]) -> pa.RecordBatch:
+    columns = [*zip(*rows), *[[None] * len(rows)] * (len(_ROWS) - 1 - len(rows[0]))]
+    return pa.record_batch([pa.array([place] * len(rows)), *(pa.array(x, f.type) for x, f in zip(columns, list(_ROWS)[1:]))], schema=_ROWS)
 
 
 def _blocks(block_bytes: int):
-    """Normalised texts (doc_id, text) to combined blocks."""
+    """Normalised texts (doc_id, text) to numbered blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, combiner = TaskContext.get().partitionId() << 40, _Combiner()
+        row, held = TaskContext.get().partitionId() << RANK_BITS, _Numbered()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 n = max(1, -(-len(text) // block_bytes))
                 for pos in range(n):
                     sha = hashlib.sha256(text).digest() if pos == 0 else None
-                    combiner.add(bytes(text[pos * block_bytes : (pos + 1) * block_bytes]), {"row": row, "doc_id": doc_id, "pos": pos, "blocks": n, "sha": sha})
+                    held.add(bytes(text[pos * block_bytes : (pos + 1) * block_bytes]), row, doc_id, pos, n, sha)
                 row += 1
-                if combiner.full():
-                    yield from combiner.batches()
-        yield from combiner.batches()
+                if held.full():
+                    yield from held.batches()
+        yield from held.batches()
 
     return run
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names of one round, two by two in each row (left null beyond the end), to combined pairs."""
-    combiner = _Combiner()
+    """Names of one round, two by two in each row (left null beyond the end), to numbered pairs."""
+    held = _Numbered()
     for batch in batches:
-        for r in batch.to_pylist():
-            combiner.add(np.array([r["left"], -1 if r["right"] is None else r["right"]], ">i8").tobytes(), {k: r[k] for k in ("row", "doc_id", "pos", "blocks", "sha")})
-            if combiner.full():
-                yield from combiner.batches()
-    yield from combiner.batches()
+        for left, right, *place in zip(*(batch.column(k).to_pylist() for k in ("left", "right", *_PLACE))):
+            held.add(np.array([left, -1 if right is None else right], ">i8").tobytes(), *place)
+            if held.full():
+                yield from held.batches()
+    yield from held.batches()
 
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted contents of one partition to their names."""
+    """Of one partition, sorted: contents to their names, and places as they are."""
     name, last = (TaskContext.get().partitionId() << RANK_BITS) - 1, None
     for batch in batches:
-        contents = batch.column(0).to_pylist()
-        names = np.empty(len(contents), np.int64)
-        for i, content in enumerate(contents):
-            if content != last:
+        places, names = batch.column("place").to_pylist(), []
+        for place, content in zip(places, batch.column("content").to_pylist()):
+            if not place and content != last:
                 name, last = name + 1, content
-            names[i] = name
-        lists = batch.column(1)
-        at = lists.flatten()
-        yield pa.record_batch({**{k: at.field(k) for k in ("row", "doc_id", "pos", "blocks", "sha")}, "name": pa.array(np.repeat(names, pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)))})
+            names.append(None if place else name)
+        yield pa.record_batch({"place": batch.column("place"), "number": batch.column("number"), "name": pa.array(names, pa.int64()), **{k: batch.column(k) for k in _PLACE}})
 
 
-def _named(combined: DataFrame, partitions: int) -> DataFrame:
-    return combined.repartition(partitions, "content").sortWithinPartitions("content").mapInArrow(_names, _NAMED)
+def _named(numbered: DataFrame, partitions: int, round_: int) -> DataFrame:
+    """Numbered rows to places with their contents' names, stored."""
+    rows = stored(numbered.repartition(partitions, "place", "content").sortWithinPartitions("place", "content").mapInArrow(_names, _NAMED), f"numbers{round_}")
+    names = rows.where("not place").select("number", "name")
+    return stored(rows.where("place").drop("place", "name").join(names, "number").drop("number"), f"names{round_}")
 
 
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -138,7 +146,8 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     small_batches(spark)
     slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), lower_az(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
     parts = shuffle_partitions(spark)
-    named = stored(_named(slim.mapInArrow(_blocks(block_bytes), _COMBINED), parts), "names0")
+    # Numbers are given in the order of rows, so a task that runs again must see the same order.
+    named = _named(settled(slim).mapInArrow(_blocks(block_bytes), _NUMBERED), parts, 0)
     most = named.agg(F.max("blocks")).first()[0] or 0
     rounds = math.ceil(math.log2(most)) if most > 1 else 0
     done = [named.where("blocks = 1").withColumn("round", F.lit(0))]
@@ -150,7 +159,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
             .agg(F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"), F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("right"), F.max(F.when(F.col("pos") == 0, F.col("sha"))).alias("sha"))
             .withColumnRenamed("half", "pos")
         )
-        named = stored(_named(paired.mapInArrow(_pairs, _COMBINED), parts), f"names{k}")
+        named = _named(paired.sortWithinPartitions("row", "pos").mapInArrow(_pairs, _NUMBERED), parts, k)
         done.append(named.where(f"blocks <= {1 << k}").withColumn("round", F.lit(k)))
     one = done[0]
     for x in done[1:]:

@@ -18,7 +18,7 @@ links.py. Two different lines have one hash with a chance of n**2 / 2**129 among
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,9 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import by_place, pick, position, small_batches, stored, table
+from ._common import by_place, in_slices, pick, position, small_batches, stored, table
 from .links import Joined, by_cell, linked_components
+from .words import mixed
 
 DISTANCE = 2
 LEAST_CHARS = 32
@@ -76,33 +77,78 @@ def within(a: str, b: str, most: int = DISTANCE) -> bool:
     return bool(rows[most] >> (len(b) - len(a) + most) & 1)
 
 
-def _segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
-    """Begin (from 0) and length of each segment of a line: as even as can be, the longer ones last."""
+_BASE = 0xD6E8FEB86659FD93
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first powers of base, n at least, modulo 2**64."""
+    if len(_POWERS[base]) < n:
+        most = 1 << (n - 1).bit_length()
+        _POWERS[base] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(most - 1, base, np.uint64))])
+    return _POWERS[base]
+
+
+class Substrings:
+    """Hashes of substrings of lines, for all lines at once: sums of characters times powers, so any substring's is a difference."""
+
+    def __init__(self, lines: list[str]) -> None:
+        codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        self.length = np.fromiter(map(len, lines), np.int64, len(lines))
+        self.start = np.cumsum(self.length) - self.length
+        place = np.arange(len(codes)) - np.repeat(self.start, self.length)
+        powers = _powers(_BASE, int(self.length.max(initial=0)) + 1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * powers[place])])
+
+    def of(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        begin, end = np.clip(begin, 0, self.length), np.clip(begin + size, 0, self.length)
+        return (self.sums[self.start + end] - self.sums[self.start + begin]) * _powers(_INVERSE, int(self.length.max(initial=0)) + 1)[begin]
+
+
+def _segments(length: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Begin and size of each segment of lines of these lengths: as even as can be, the longer ones last."""
     n = distance + 1
-    short = F.floor(length / n).cast("int")
-    longer = length - n * short
-    return [(i * short + F.greatest(F.lit(0), i - (n - longer)), short + (F.lit(i) >= n - longer).cast("int")) for i in range(n)]
+    short, longer = length // n, length % n
+    return [(i * short + np.maximum(0, i - (n - longer)), short + (i >= n - longer)) for i in range(n)]
 
 
-def _key(line: Column, i: int, length: Column, begin: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substring(line, begin + 1, size))
+def _key(segment: np.ndarray, i: int, length: np.ndarray) -> np.ndarray:
+    return mixed(segment ^ mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i)))
 
 
-def index_keys(line: Column, distance: int = DISTANCE) -> Column:
-    n = F.length(line)
-    return F.array(*(_key(line, i, n, begin, size) for i, (begin, size) in enumerate(_segments(n, distance))))
+def index_keys(lines: list[str], distance: int = DISTANCE) -> np.ndarray:
+    """Of each line, the keys that it is indexed under."""
+    s = Substrings(lines)
+    return np.stack([_key(s.of(begin, size), i, s.length) for i, (begin, size) in enumerate(_segments(s.length, distance))], 1)
 
 
-def probe_keys(line: Column, distance: int = DISTANCE) -> Column:
-    """Keys under which lines of this line's length, or up to distance less, may be indexed."""
-    keys = []
+def probe_keys(lines: list[str], distance: int = DISTANCE) -> np.ndarray:
+    """Of each line, the keys under which lines of its length, or up to distance less, may be indexed."""
+    s, keys = Substrings(lines), []
     for less in range(distance + 1):
-        n = F.length(line) - less
+        n = s.length - less
         for i, (begin, size) in enumerate(_segments(n, distance)):
             # Edits before a segment shift it by at most their number, i; those after it, by what is left.
             for shift in range(max(-i, less - (distance - i)), min(i, less + distance - i) + 1):
-                keys.append(_key(line, i, n, begin + shift, size))
-    return F.array(*keys)
+                keys.append(_key(s.of(begin + shift, size), i, n))
+    return np.stack(keys, 1)
+
+
+def _keyed(distinct: DataFrame, of: Callable[[list[str], int], np.ndarray], distance: int) -> DataFrame:
+    """(id, line) to (id, size, key), a row for each of a line's different keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "line", 1 << 20):
+            lines = batch.column("line").to_pylist()
+            keys = np.sort(of(lines, distance).view(np.int64), 1)
+            new = np.ones(keys.shape, bool)
+            new[:, 1:] = keys[:, 1:] != keys[:, :-1]
+            each = new.sum(1)
+            sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+            yield pa.record_batch({"id": pa.array(np.repeat(batch.column("id").to_numpy(), each)), "size": pa.array(np.repeat(sizes, each)), "key": pa.array(keys[new])})
+
+    return distinct.select("id", "line").mapInArrow(run, "id bigint, size bigint, key bigint")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -164,9 +210,9 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     # Numbered where they are written, so a line's number is the same ever after.
     long = lines.where(F.length("line") >= least_chars).groupBy("hash").agg(F.first("line").alias("line"))
     distinct = stored(long.select(F.monotonically_increasing_id().alias("id"), "hash", "line"), "distinct-lines")
-    index = distinct.select("id", F.explode(index_keys(F.col("line"), distance)).alias("key"))
+    index = _keyed(distinct, index_keys, distance)
     ends = index.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members"))
-    probes = distinct.select("id", F.length("line").alias("size"), F.explode(F.array_distinct(probe_keys(F.col("line"), distance))).alias("key"))
+    probes = _keyed(distinct, probe_keys, distance)
     # A line finds itself; what finds nothing else is dropped in the join.
     met = probes.join(ends, "key").where("low != id or high != id").select("key", "id", "size", "low", "high", (F.col("members") > 2).alias("many"))
     members = stored(met, "line-members")

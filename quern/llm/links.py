@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import discard, stored
 
 #: Members and strays of a bucket that one cell takes, about.
 CELL = 512
@@ -54,10 +54,11 @@ def components(links: DataFrame) -> DataFrame:
         two = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
         nearest = two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = two.join(nearest, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large, "large-star")
+        before, large = edges, stored(large, "large-star")
         near = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(near, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         edges = stored(hung.unionByName(near.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct(), "small-star")
+        discard(before, large)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 

@@ -95,6 +95,24 @@ def test_within_edited(a, edits):
     assert within(a, "".join(b)) == (distance(a, "".join(b)) <= 2)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("abé😀", min_size=4, max_size=30), st.lists(st.tuples(st.integers(0, 59), st.sampled_from("ix-")), max_size=3), st.integers(0, 3))
+def test_near_lines_share_a_key(a, edits, most):
+    b = list(a)
+    for at, kind in edits[:most]:
+        at %= max(1, len(b))
+        if kind == "i":
+            b.insert(at, "c")
+        elif kind == "x" and b:
+            b[at] = "c"
+        elif b:
+            del b[at]
+    short, long = sorted((a, "".join(b)), key=len)
+    if len(short) > most:
+        indexed = line_dedup.index_keys(["other line", short, "é"], most)[1]
+        assert set(indexed.tolist()) & set(line_dedup.probe_keys([long, "x" * 99], most)[0].tolist())
+
+
 def roots(n, linked):
     root = list(range(n))
 
