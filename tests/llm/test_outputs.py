@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 from quern.llm import neighbours, packing, token_output, tokenizing, warc
 from quern.llm._common import scratch, stored
 from quern.llm.mixing import MOST_TIMES, mix, source_targets, taken
+from quern.llm.queries import QUERIES
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
 WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
@@ -287,3 +288,77 @@ def test_schedule_is_even_in_every_prefix(spark, corpus):
 def test_mixing_plan_is_native(spark, corpus):
     plan = taken(mix(frame(spark, corpus)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+SF = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
+
+
+@needs_tables
+def test_op4_query(spark):
+    encode, at, wanted = library(WORD), 0, []
+    for r in sorted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()):
+        ids = [*encode(r.text), 2]
+        wanted.append((r.doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    found = QUERIES["op4_token_output"](spark, SF)
+    assert found.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and sorted(tuple(r)[:4] for r in found.collect()) == wanted
+
+
+@needs_tables
+def test_op7_query(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()
+    first: dict = {}
+    for r in sorted(pages):
+        first.setdefault(r.html or "", r.page_id)
+    wanted = []
+    for r in pages:
+        raw, of = (r.html or "").encode(), first[r.html or ""]
+        wanted.append((r.page_id, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if of == r.page_id else "revisit", None if of == r.page_id else of))
+    found = QUERIES["op7_warc"](spark, SF)
+    assert found.columns[:5] == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"] and sorted(map(str, (tuple(r)[:5] for r in found.collect()))) == sorted(map(str, wanted))
+
+
+@needs_tables
+def test_op9_query(spark):
+    encode, pieces, filled = library(BYTE), {}, {}
+    found = QUERIES["op9_packing"](spark, SF)
+    assert found.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    for r in found.collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        filled.setdefault(r.sequence_id, []).append(r)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(pieces) == len(docs)
+    for d in docs:
+        ids, own = np.array([*encode(d.text), 1], "<u4"), sorted(pieces[d.doc_id], key=lambda r: r.start)
+        assert [r.start for r in own] == np.cumsum([0, *(r.length for r in own)])[:-1].tolist() and sum(r.length for r in own) == len(ids) == own[0].doc_tokens
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids) for r in own)
+    for own in filled.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0, *(r.length for r in own)])[:-1].tolist() and sum(r.length for r in own) <= 2048
+    assert sum(r.length for own in filled.values() for r in own) > 0.95 * 2048 * len(filled)
+
+
+def test_a_repeated_attempt_replaces_no_file(spark, corpus, tmp_path):
+    """Files are named by the attempt that wrote them, so those that the index names stay as they are."""
+    folder = f"file://{tmp_path}/t"
+    index = token_output.write_token_files(token_output.encode_texts(frame(spark, corpus), WORD), folder)
+    before = {p.name: p.read_bytes() for p in (tmp_path / "t").iterdir()}
+    token_output.write_token_files(token_output.encode_texts(frame(spark, corpus).where("doc_id < 20"), WORD), folder)
+    assert all((tmp_path / "t" / k).read_bytes() == v for k, v in before.items() if k != "ranks")
+    assert index.count() == len(before) - 1
+
+
+def test_very_long_texts(spark):
+    """Ten megabytes each: of words, of one word, and of marks."""
+    rng = random.Random(3)
+    long = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(1_700_000)), "ab" * 5_000_000, "-=" * 50_000 + "x " * 4_900_000]
+    rows = [(i, t, "s") for i, t in enumerate(long)] + [(3, "short", "s")]
+    docs = spark.createDataFrame(rows[:1] + rows[2:], DOCS)
+    encode = library(BYTE)
+    pieces = stored(packing.cut_documents(docs, BYTE), "long").groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert {r.doc_id: (r.n, r.t) for r in pieces} == {i: (len(encode(t)) + 1,) * 2 for i, t, _ in rows[:1] + rows[2:]}
+    found = taken(mix(spark.createDataFrame(rows, DOCS))).collect()
+    assert {r.doc_id: r["size"] for r in found} == {i: len(t.split()) for i, t, _ in rows}
+    index = warc.write_archives(spark.createDataFrame([(i, "u", t) for i, t, _ in rows], "page_id long, url string, html string"), scratch(spark, "w"))
+    assert {r.page_id: r.payload_bytes for r in warc.read_archives(index, with_payload=False).collect()} == {i: len(t) for i, t, _ in rows}
