@@ -22,7 +22,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
+    """Documents that the quality classifier doesn't reject: those whose score, on the whole text, is THRESHOLD at least.
+
+    The model is fitted to docs and the labels of sf_dir. A null text is scored as an empty one; rows that repeat are scored alike, and
+    each is kept or goes. Labels of no document, null ids and other columns are not looked at. An empty table gives no rows.
+    """
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     scored, names = score_quality(docs, model), docs.columns
     plain = by_place(scored)
@@ -30,7 +34,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document, or an earlier line of their own, has."""
+    """Documents without lines that an earlier document, or an earlier line of their own, has.
+
+    Null and blank texts stay as they are; a document of which no line is left goes. A null doc_id is the earliest.
+    Rows that repeat doc_id and text are each left as one of them would be. An empty table gives no rows.
+    """
     return drop_lines(docs, stored(line_classes(docs), "line-classes"))
 
 
@@ -39,7 +47,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Each row is decided by itself, whatever other rows have its doc_id. Of a group, all rows that have the smallest doc_id
     stay, if it repeats in the group. Rows with a null doc_id go if any row of their group has one; a group
-    without any stays whole.
+    without any stays whole. Null and empty texts are in no group, and stay. An empty table gives no rows; other columns
+    stay as they are, whatever their names.
     """
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone"), F.col("hash").alias("__hash")).distinct()
     d, names = by_place(docs), docs.columns
@@ -63,7 +72,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents' token ids, with the sequence and the offset that each is packed at."""
+    """The pieces of the documents' token ids, with the sequence and the offset that each is packed at.
+
+    A null or empty text is its end id alone. Rows that repeat, and those with a null doc_id, are documents of their own.
+    An empty table gives no rows; other columns are not looked at.
+    """
     import public_tokenizers
 
     pieces = stored(cut_documents(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces")
