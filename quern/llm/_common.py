@@ -14,6 +14,8 @@ from ..session import shared_root
 
 #: Rows in an Arrow batch sent to a Python worker; texts can be long, so the default of 10,000 is too many.
 BATCH_ROWS = 1000
+#: Of a table's files, the bytes that one partition of a shuffle takes.
+PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,8 +83,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions_for(df: DataFrame, each: int = PARTITION_BYTES) -> int:
+    """How many partitions to deal a scan's rows to: as the session has it, but more where that would make them large.
+
+    The planner coalesces what it deals by itself; what is dealt to a number of partitions it doesn't split.
+    """
+    leaves, size = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
+    for i in range(leaves.size()):
+        if leaves.apply(i).nodeName().startswith("LogicalRelation"):  # files, whose sizes are known
+            size += int(str(leaves.apply(i).stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-size // each), MOST_PARTITIONS))
 
 
 def lower_az(c: Column) -> Column:

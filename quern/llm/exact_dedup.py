@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import lower_az, pick, settled, shuffle_partitions, small_batches, stored, table
+from ._common import lower_az, partitions_for, pick, settled, small_batches, stored, table
 
 BLOCK_BYTES = 16 << 10
 #: What a map task holds before it sends its combined rows on.
@@ -145,7 +145,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     spark = docs.sparkSession
     small_batches(spark)
     slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), lower_az(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
-    parts = shuffle_partitions(spark)
+    parts = partitions_for(docs)
     # Numbers are given in the order of rows, so a task that runs again must see the same order.
     named = _named(settled(slim).mapInArrow(_blocks(block_bytes), _NUMBERED), parts, 0)
     most = named.agg(F.max("blocks")).first()[0] or 0

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, pick, shuffle_partitions, small_batches, stored, table
+from ._common import as_bytes, in_slices, pick, small_batches, stored, table
 from .tokenizing import SLICE, crc32, ids_by
 
 SEQUENCE = 2048
@@ -115,7 +115,7 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE, group_rows: int = GROUP_RO
         bins, offsets = first_fit_decreasing(group.column("length").to_numpy(), sequence)
         return group.append_column("sequence_id", pa.array(2 * ((keys[0].as_py() << 24) + bins))).append_column("offset", pa.array(offsets))
 
-    packed = rests.repartition(shuffle_partitions(pieces.sparkSession), "group").groupBy("group").applyInArrow(run, schema)
+    packed = rests.groupBy("group").applyInArrow(run, schema)
     return whole.unionByName(packed.select(*whole.columns))
 
 

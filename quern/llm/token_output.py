@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, pick, scratch, shuffle_partitions, small_batches, stored, table
+from ._common import as_bytes, in_slices, partitions_for, pick, scratch, small_batches, stored, table
 from .files import Reader, new_file
 from .tokenizing import SLICE, crc32, ids_by
 
@@ -39,6 +39,8 @@ MAGIC = b"QTOK0001"
 END_ID = 2
 #: Numbers in a shard file, about: a task cuts its documents into several files beyond that.
 SHARD_NUMBERS = 4_000_000
+#: Numbers that are coded at once, a multiple of four.
+AT_ONCE = 1 << 18
 
 _COUNTED = "doc_id bigint, ids binary, id array<bigint>, n array<bigint>"
 
@@ -48,30 +50,36 @@ _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.u
 
 def encode_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
-    x = numbers.astype("<u4")
-    more = (x > 0xFF).astype(np.uint8) + (x > 0xFFFF) + (x > 0xFFFFFF)
-    padded = np.zeros(-(-len(x) // 4) * 4, np.uint8)
-    padded[: len(x)] = more
-    four = padded.reshape(-1, 4)
-    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    data = x.view(np.uint8).reshape(-1, 4)[np.arange(4) <= more[:, None]]
-    return control.tobytes(), data.tobytes()
+    controls, datas = [], []
+    for i in range(0, len(numbers), AT_ONCE):
+        x = numbers[i : i + AT_ONCE].astype("<u4")
+        more = (x > 0xFF).astype(np.uint8) + (x > 0xFFFF) + (x > 0xFFFFFF)
+        padded = np.zeros(-(-len(x) // 4) * 4, np.uint8)
+        padded[: len(x)] = more
+        four = padded.reshape(-1, 4)
+        controls.append((four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes())
+        datas.append(x.view(np.uint8).reshape(-1, 4)[np.arange(4) <= more[:, None]].tobytes())
+    return b"".join(controls), b"".join(datas)
 
 
 def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The numbers again, by table lookup of control bytes."""
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    ends = np.cumsum(lengths, dtype=np.int64)
-    starts = ends - lengths
-    if n and ends[-1] != len(data):
-        raise ValueError("data bytes don't match the control bytes")
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = raw[starts].astype(np.uint32)
-    for k in (1, 2, 3):
-        at = np.flatnonzero(lengths > k)
-        if not len(at):
+    raw, out, at = np.frombuffer(data + b"\0\0\0", np.uint8), np.empty(n, np.uint32), 0
+    for i in range(0, n, AT_ONCE):
+        lengths = _LENGTHS[np.frombuffer(control, np.uint8)[i // 4 : (i + AT_ONCE) // 4]].ravel()[: n - i]
+        ends = np.cumsum(lengths, dtype=np.int64) + at
+        if ends[-1] > len(data):
             break
-        out[at] |= raw[starts[at] + k].astype(np.uint32) << np.uint32(8 * k)
+        starts, at = ends - lengths, int(ends[-1])
+        x = raw[starts].astype(np.uint32)
+        for k in (1, 2, 3):
+            some = np.flatnonzero(lengths > k)
+            if not len(some):
+                break
+            x[some] |= raw[starts[some] + k].astype(np.uint32) << np.uint32(8 * k)
+        out[i : i + len(x)] = x
+    if at != len(data) or len(control) != -(-n // 4):
+        raise ValueError("data bytes don't match the control bytes")
     return out
 
 
@@ -166,7 +174,7 @@ def write_token_files(encoded: DataFrame, folder: str, counted: bool = False) ->
         if ids:
             yield flush()
 
-    ordered = kept.where("ids is not null").select("doc_id", "ids").repartitionByRange(shuffle_partitions(spark), "doc_id", F.crc32("ids")).sortWithinPartitions("doc_id", F.crc32("ids"))
+    ordered = kept.where("ids is not null").select("doc_id", "ids").repartitionByRange(partitions_for(kept), "doc_id", F.crc32("ids")).sortWithinPartitions("doc_id", F.crc32("ids"))
     return stored(ordered.mapInArrow(run, "shard bigint, part bigint, path string, documents bigint, numbers bigint"), "token-index")
 
 
@@ -207,7 +215,7 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
                         }
                     )
 
-    return totals.repartition(shuffle_partitions(spark), "path").mapInArrow(run, "doc_id bigint, start bigint, ids binary")
+    return totals.repartition("path").mapInArrow(run, "doc_id bigint, start bigint, ids binary")
 
 
 def digest(documents: DataFrame) -> DataFrame:

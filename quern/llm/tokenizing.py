@@ -27,9 +27,9 @@ from tokenizers import Tokenizer
 from .words import MASKS, mixed
 
 #: Remembered pieces, and ids of them; beyond that a worker begins anew.
-REMEMBERED, HELD_IDS = 1 << 20, 1 << 24
+REMEMBERED, HELD_IDS = 1 << 19, 1 << 23
 #: Bytes of texts that are cut at once, about.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Pieces that are sent to the library as one text.
 TOGETHER = 512
 #: Bytes that raise no question: ASCII letters, digits and marks other than the apostrophe, the space and the line end.
@@ -144,7 +144,7 @@ class Ids:
     def _forget(self) -> None:
         self.table, self.long = Table(), {}
         #: The ids of all remembered pieces; of each piece, where its ids begin and how many they are.
-        self.pool, self.begin, self.count = np.empty(1 << 16, "<u4"), np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.pool, self.begin, self.count = np.empty(1 << 16, "<u4"), np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
         self.used = self.known = 0
 
     def _library(self, pieces: list[bytes]) -> list[np.ndarray]:
@@ -199,7 +199,7 @@ class Ids:
             self.long.update(zip(unknown, self._learn(unknown).tolist()))
             number[long] = [self.long[x] for x in words]
         counts = self.count[number]
-        ends = np.cumsum(counts)
+        ends = np.cumsum(counts, dtype=np.int64)
         ids = self.pool[np.repeat(self.begin[number] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[pieces.first].tolist()
         return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
@@ -226,8 +226,8 @@ class Ids:
 
 
 def _roomy(x: np.ndarray, n: int) -> np.ndarray:
-    """x with room for n, and as much again if it has to grow."""
-    return x if n <= len(x) else np.concatenate([x, np.empty(2 * n - len(x), x.dtype)])
+    """x with room for n, and half as much again if it has to grow."""
+    return x if n <= len(x) else np.concatenate([x, np.empty(n + n // 2 - len(x), x.dtype)])
 
 
 _MADE: dict[tuple[str, str], Ids] = {}

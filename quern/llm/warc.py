@@ -29,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, pick, scratch, shuffle_partitions, small_batches, stored, table
+from ._common import as_bytes, in_slices, partitions_for, pick, scratch, small_batches, stored, table
 from .files import Reader, new_file
 
 FILE_BYTES = 32 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Of the index, the bytes that one reading task takes: some 100,000 records.
+INDEX_BYTES = 4 << 20
 #: A payload of fewer bytes is written again rather than revisited.
 LEAST_BYTES = 0
 #: The date of records; pages have none of their own, and archives of equal pages are to be equal.
@@ -193,7 +195,7 @@ def read_archives(selected: DataFrame, with_payload: bool = True) -> DataFrame:
                 i = j
 
     slim = selected.select("file", "offset", "length")
-    return slim.repartitionByRange(shuffle_partitions(selected.sparkSession), "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, kinds)
+    return slim.repartitionByRange(partitions_for(selected, INDEX_BYTES), "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, kinds)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
