@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_root
 
-#: Rows in an Arrow batch sent to a Python worker; texts can be long, so the default of 10,000 is too many.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch sent to a Python worker; texts can be long, so the default of 10,000 rows is too many.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Of a table's files, the bytes that one partition of a shuffle takes.
 PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
 
@@ -46,11 +46,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/quern/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df as a written table in the shared folder: its lineage is cut, and a lost executor costs nothing."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -78,9 +78,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of long texts small."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Keep Arrow batches of long texts small, from now on in this session: plans look at these settings when they run."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def partitions_for(df: DataFrame, each: int = PARTITION_BYTES) -> int:

@@ -18,7 +18,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -26,12 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, partitions_for, pick, scratch, small_batches, stored, table
+from ._common import as_bytes, discard, in_slices, partitions_for, pick, scratch, small_batches, stored, table
 from .files import Reader, new_file
 from .tokenizing import SLICE, crc32, ids_by
 
@@ -139,7 +138,7 @@ def write_token_files(encoded: DataFrame, folder: str, counted: bool = False) ->
     doc_id, null first; of equal ones the order is by their ids. An empty table writes no shard.
     """
     spark = encoded.sparkSession
-    kept = stored(encoded if counted else encoded.select("doc_id", "ids").mapInArrow(_count, _COUNTED), "ids")
+    kept = stored(encoded if counted else encoded.select("doc_id", "ids").mapInArrow(_count, _COUNTED), "ids", "zstd")
     # As many rows as the vocabulary has ids: bounded by the tokenizer.
     counts = kept.where("id is not null").select(F.explode(F.arrays_zip("id", "n")).alias("c")).groupBy("c.id").agg(F.sum("c.n").alias("n")).collect()
     by_rank = np.array([r.id for r in sorted(counts, key=lambda r: (-r.n, r.id))], "<u4")
@@ -175,7 +174,9 @@ def write_token_files(encoded: DataFrame, folder: str, counted: bool = False) ->
             yield flush()
 
     ordered = kept.where("ids is not null").select("doc_id", "ids").repartitionByRange(partitions_for(kept), "doc_id", F.crc32("ids")).sortWithinPartitions("doc_id", F.crc32("ids"))
-    return stored(ordered.mapInArrow(run, "shard bigint, part bigint, path string, documents bigint, numbers bigint"), "token-index")
+    index = stored(ordered.mapInArrow(run, "shard bigint, part bigint, path string, documents bigint, numbers bigint"), "token-index")
+    discard(kept)
+    return index
 
 
 def read_token_files(index: DataFrame, folder: str) -> DataFrame:

@@ -188,6 +188,18 @@ def test_without_labels(spark, corpus):
     assert {r.toxicity for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, none)).collect()} == {0.5}
 
 
+def test_fits_on_too_little(spark, corpus):
+    """An empty table of documents, labels of one kind only, and a handful of each."""
+    docs, labels = corpus
+    for d, l in ((docs.where("false"), labels), (docs, labels.where("toxic = 1")), (docs, labels.where("toxic = 0"))):
+        assert len({r.toxicity for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(d, l)).collect()}) == 1
+    few = labels.where("doc_id < 12")
+    for rows, name in ((toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, few)), "toxicity"), (quality.score_quality(docs, quality.fit_quality(docs, few)), "quality_score")):
+        assert all(0 <= r[name] <= 1 for r in rows.collect())
+    twice = docs.unionByName(docs)
+    assert quality.fit_quality(twice, labels).shift == quality.fit_quality(docs, labels).shift
+
+
 def test_sample_is_bounded_and_consistent(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("toxic", T.LongType())])
     rows = [(i, i % 2) for i in range(300)] + [(0, 1), (None, 1), (301, None), (302, 7)]
