@@ -31,6 +31,8 @@ from .words import mixed
 
 DISTANCE = 2
 LEAST_CHARS = 32
+#: Ids of lines that are broadcast, at most: some 32 MB.
+MOST_BROADCAST = 1 << 20
 
 
 def within(a: str, b: str, most: int = DISTANCE) -> bool:
@@ -216,8 +218,10 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     met = probes.join(ends, "key").where("low != id or high != id").select("key", "id", "size", "low", "high", (F.col("members") > 2).alias("many"))
     members = stored(met, "line-members")
     # A line that is only found, or only one end of a bucket, takes part too.
-    ids = members.select(F.explode(F.array("id", "low", "high")).alias("id")).distinct()
-    texts = stored(distinct.join(ids, "id").select("id", "line"), "lines")
+    ids = stored(members.select(F.explode(F.array("id", "low", "high")).alias("id")).distinct(), "line-ids")
+    # Few ids are sent to the lines; with many, lines are shuffled to them.
+    found = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    texts = stored(distinct.join(found, "id").select("id", "line"), "lines")
 
     def verify(pairs: DataFrame) -> DataFrame:
         full = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
