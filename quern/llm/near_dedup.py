@@ -16,6 +16,7 @@ share a bucket. Equal texts never meet in one task: their class is made by parti
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -65,6 +66,7 @@ def sketch(low: np.ndarray) -> bytes:
     return ((low * np.uint32(2654435769)) >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
+@cache
 def least_matches(percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
     """For each number of minima compared (a multiple of BATCH), the fewest matches at which a pair stays.
 
