@@ -255,12 +255,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_L
         order = np.argsort(h)
         order = order[w[order] != 0]
         models.append(Odds(h[order], w[order], 1.0))
-    spread = texts.where("label = 0").select("text", "part").mapInArrow(_weights(models[1:]), "part int, weight double, n bigint").groupBy("part", "weight").agg(F.sum("n").alias("n")).orderBy("part", "weight").toPandas()
+    spread = texts.where("label = 0").select("text", "part").mapInArrow(_weights(models[1:]), "part int, weight double, n bigint").groupBy("part", "weight").agg(F.sum("n").alias("n")).toPandas().sort_values(["part", "weight"])
     for k, own in spread.groupby("part"):
         models[1 + k].rate = law_rate(own.n.to_numpy(float) / own.n.sum(), own.weight.to_numpy(float))
     model = models[0]
     model.rate = float(np.mean([m.rate for m in models[1:]]))
-    felt = texts.select("text", "label", "part").mapInArrow(_surprises(models[1:]), "label int, surprise double").orderBy("surprise", "label").toPandas()
+    felt = texts.select("text", "label", "part").mapInArrow(_surprises(models[1:]), "label int, surprise double").toPandas().sort_values(["surprise", "label"])
     # Weighed as among all labels, of which the sample may have another share.
     y = felt.label.to_numpy(float)
     w = np.array([counts[k] / max(1, (y == k).sum()) for k in (0, 1)])[y.astype(int)]
