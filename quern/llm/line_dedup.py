@@ -92,19 +92,23 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Substrings:
-    """Hashes of substrings of lines, for all lines at once: sums of characters times powers, so any substring's is a difference."""
+    """Hashes of substrings of lines, for all lines at once: sums of characters times powers, so any substring's is a difference.
+
+    Lines lie end to end, so powers follow one another without a gap; a substring's sum is divided by the power at its beginning.
+    """
 
     def __init__(self, lines: list[str]) -> None:
-        codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        joined = "".join(lines)
+        codes = np.frombuffer(joined.encode(), np.uint8) if joined.isascii() else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
         self.length = np.fromiter(map(len, lines), np.int64, len(lines))
         self.start = np.cumsum(self.length) - self.length
-        place = np.arange(len(codes)) - np.repeat(self.start, self.length)
-        powers = _powers(_BASE, int(self.length.max(initial=0)) + 1)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * powers[place])])
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * _powers(_BASE, len(codes) + 1)[: len(codes)], out=self.sums[1:])
+        self.inverse = _powers(_INVERSE, len(codes) + 1)
 
     def of(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-        begin, end = np.clip(begin, 0, self.length), np.clip(begin + size, 0, self.length)
-        return (self.sums[self.start + end] - self.sums[self.start + begin]) * _powers(_INVERSE, int(self.length.max(initial=0)) + 1)[begin]
+        first, last = self.start + np.clip(begin, 0, self.length), self.start + np.clip(begin + size, 0, self.length)
+        return (self.sums[last] - self.sums[first]) * self.inverse[first]
 
 
 def _segments(length: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -115,7 +119,7 @@ def _segments(length: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.nd
 
 
 def _key(segment: np.ndarray, i: int, length: np.ndarray) -> np.ndarray:
-    return mixed(segment ^ mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i)))
+    return mixed(segment ^ ((length * 64 + i).astype(np.uint64) * np.uint64(_BASE)))
 
 
 def index_keys(lines: list[str], distance: int = DISTANCE) -> np.ndarray:
@@ -145,11 +149,11 @@ def _keyed(distinct: DataFrame, of: Callable[[list[str], int], np.ndarray], dist
             keys = np.sort(of(lines, distance).view(np.int64), 1)
             new = np.ones(keys.shape, bool)
             new[:, 1:] = keys[:, 1:] != keys[:, :-1]
-            each = new.sum(1)
+            ends = np.concatenate([[0], np.cumsum(new.sum(1))]).astype(np.int32)
             sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-            yield pa.record_batch({"id": pa.array(np.repeat(batch.column("id").to_numpy(), each)), "size": pa.array(np.repeat(sizes, each)), "key": pa.array(keys[new])})
+            yield pa.record_batch({"id": batch.column("id"), "size": pa.array(sizes), "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[new]))})
 
-    return distinct.select("id", "line").mapInArrow(run, "id bigint, size bigint, key bigint")
+    return distinct.select("id", "line").mapInArrow(run, "id bigint, size bigint, keys array<bigint>").select("id", "size", F.explode("keys").alias("key"))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
