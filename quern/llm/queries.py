@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import OP11_SQL, op11_decontamination
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .line_dedup import OP3_SQL, op3_line_dedup
 from .mixing import OP5_SQL, op5_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_decontamination": op11_decontamination,
 }
 
 ORACLE_SQL = {
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op5_mixing": OP5_SQL,
     "op6_neighbours": OP6_SQL,
     "op8_minhash_dedup": OP8_SQL,
+    "op11_decontamination": OP11_SQL,
 }
