@@ -86,16 +86,21 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a plan reads."""
+    leaves, size = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
+    for i in range(leaves.size()):
+        if leaves.apply(i).nodeName().startswith("LogicalRelation"):  # files, whose sizes are known
+            size += int(str(leaves.apply(i).stats().sizeInBytes()))
+    return size
+
+
 def partitions_for(df: DataFrame, each: int = PARTITION_BYTES) -> int:
     """How many partitions to deal a scan's rows to: as the session has it, but more where that would make them large.
 
     The planner coalesces what it deals by itself; what is dealt to a number of partitions it doesn't split.
     """
-    leaves, size = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
-    for i in range(leaves.size()):
-        if leaves.apply(i).nodeName().startswith("LogicalRelation"):  # files, whose sizes are known
-            size += int(str(leaves.apply(i).stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-size // each), MOST_PARTITIONS))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-file_bytes(df) // each), MOST_PARTITIONS))
 
 
 def lower_az(c: Column) -> Column:

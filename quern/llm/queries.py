@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import OP11_SQL, op11_decontamination
+from .divergence import OP13_SQL, op13_divergence
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .line_dedup import OP3_SQL, op3_line_dedup
 from .mixing import OP5_SQL, op5_mixing
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_decontamination": op11_decontamination,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op6_neighbours": OP6_SQL,
     "op8_minhash_dedup": OP8_SQL,
     "op11_decontamination": OP11_SQL,
+    "op13_divergence": OP13_SQL,
 }
