@@ -106,6 +106,8 @@ def sketch_cells(df: DataFrame) -> int:
 def document_sketch(docs: DataFrame, cells: int) -> np.ndarray:
     """A count-min sketch of how many documents of docs (text, lang) have each term of each language: DEPTH rows of cells, up to 255."""
 
+    size = min(BLOCK, cells)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((DEPTH, cells), np.uint8)
         for batch in in_slices(batches, "text"):
@@ -114,7 +116,7 @@ def document_sketch(docs: DataFrame, cells: int) -> np.ndarray:
             for row, at in zip(held, _cells(langs, terms, pairs, cells)):
                 touched, where = np.unique(at, return_inverse=True)
                 row[touched] = np.minimum(row[touched] + np.bincount(where, n).astype(np.int64), 255)
-        for i, block in enumerate(held.reshape(-1, min(BLOCK, cells))):
+        for i, block in enumerate(held.reshape(-1, size)):
             if block.any():
                 yield pa.record_batch({"block": [i], "counts": [block.tobytes()]})
 
@@ -132,9 +134,8 @@ def document_sketch(docs: DataFrame, cells: int) -> np.ndarray:
 
     kind = "block bigint, counts binary"
     parts = docs.select("text", "lang").mapInArrow(count, kind)
-    blocks = max(1, DEPTH * cells // BLOCK)
-    merged = parts.repartition(min(blocks, 64), "block").sortWithinPartitions("block").mapInArrow(add, kind)
-    out = np.zeros((blocks, min(BLOCK, DEPTH * cells)), np.uint8)
+    out = np.zeros((DEPTH * cells // size, size), np.uint8)
+    merged = parts.repartition(min(len(out), 64), "block").sortWithinPartitions("block").mapInArrow(add, kind)
     # As many bytes as the sketch has cells.
     for r in merged.toLocalIterator():
         out[r.block] = np.frombuffer(r.counts, np.uint8)
