@@ -10,6 +10,7 @@ from .mixing import OP5_SQL, op5_mixing
 from .near_dedup import OP8_SQL, op8_minhash_dedup
 from .neighbours import OP6_SQL, op6_neighbours
 from .packing import op9_packing
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .quality import op10_quality
 from .token_output import op4_token_output
 from .toxicity import op1_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_decontamination": op11_decontamination,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_divergence": op13_divergence,
 }
 
@@ -37,5 +39,6 @@ ORACLE_SQL = {
     "op6_neighbours": OP6_SQL,
     "op8_minhash_dedup": OP8_SQL,
     "op11_decontamination": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
     "op13_divergence": OP13_SQL,
 }
