@@ -6,8 +6,9 @@ chunk's logit, and the mean logit of all chunks through a calibrated sigmoid to
 Filters are tables of a weight for each byte at each place; two places are folded into one table of
 byte pairs, so an answer is a sum of WIDTH / 2 rows.
 
-It is fitted on the driver, on all chunks of a sample of labelled documents that is bounded by MOST_LABELLED rows
-and MOST_BYTES of their whole texts; one document of CALIBRATED isn't fitted on, but calibrated on.
+It is fitted on the driver, on a sample of labelled documents that is bounded by MOST_LABELLED rows and MOST_BYTES of chunks: all
+chunks of a document, or as many as fit, spread evenly over the whole of it, where the sample has more. No text's length
+takes another document out of the sample. One document of CALIBRATED isn't fitted on, but calibrated on, by its whole text.
 Scoring is one narrow stage over whole texts, with the tables (a few MB) broadcast. A text's score depends on its own
 bytes alone: the bytes after its end are zeros, whatever text comes next in the batch.
 """
@@ -30,8 +31,10 @@ WIDTH, FILTERS = 6, 24
 #: A chunk is BLOCKS blocks of BLOCK bytes; it shares one block with the next.
 BLOCK, BLOCKS = 128, 4
 CHUNK, STEP = BLOCK * BLOCKS, BLOCK * (BLOCKS - 1)
-#: The sample of labelled rows that the model is made of: documents with each label at most, and bytes of all their texts
-#: (those whose hashed ids are smallest, each whole).
+#: A chunk and what filters at its end reach.
+PIECE = CHUNK + WIDTH - 1
+#: The sample of labelled rows that the model is made of: documents with each label at most (those whose hashed ids are
+#: smallest), and bytes of chunks that are fitted on (one chunk of each document at least).
 MOST_LABELLED, MOST_BYTES = 3000, 32 << 20
 #: Of so many documents of the sample one is for calibration.
 CALIBRATED = 5
@@ -94,10 +97,10 @@ class ByteConv:
                 p = 1 / (1 + np.exp(-np.clip(hidden @ self.dense + params[3][0], -30, 30)))
                 dz = ((p - y) * w / len(at)).astype(np.float32)
                 dh = dz[:, None] * self.dense * (top > 0)
-                dt = np.zeros_like(self.tables)
                 rows, columns = np.arange(len(at))[:, None], np.arange(FILTERS)[None, :]
-                for j in range(WIDTH):
-                    np.add.at(dt[j], (x[rows, where + j], np.broadcast_to(columns, where.shape)), dh)
+                # One sum over all places of the tables.
+                cells = np.stack([(j * 256 + x[rows, where + j].astype(np.int64)) * FILTERS + columns for j in range(WIDTH)])
+                dt = np.bincount(cells.ravel(), np.broadcast_to(dh, cells.shape).ravel(), self.tables.size).astype(np.float32).reshape(self.tables.shape)
                 grads = [dt, dh.sum(0), hidden.T @ dz + 1e-4 * self.dense, dz.sum(keepdims=True)]
                 step += 1
                 for p_, g, (m, v) in zip(params, grads, moments):
@@ -141,45 +144,83 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.scale * self.logits(texts) + self.model.shift, -40, 40)))
 
 
+def _most_chunks(chunks: np.ndarray, most_bytes: int) -> int:
+    """The largest number of chunks for one document, so that all are within most_bytes; 1 at least."""
+    low, high = 1, max(1, int(chunks.max()))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if int(np.minimum(chunks, middle).sum()) * PIECE <= most_bytes else (low, middle - 1)
+    return low
+
+
+def _pieces(found: DataFrame, ids: set[int], most: int) -> DataFrame:
+    """(doc_id, pieces) of these documents: up to most chunks, spread over the whole text, each with the bytes that filters at its end reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text"):
+            some = batch.filter(pa.array([x in ids for x in batch.column("doc_id").to_pylist()], pa.bool_()))
+            out = []
+            for text in as_bytes(some.column("text")):
+                starts = chunk_starts(len(text))
+                n = min(len(starts), most)
+                chosen = [starts[i * (len(starts) - 1) // max(1, n - 1)] for i in range(n)]
+                out.append(b"".join(text[s : s + PIECE].ljust(PIECE, b"\0") for s in chosen))
+            yield pa.record_batch({"doc_id": some.column("doc_id"), "pieces": pa.array(out, pa.binary())})
+
+    return found.select("doc_id", "text").mapInArrow(run, "doc_id bigint, pieces binary")
+
+
+def _logits(found: DataFrame, ids: set[int], model: ByteConv) -> DataFrame:
+    """(doc_id, logit) of these documents' whole texts."""
+    shared = found.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for batch in in_slices(batches, "text"):
+            some = batch.filter(pa.array([x in ids for x in batch.column("doc_id").to_pylist()], pa.bool_()))
+            scorer = scorer or Scorer(shared.value)
+            yield pa.record_batch({"doc_id": some.column("doc_id"), "logit": pa.array(scorer.logits(as_bytes(some.column("text"))), pa.float64())})
+
+    return found.select("doc_id", "text").mapInArrow(run, "doc_id bigint, logit double")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD, most_bytes: int = MOST_BYTES) -> ByteConv:
-    """A model of labels.quality, from at most most_labelled documents with each label and most_bytes of text outside the held-out fold.
+    """A model of labels.quality, from at most most_labelled documents with each label outside the held-out fold, and most_bytes of their chunks.
 
     Without labels of both kinds it gives every text one probability, (ones + 1) / (labels + 2). A null
-    text is empty; of rows that repeat a doc_id the smallest text counts.
+    text is empty; of rows that repeat a doc_id the smallest text counts. Of a very long text there are as many chunks as fit, spread over all of it;
+    other documents have theirs all the same.
     """
     small_batches(docs.sparkSession)
     sample, counts = sample_of(labels, "quality", most_labelled, folds, fold)
     found = texts_of(docs, sample).groupBy("doc_id").agg(F.min("label").alias("label"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
     found = stored(found.select("doc_id", "label", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"), "text"), "quality-sample")
-    # Rows of the sample, whose number is bounded; then their texts, whose bytes are.
+    # Rows of the sample, whose number is bounded; then their chunks, whose bytes are.
     rows = sorted(found.select("doc_id", "label", "hash", "size").collect(), key=lambda r: (r.hash, r.doc_id))
-    rows = [r for r, total in zip(rows, np.cumsum([r["size"] for r in rows]).tolist()) if total <= most_bytes]
     there = np.bincount(np.array([r.label for r in rows], int), minlength=2)
     if not there.all():
         return ByteConv.constant((counts[1] + 1) / (counts[0] + counts[1] + 2))
-    last = F.struct(F.lit(rows[-1]["hash"]).alias("hash"), F.lit(rows[-1].doc_id).alias("doc_id"))
-    text_of = {r.doc_id: r.text.encode() for r in found.where(F.struct("hash", "doc_id") <= last).select("doc_id", "text").toLocalIterator()}
-    texts, y = [text_of.pop(r.doc_id) for r in rows], np.array([r.label for r in rows], float)
+    y = np.array([r.label for r in rows], float)
     # Every so many documents of each label are kept for calibration, if there are enough.
     order = np.concatenate([np.arange((y == k).sum()) for k in (0, 1)])[np.argsort(np.argsort(y, kind="stable"), kind="stable")]
     kept = order % CALIBRATED == CALIBRATED - 1 if there.min() >= CALIBRATED else np.zeros(len(y), bool)
     model = ByteConv.fresh()
     fitted = np.flatnonzero(~kept)
-    padded = [texts[i] + b"\0" * (chunk_starts(len(texts[i]))[-1] + CHUNK + WIDTH - 1 - len(texts[i])) for i in fitted]
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in padded])])
-    chunks = [chunk_starts(len(texts[i])) for i in fitted]
-    of = np.repeat(np.arange(len(fitted)), [len(x) for x in chunks])
-    starts = np.concatenate(chunks) + bounds[of]
+    most = _most_chunks(np.array([len(chunk_starts(rows[i]["size"])) for i in fitted]), most_bytes)
+    pieces_of = {r.doc_id: bytes(r.pieces) for r in _pieces(found, {rows[i].doc_id for i in fitted}, most).toLocalIterator()}
+    pieces = [pieces_of.pop(rows[i].doc_id) for i in fitted]
+    of = np.repeat(np.arange(len(fitted)), [len(x) // PIECE for x in pieces])
+    starts = np.arange(len(of)) * PIECE
     # Documents with few chunks weigh as much as others, and both labels as much in fitting the filters.
     own = y[fitted]
     weights = (np.where(own == 1, 0.5 / own.mean(), 0.5 / (1 - own.mean())))[of] / np.bincount(of)[of]
     epochs = max(EPOCHS[0], min(EPOCHS[1], VISITS // len(starts)))
-    model.fit(np.frombuffer(b"".join(padded), np.uint8), starts, own[of], (weights / weights.mean()).astype(np.float32), epochs)
+    model.fit(np.frombuffer(b"".join(pieces), np.uint8), starts, own[of], (weights / weights.mean()).astype(np.float32), epochs)
     # Calibrated on what is scored: whole texts, that weren't fitted on. The sample is cut at as many of each label;
     # the probability is that among all labels.
     at = np.flatnonzero(kept) if kept.any() else np.arange(len(y))
-    scorer = Scorer(model)
-    x = np.concatenate([scorer.logits([texts[i] for i in at[k : k + 200]]) for k in range(0, len(at), 200)])
+    logit_of = {r.doc_id: r.logit for r in _logits(found, {rows[i].doc_id for i in at}, model).collect()}
+    x = np.array([logit_of[rows[i].doc_id] for i in at])
     w = np.array([counts[k] / (y[at] == k).sum() for k in (0, 1)])[y[at].astype(int)]
     model.scale, model.shift = calibrated(x, y[at], w / w.mean())
     return model

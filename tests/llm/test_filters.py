@@ -161,14 +161,29 @@ def test_quality_score_depends_on_the_text_alone(spark, corpus):
 
 def test_quality_sample_is_bounded_by_bytes(spark, corpus):
     docs, labels = corpus
-    few = quality.fit_quality(docs, labels, most_bytes=60_000)
-    scores = {r.p for r in quality.score_quality(docs, few, "p").collect()}
-    assert len(scores) > 100
-    assert len({r.p for r in quality.score_quality(docs, quality.fit_quality(docs, labels, most_bytes=0), "p").collect()}) == 1
+    for most in (60_000, 0):  # one chunk of each document at least
+        few = quality.fit_quality(docs, labels, most_bytes=most)
+        assert few.scale > 0 and len({r.p for r in quality.score_quality(docs, few, "p").collect()}) > 100
+    assert quality._most_chunks(np.array([1, 5, 100]), 16 * quality.PIECE) == 10
+    pieces = quality._pieces(spark.createDataFrame([(1, "a" * 5000 + "z"), (2, ""), (3, "b")], "doc_id bigint, text string"), {1, 2}, 3).collect()
+    assert {r.doc_id: len(r.pieces) // quality.PIECE for r in pieces} == {1: 3, 2: 1} and b"z" in max(pieces, key=lambda r: len(r.pieces)).pieces
     assert quality.fit_quality(docs.where("false"), labels).scale == 0
     assert quality.fit_quality(docs, labels.where("quality = 1")).scale == 0
 
 
+def test_one_long_text_takes_no_other_out_of_the_sample(spark, corpus):
+    docs, labels = corpus
+    first = labels.where("quality = 1").join(docs, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).orderBy(F.xxhash64("doc_id")).first().doc_id
+    long = docs.withColumn("text", F.when(F.col("doc_id") == first, F.expr("repeat(concat(text, ' '), cast(40000000 / length(text) as int))")).otherwise(F.col("text")))
+    found = []
+    for d in (docs, long):
+        model = quality.fit_quality(d, labels)
+        assert model.scale > 0
+        rows = quality.score_quality(docs, model, "p").join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).select("p", "quality").collect()
+        found.append([np.mean([(r.p >= quality.THRESHOLD) == kind for r in rows if r.quality == kind]) for kind in (0, 1)])
+    assert np.abs(np.subtract(*found)).max() <= 0.06, found  # one of the fold's 19 poor documents is 0.053
+
+
 ODD = [(1, None), (2, ""), (2, ""), (None, "some text"), (3, "wörd " * 30_000), (4, " \n\t ")]
 
 
