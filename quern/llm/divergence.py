@@ -45,6 +45,8 @@ MOST_TERMS = 50
 DEPTH, LEAST_CELLS, MOST_CELLS, BLOCK = 4, 1 << 18, 1 << 22, 1 << 16
 #: Bytes of the input's files for each cell of a row.
 BYTES_PER_CELL = 256
+#: Bytes of text that are counted at once.
+LUMP = 16 << 20
 #: Parts of a key that many rows may have.
 SALTS = 16
 
@@ -72,7 +74,22 @@ class Terms:
         each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[inside])])
         coded = each.dictionary_encode()
         self.distinct, self.number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.document = np.searchsorted(np.cumsum(lengths + 1), starts, side="right")
+        ends = np.searchsorted(starts, np.cumsum(lengths + 1))
+        self.document = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        self.many = max(1, len(self.distinct))
+
+    def by_document(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of (document, term) pairs, as document * many + term, and how often each is there."""
+        return np.unique(self.document * self.many + self.number, return_counts=True)
+
+
+def _tally(keys: np.ndarray, size: int, *weights: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """Distinct keys, of size possible ones, and of each the sums of weights (None: 1 each)."""
+    if size <= 1 << 22:
+        at = np.flatnonzero(np.bincount(keys, minlength=size))
+        return at, *(np.bincount(keys, w, size)[at].astype(np.int64) for w in weights)
+    at, where = np.unique(keys, return_inverse=True)
+    return at, *(np.bincount(where, w, len(at)).astype(np.int64) for w in weights)
 
 
 def _codes(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -81,16 +98,23 @@ def _codes(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _documents(terms: Terms, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of (language, term) pairs, as language * distinct terms + term, and in how many documents each is."""
-    many = max(1, len(terms.distinct))
-    once = np.unique(terms.document * many + terms.number)
-    return np.unique(lang[once // many] * many + once % many, return_counts=True)
+def _lumps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together or cut to LUMP bytes of text or so: many documents share their terms."""
+    held, size = [], 0
+    for batch in in_slices(batches, "text", LUMP):
+        own = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if held and size + own > LUMP:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _cells(langs: pa.Array, terms: Terms, pairs: np.ndarray, cells: int) -> np.ndarray:
     """The cell of each pair in each row of the sketch."""
-    many = max(1, len(terms.distinct))
+    many = terms.many
     names, words = [f"{x}\0".encode() for x in langs.to_pylist()], terms.distinct.to_pylist()
     h = np.fromiter((xxhash.xxh3_64_intdigest(names[i] + words[j]) for i, j in zip((pairs // many).tolist(), (pairs % many).tolist())), np.uint64, len(pairs))
     # Rows of the sketch by double hashing.
@@ -110,9 +134,10 @@ def document_sketch(docs: DataFrame, cells: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((DEPTH, cells), np.uint8)
-        for batch in in_slices(batches, "text"):
+        for batch in _lumps(batches):
             terms, (langs, lang) = Terms(batch.column("text")), _codes(batch.column("lang"))
-            pairs, n = _documents(terms, lang)
+            once, _ = terms.by_document()
+            pairs, n = _tally(lang[once // terms.many] * terms.many + once % terms.many, len(langs) * terms.many, None)
             for row, at in zip(held, _cells(langs, terms, pairs, cells)):
                 touched, where = np.unique(at, return_inverse=True)
                 row[touched] = np.minimum(row[touched] + np.bincount(where, n).astype(np.int64), 255)
@@ -148,18 +173,18 @@ def term_counts(docs: DataFrame, sketch: np.ndarray, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value
-        for batch in in_slices(batches, "text", 8 << 20):
+        for batch in _lumps(batches):
             terms, (langs, lang), (sources, source) = Terms(batch.column("text")), _codes(batch.column("lang")), _codes(batch.column("source"))
-            many, groups = max(1, len(terms.distinct)), lang * len(sources) + source
-            pairs, _ = _documents(terms, lang)
+            many, groups = terms.many, lang * len(sources) + source
+            once, times = terms.by_document()
+            document, term = once // many, once % many
+            (pairs,) = _tally(lang[document] * many + term, len(langs) * many)
             estimate = np.min([row[at] for row, at in zip(sketch, _cells(langs, terms, pairs, sketch.shape[1]))], 0) if len(pairs) else np.empty(0)
             kept = pairs[estimate >= min(least, 255)]
             there = np.unique(groups)
-            own, n = np.unique(groups[terms.document] * many + terms.number, return_counts=True)
-            once = np.unique(terms.document * many + terms.number)
-            _, in_docs = np.unique(groups[once // many] * many + once % many, return_counts=True)
-            possible = np.isin(own // many // len(sources) * many + own % many, kept)
-            own, n, in_docs = own[possible], n[possible], in_docs[possible]
+            possible = np.isin(lang[document] * many + term, kept)
+            document, term, times = document[possible], term[possible], times[possible]
+            own, n, in_docs = _tally(groups[document] * many + term, len(langs) * len(sources) * many, times, None)
             every = np.concatenate([own // many, there])
             yield pa.record_batch(
                 {
