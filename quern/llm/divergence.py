@@ -46,7 +46,7 @@ DEPTH, LEAST_CELLS, MOST_CELLS, BLOCK = 4, 1 << 18, 1 << 22, 1 << 16
 #: Bytes of the input's files for each cell of a row.
 BYTES_PER_CELL = 256
 #: Bytes of text that are counted at once.
-LUMP = 16 << 20
+LUMP = 6 << 20
 #: Parts of a key that many rows may have.
 SALTS = 16
 
@@ -68,24 +68,27 @@ class Terms:
         lengths = pc.binary_length(binary).to_numpy(zero_copy_only=False).astype(np.int64)
         raw = _LOWER[np.frombuffer(b"\n".join(binary.to_pylist()) + b"\n", np.uint8)]
         inside = ~_GAP[raw]
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+        # A text ends with a gap, and so do all together.
+        edges = np.flatnonzero(inside[1:] != inside[:-1]).astype(np.int32) + 1
+        edges = np.concatenate([np.zeros(1, np.int32), edges]) if inside[0] else edges
         starts, sizes = edges[0::2], edges[1::2] - edges[0::2]
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[inside])])
+        offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)])
+        each = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+        del raw, inside, sizes
         coded = each.dictionary_encode()
-        self.distinct, self.number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.distinct, self.number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         ends = np.searchsorted(starts, np.cumsum(lengths + 1))
-        self.document = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        self.document = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
         self.many = max(1, len(self.distinct))
 
     def by_document(self) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of (document, term) pairs, as document * many + term, and how often each is there."""
-        return np.unique(self.document * self.many + self.number, return_counts=True)
+        return np.unique(self.document * np.int64(self.many) + self.number, return_counts=True)
 
 
 def _tally(keys: np.ndarray, size: int, *weights: np.ndarray | None) -> tuple[np.ndarray, ...]:
     """Distinct keys, of size possible ones, and of each the sums of weights (None: 1 each)."""
-    if size <= 1 << 22:
+    if size <= 1 << 21:
         at = np.flatnonzero(np.bincount(keys, minlength=size))
         return at, *(np.bincount(keys, w, size)[at].astype(np.int64) for w in weights)
     at, where = np.unique(keys, return_inverse=True)
