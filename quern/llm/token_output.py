@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, discard, in_slices, partitions_for, pick, scratch, small_batches, stored, table
+from ._common import MOST_PARTITIONS, as_bytes, discard, in_slices, partitions_for, pick, scratch, small_batches, stored, table
 from .files import Reader, new_file
 from .tokenizing import SLICE, crc32, ids_by
 
@@ -216,7 +216,9 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
                         }
                     )
 
-    return totals.repartition("path").mapInArrow(run, "doc_id bigint, start bigint, ids binary")
+    # A row for each file, in as many parts: what is dealt to a number of partitions isn't put together again.
+    parts = max(1, min(index.count(), MOST_PARTITIONS))
+    return totals.repartitionByRange(parts, "base").mapInArrow(run, "doc_id bigint, start bigint, ids binary")
 
 
 def digest(documents: DataFrame) -> DataFrame:

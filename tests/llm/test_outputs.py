@@ -349,6 +349,15 @@ def test_a_repeated_attempt_replaces_no_file(spark, corpus, tmp_path):
     assert index.count() == len(before) - 1
 
 
+def test_token_files_are_read_in_many_tasks(spark, corpus, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "SHARD_NUMBERS", 300)
+    folder = f"file://{tmp_path}/many"
+    index = token_output.write_token_files(token_output.encode_texts(frame(spark, corpus), WORD), folder)
+    read = token_output.read_token_files(index, folder).select("doc_id", F.spark_partition_id().alias("p"))
+    files, tasks = index.count(), read.select("p").distinct().count()
+    assert files > 8 and tasks > files // 2
+
+
 def test_very_long_texts(spark):
     """Ten megabytes each: of words, of one word, and of marks."""
     rng = random.Random(3)
@@ -362,3 +371,6 @@ def test_very_long_texts(spark):
     assert {r.doc_id: r["size"] for r in found} == {i: len(t.split()) for i, t, _ in rows}
     index = warc.write_archives(spark.createDataFrame([(i, "u", t) for i, t, _ in rows], "page_id long, url string, html string"), scratch(spark, "w"))
     assert {r.page_id: r.payload_bytes for r in warc.read_archives(index, with_payload=False).collect()} == {i: len(t) for i, t, _ in rows}
+    folder, encode = scratch(spark, "long-tokens"), library(WORD)
+    found = token_output.digest(token_output.read_token_files(token_output.write_token_files(token_output.encode_texts(docs, WORD), folder), folder)).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {i: len(encode(t)) + 1 for i, t, _ in rows[:1] + rows[2:]}
