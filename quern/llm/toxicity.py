@@ -117,26 +117,26 @@ class Odds:
 def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal segments (first, beyond the last, score) of words of these weights.
 
-    A stack of candidates, each with the running total before and at its end: a new one joins back
-    to the nearest earlier candidate that begins lower, if it ends higher than that one does. Every candidate
-    enters and leaves the stack once. Only words of positive weight begin one.
+    Candidates, each with the running total before and at its end: a new one joins back
+    to the nearest earlier candidate that begins lower, if it ends higher than that one does. Each candidate
+    knows that one from when it came, so the search for it leaps over those that begin higher, and none is leapt over twice: whoever comes
+    later meets the one that leapt. So the time is linear. Only words of positive weight begin a candidate.
     """
-    stack: list[tuple[int, int, float, float]] = []
+    # first, beyond the last, total before, total at the end, place of the nearest candidate that begins lower (-1: none).
+    stack: list[tuple[int, int, float, float, int]] = []
     totals, places = np.cumsum(weights), np.flatnonzero(weights > 0)
     after = totals[places]
     before = np.where(places > 0, totals[places - 1], 0.0) if len(places) else after
     for place, before_, total in zip(places.tolist(), before.tolist(), after.tolist()):
-        first, low = place, before_
-        while True:
-            k = len(stack) - 1
-            while k >= 0 and stack[k][2] >= low:
-                k -= 1
-            if k < 0 or stack[k][3] >= total:
-                stack.append((first, place + 1, low, total))
-                break
-            first, low = stack[k][0], stack[k][2]
-            del stack[k:]
-    return [(a, b, high - low) for a, b, low, high in stack]
+        first, low, left, k = place, before_, len(stack), len(stack) - 1
+        while k >= 0 and stack[k][2] >= low:
+            k = stack[k][4]
+        while k >= 0 and stack[k][3] < total:
+            first, _, low, _, lower = stack[k]
+            left, k = k, lower
+        del stack[left:]
+        stack.append((first, place + 1, low, total, k))
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 def surprise(scores: list[float], n: int, rate: float) -> float:
@@ -214,6 +214,16 @@ def log_odds(y0: np.ndarray, y1: np.ndarray, n0: float, n1: float) -> np.ndarray
     return np.sign(odds) * np.maximum(0, np.abs(odds) - CAUTION * np.sqrt(1 / (y1 + a1) + 1 / (y0 + a0)))
 
 
+def _fewest(there: np.ndarray) -> int:
+    """In how many documents a token must be, at least, to have odds other than zero in a model of all parts or of all but one."""
+    totals = [there.sum(0), *(there.sum(0) - there)]
+    for n in range(2, 100):
+        y1 = np.arange(n + 1.0)
+        if any(t.all() and log_odds(n - y1, y1, *t).any() for t in totals):
+            return n
+    return 2
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD) -> Odds:
     """A model of labels.toxic, from at most most_labelled documents with each label outside the held-out fold.
 
@@ -224,11 +234,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_L
     part = F.pmod(F.xxhash64("doc_id", F.lit(PARTS)), F.lit(PARTS)).cast("int")
     texts = stored(texts_of(docs, sample).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), "label", part.alias("part")), "toxic-sample")
     names = [f"n{k}" for k in range(2 * PARTS)]
-    # The sample bounds these rows.
     seen = texts.select("text", "label", "part").mapInArrow(_presence, "h bigint, " + ", ".join(f"{n} bigint" for n in names)).groupBy("h").agg(*(F.sum(n).alias(n) for n in names))
-    seen = seen.where("h = 0 or " + " + ".join(names) + " > 1").toPandas().sort_values("h")
+    seen = stored(seen, "toxic-tokens")
+    there = seen.where("h = 0").toPandas()[names].to_numpy(float).reshape(-1, PARTS, 2).sum(0)
+    # Tokens of so few documents that their odds are zero in any model stay where they are. Of the rest there are no more than
+    # the sample's documents have tokens, divided by that number of documents.
+    seen = seen.where("h = 0 or " + " + ".join(names) + f" >= {_fewest(there)}").toPandas().sort_values("h")
     each = seen[names].to_numpy(float).reshape(-1, PARTS, 2)
-    there = each[seen.h.to_numpy() == 0].sum(0)
     if not len(there) or not there.sum(0).all():
         return Odds(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, math.log((counts[1] + 1) / (counts[0] + 1)))
     hashes, each = seen.h.to_numpy(np.int64)[seen.h.to_numpy() != 0], each[seen.h.to_numpy() != 0]

@@ -82,6 +82,37 @@ def test_maximal_segments(weights):
     assert all(s == pytest.approx(total((a, b))) for a, b, s in found)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([-3.0, -2.0, -1.25, 1.0, 1.5, 2.0, 4.0]), max_size=16))
+def test_maximal_segments_of_falling_totals(weights):
+    found = toxicity.maximal_segments(np.array(weights, float))
+    assert sorted(s for *_, s in found) == pytest.approx(sorted(s for *_, s in segments_by_force(weights)))
+    assert [a for a, *_ in found] == sorted(a for a, *_ in found)
+
+
+def test_search_is_linear():
+    import time
+
+    def seconds(weights):
+        began = time.perf_counter()
+        toxicity.maximal_segments(weights)
+        return time.perf_counter() - began
+
+    rng = np.random.default_rng(1)
+    for pattern in (np.array([1.0, -2.0]), np.array([1.0, -0.5]), rng.choice([1.0, -1.0, -2.0, 3.0], 5000), np.repeat([1.0, -1.5, 2.0, -2.5], 999)):
+        seconds(np.resize(pattern, 10_000))
+        assert seconds(np.resize(pattern, 2_000_000)) < 8
+
+
+def test_tokens_of_few_documents_have_no_odds():
+    there = np.array([[900.0, 300.0], [910.0, 280.0]])
+    n = toxicity._fewest(there)
+    assert n > 1
+    for m in range(1, n):
+        y1 = np.arange(m + 1.0)
+        assert not any(toxicity.log_odds(m - y1, y1, *t).any() for t in (there.sum(0), *(there.sum(0) - there)))
+
+
 def test_law():
     rate = toxicity.law_rate(np.array([0.01, 0.99]), np.array([3.0, -0.5]))
     assert 0.01 * math.exp(3 * rate) + 0.99 * math.exp(-0.5 * rate) == pytest.approx(1, abs=1e-6)
