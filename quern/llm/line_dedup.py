@@ -157,8 +157,10 @@ def _keyed(distinct: DataFrame, of: Callable[[list[str], int], np.ndarray], dist
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) to (doc_id, line_no from 0, line), lines that aren't blank."""
-    split = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(doc_id, text) to (doc_id, text_hash, line_no from 0, line), lines that aren't blank."""
+    # The text's hash is made before the text is taken apart, so once.
+    hashed = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), line_hash(F.col("text")).alias("text_hash"), "text")
+    split = hashed.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return split.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
@@ -202,7 +204,7 @@ def line_hash(line: Column) -> Column:
 
 
 def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """One row for each line of docs (doc_id, text) that isn't blank: doc_id, line_no, class_doc_id, class_line_no, kept, hash.
+    """One row for each line of docs (doc_id, text) that isn't blank: doc_id, line_no, class_doc_id, class_line_no, kept, hash, and text_hash, the hash of the whole text.
 
     The class is named by its first line's place, and that line is kept. A null doc_id comes first. A
     null or empty text has no lines. Rows that repeat a doc_id share their lines' places: of such, equal lines in one
@@ -211,7 +213,7 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     spark = docs.sparkSession
     small_batches(spark)
     lines = lines_of(docs).withColumn("hash", line_hash(F.col("line")))
-    places = stored(lines.select("doc_id", "line_no", "hash"), "line-places")
+    places = stored(lines.select("doc_id", "text_hash", "line_no", "hash"), "line-places")
     # Numbered where they are written, so a line's number is the same ever after.
     long = lines.where(F.length("line") >= least_chars).groupBy("hash").agg(F.first("line").alias("line"))
     distinct = stored(long.select(F.monotonically_increasing_id().alias("id"), "hash", "line"), "distinct-lines")
@@ -242,23 +244,24 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     by_hash = named.join(firsts, "component", "left").select("hash", F.coalesce("of", "first").alias("of"))
     by_hash = by_hash.select("hash", F.col("of.doc_id").alias("class_doc_id"), F.col("of.line_no").alias("class_line_no"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))
-    return places.join(by_hash, "hash").select("doc_id", "line_no", "class_doc_id", "class_line_no", kept.alias("kept"), "hash")
+    return places.join(by_hash, "hash").select("doc_id", "line_no", "class_doc_id", "class_line_no", kept.alias("kept"), "hash", "text_hash")
 
 
 def drop_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """docs (all columns) without the lines that classes doesn't keep; n_chars, if there, is made anew.
 
     A document of which no line is left, though it had some, goes: it is all in others. Documents without a line (null or
-    blank texts) stay as they are.
+    blank texts) stay as they are. A document is known by its doc_id and its text, so those without a doc_id are each
+    left by what they have themselves; lines that two of them have at one and the same number are one place, and stay in both. Rows that repeat both
+    are left alike. The work is linear in a document's lines.
     """
-    dropped = classes.where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "hash")).alias("dropped"))
+    dropped = classes.where("not kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("dropped"))
     d, names = by_place(docs), docs.columns
     id_, text = f"c{position(docs, 'doc_id')}", f"c{position(docs, 'text')}"
-    joined = d.join(dropped.withColumnRenamed("doc_id", "__id"), F.col(id_).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
-    split = F.split(text, "\n", -1)
-    numbered = F.transform(split, lambda line, i: F.when(F.array_contains(F.col("dropped"), F.struct(i.alias("line_no"), line_hash(line).alias("hash"))), F.lit(None)).otherwise(line))
-    left = F.array_compact(numbered)
-    changed = joined.withColumn("__lines", F.when(F.col("dropped").isNotNull(), left))
+    joined = d.join(dropped, F.col(id_).cast("long").eqNullSafe(F.col("__id")) & (line_hash(F.col(text)) == F.col("__hash")), "left").drop("__id", "__hash")
+    split = joined.withColumn("__split", F.when(F.col("dropped").isNotNull(), F.split(text, "\n", -1)))
+    numbers = split.withColumn("__left", F.array_except(F.sequence(F.lit(0), F.size("__split") - 1), F.col("dropped")))
+    changed = numbers.withColumn("__lines", F.transform("__left", lambda i: F.get(F.col("__split"), i)))
     gone = F.col("__lines").isNotNull() & ~F.exists("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = changed.where(~F.coalesce(gone, F.lit(False))).withColumn(text, F.coalesce(F.array_join("__lines", "\n"), F.col(text)))
     if "n_chars" in names:
@@ -268,7 +271,7 @@ def drop_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents")).drop("hash")
+    return line_classes(table(spark, sf_dir, "documents")).drop("hash", "text_hash")
 
 
 OP3_SQL = f"""

@@ -174,6 +174,39 @@ def test_dropping_lines(spark, line_docs):
     assert line_classes(docs(spark, [])).collect() == [] and drop_lines(docs(spark, []), line_classes(docs(spark, []))).collect() == []
 
 
+def test_lines_are_dropped_in_linear_time_and_by_document(spark):
+    import time
+
+    many = "\n".join(f"line number {i} of a text of very many lines" for i in range(100_000))
+    rows = [(1, many), (2, many + "\none line of its own that no other text has")]
+    given = spark.createDataFrame(rows, DOCS)
+    schema = "doc_id bigint, line_no int, kept boolean, text_hash binary"
+    hashes = bytearray(hashlib.md5(rows[1][1].encode()).digest())
+    classes = spark.createDataFrame([(2, i, i == 100_000, hashes) for i in range(100_001)], schema)
+    began = time.perf_counter()
+    found = {r.doc_id: r.text for r in drop_lines(given, classes).collect()}
+    assert time.perf_counter() - began < 15 and found == {1: many, 2: "one line of its own that no other text has"}
+    # Documents without an id don't meet.
+    rows = [(None, f"the first line that all of the documents have\nand line {i} of its own, that no other has") for i in range(50)] + [(None, "another line\nthe first line that all of the documents have")]
+    classes = line_classes(docs(spark, rows))
+    each = classes.where("not kept").groupBy("doc_id", "text_hash").count().collect()
+    assert [r["count"] for r in each] == [1]
+    assert "another line" in {r.text for r in drop_lines(docs(spark, rows), classes).collect()}
+
+
+def test_very_long_texts_have_classes(spark):
+    """Ten megabytes each: of words, of one word, and of lines; twice each, the second time with an edit."""
+    rng = random.Random(8)
+    long = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(1_700_000)), "ab" * 5_000_000, "\n".join(f"line {rng.random()} of a text of very many lines" for _ in range(220_000))]
+    rows = [(i, t) for i, t in enumerate(long)] + [(i + 3, t) for i, t in enumerate(long)] + [(6, long[0] + " more"), (7, "short"), (8, long[2] + "\nmore")]
+    given = spark.createDataFrame(rows, DOCS)
+    assert {r.doc_id: r.keep_id for r in exact_duplicates(given).collect()} == {0: 3, 1: 4, 2: 5, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8}
+    near = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(given).collect()}
+    assert near == {0: 0, 1: 1, 2: 2, 3: 0, 4: 1, 5: 2, 6: 0, 7: 7, 8: 2}
+    kept = {r.doc_id: r.n for r in line_classes(given).groupBy("doc_id").agg(F.count_if("kept").alias("n")).collect()}
+    assert kept == {0: 1, 1: 1, 2: 220_000, 3: 0, 4: 0, 5: 0, 6: 1, 7: 1, 8: 1}
+
+
 def shingles(text):
     w = az(text).replace("\t", " ").replace("\n", " ").split()
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
