@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.python_str import decimal_str, float_str, timestamp_str
 from ..functions.text import collapse_ws, is_nonblank, truncate_ellipsis
 
 # Column names that are text by themselves, first to last; parts of names that are never
@@ -71,11 +72,17 @@ def with_source_text(df: DataFrame, max_chars: int = SOURCE_CHARS, skip: tuple[s
 
 
 def _python_str(c: Column, kind: T.DataType) -> Column:
-    """Python's str() of a value: Spark's cast for strings, integers and dates; other kinds go through Python in Arrow batches."""
+    """Python's str() of a value, natively for strings, numbers, dates and timestamps; bytes and nested kinds go through Python in Arrow batches."""
     if isinstance(kind, (T.StringType, T.IntegralType, T.DateType)):
         return c.cast("string")
     if isinstance(kind, T.BooleanType):
         return F.initcap(c.cast("string"))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return float_str(c)
+    if isinstance(kind, T.DecimalType):
+        return decimal_str(c, kind.scale)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return timestamp_str(c)
 
     def text(x):
         if x is None:

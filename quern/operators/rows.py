@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import shared_root
 
 ROW_INDEX = "row_index"
 #: Files and splits whose row counts are broadcast, or looked through on the driver, at most; beyond that they are joined.
@@ -51,8 +54,8 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
     """df with the row's 0-based place in the whole dataset as its first column.
 
     A scan of files: the place in its block, added to the rows of all blocks before it, in the order of paths;
-    no shuffle, after a count that reads no column. Other frames: the place in their own order, or in that of order_by,
-    by one pass over RDD partitions.
+    no shuffle, after a count that reads no column. Other frames: the place in their own order, or in that of order_by (rows that are equal
+    in all of it are in any order, but the same one whenever the result is read); see numbered().
     """
     found = _placed(df) if order_by is None else None
     if found:
@@ -65,9 +68,32 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
         blocks = _blocks(placed).select(F.col("f").alias("f2"), F.col("b").alias("b2"), (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("before"))
         joined = placed.join(F.broadcast(blocks) if _are_few(df) else blocks, (F.col("f") == F.col("f2")) & (F.col("b") == F.col("b2")))
         return joined.select(F.col("before") + F.col("r"), *own).toDF(name, *df.columns)
-    ordered = df.orderBy(*order_by) if order_by else df
-    schema = T.StructType([T.StructField(name, T.LongType(), False), *df.schema.fields])
-    return df.sparkSession.createDataFrame(ordered.rdd.zipWithIndex().map(lambda x: (x[1], *x[0])), schema)
+    path = f"{shared_root(df.sparkSession)}/quern/ordinals-{uuid.uuid4().hex[:12]}"
+    if order_by:
+        # By place: names that differ only in case would be ambiguous.
+        plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+        df = plain.orderBy(*(f"c{df.columns.index(n)}" for n in order_by)).toDF(*df.columns)
+    return numbered(df, path, name)
+
+
+#: A row's number in its partition is below 2 to this; above it is the partition's.
+_PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, path: str, name: str = ROW_INDEX, base: int = 0) -> DataFrame:
+    """df, stored at path, with the row's place in it, from base on, as its first column; all in the JVM.
+
+    Partitions are written with each row's partition and place in it; the rows of partitions before are added, a row for each partition. It is
+    stored as a frame that is shuffled may have its rows in another order the next time.
+    """
+    own = [f"c{i}" for i in range(len(df.columns))]
+    df.toDF(*own).select("*", F.monotonically_increasing_id().alias("m")).write.mode("overwrite").parquet(path)
+    kept = df.sparkSession.read.schema(df.toDF(*own).select("*", F.lit(0).cast("long").alias("m")).schema).parquet(path)
+    part = F.shiftright("m", _PLACE_BITS)
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = kept.groupBy(part.alias("p")).agg(F.count("*").alias("n")).select("p", (F.coalesce(F.sum("n").over(before), F.lit(0)) + base).alias("before"))
+    joined = kept.withColumn("q", part).join(F.broadcast(counts) if len(kept.inputFiles()) <= MOST_BLOCKS else counts, F.col("q") == F.col("p"))
+    return joined.select(F.col("before") + F.col("m").bitwiseAND((1 << _PLACE_BITS) - 1), *own).toDF(name, *df.columns)
 
 
 def select_rows(df: DataFrame, start_row: int = 0, max_rows: int | None = None, name: str = ROW_INDEX) -> DataFrame:

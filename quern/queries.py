@@ -147,6 +147,20 @@ def infer_row_id_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", F.col("row_id_text").alias("row_id"))
 
 
+def row_ordinal_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a frame that is no scan of files: customers by balance, then key."""
+    some = table(spark, sf_dir, "customer").select("c_acctbal", "c_custkey").repartition(5)
+    return op.with_row_index(some, ["c_acctbal", "c_custkey"])
+
+
+def infer_row_id_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are doubles, of all sizes, as Python writes them."""
+    k = F.col("c_custkey") % 5
+    size = F.when(k == 0, F.col("c_acctbal")).when(k == 1, F.col("c_acctbal") * F.lit(1e18)).when(k == 2, F.col("c_acctbal") / F.lit(3e9)).when(k == 3, F.col("c_custkey") * F.lit(1e14)).otherwise(F.col("c_custkey") / F.lit(7.0))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_index"), size.alias("id"))
+    return op.with_row_id(rows).select(F.col("row_index").alias("c_custkey"), F.col("row_id_text").alias("row_id"))
+
+
 def user_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extracted(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", op.user_prompt(F.col("source_text")).alias("prompt"))
 
@@ -264,7 +278,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         dataset_profile, row_ordinal, row_ordinal_json, row_ordinal_many_files, row_range, row_range_json, row_range_many_files, row_range_negative_start, row_range_open, collapse_whitespace, truncate_ellipsis_200, truncate_small_limit, nonblank_test,
         preferred_text_documents, preferred_over_metadata_conversations, fallback_text_pages, fallback_text_part, fallback_with_blanks, preferred_priority, skip_no_text,
-        infer_row_id_key, infer_row_id_ordinal, user_prompt, chat_request_json, strip_reasoning, json_span, parse_qa, assistant_json, chat_record_typed, generate_offline,
+        infer_row_id_key, infer_row_id_ordinal, infer_row_id_float, row_ordinal_sorted, user_prompt, chat_request_json, strip_reasoning, json_span, parse_qa, assistant_json, chat_record_typed, generate_offline,
         generate_backend, run_summary, status_breakdown, resume_append, prefetch_report,
     )
 }
@@ -376,6 +390,9 @@ ORACLE_SQL: dict[str, str] = {
     "skip_no_text": "select 'embeddings' as dataset, count(*) as skipped, count(*) as rows from embeddings union all select 'labels', count(*), count(*) from labels",
     "infer_row_id_key": "select doc_id, cast(doc_id as varchar) as row_id from documents",
     "infer_row_id_ordinal": "select page_id, cast(page_id as varchar) as row_id from pages",
+    "row_ordinal_sorted": "select row_number() over (order by c_acctbal, c_custkey) - 1 as row_index, c_acctbal, c_custkey from customer",
+    "infer_row_id_float": """select c_custkey, cast(case c_custkey % 5 when 0 then c_acctbal when 1 then c_acctbal * cast(1e18 as double) when 2 then c_acctbal / cast(3e9 as double)
+        when 3 then c_custkey * cast(1e14 as double) else c_custkey / cast(7 as double) end as varchar) as row_id from customer""",
     "user_prompt": f"select doc_id, {_prompt(_source('text'))} as prompt from documents",
     "chat_request_json": f"select doc_id, {_request(False)} as request, {_request(True)} as thinking_request from documents",
     "strip_reasoning": f"select doc_id, {_STRIPPED} as stripped from {_reply_sql()}",

@@ -1,9 +1,12 @@
 import datetime
 import decimal
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.python_str import decimal_str, float_str, timestamp_str
 from quern.operators import rows_in_range, select_rows, text_fields, with_row_id, with_row_index, with_source_text
 from quern.plans import prepare
 
@@ -63,6 +66,48 @@ def test_row_id_is_pythons_text(spark, kind, value, text):
     assert [r[-1] for r in with_row_id(df).orderBy("row_index").collect()] == [text, "7", "5"]
 
 
+def test_row_id_of_any_float(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(7)
+    bits = rng.integers(0, 2**64, 30_000, dtype=np.uint64).view(np.float64)
+    some = [0.0, -0.0, 1e16, 1e15, 1e17 + 16, 123456789012345680.0, 9.1e15, 9007199254740993.0, 1e-4, 9.999e-5, 1e-5, 5e-324, 1.7976931348623157e308, float("inf"), float("-inf"), float("nan"), 1e23, 8.41e21, 2e-3, 1e22, -2.1493223164041044e18]
+    x = np.concatenate([rng.random(5000) * 1e3, np.round(rng.random(5000) * 1e6, 2), 10.0 ** rng.integers(-30, 30, 500), rng.integers(-(9 * 10**17), 9 * 10**17, 5000).astype(float), some])
+    found = lambda v: [(r.v, r.s) for r in spark.createDataFrame(pd.DataFrame({"v": v})).select("v", float_str(F.col("v")).alias("s")).collect()]
+    assert [(v, s) for v, s in found(x) if s != str(v)] == []
+    wrong = [(v, s) for v, s in found(bits) if s != str(v)]
+    assert len(wrong) <= 6 and all(float(s) == v and len(s) == len(str(v)) for v, s in wrong)
+    assert [r.s for r in spark.createDataFrame([(0.1,), (1e10,), (None,)], "f float").select(float_str(F.col("f")).alias("s")).collect()] == [str(float(np.float32(0.1))), "10000000000.0", None]
+    df = spark.range(3).select(F.col("id").alias("row_index"), (F.col("id") * 1e20).alias("id"))
+    assert "Python" not in with_row_id(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_id_of_decimals_and_times(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    values = [Decimal(x) for x in ("0", "1", "-1.5", "0.0000001", "-0.00000012", "0.000001", "123456789.1234567890", "0.0000000001")]
+    for scale in (0, 2, 6, 7, 10):
+        df = spark.createDataFrame([(v,) for v in values], "d decimal(30,10)").coalesce(1).select(F.col("d").cast(f"decimal(28,{scale})").alias("d"))
+        assert [r.s for r in df.select(decimal_str(F.col("d"), scale).alias("s")).collect()] == [str(v.quantize(Decimal(1).scaleb(-scale)) + 0) for v in values]
+    times = [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 60), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(1, 1, 1)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    assert all(r.s == str(r.t) for r in df.select("t", timestamp_str(F.col("t")).alias("s")).collect())
+
+
+def test_ordinal_of_frames_that_are_no_files(spark):
+    df = spark.range(1000, numPartitions=7).select((F.col("id") * 37 % 1000).alias("Id"), (F.col("id") % 10).alias("id"))
+    found = with_row_index(df, ["Id"])
+    assert sorted((r[0], r[1]) for r in found.collect()) == [(i, i) for i in range(1000)] and found.columns == ["row_index", "Id", "id"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
+    own = with_row_index(df)
+    assert [r[1] for r in sorted(own.collect())] == [r[0] for r in df.collect()]
+    ties = with_row_index(df, ["id"])
+    assert sorted(ties.collect()) == sorted(ties.collect()) and [r[2] for r in sorted(ties.collect())] == [i // 100 for i in range(1000)]
+    assert with_row_index(df.where("false"), ["Id"]).collect() == []
+
+
 def test_ordinal_over_files(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "cast(id as string) as text")
     for k in range(3):
