@@ -42,6 +42,8 @@ def build_parser() -> argparse.ArgumentParser:
     g.add_argument("--health-attempts", type=int, default=default["health_attempts"])
     g.add_argument("--health-delay-seconds", type=float, default=default["health_delay_seconds"])
     g.add_argument("--backend", choices=["http", "echo"], default="http")
+    g.add_argument("--reply-log", default=None, help="folder of replies; what is in it isn't asked for again")
+    g.add_argument("--attempts", type=int, default=default["attempts"], help="how often a call is sent that the server has no time for")
     g.add_argument("--resume", action="store_true", help="leave out rows that have a record")
     p = commands.add_parser("prefetch", help="datasets to a Parquet cache")
     p.add_argument("--model", default=default["model"], help="taken for compatibility: models aren't fetched")

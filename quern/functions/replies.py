@@ -15,8 +15,8 @@ REPLY = "struct<question: string, answer: string, error: string>"
 #: Errors of a reply, by their code.
 NO_JSON, BAD_JSON, NO_QUESTION, NO_ANSWER = "no_json", "bad_json", "no_question", "no_answer"
 #: Errors that no reply should give rise to.
-NULL_CONTENT, LONE_SURROGATE = "null_content", "lone_surrogate"
-UNEXPECTED = (NULL_CONTENT, LONE_SURROGATE)
+NULL_CONTENT, LONE_SURROGATE, UNDECODABLE = "null_content", "lone_surrogate", "undecodable"
+UNEXPECTED = (NULL_CONTENT, LONE_SURROGATE, UNDECODABLE)
 
 
 def strip_reasoning(c: Column) -> Column:
@@ -42,8 +42,10 @@ def parse_reply(raw: str | None) -> tuple[str | None, str | None, str | None]:
         return None, None, NO_JSON
     try:
         found = json.loads(text[begin : end + 1])
-    except (ValueError, RecursionError):
+    except json.JSONDecodeError:
         return None, None, BAD_JSON
+    except (ValueError, RecursionError):
+        return None, None, UNDECODABLE
     values = []
     for key, error in (("question", NO_QUESTION), ("answer", NO_ANSWER)):
         value = found.get(key)

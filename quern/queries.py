@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from . import functions as fn
 from . import operators as op
-from .plans.generate import prepare, records, statuses
+from .plans.generate import GenerateConfig, generate, prepare, records, statuses, written_ids
 from .session import shared_root
-from .sources import prefetch_datasets, read_jsonl, write_jsonl
+from .sources import prefetch_datasets, read_jsonl, read_ordered, write_jsonl, write_ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,6 +267,20 @@ def resume_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_jsonl(spark, out)
 
 
+def records_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written in the order of rows, side by side, and read back with their positions."""
+    folder = _folder(spark, "ordered")
+    write_ordered(records(_written(spark, sf_dir), DATASET, SPLIT), folder, "row_index", parts=5)
+    return read_ordered(spark, folder)
+
+
+def resume_skips_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to ask about after a run over a row range, by the index that the run wrote."""
+    out = _folder(spark, "index") + "/out"
+    generate(spark, GenerateConfig(DATASET, out, root=sf_dir, backend="echo", start_row=30, max_rows=150))
+    return prepare(table(spark, sf_dir, DATASET), known=written_ids(spark, out, DATASET, SPLIT)).select("row_index", "row_id", "source_text")
+
+
 def prefetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables cached as datasets, and one that isn't there."""
     found = prefetch_datasets(spark, ["region", "nation", "benchmark", "absent"], _folder(spark, "cache"), root=sf_dir)
@@ -279,7 +293,7 @@ QUERIES: dict[str, Query] = {
         dataset_profile, row_ordinal, row_ordinal_json, row_ordinal_many_files, row_range, row_range_json, row_range_many_files, row_range_negative_start, row_range_open, collapse_whitespace, truncate_ellipsis_200, truncate_small_limit, nonblank_test,
         preferred_text_documents, preferred_over_metadata_conversations, fallback_text_pages, fallback_text_part, fallback_with_blanks, preferred_priority, skip_no_text,
         infer_row_id_key, infer_row_id_ordinal, infer_row_id_float, row_ordinal_sorted, user_prompt, chat_request_json, strip_reasoning, json_span, parse_qa, assistant_json, chat_record_typed, generate_offline,
-        generate_backend, run_summary, status_breakdown, resume_append, prefetch_report,
+        generate_backend, run_summary, status_breakdown, resume_append, records_in_order, resume_skips_written, prefetch_report,
     )
 }
 
@@ -406,5 +420,7 @@ ORACLE_SQL: dict[str, str] = {
     "run_summary": f"select count(*) filter (status = 'written') as written, count(*) filter (status != 'written') as skipped from {_STATUS}",
     "status_breakdown": f"select status, count(*) as rows from {_STATUS} group by status",
     "resume_append": f"select {_LINE} as line from {_RECORDED}",
+    "records_in_order": f"select row_index as position, {_LINE} as line from {_RECORDED}",
+    "resume_skips_written": f"select doc_id as row_index, cast(doc_id as varchar) as row_id, {_source('text')} as source_text from documents where doc_id < 30 or doc_id >= 180",
     "prefetch_report": " union all ".join([*(f"select '{t}' as dataset, 'train' as split, 'cached' as status, count(*) as rows, '{_PROFILE_COLUMNS[t]}' as columns from {t}" for t in ("region", "nation", "benchmark")), "select 'absent', 'train', 'no_data_files', 0, null"]),
 }

@@ -2,6 +2,7 @@
 
 from .datasets import find_split, parse_dataset_list, read_dataset, register_reader
 from .jsonl import default_output_name, export_single_file, read_jsonl, write_jsonl
+from .ordered import assemble, manifest_of, read_ordered, write_ordered
 from .prefetch import prefetch_datasets
 
-__all__ = ["default_output_name", "export_single_file", "find_split", "parse_dataset_list", "prefetch_datasets", "read_dataset", "read_jsonl", "register_reader", "write_jsonl"]
+__all__ = ["assemble", "default_output_name", "export_single_file", "find_split", "manifest_of", "parse_dataset_list", "prefetch_datasets", "read_dataset", "read_jsonl", "read_ordered", "register_reader", "write_jsonl", "write_ordered"]

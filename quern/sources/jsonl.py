@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import store_of
+from .ordered import assemble, write_ordered
+
 
 def default_output_name(dataset: str, model: str, job: str | None = None) -> str:
     """A file name with no slashes in it."""
@@ -25,18 +28,10 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_single_file(lines: DataFrame, path: str, order_by: str, column: str = "line") -> str:
-    """All lines in one file at path, in order: for publishing a small result. All rows go through one task."""
-    spark = lines.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    work = f"{path}.work"
-    lines.orderBy(order_by).coalesce(1).select(F.col(column).alias("value")).write.mode("overwrite").text(work)
-    hadoop = jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(conf)
-    part = next((f.getPath() for f in fs.listStatus(hadoop(work)) if f.getPath().getName().startswith("part-")), None)
-    fs.delete(hadoop(path), True)
-    if part is None:
-        fs.create(hadoop(path)).close()
-    else:
-        fs.rename(part, hadoop(path))
-    fs.delete(hadoop(work), True)
+    """All lines in one file at path, in order, written side by side; see ordered. What was at path stays until the new file is whole."""
+    parts = f"{path}.parts"
+    write_ordered(lines, parts, order_by, column)
+    assemble(lines.sparkSession, parts, path)
+    store, at = store_of(parts)
+    store.delete_dir(at)
     return path
