@@ -54,6 +54,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--skip-model", action="store_true")
     p.add_argument("--skip-datasets", action="store_true")
     p.add_argument("--root", default="")
+    p.add_argument("--parallel", type=int, default=4, help="datasets that are fetched side by side")
     p.add_argument("--cache", default="quern-cache")
     for one in (g, p):
         one.add_argument("--log-level", default="INFO", choices=LEVELS)
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         logging.info("model weights aren't fetched by this engine; %s is left to the server", args.model)
     if not args.skip_datasets:
         names = [x for text in args.dataset for x in parse_dataset_list(text)]
-        prefetch_datasets(session(), names, args.cache, args.split, args.root, revision=args.revision, token=token)
+        prefetch_datasets(session(), names, args.cache, args.split, args.root, revision=args.revision, token=token, parallel=args.parallel)
     return 0
 
 

@@ -1,5 +1,5 @@
 """Whole runs."""
 
-from .generate import GenerateConfig, generate, prepare, records, statuses
+from .generate import GenerateConfig, generate, prepare, prepare_numbered, records, statuses
 
-__all__ = ["GenerateConfig", "generate", "prepare", "records", "statuses"]
+__all__ = ["GenerateConfig", "generate", "prepare", "prepare_numbered", "records", "statuses"]

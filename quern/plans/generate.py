@@ -83,6 +83,11 @@ def prepare(df: DataFrame, start_row: int = 0, max_rows: int | None = None, max_
     if known is not None:
         left = without_known(with_row_id(rows, "__row_index", "__known_id"), known.select(F.col("row_id").alias("__known_id")), "__known_id")
         rows = left.drop("__known_id")
+    return prepare_numbered(rows, max_source_chars)
+
+
+def prepare_numbered(rows: DataFrame, max_source_chars: int = SOURCE_CHARS) -> DataFrame:
+    """prepare() of rows whose ordinal is in __row_index."""
     texts = with_row_id(with_source_text(rows, max_source_chars, skip=("__row_index",)), "__row_index", "__row_id")
     # By place, from the end: the dataset's own columns may have these names too.
     plain = texts.toDF(*(f"c{i}" for i in range(len(texts.columns))))

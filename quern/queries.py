@@ -11,7 +11,7 @@ from . import functions as fn
 from . import operators as op
 from .plans.generate import GenerateConfig, generate, prepare, records, statuses, written_ids
 from .session import shared_root
-from .sources import prefetch_datasets, read_jsonl, read_ordered, write_jsonl, write_ordered
+from .sources import prefetch_datasets, read_jsonl, read_ordered, read_remote, write_jsonl, write_ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +281,33 @@ def resume_skips_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(table(spark, sf_dir, DATASET), known=written_ids(spark, out, DATASET, SPLIT)).select("row_index", "row_id", "source_text")
 
 
+def stream_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a stream of files, two to a batch: rows 100 to 249 of it, by ordinals that go on from batch to batch."""
+    from .streaming import generate_stream
+
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), _folder(spark, "stream")
+    bounds = docs.agg(F.max("doc_id")).first()[0] + 1
+    for k in range(5):  # one after another, as a stream's files are in the order of their times
+        some = docs.where((F.col("doc_id") >= bounds * k // 5) & (F.col("doc_id") < bounds * (k + 1) // 5))
+        some.orderBy("doc_id").coalesce(1).select("text").write.mode("append").parquet(f"{path}/in")
+    rows = spark.readStream.schema("text string").option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    generate_stream(rows, op.EchoBackend(), f"{path}/out", f"{path}/mark", DATASET, start_row=100, max_rows=150).awaitTermination()
+    return spark.read.text(f"{path}/out").select(F.col("value").alias("line"))
+
+
+def remote_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row range and a column list through the data source, which reads their bytes alone."""
+    return read_remote(spark, f"{sf_dir}/documents.parquet", ["row_index", "doc_id", "text"]).where("row_index >= 100 and row_index < 150")
+
+
+def prefetch_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second fetch of what is cached: nothing is written again."""
+    cache = _folder(spark, "cache")
+    prefetch_datasets(spark, ["region", "documents"], cache, root=sf_dir)
+    found = prefetch_datasets(spark, ["region", "documents", "nation"], cache, root=sf_dir)
+    return found.select("dataset", "status", "rows")
+
+
 def prefetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables cached as datasets, and one that isn't there."""
     found = prefetch_datasets(spark, ["region", "nation", "benchmark", "absent"], _folder(spark, "cache"), root=sf_dir)
@@ -293,7 +320,7 @@ QUERIES: dict[str, Query] = {
         dataset_profile, row_ordinal, row_ordinal_json, row_ordinal_many_files, row_range, row_range_json, row_range_many_files, row_range_negative_start, row_range_open, collapse_whitespace, truncate_ellipsis_200, truncate_small_limit, nonblank_test,
         preferred_text_documents, preferred_over_metadata_conversations, fallback_text_pages, fallback_text_part, fallback_with_blanks, preferred_priority, skip_no_text,
         infer_row_id_key, infer_row_id_ordinal, infer_row_id_float, row_ordinal_sorted, user_prompt, chat_request_json, strip_reasoning, json_span, parse_qa, assistant_json, chat_record_typed, generate_offline,
-        generate_backend, run_summary, status_breakdown, resume_append, records_in_order, resume_skips_written, prefetch_report,
+        generate_backend, run_summary, status_breakdown, resume_append, records_in_order, resume_skips_written, stream_row_range, remote_row_range, prefetch_again, prefetch_report,
     )
 }
 
@@ -422,5 +449,8 @@ ORACLE_SQL: dict[str, str] = {
     "resume_append": f"select {_LINE} as line from {_RECORDED}",
     "records_in_order": f"select row_index as position, {_LINE} as line from {_RECORDED}",
     "resume_skips_written": f"select doc_id as row_index, cast(doc_id as varchar) as row_id, {_source('text')} as source_text from documents where doc_id < 30 or doc_id >= 180",
+    "stream_row_range": f"select {_LINE} as line from {_RECORDED} where row_index >= 100 and row_index < 250",
+    "remote_row_range": "select doc_id as row_index, doc_id, text from documents where doc_id >= 100 and doc_id < 150",
+    "prefetch_again": "select 'region' as dataset, 'unchanged' as status, count(*) as rows from region union all select 'documents', 'unchanged', count(*) from documents union all select 'nation', 'cached', count(*) from nation",
     "prefetch_report": " union all ".join([*(f"select '{t}' as dataset, 'train' as split, 'cached' as status, count(*) as rows, '{_PROFILE_COLUMNS[t]}' as columns from {t}" for t in ("region", "nation", "benchmark")), "select 'absent', 'train', 'no_data_files', 0, null"]),
 }

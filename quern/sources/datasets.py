@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .remote import ROW_INDEX, read_remote
+
 LOG = logging.getLogger("quern.datasets")
 FORMATS = ("parquet", "json", "csv", "text", "orc")
 _SUFFIXES = {"parquet": ("parquet",), "json": ("jsonl", "json"), "csv": ("csv",), "text": ("txt",), "orc": ("orc",)}
@@ -52,7 +54,7 @@ _READERS: dict[str, Reader] = {}
 def register_reader(prefix: str, reader: Reader | None) -> None:
     """From now on datasets named <prefix>:<name> are read by reader(spark, name, split, revision=..., token=...); None takes it back.
 
-    For datasets that aren't files under a root: a hub's client, a catalog. None is built in.
+    For datasets that aren't files under a root: a hub's client, a catalog. http and https are built in; see remote.
     """
     if reader is None:
         _READERS.pop(prefix, None)
@@ -60,13 +62,30 @@ def register_reader(prefix: str, reader: Reader | None) -> None:
         _READERS[prefix] = reader
 
 
+def _web(scheme: str) -> Reader:
+    def read(spark: SparkSession, name: str, split: str, revision: str | None = None, token: str | None = None) -> DataFrame:
+        """http://host/path: the index at http://host/path/<split>.json, or the file itself if path names one."""
+        address = f"{scheme}:{name}"
+        return read_remote(spark, address if name.endswith((".parquet", ".jsonl", ".json")) else f"{address.rstrip('/')}/{split}.json", token=token).drop(ROW_INDEX)
+
+    return read
+
+
+_READERS.update({x: _web(x) for x in ("http", "https")})
+
+
+def is_registered(dataset: str) -> bool:
+    prefix, colon, _ = dataset.partition(":")
+    return bool(colon) and prefix in _READERS
+
+
 def read_dataset(spark: SparkSession, dataset: str, split: str = "train", root: str = "", fmt: str | None = None, revision: str | None = None, token: str | None = None) -> DataFrame:
     """The split's rows. fmt: the path <root>/<dataset> is of this format, and holds the split alone.
 
     revision, token: for registered readers; a revision of files is warned about, as there is none.
     """
-    prefix, colon, name = dataset.partition(":")
-    if colon and prefix in _READERS:
+    prefix, _, name = dataset.partition(":")
+    if is_registered(dataset):
         return _READERS[prefix](spark, name, split, revision=revision, token=token)
     if revision:
         LOG.warning("%s: files have no revisions; %s is not looked at", dataset, revision)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,28 +11,69 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.extract import SOURCE_CHARS, with_row_id, with_source_text
 from ..operators.inference import Backend
 from ..operators.prompts import user_prompt
-from ..plans.generate import records, statuses
+from ..operators.rows import numbered, select_rows
+from ..plans.generate import prepare_numbered, records, statuses
+from ..sources.hadoop import Store
 
 
 def prepare_stream(rows: DataFrame, max_source_chars: int = SOURCE_CHARS) -> DataFrame:
-    """As plans.prepare, of rows that have an id column: a stream has no ordinal, and row_index is null.
+    """As plans.prepare, of rows that have an id column: a stream by itself has no ordinal, and row_index is null. See generate_stream for one.
 
     Stateless, so no watermark and no state store.
     """
-    numbered = rows.withColumn("__row_index", F.lit(None).cast("long"))
-    texts = with_row_id(with_source_text(numbered, max_source_chars, skip=("__row_index",)), "__row_index", "__row_id")
+    numbered_ = rows.withColumn("__row_index", F.lit(None).cast("long"))
+    texts = with_row_id(with_source_text(numbered_, max_source_chars, skip=("__row_index",)), "__row_index", "__row_id")
     return texts.select(F.col("__row_index").alias("row_index"), F.col("__row_id").alias("row_id"), "source_fields", "source_text", user_prompt(F.col("source_text")).alias("prompt"))
 
 
-def generate_stream(rows: DataFrame, backend: Backend, out: str, checkpoint: str, dataset: str, split: str = "train", parallelism: int | None = None, **trigger) -> StreamingQuery:
+class Ordinals:
+    """Of each micro-batch its first row's ordinal, kept beside the stream's checkpoint.
+
+    A batch's record is written once its rows are numbered and never changes: a batch that is run again begins where it began before.
+    Only the last KEPT records stay.
+    """
+
+    KEPT = 10
+
+    def __init__(self, checkpoint: str) -> None:
+        self.folder = f"{checkpoint.rstrip('/')}/ordinals"
+
+    def _records(self, store: Store) -> list[int]:
+        return sorted(int(n.removeprefix("batch-").removesuffix(".json")) for n in store.names(self.folder) if n.startswith("batch-"))
+
+    def number(self, batch: DataFrame, number: int) -> DataFrame:
+        """The batch, stored, with __row_index first. Its rows are numbered in the order in which its source gives them."""
+        store, rows = Store(batch.sparkSession), f"{self.folder}/rows-{number}"
+        before = [n for n in self._records(store) if n < number]
+        first = json.loads(store.read(f"{self.folder}/batch-{before[-1]}.json"))["next"] if before else 0
+        out = numbered(batch, rows, "__row_index", first)
+        store.write(f"{self.folder}/batch-{number}.json", json.dumps({"first": first, "next": first + out.count()}))
+        return out
+
+    def done(self, batch: DataFrame, number: int) -> None:
+        """Forgets the batch's rows, and records of batches long ago."""
+        store = Store(batch.sparkSession)
+        store.delete(f"{self.folder}/rows-{number}")
+        for n in self._records(store)[: -self.KEPT]:
+            store.delete(f"{self.folder}/batch-{n}.json")
+
+
+def generate_stream(
+    rows: DataFrame, backend: Backend, out: str, checkpoint: str, dataset: str, split: str = "train", parallelism: int | None = None, start_row: int = 0, max_rows: int | None = None, max_source_chars: int = SOURCE_CHARS, log: str | None = None, **trigger
+) -> StreamingQuery:
     """Asks the model about each micro-batch and writes its records to <out>/batch=<n>.
 
-    A batch that is run again after a failure overwrites its own folder, so each row's record is there once.
+    A row's ordinal is its place in the stream: its place in its batch, and the rows of all batches before. start_row and max_rows are of
+    ordinals, over batches. A batch that is run again after a failure has the ordinals that it had, if its source gives its rows in the same order (files
+    and logs do), and overwrites its own folder, so each row's record is there once. log: as of infer().
     """
+    ordinals = Ordinals(checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
-        lines = records(statuses(batch, backend, parallelism), dataset, split)
+        some = select_rows(ordinals.number(batch, number), start_row, max_rows, "__row_index")
+        lines = records(statuses(prepare_numbered(some, max_source_chars), backend, parallelism, log=log), dataset, split)
         lines.select(F.col("line").alias("value")).write.mode("overwrite").text(f"{out.rstrip('/')}/batch={number}")
+        ordinals.done(batch, number)
 
-    stream = prepare_stream(rows).writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    stream = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return stream.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,0 +1,212 @@
+"""Datasets behind a server of this machine; caches; streams with ordinals."""
+
+import functools
+import http.server
+import json
+import threading
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quern.operators import EchoBackend
+from quern.plans import GenerateConfig, generate
+from quern.sources import prefetch_datasets, read_dataset, read_remote
+from quern.sources.remote import HttpFile, _line_blocks
+from quern.streaming import generate_stream
+
+
+class Ranges(http.server.BaseHTTPRequestHandler):
+    """Files of a folder, by ranges of bytes; what was asked for is in the server's list."""
+
+    protocol_version = "HTTP/1.1"
+
+    def __init__(self, *args, folder, **more):
+        self.folder = folder
+        super().__init__(*args, **more)
+
+    def do_GET(self):
+        file = self.folder / self.path.lstrip("/")
+        self.server.asked.append((self.path, self.headers.get("Range"), self.headers.get("Authorization")))
+        if self.server.failing:
+            self.server.failing -= 1
+            self.send_response(503)
+            self.send_header("Content-Length", "0")
+            self.end_headers()
+            return
+        data = file.read_bytes() if file.is_file() else None
+        first, _, last = self.headers["Range"].removeprefix("bytes=").partition("-")
+        some = None if data is None else data[int(first) : int(last) + 1]
+        self.send_response(404 if data is None else 416 if int(first) >= len(data) else 206)
+        self.send_header("Content-Length", str(len(some or b"")))
+        if data is not None:
+            self.send_header("Content-Range", f"bytes {first}-{last}/{len(data)}")
+        self.end_headers()
+        self.wfile.write(some or b"")
+
+    def log_message(self, *_):
+        pass
+
+
+@pytest.fixture
+def served(tmp_path):
+    table = lambda a, b: pa.table({"id": range(a, b), "text": [f"text {i}" for i in range(a, b)], "wide": [f"{i}" * 500 for i in range(a, b)]})
+    (tmp_path / "set").mkdir()
+    for k in range(3):
+        pq.write_table(table(k * 1000, k * 1000 + 1000), tmp_path / f"set/{k}.parquet", row_group_size=100, compression="none", use_dictionary=False)
+    (tmp_path / "set/train.json").write_text(json.dumps({"files": [f"{k}.parquet" for k in range(3)]}))
+    (tmp_path / "lines.jsonl").write_text("".join(json.dumps({"id": i, "text": f"é {i}", "more": "x" * (i % 50)}, ensure_ascii=False) + "\n" for i in range(3000)))
+    (tmp_path / "empty.jsonl").write_text("")
+    one = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(Ranges, folder=tmp_path))
+    one.asked, one.failing = [], 0
+    threading.Thread(target=one.serve_forever, daemon=True).start()
+    yield one, f"http://127.0.0.1:{one.server_port}"
+    one.shutdown()
+
+
+def bytes_asked(server):
+    return sum(int(b) - int(a) + 1 for a, b in (r.removeprefix("bytes=").split("-") for _, r, _ in server.asked))
+
+
+def test_whole_dataset(spark, served):
+    server, base = served
+    df = read_remote(spark, f"{base}/set/train.json", partition_bytes=200_000, token="secret")
+    assert df.columns == ["id", "text", "wide", "row_index"]
+    assert sorted((r.row_index, r.id, r.text) for r in df.select("row_index", "id", "text").collect()) == [(i, i, f"text {i}") for i in range(3000)]
+    assert df.rdd.getNumPartitions() >= 6 and {a for *_, a in server.asked} == {"Bearer secret"}
+    assert read_dataset(spark, f"{base}/set").columns == ["id", "text", "wide"]
+
+
+def test_row_range_and_columns_reach_the_reader(spark, served, tmp_path):
+    server, base = served
+    server.asked.clear()
+    whole = read_remote(spark, f"{base}/set/train.json").agg(F.sum(F.length("wide"))).first()[0]
+    all_bytes = bytes_asked(server)
+    server.asked.clear()
+    found = read_remote(spark, f"{base}/set/train.json", ["row_index", "text"]).where("row_index >= 1250 and row_index < 1320").collect()
+    assert sorted((r.row_index, r.text) for r in found) == [(i, f"text {i}") for i in range(1250, 1320)]
+    # Footers of all files, and one column of two row groups of one file.
+    assert bytes_asked(server) < all_bytes / 8 and all_bytes > whole
+    sizes = {f"/set/{k}.parquet": (tmp_path / f"set/{k}.parquet").stat().st_size for k in range(3)}
+    spans = [(p, *map(int, r.removeprefix("bytes=").split("-"))) for p, r, _ in server.asked if p in sizes]
+    assert {p for p, a, b in spans if b > a and a < sizes[p] - 70_000} == {"/set/1.parquet"}
+    one = read_remote(spark, f"{base}/set/1.parquet", ["id"]).where("id = 1007").collect()
+    assert [r.id for r in one] == [1007]
+    for condition, wanted in (("row_index = 2999", [2999]), ("row_index > 2997", [2998, 2999]), ("row_index <= 1", [0, 1]), ("row_index >= 5000", []), ("row_index > 10 and row_index < 3", [])):
+        assert sorted(r.id for r in read_remote(spark, f"{base}/set/train.json").where(condition).select("id").collect()) == wanted
+
+
+def test_lines_by_bytes(spark, served):
+    server, base = served
+    df = read_remote(spark, f"{base}/lines.jsonl", partition_bytes=10_000)
+    assert df.rdd.getNumPartitions() > 8
+    assert sorted((r.id, r.text) for r in df.select("id", "text").collect()) == [(i, f"é {i}") for i in range(3000)]
+    assert read_remote(spark, f"{base}/lines.jsonl", ["id"]).columns == ["id"]
+    server.failing = 2  # asked again
+    assert HttpFile(f"{base}/lines.jsonl").read(6) == b'{"id":'
+    with pytest.raises(FileNotFoundError):
+        HttpFile(f"{base}/absent")
+    assert HttpFile(f"{base}/empty.jsonl").read() == b""
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab", max_size=6), max_size=12), st.booleans(), st.integers(1, 9), st.integers(1, 12))
+def test_every_line_is_in_one_part(lines, ends, parts, at_once):
+    import io
+
+    from quern.sources import remote
+
+    data = "\n".join(lines).encode() + (b"\n" if ends else b"")
+
+    class Sized(io.BytesIO):
+        def size(self):
+            return len(data)
+
+    before, remote.READ_BYTES = remote.READ_BYTES, at_once
+    try:
+        found = [b"".join(_line_blocks(Sized(data), len(data) * i // parts, len(data) * (i + 1) // parts)) for i in range(parts)]
+    finally:
+        remote.READ_BYTES = before
+    assert [x for part in found for x in part.split(b"\n") if x] == [x.encode() for x in lines if x]
+
+
+def test_generating_from_a_server(spark, served, tmp_path):
+    _, base = served
+    assert generate(spark, GenerateConfig(f"{base}/set", f"{tmp_path}/out", backend="echo", start_row=10, max_rows=30)) == {"written": 30, "skipped": 0}
+
+
+# Caches.
+
+
+def modified(folder):
+    return {p.name: p.stat().st_mtime_ns for p in folder.glob("part-*")}
+
+
+def test_what_is_cached_is_not_fetched_again(spark, tmp_path, monkeypatch):
+    root, cache = tmp_path / "data", tmp_path / "cache"
+    spark.range(10).write.parquet(f"{root}/a/train.parquet")
+    spark.range(20).write.parquet(f"{root}/b/train.parquet")
+    fetch = lambda: {r.dataset: (r.status, r.rows) for r in prefetch_datasets(spark, ["a", "b", "absent", "a"], str(cache), root=str(root)).collect()}
+    assert fetch() == {"a": ("cached", 10), "b": ("cached", 20), "absent": ("no_data_files", None)}
+    first = {n: modified(cache / n / "train") for n in "ab"}
+    spark.range(7).write.mode("append").parquet(f"{root}/b/train.parquet")
+    assert fetch() == {"a": ("unchanged", 10), "b": ("cached", 27), "absent": ("no_data_files", None)}
+    assert modified(cache / "a/train") == first["a"] and not set(modified(cache / "b/train")) & set(first["b"])
+    assert read_dataset(spark, "b", root=str(cache)).count() == 27 and sorted(p.name for p in (cache / "b").iterdir() if not p.name.startswith(".")) == ["train"]
+
+
+def test_a_fetch_that_is_cut_short_leaves_the_old_copy(spark, tmp_path, monkeypatch):
+    from quern.sources import hadoop
+
+    root, cache = tmp_path / "data", tmp_path / "cache"
+    spark.range(10).write.parquet(f"{root}/a/train.parquet")
+    fetch = lambda: [(r.status, r.rows) for r in prefetch_datasets(spark, ["a"], str(cache), root=str(root)).collect()]
+    assert fetch() == [("cached", 10)]
+    spark.range(5).write.mode("append").parquet(f"{root}/a/train.parquet")
+    move = hadoop.Store.move
+    with monkeypatch.context() as m:
+        m.setattr(hadoop.Store, "write", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        assert fetch() == [("failed", None)] and spark.read.parquet(f"{cache}/a/train").count() == 10
+    with monkeypatch.context() as m:  # between the two renames
+        m.setattr(hadoop.Store, "move", lambda self, a, b: move(self, a, b) if b.endswith(".old") else (_ for _ in ()).throw(OSError("lost")))
+        assert fetch() == [("failed", None)]
+    with monkeypatch.context() as m:  # the old copy is put back before anything else
+        m.setattr("quern.sources.prefetch.read_dataset", lambda *_, **__: (_ for _ in ()).throw(OSError("down")))
+        assert fetch() == [("failed", None)] and spark.read.parquet(f"{cache}/a/train").count() == 10
+    assert fetch() == [("cached", 15)] and fetch() == [("unchanged", 15)]
+
+
+# Streams.
+
+
+def test_ordinals_over_batches(spark, tmp_path):
+    for k in range(6):
+        spark.range(k * 50, k * 50 + 50).select(F.concat(F.lit("text "), F.col("id")).alias("text")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    rows = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    run = lambda backend, **more: generate_stream(rows, backend, f"{tmp_path}/out", f"{tmp_path}/mark", "set", parallelism=2, start_row=70, max_rows=150, **more)
+
+    class Failing:
+        def open(self):
+            reply = EchoBackend().open()
+
+            def ask(prompt):
+                if "text 170\n" in prompt:
+                    raise KeyboardInterrupt("lost")  # ends the task, not the call
+                return reply(prompt)
+
+            return ask
+
+    with pytest.raises(Exception, match="lost|Failed|STREAM_FAILED"):
+        run(Failing()).awaitTermination()
+    run(EchoBackend()).awaitTermination()
+    found = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").select("value").collect()]
+    ids = {int(r["meta"]["row_id"]): r["messages"][0]["content"] for r in found}
+    assert len(found) == 150 and sorted(ids) == list(range(70, 220)) and all(f"text {i}\n" in p for i, p in ids.items())
+    # More files later: ordinals go on.
+    spark.range(300, 320).select(F.concat(F.lit("text "), F.col("id")).alias("text")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    generate_stream(rows, EchoBackend(), f"{tmp_path}/out", f"{tmp_path}/mark", "set").awaitTermination()
+    found = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").select("value").collect()]
+    assert {int(r["meta"]["row_id"]) for r in found} == {*range(70, 220), *range(300, 320)} and not list((tmp_path / "mark/ordinals").glob("rows-*"))
