@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -294,6 +295,20 @@ SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
 
 
+@needs_tables
+@pytest.mark.parametrize("table", ["sf0.1", "check_s"])
+def test_collisions_tell_what_is_near(table):
+    """Measured on all queries of the table's first 10,000 vectors: few vectors are verified, and nearly all neighbours found."""
+    rows = pq.read_table(f"/root/testdata/{table}/embeddings.parquet", columns=["vec_id", "embedding"]).slice(0, 10_000)
+    ids, vectors = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_pylist()).astype(float)
+    at = np.flatnonzero(ids % 100 == 0)
+    arrays, found = neighbours.Arrays(ids, vectors), 0
+    for i, (near, _) in zip(at, arrays.nearest(ids[at], vectors[at], 10)):
+        d = np.where(ids == ids[i], np.inf, neighbours.distances(vectors, vectors[i]))
+        found += len(set(near) & set(ids[np.argsort(d, kind="stable")[:10]]))
+    assert found / 10 / len(at) >= 0.98 and arrays.verified / len(at) / len(ids) <= 0.3
+
+
 @needs_tables
 def test_op4_query(spark):
     encode, at, wanted = library(WORD), 0, []
