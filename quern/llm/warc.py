@@ -161,7 +161,8 @@ def coalesced(places: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = R
     for i, (offset, length) in enumerate(places):
         if reads and offset - reads[-1][1] <= gap and offset + length - reads[-1][0] <= most:
             start, end, within = reads[-1]
-            reads[-1] = (start, max(end, offset + length), [*within, i])
+            within.append(i)
+            reads[-1] = (start, max(end, offset + length), within)
         else:
             reads.append((offset, offset + length, [i]))
     return reads
