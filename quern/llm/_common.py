@@ -103,6 +103,20 @@ def partitions_for(df: DataFrame, each: int = PARTITION_BYTES) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-file_bytes(df) // each), MOST_PARTITIONS))
 
 
+#: Keys that join_hot broadcasts, at most.
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """rows joined with table (one row for each key), of which a key meets weight rows at most and all weights add up to total at most.
+
+    Keys of more than one row in HOT of all, which are fewer than HOT, are broadcast; rows of others meet in a shuffle, so none is hot there.
+    """
+    hot, rest = (table.where(F.col(weight) * HOT > total).drop(weight), table.where(F.col(weight) * HOT <= total).drop(weight))
+    first = rows.join(F.broadcast(hot), key)
+    return first.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key).select(*first.columns))
+
+
 def lower_az(c: Column) -> Column:
     """A-Z in lower case; every other character as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import by_place, in_slices, pick, position, small_batches, stored, table
-from .links import Joined, by_cell, linked_components
+from .links import Joined, by_cell, linked_components, with_copies
 from .words import mixed
 
 DISTANCE = 2
@@ -229,8 +229,9 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
     found = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     texts = stored(distinct.join(found, "id").select("id", "line"), "lines")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
+    def verify(pairs: DataFrame, hubs: DataFrame) -> DataFrame:
+        text = with_copies(texts, hubs)
+        full = pairs.join(text.toDF("a", "la", "sa"), ["a", "sa"]).join(text.toDF("b", "lb", "sb"), ["b", "sb"])
         return full.select("a", "b", "la", "lb").mapInArrow(_exact(distance), "a bigint, b bigint")
 
     def settle(cells: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ are worked through in two steps:
    components, fewer than it has members.
 
 Every pair that shares a bucket and isn't joined by then has been compared, so no link is lost.
+
+Ids that very many pairs have, hubs, have copies, under which pairs and what is known of the hub (such as its text) meet; ids with
+very many links are broadcast where links are joined by id.
 """
 
 from __future__ import annotations
@@ -23,16 +26,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import discard, stored
+from ._common import HOT, discard, join_hot, stored
 
 #: Members and strays of a bucket that one cell takes, about.
 CELL = 512
 #: Sizes of a cell's members that are held at once, about, in all.
 CELL_SIZE = 2 << 20
+#: Copies of an id that very many pairs have, at most.
+MOST_COPIES = 64
 #: Parts of a bucket when its members are told what it holds, so that a large bucket isn't one task's.
 SALTS = 16
 
-Check = Callable[[DataFrame], DataFrame]
+Check, Verify = Callable[[DataFrame], DataFrame], Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def _is_star(edges: DataFrame) -> bool:
@@ -52,27 +57,28 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
     while not _is_star(edges):
         two = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
-        nearest = two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = two.join(nearest, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nearest = two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = join_hot(two, nearest, "u", "n", 2 * edges.count()).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         before, large = edges, stored(large, "large-star")
-        near = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(near, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        near = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        hung = join_hot(large, near, "u", "n", large.count()).select(F.col("v").alias("a"), F.col("m").alias("b"))
+        near = near.drop("n")
         edges = stored(hung.unionByName(near.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct(), "small-star")
         discard(before, large)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def linked_components(members: DataFrame, verify: Check, settle: Check) -> DataFrame:
+def linked_components(members: DataFrame, verify: Verify, settle: Check) -> DataFrame:
     """(id, component) of every id with a link.
 
     members: (key, id, low, high, many, size), stored: the members of each bucket with its smallest and largest id and
-    whether it has over three members, one row for each member; other columns are handed on. verify: pairs (a, b) to those that
-    are links. settle: cells of unsettled buckets (see _cells), stored, to pairs (a, b) that join all that the
+    whether it has over three members, one row for each member; other columns are handed on. verify: pairs (a, b, sa, sb), and hubs, to those that
+    are links; see _seated and with_copies. settle: cells of unsettled buckets (see _cells), stored, to pairs (a, b) that join all that the
     cell's links join; they are verified.
     """
     ends = F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))
     pairs = members.select(F.explode(ends).alias("p")).select("p.a", "p.b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = stored(components(verify(pairs)), "components")
+    found = stored(components(verify(*_seated(stored(pairs, "pairs")))), "components")
     cells = stored(_cells(members, found), "cells")
     if cells.isEmpty():
         return found
@@ -81,7 +87,25 @@ def linked_components(members: DataFrame, verify: Check, settle: Check) -> DataF
         return found
     # What is joined so far counts as links too.
     joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return stored(components(verify(more).unionByName(joined)), "components")
+    return stored(components(verify(*_seated(more)).select("a", "b").unionByName(joined)), "components")
+
+
+def _seated(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs with sa and sb, hubs). hubs, stored: (id, copies) of ids that more than one in HOT of all pairs has at one end, so fewer than 2 * HOT. sa and sb: which copy of a hub the pair meets, else 0."""
+    total = pairs.count()
+    n = [pairs.groupBy(F.col(end).alias("id")).agg(F.count("*").alias("n")).where(F.col("n") * HOT > total) for end in ("a", "b")]
+    copies = F.least(F.lit(MOST_COPIES), F.ceil(F.max("n") * HOT / total)).cast("int") if total else F.lit(1)
+    hubs = stored(n[0].unionByName(n[1]).groupBy("id").agg(copies.alias("copies")), "hubs")
+    for end, other in (("a", "b"), ("b", "a")):
+        pairs = pairs.join(F.broadcast(hubs.toDF("hub", "copies")), F.col(end) == F.col("hub"), "left")
+        pairs = pairs.withColumn(f"s{end}", F.coalesce(_part(other, F.col("copies"), 4), F.lit(0))).drop("hub", "copies")
+    return pairs, hubs
+
+
+def with_copies(df: DataFrame, hubs: DataFrame) -> DataFrame:
+    """df (id, ...) with copy, a row for each copy of a hub, and one for other ids."""
+    found = df.join(F.broadcast(hubs), "id", "left")
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
 
 
 def _part(of: str, parts: Column, seed: int) -> Column:

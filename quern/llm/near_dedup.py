@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_bytes, in_slices, lower_az, pick, small_batches, stored, table
-from .links import Joined, by_cell, linked_components
+from .links import Joined, by_cell, linked_components, with_copies
 from .words import Words, mixed, shingles
 
 SHINGLE = 5
@@ -133,6 +133,11 @@ def in_common(a: bytes, b: bytes) -> tuple[int, int]:
     return both, len(own) + len(other) - both
 
 
+def _linked(a: bytes, b: bytes) -> bool:
+    both, either = in_common(a, b)
+    return both > 0 and 100 * both >= PERCENT * either
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[bytes, tuple] = {}
     for batch in in_slices(batches, "text", 1 << 20):
@@ -167,15 +172,12 @@ def _probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(sizes_allow(batch.column("na").to_numpy(), batch.column("nb").to_numpy()))
         if len(at):
             at = at[may_link(_array(batch.column("ka"))[at], _array(batch.column("kb"))[at], least)[0]]
-        yield pa.record_batch({"a": batch.column("a").take(pa.array(at)), "b": batch.column("b").take(pa.array(at))})
+        yield batch.select(["a", "b", "sa", "sb"]).take(pa.array(at, pa.int64()))
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
-        for ta, tb in zip(as_bytes(batch.column("ta")), as_bytes(batch.column("tb"))):
-            both, either = in_common(ta, tb)
-            keep.append(both > 0 and 100 * both >= PERCENT * either)
+        keep = [_linked(ta, tb) for ta, tb in zip(as_bytes(batch.column("ta")), as_bytes(batch.column("tb")))]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -212,7 +214,7 @@ def _settled(cell: pa.Table) -> pa.RecordBatch:
     joined, out = Joined(cell.column("component").to_pylist()), []
     sets = _sets(as_bytes(cell.column("text")))
     place = {x: i for i, x in enumerate(ids) if not asks[i]}
-    sizes = np.array([len(x) for x in sets])
+    texts, sizes = as_bytes(cell.column("text")), np.array([len(x) for x in sets])
     starts = np.cumsum(sizes) - sizes
     values, number = np.unique(np.concatenate(sets), return_inverse=True)
     own = np.zeros(len(values), bool)
@@ -223,7 +225,8 @@ def _settled(cell: pa.Table) -> pa.RecordBatch:
         both = np.array([np.count_nonzero(own[number[starts[j] : starts[j] + sizes[j]]]) for j in at])
         own[mine] = False
         for j in at[100 * both >= PERCENT * (sizes[i] + sizes[at] - both)].tolist():
-            if joined.top(i) != joined.top(j):
+            # Word by word: a link that hashes alone tell must not hide another.
+            if joined.top(i) != joined.top(j) and _linked(texts[i], texts[j]):
                 joined.join(i, j)
                 out.append((ids[i], ids[j]))
     return pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
@@ -259,11 +262,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = members.select("id").distinct().join(classes, "id").select("id", F.col("doc_id").alias("first"), F.col("sha").alias("own"))
     texts = stored(slim.join(shared, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("sha") == F.col("own"))).select("id", "text").dropDuplicates(["id"]), "texts")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = sketches.toDF("a", "na", "ka")
-        b = sketches.toDF("b", "nb", "kb")
-        probable = stored(pairs.join(a, "a").join(b, "b").mapInArrow(_probable, "a bigint, b bigint"), "probable")
-        full = probable.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
+    def verify(pairs: DataFrame, hubs: DataFrame) -> DataFrame:
+        sketch, text = with_copies(sketches, hubs), with_copies(texts, hubs)
+        a, b = sketch.toDF("a", "na", "ka", "sa"), sketch.toDF("b", "nb", "kb", "sb")
+        probable = stored(pairs.join(a, ["a", "sa"]).join(b, ["b", "sb"]).mapInArrow(_probable, "a bigint, b bigint, sa int, sb int"), "probable")
+        full = probable.join(text.toDF("b", "tb", "sb"), ["b", "sb"]).join(text.toDF("a", "ta", "sa"), ["a", "sa"])
         return full.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint")
 
     def settle(cells: DataFrame) -> DataFrame:

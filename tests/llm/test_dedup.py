@@ -237,7 +237,7 @@ def test_buckets_of_unlike_members(spark, monkeypatch):
     real = {(i, i + 3) for i in range(27)}
     asked = []
 
-    def verify(pairs):
+    def verify(pairs, hubs):
         asked.extend((r.a, r.b) for r in pairs.collect())
         return pairs.where(F.col("b") - F.col("a") == 3)
 
@@ -275,6 +275,22 @@ def test_shingles_in_common():
         assert near_dedup.in_common(x.encode(), y.encode()) == (len(a & b), len(a | b))
 
 
+def test_hubs_are_spread(spark):
+    """One id is in all 20,000 pairs: no key that pairs, texts or links are joined by has more than a few hundredths of them."""
+    pairs = spark.range(1, 20_001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).unionByName(spark.range(20_000).select(F.col("id").alias("a"), F.lit(20_000).cast("long").alias("b"))).distinct()
+    seated, hubs = links._seated(pairs)
+    assert {r.id: r.copies for r in hubs.collect()} == {0: 64, 20_000: 64} and seated.count() == pairs.count()
+    for end in "ab":
+        assert seated.groupBy(end, f"s{end}").count().agg(F.max("count")).first()[0] <= 20_000 / 64 * 1.5
+    texts = links.with_copies(spark.range(20_001).select("id", F.col("id").cast("string").alias("text")), hubs)
+    met = seated.join(texts.toDF("a", "ta", "sa"), ["a", "sa"]).join(texts.toDF("b", "tb", "sb"), ["b", "sb"])
+    assert met.where("ta = a and tb = b").count() == pairs.count()
+    found = links.components(pairs)
+    assert found.agg(F.countDistinct("component"), F.count("*")).first() == (1, 20_001)
+    plan = links.join_hot(pairs, pairs.groupBy("a").agg(F.max("b").alias("m"), F.count("*").alias("n")), "a", "n", 40_000)
+    assert plan.count() == pairs.count()
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 240)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)]
