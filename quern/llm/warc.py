@@ -114,7 +114,7 @@ def parse_record(data: bytes) -> dict:
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """(page_id, url, html) to .warc.gz files in folder; their index, stored.
 
-    Payloads are equal when their SHA-1 and lengths are. A null html is an empty payload. Equal payloads
+    Payloads are equal when their SHA-256 and lengths are (unlike ones of one SHA-1 are known). A null html is an empty payload. Equal payloads
     of at least least_bytes: the smallest page_id (null last) is the response. Rows that repeat the
     response's page_id and payload are responses again. An empty table writes no archive.
     """
@@ -122,12 +122,13 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
     small_batches(spark)
     slim = pick(pages, "page_id", "url", "html").select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    digests = stored(slim.select("page_id", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("size")), "digests")
+    key = F.unhex(F.sha2(payload, 256))
+    digests = stored(slim.select("page_id", key.alias("key"), F.octet_length(payload).alias("size")), "digests")
     # Only payloads that come back need a join; the pages that revisit are found among the digests alone.
-    firsts = digests.where(F.col("size") >= least_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = digests.join(firsts, ["sha", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first")))
-    again = stored(again.select(F.col("page_id").alias("pid"), F.col("sha").alias("again"), "first").distinct(), "revisits")
-    keyed = slim.withColumn("sha", F.sha1(payload)).join(again, F.col("page_id").eqNullSafe(F.col("pid")) & (F.col("sha") == F.col("again")), "left")
+    firsts = digests.where(F.col("size") >= least_bytes).groupBy("key", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = digests.join(firsts, ["key", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first")))
+    again = stored(again.select(F.col("page_id").alias("pid"), F.col("key").alias("again"), "first").distinct(), "revisits")
+    keyed = slim.withColumn("sha", F.sha1(payload)).join(again, F.col("page_id").eqNullSafe(F.col("pid")) & (key == F.col("again")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, attempt, number, held, rows, at = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], [], 0
