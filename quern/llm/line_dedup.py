@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import by_place, in_slices, pick, position, small_batches, stored, table
+from ._common import by_place, discard, in_slices, pick, position, small_batches, stored, table
 from .links import Joined, by_cell, linked_components, with_copies
 from .words import mixed
 
@@ -238,6 +238,7 @@ def line_classes(docs: DataFrame, distance: int = DISTANCE, least_chars: int = L
         return by_cell(cells.join(texts, "id"), "a bigint, b bigint", _settled(distance))
 
     found = linked_components(members, verify, settle)
+    discard(members, ids, texts)
     linked = distinct.select("id", "hash").join(found, "id").select("hash", "component")
     first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     named = first.join(linked, "hash", "left")

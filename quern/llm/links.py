@@ -78,7 +78,10 @@ def linked_components(members: DataFrame, verify: Verify, settle: Check) -> Data
     """
     ends = F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))
     pairs = members.select(F.explode(ends).alias("p")).select("p.a", "p.b").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = stored(components(verify(*_seated(stored(pairs, "pairs")))), "components")
+    pairs = stored(pairs, "pairs")
+    seated, hubs = _seated(pairs)
+    found = stored(components(verify(seated, hubs)), "components")
+    discard(pairs, hubs)
     cells = stored(_cells(members, found), "cells")
     if cells.isEmpty():
         return found
@@ -87,7 +90,11 @@ def linked_components(members: DataFrame, verify: Verify, settle: Check) -> Data
         return found
     # What is joined so far counts as links too.
     joined = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return stored(components(verify(*_seated(more)).select("a", "b").unionByName(joined)), "components")
+    discard(cells)
+    seated, hubs = _seated(more)
+    last = stored(components(verify(seated, hubs).select("a", "b").unionByName(joined)), "components")
+    discard(more, hubs, found)
+    return last
 
 
 def _seated(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, in_slices, lower_az, pick, small_batches, stored, table
+from ._common import as_bytes, discard, in_slices, lower_az, pick, small_batches, stored, table
 from .links import Joined, by_cell, linked_components, with_copies
 from .words import Words, mixed, shingles
 
@@ -262,19 +262,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = members.select("id").distinct().join(classes, "id").select("id", F.col("doc_id").alias("first"), F.col("sha").alias("own"))
     texts = stored(slim.join(shared, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("sha") == F.col("own"))).select("id", "text").dropDuplicates(["id"]), "texts")
 
+    dead = [members, texts]
+
+    def stored_here(df: DataFrame, name: str) -> DataFrame:
+        dead.append(stored(df, name))
+        return dead[-1]
+
     def verify(pairs: DataFrame, hubs: DataFrame) -> DataFrame:
         sketch, text = with_copies(sketches, hubs), with_copies(texts, hubs)
         a, b = sketch.toDF("a", "na", "ka", "sa"), sketch.toDF("b", "nb", "kb", "sb")
-        probable = stored(pairs.join(a, ["a", "sa"]).join(b, ["b", "sb"]).mapInArrow(_probable, "a bigint, b bigint, sa int, sb int"), "probable")
+        probable = stored_here(pairs.join(a, ["a", "sa"]).join(b, ["b", "sb"]).mapInArrow(_probable, "a bigint, b bigint, sa int, sb int"), "probable")
         full = probable.join(text.toDF("b", "tb", "sb"), ["b", "sb"]).join(text.toDF("a", "ta", "sa"), ["a", "sa"])
         return full.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint")
 
     def settle(cells: DataFrame) -> DataFrame:
         schema = "key bigint, row int, column int, id bigint, component bigint, asks boolean, others array<bigint>"
-        maybe = stored(by_cell(cells.join(classes.select("id", "sketch"), "id"), schema, _candidates), "candidates")
+        maybe = stored_here(by_cell(cells.join(classes.select("id", "sketch"), "id"), schema, _candidates), "candidates")
         return by_cell(maybe.join(texts, "id"), "a bigint, b bigint", _settled)
 
     found = linked_components(members, verify, settle)
+    discard(*dead)
     named = classes.select("id", "sha", "doc_id").join(found, "id", "left").select("sha", "doc_id", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_text = named.join(least, "component").select("sha", "component_id")

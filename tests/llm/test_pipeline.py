@@ -175,11 +175,11 @@ def test_query_against_sql(spark, name):
     assert sorted(map(str, (tuple(r[x] for x in columns) for r in found.collect()))) == sorted(map(str, (tuple(r[i] for i in at) for r in wanted.fetchall())))
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() <= found.keys() and "pipeline" in found
     assert __spark_entry__.oracle_sql().keys() >= ORACLE_SQL.keys()
 
