@@ -6,6 +6,8 @@ eight bytes at a time through unaligned 64-bit loads. There is no Python loop ov
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -13,6 +15,9 @@ _31, _29, _32 = np.uint64(31), np.uint64(29), np.uint64(32)
 #: Of n bytes, the first n of a little-endian number.
 MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 4096
+
 #: U+0020 and U+0009 to U+000D.
 WHITE_SPACE = np.zeros(256, bool)
 WHITE_SPACE[[32, *range(9, 14)]] = True
@@ -54,7 +59,11 @@ class Words:
     def hashes(self) -> np.ndarray:
         """Of whole words. Words of up to 8 bytes never collide with others of their length."""
         h = mixed((self._eight[self.start] & MASKS[np.minimum(self.length, 8)]) + self.length.astype(np.uint64) * _C2)
-        at, done = np.flatnonzero(self.length > 8), 8
+        for i in np.flatnonzero(self.length > LONG_WORD).tolist():
+            # A word of megabytes would be as many steps; there are few of them in a text.
+            start = int(self.start[i])
+            h[i] = int.from_bytes(hashlib.blake2b(self.data[start : start + int(self.length[i])], digest_size=8).digest(), "little")
+        at, done = np.flatnonzero((self.length > 8) & (self.length <= LONG_WORD)), 8
         while len(at):
             left = self.length[at] - done
             h[at] = mixed((h[at] * _C1) ^ (self._eight[self.start[at] + done] & MASKS[np.minimum(left, 8)]))
