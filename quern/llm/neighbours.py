@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from ._common import pick, stored, table
 
-PROJECTIONS = 256
+PROJECTIONS = 160
 #: Of the projections: a vector that is near in so many is measured.
-FRACTION = 0.8
+FRACTION = 0.82
 #: Windows grow by this from round to round, and faster while no vector has NEAR of the collisions that it needs.
 GROWTH, GROWTH_FAR, NEAR = 1.05, 1.3, 0.8
 SURE = 0.98
@@ -35,8 +35,8 @@ FITTED, FITTED_K, FITTED_Z = 32, 10, 0.8416
 #: Counts of collisions that are held at once: queries times vectors.
 HELD = 8 << 20
 #: Of a part's vectors, in double precision, about; queries of a part.
-PART_BYTES = 8 << 20
-PART_QUERIES = 250
+PART_BYTES = 32 << 20
+PART_QUERIES = 500
 SEED = 3
 
 
@@ -100,7 +100,11 @@ class Arrays:
             a, b = (np.stack(x, 1) for x in zip(*ends))
             left = []
             for row, q in enumerate(open_):
-                new = []
+                new, begins = [], width == self.first
+                if begins and 2 * int((b[row] - a[row]).sum()) > n * self.m:
+                    # Windows that begin with more than half of all count what they leave out.
+                    counts[q] = self.m - np.bincount(np.concatenate([x for order, a0, b0 in zip(self.order, a[row].tolist(), b[row].tolist()) for x in (order[:a0], order[b0:])]), minlength=n)
+                    low[q], high[q] = a[row], b[row]
                 for order, a0, a1, b0, b1 in zip(self.order, a[row].tolist(), low[q].tolist(), high[q].tolist(), b[row].tolist()):
                     if a0 < a1:
                         new.append(order[a0:a1])

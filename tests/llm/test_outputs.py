@@ -306,7 +306,7 @@ def test_collisions_tell_what_is_near(table):
     for i, (near, _) in zip(at, arrays.nearest(ids[at], vectors[at], 10)):
         d = np.where(ids == ids[i], np.inf, neighbours.distances(vectors, vectors[i]))
         found += len(set(near) & set(ids[np.argsort(d, kind="stable")[:10]]))
-    assert found / 10 / len(at) >= 0.98 and arrays.verified / len(at) / len(ids) <= 0.3
+    assert found / 10 / len(at) >= 0.98 and arrays.verified / len(at) / len(ids) <= 0.36
 
 
 @needs_tables
