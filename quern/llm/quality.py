@@ -178,6 +178,8 @@ def _logits(found: DataFrame, ids: set[int], model: ByteConv) -> DataFrame:
         scorer = None
         for batch in in_slices(batches, "text"):
             some = batch.filter(pa.array([x in ids for x in batch.column("doc_id").to_pylist()], pa.bool_()))
+            if not some.num_rows:
+                continue
             scorer = scorer or Scorer(shared.value)
             yield pa.record_batch({"doc_id": some.column("doc_id"), "logit": pa.array(scorer.logits(as_bytes(some.column("text"))), pa.float64())})
 
