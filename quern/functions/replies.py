@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,14 +61,15 @@ def parse_reply(raw: str | None) -> tuple[str | None, str | None, str | None]:
 
 
 def reply_struct(c: Column) -> Column:
-    """parse_reply of a column, in Arrow batches.
+    """parse_reply of a column, in Arrow batches, whose replies are taken one at a time; see session.small_batches for how large a batch is.
 
     Spark's own JSON functions are laxer than the decoder that replies are defined by: they take two
     objects, single quotes, and numbers where strings are asked for.
     """
 
-    @F.pandas_udf(REPLY)
-    def parsed(replies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse_reply(x) for x in replies], columns=["question", "answer", "error"], dtype=object)
+    @F.arrow_udf(REPLY)
+    def parsed(replies: pa.Array) -> pa.Array:
+        found = zip(*(parse_reply(x.as_py()) for x in replies)) if len(replies) else ((), (), ())
+        return pa.StructArray.from_arrays([pa.array(x, pa.string()) for x in found], ["question", "answer", "error"])
 
     return parsed(c)

@@ -10,10 +10,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import file_bytes, shared_root, small_batches
 
-#: Rows and bytes in an Arrow batch sent to a Python worker; texts can be long, so the default of 10,000 rows is too many.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Of a table's files, the bytes that one partition of a shuffle takes.
 PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
 
@@ -77,24 +75,6 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of long texts small, from now on in this session: plans look at these settings when they run."""
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{key}"
-        now = spark.conf.get(key).lower().removesuffix("b")
-        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))
-
-
-def file_bytes(df: DataFrame) -> int:
-    """Bytes of the files that a plan reads."""
-    leaves, size = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
-    for i in range(leaves.size()):
-        if leaves.apply(i).nodeName().startswith("LogicalRelation"):  # files, whose sizes are known
-            size += int(str(leaves.apply(i).stats().sizeInBytes()))
-    return size
-
-
 def partitions_for(df: DataFrame, each: int = PARTITION_BYTES) -> int:
     """How many partitions to deal a scan's rows to: as the session has it, but more where that would make them large.
 

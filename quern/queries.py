@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import functions as fn
 from . import operators as op
 from .plans.generate import GenerateConfig, generate, prepare, records, statuses, written_ids
-from .session import shared_root
+from .session import file_bytes, shared_root, small_batches
 from .sources import prefetch_datasets, read_jsonl, read_ordered, read_remote, write_jsonl, write_ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,6 +172,7 @@ def chat_request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reply for each document, of one of eight shapes on which JSON decoders agree."""
+    small_batches(spark)
     q = fn.json_quote(fn.collapse_ws(F.col("text")))
     good = F.concat(F.lit('{"question": "  q '), F.col("doc_id"), F.lit('  ", "answer": '), q, F.lit("}"))
     shapes = [
