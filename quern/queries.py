@@ -56,10 +56,19 @@ def row_range_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.rows_in_range(table(spark, sf_dir, "conversations"), 20).select("row_index", "conv_id", "turn")
 
 
+#: Of a table's files, the bytes that go to one file of a copy, about.
+FILE_BYTES = 32 << 20
+
+
+def _parts(df: DataFrame, least: int = 5) -> int:
+    """Into how many parts rows of files are dealt: more with larger files, so that a part, which one task takes, stays small."""
+    return max(least, -(-file_bytes(df) // FILE_BYTES))
+
+
 def _files(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The documents in five files of another format, in the order of doc_id."""
+    """The documents in five files, or more if they are large, of another format, in the order of doc_id."""
     path, docs = _folder(spark, f"rows-{kind}"), table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.format(kind).save(path)
+    docs.repartitionByRange(_parts(docs), "doc_id").sortWithinPartitions("doc_id").write.format(kind).save(path)
     return spark.read.schema(docs.schema).format(kind).load(path)
 
 

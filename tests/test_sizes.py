@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from quern import queries
 from quern.queries import QUERIES
 
 SF = os.environ.get("QUERN_TEST_SF", "/root/testdata/sf0.001")
@@ -22,3 +23,15 @@ def test_replies_are_parsed_in_small_batches(spark, name):
     finally:
         for k, v in zip(keys, before):
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["row_ordinal_json", "row_range_json", "row_ordinal_many_files", "row_range_many_files"])
+def test_files_of_large_tables_are_more(spark, name, tmp_path, monkeypatch):
+    """One task writes a file, so there are more of them, not larger ones; ordinals go through all."""
+    monkeypatch.setattr(queries, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(queries, "FILE_BYTES", 1 + os.path.getsize(f"{SF}/documents.parquet") // 12, raising=False)
+    found = QUERIES[name](spark, SF).orderBy("row_index").collect()
+    assert len([x for d in tmp_path.iterdir() for x in d.glob("part-*")]) == 12
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("doc_id").collect()
+    rows = [(i, r.doc_id) for i, r in enumerate(docs)]
+    assert [(r.row_index, r.doc_id) for r in found] == (rows if "ordinal" in name else rows[30:141])
