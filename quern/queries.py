@@ -280,7 +280,8 @@ def resume_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def records_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written in the order of rows, side by side, and read back with their positions."""
     folder = _folder(spark, "ordered")
-    write_ordered(records(_written(spark, sf_dir), DATASET, SPLIT), folder, "row_index", parts=5)
+    lines = records(_written(spark, sf_dir), DATASET, SPLIT)
+    write_ordered(lines, folder, "row_index", parts=_parts(lines))
     return read_ordered(spark, folder)
 
 

@@ -35,3 +35,12 @@ def test_files_of_large_tables_are_more(spark, name, tmp_path, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("doc_id").collect()
     rows = [(i, r.doc_id) for i, r in enumerate(docs)]
     assert [(r.row_index, r.doc_id) for r in found] == (rows if "ordinal" in name else rows[30:141])
+
+
+def test_ordered_parts_of_large_tables_are_more(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(queries, "FILE_BYTES", 1 + os.path.getsize(f"{SF}/documents.parquet") // 12, raising=False)
+    found = queries.records_in_order(spark, SF).orderBy("position").collect()
+    assert len(list((tmp_path / "ordered").glob("part-*"))) == 12
+    lines = [r.line for r in queries.generate_offline(spark, SF).orderBy("row_index").collect()]
+    assert [(r.position, r.line) for r in found] == list(enumerate(lines))
