@@ -6,7 +6,7 @@ chunk's logit, and the mean logit of all chunks through a calibrated sigmoid to
 Filters are tables of a weight for each byte at each place; two places are folded into one table of
 byte pairs, so an answer is a sum of WIDTH / 2 rows.
 
-It is fitted on the driver, on a sample of labelled documents that is bounded by MOST_LABELLED rows and MOST_BYTES of chunks: all
+It is fitted in one task, so that the driver holds no texts, on a sample of labelled documents that is bounded by MOST_LABELLED rows and MOST_BYTES of chunks: all
 chunks of a document, or as many as fit, spread evenly over the whole of it, where the sample has more. No text's length
 takes another document out of the sample. One document of CALIBRATED isn't fitted on, but calibrated on, by its whole text.
 Scoring is one narrow stage over whole texts, with the tables (a few MB) broadcast. A text's score depends on its own
@@ -15,6 +15,7 @@ bytes alone: the bytes after its end are zeros, whatever text comes next in the
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -186,6 +187,26 @@ def _logits(found: DataFrame, ids: set[int], model: ByteConv) -> DataFrame:
     return found.select("doc_id", "text").mapInArrow(run, "doc_id bigint, logit double")
 
 
+def _fitted(pieces: DataFrame, order: list[int], y: np.ndarray) -> ByteConv:
+    """A model of (doc_id, pieces), the bounded sample, fitted in one task; order: the documents' ids, y: their labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces_of: dict[int, bytes] = {}
+        for batch in batches:
+            pieces_of.update(zip(batch.column("doc_id").to_pylist(), batch.column("pieces").to_pylist()))
+        own = [pieces_of.pop(x) for x in order]
+        of = np.repeat(np.arange(len(order)), [len(x) // PIECE for x in own])
+        starts = np.arange(len(of)) * PIECE
+        # Documents with few chunks weigh as much as others, and both labels as much in fitting the filters.
+        weights = (np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())))[of] / np.bincount(of)[of]
+        epochs = max(EPOCHS[0], min(EPOCHS[1], VISITS // len(starts)))
+        model = ByteConv.fresh()
+        model.fit(np.frombuffer(b"".join(own), np.uint8), starts, y[of], (weights / weights.mean()).astype(np.float32), epochs)
+        yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    return pickle.loads(pieces.repartition(1).mapInArrow(run, "model binary").collect()[0].model)
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, folds: int = FOLDS, fold: int = FOLD, most_bytes: int = MOST_BYTES) -> ByteConv:
     """A model of labels.quality, from at most most_labelled documents with each label outside the held-out fold, and most_bytes of their chunks.
 
@@ -197,7 +218,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
     sample, counts = sample_of(labels, "quality", most_labelled, folds, fold)
     found = texts_of(docs, sample).groupBy("doc_id").agg(F.min("label").alias("label"), F.min(F.coalesce("text", F.lit(""))).alias("text"))
     found = stored(found.select("doc_id", "label", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"), "text"), "quality-sample")
-    # Rows of the sample, whose number is bounded; then their chunks, whose bytes are.
+    # Rows of the sample, whose number is bounded; their chunks, whose bytes are, go to one task.
     rows = sorted(found.select("doc_id", "label", "hash", "size").collect(), key=lambda r: (r.hash, r.doc_id))
     there = np.bincount(np.array([r.label for r in rows], int), minlength=2)
     if not there.all():
@@ -206,18 +227,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
     # Every so many documents of each label are kept for calibration, if there are enough.
     order = np.concatenate([np.arange((y == k).sum()) for k in (0, 1)])[np.argsort(np.argsort(y, kind="stable"), kind="stable")]
     kept = order % CALIBRATED == CALIBRATED - 1 if there.min() >= CALIBRATED else np.zeros(len(y), bool)
-    model = ByteConv.fresh()
     fitted = np.flatnonzero(~kept)
     most = _most_chunks(np.array([len(chunk_starts(rows[i]["size"])) for i in fitted]), most_bytes)
-    pieces_of = {r.doc_id: bytes(r.pieces) for r in _pieces(found, {rows[i].doc_id for i in fitted}, most).toLocalIterator()}
-    pieces = [pieces_of.pop(rows[i].doc_id) for i in fitted]
-    of = np.repeat(np.arange(len(fitted)), [len(x) // PIECE for x in pieces])
-    starts = np.arange(len(of)) * PIECE
-    # Documents with few chunks weigh as much as others, and both labels as much in fitting the filters.
-    own = y[fitted]
-    weights = (np.where(own == 1, 0.5 / own.mean(), 0.5 / (1 - own.mean())))[of] / np.bincount(of)[of]
-    epochs = max(EPOCHS[0], min(EPOCHS[1], VISITS // len(starts)))
-    model.fit(np.frombuffer(b"".join(pieces), np.uint8), starts, own[of], (weights / weights.mean()).astype(np.float32), epochs)
+    model = _fitted(_pieces(found, {rows[i].doc_id for i in fitted}, most), [rows[i].doc_id for i in fitted], y[fitted])
     # Calibrated on what is scored: whole texts, that weren't fitted on. The sample is cut at as many of each label;
     # the probability is that among all labels.
     at = np.flatnonzero(kept) if kept.any() else np.arange(len(y))

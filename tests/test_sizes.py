@@ -44,3 +44,11 @@ def test_ordered_parts_of_large_tables_are_more(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "ordered").glob("part-*"))) == 12
     lines = [r.line for r in queries.generate_offline(spark, SF).orderBy("row_index").collect()]
     assert [(r.position, r.line) for r in found] == list(enumerate(lines))
+
+
+def test_quality_is_fitted_off_the_driver(spark, monkeypatch):
+    """The driver holds no chunks: its own fit is never called."""
+    quality = pytest.importorskip("quern.llm.quality")
+    monkeypatch.setattr(quality.ByteConv, "fit", None)
+    docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
+    assert quality.fit_quality(docs, labels).tables.any()
