@@ -80,20 +80,46 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
 _PLACE_BITS = 33
 
 
-def numbered(df: DataFrame, path: str, name: str = ROW_INDEX, base: int = 0) -> DataFrame:
+def numbered(df: DataFrame, path: str, name: str = ROW_INDEX, base: int = 0, by: int = 0) -> DataFrame:
     """df, stored at path, with the row's place in it, from base on, as its first column; all in the JVM.
 
     Partitions are written with each row's partition and place in it; the rows of partitions before are added, a row for each partition. It is
     stored as a frame that is shuffled may have its rows in another order the next time.
+
+    by: df's last columns, so many, order its blocks of rows instead (see with_blocks) and are left out. Where a block's rows don't lie side by
+    side in one partition, as after a shuffle, they say nothing of the order within it, and rows stay in that of partitions.
     """
     own = [f"c{i}" for i in range(len(df.columns))]
     df.toDF(*own).select("*", F.monotonically_increasing_id().alias("m")).write.mode("overwrite").parquet(path)
     kept = df.sparkSession.read.schema(df.toDF(*own).select("*", F.lit(0).cast("long").alias("m")).schema).parquet(path)
-    part = F.shiftright("m", _PLACE_BITS)
-    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = kept.groupBy(part.alias("p")).agg(F.count("*").alias("n")).select("p", (F.coalesce(F.sum("n").over(before), F.lit(0)) + base).alias("before"))
-    joined = kept.withColumn("q", part).join(F.broadcast(counts) if len(kept.inputFiles()) <= MOST_BLOCKS else counts, F.col("q") == F.col("p"))
-    return joined.select(F.col("before") + F.col("m").bitwiseAND((1 << _PLACE_BITS) - 1), *own).toDF(name, *df.columns)
+    shown, few = len(own) - by, len(kept.inputFiles()) <= MOST_BLOCKS
+
+    def blocks_by(keys: dict) -> DataFrame:
+        return kept.groupBy(*(c.alias(k) for k, c in keys.items())).agg(F.count("*").alias("n"), F.min("m").alias("first"), F.max("m").alias("last"))
+
+    keys = {f"k{i}": F.col(c) for i, c in enumerate(own[shown:])}
+    if by:
+        found = blocks_by(keys).agg(F.count("*").alias("blocks"), F.count_if(F.col("last") - F.col("first") >= F.col("n")).alias("torn")).first()
+        few = found.blocks <= MOST_BLOCKS
+    if not by or found.torn:
+        keys, few = {"k0": F.shiftright("m", _PLACE_BITS)}, len(kept.inputFiles()) <= MOST_BLOCKS
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    # Of each block what is to be added to m.
+    blocks = blocks_by(keys).select(*keys, (F.coalesce(F.sum("n").over(before), F.lit(0)) + base - F.col("first")).alias("before"))
+    same = [c.eqNullSafe(F.col(k)) for k, c in keys.items()]
+    joined = kept.join(F.broadcast(blocks) if few else blocks, same)
+    return joined.select(F.col("before") + F.col("m"), *own[:shown]).toDF(name, *df.columns[:shown])
+
+
+def with_blocks(df: DataFrame) -> tuple[DataFrame, int]:
+    """df with columns behind its own that order its blocks (files, or splits of files) by time, path and place, if it is a scan of files; how many.
+
+    Spark gives tasks the larger splits first, so a scan of several files has its rows in another order than its files.
+    """
+    if not _has(df, "_metadata.file_block_start"):
+        return df, 0
+    at = {"__time": F.unix_millis("_metadata.file_modification_time"), "__file": F.col("_metadata.file_path"), "__start": F.col("_metadata.file_block_start")}
+    return df.select("*", *(c.alias(k) for k, c in at.items())), len(at)
 
 
 def select_rows(df: DataFrame, start_row: int = 0, max_rows: int | None = None, name: str = ROW_INDEX) -> DataFrame:

@@ -12,6 +12,7 @@ from . import operators as op
 from .plans.generate import GenerateConfig, generate, prepare, records, statuses, written_ids
 from .session import file_bytes, shared_root, small_batches
 from .sources import prefetch_datasets, read_jsonl, read_ordered, read_remote, write_jsonl, write_ordered
+from .sources.hadoop import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,11 +297,10 @@ def stream_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a stream of files, two to a batch: rows 100 to 249 of it, by ordinals that go on from batch to batch."""
     from .streaming import generate_stream
 
-    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), _folder(spark, "stream")
-    bounds = docs.agg(F.max("doc_id")).first()[0] + 1
-    for k in range(5):  # one after another, as a stream's files are in the order of their times
-        some = docs.where((F.col("doc_id") >= bounds * k // 5) & (F.col("doc_id") < bounds * (k + 1) // 5))
-        some.orderBy("doc_id").coalesce(1).select("text").write.mode("append").parquet(f"{path}/in")
+    docs, path, store = table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id >= 0"), _folder(spark, "stream"), Store(spark)
+    docs.repartitionByRange(_parts(docs), "doc_id").sortWithinPartitions("doc_id").select("text").write.parquet(f"{path}/in")
+    # Written side by side; a stream's files are in the order of their times.
+    store.in_turn([file for file, _, _ in store.files(f"{path}/in") if file.rpartition("/")[2].startswith("part-")])
     rows = spark.readStream.schema("text string").option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
     generate_stream(rows, op.EchoBackend(), f"{path}/out", f"{path}/mark", DATASET, start_row=100, max_rows=150).awaitTermination()
     return spark.read.text(f"{path}/out").select(F.col("value").alias("line"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -47,6 +49,15 @@ class Store:
         fs, at = self._of(path)
         fs.delete(at, True)
 
+    def in_turn(self, paths: list[str]) -> None:
+        """Gives files the times of seconds gone by, each a later one than the file before."""
+        now = int(time.time()) * 1000
+        for k, path in enumerate(paths):
+            (fs, at), then = self._of(path), now - 1000 * (len(paths) - k)
+            fs.setTimes(at, then, -1)
+            if fs.getFileStatus(at).getModificationTime() != then:
+                raise OSError(f"the time of {path} can't be set")
+
     def read(self, path: str) -> str:
         fs, at = self._of(path)
         with_stream = fs.open(at)

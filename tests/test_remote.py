@@ -210,3 +210,26 @@ def test_ordinals_over_batches(spark, tmp_path):
     generate_stream(rows, EchoBackend(), f"{tmp_path}/out", f"{tmp_path}/mark", "set").awaitTermination()
     found = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").select("value").collect()]
     assert {int(r["meta"]["row_id"]) for r in found} == {*range(70, 220), *range(300, 320)} and not list((tmp_path / "mark/ordinals").glob("rows-*"))
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_ordinals_of_files_that_grow(spark, tmp_path, kind):
+    """Spark reads the larger of a batch's files first; ordinals go by time all the same."""
+    for k, size in enumerate((1, 50, 3, 400)):
+        more = F.repeat(F.sha2(F.col("id").cast("string"), 256), size)
+        spark.range(k * 50, k * 50 + 50).select(F.concat_ws(" ", F.lit("text"), "id", more).alias("text")).coalesce(1).write.mode("append").format(kind).save(f"{tmp_path}/in")
+    rows = spark.readStream.schema("text string").option("maxFilesPerTrigger", 2).format(kind).load(f"{tmp_path}/in")
+    generate_stream(rows, EchoBackend(), f"{tmp_path}/out", f"{tmp_path}/mark", "set", start_row=30, max_rows=150).awaitTermination()
+    found = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").select("value").collect()]
+    ids = {int(r["meta"]["row_id"]): r["messages"][0]["content"] for r in found}
+    assert len(found) == 150 and sorted(ids) == list(range(30, 180)) and all(f"text {i} " in p for i, p in ids.items())
+
+
+def test_ordinals_of_files_that_are_shuffled(spark, tmp_path):
+    """Where a file's rows don't lie side by side, each ordinal is still there once, and the dataset's own columns stay."""
+    for k in range(2):
+        spark.range(k * 50, k * 50 + 50).select(F.concat(F.lit("text "), F.col("id")).alias("text"), F.col("id").alias("__file")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    rows = spark.readStream.schema("text string, __file long").parquet(f"{tmp_path}/in").repartition(3)
+    generate_stream(rows, EchoBackend(), f"{tmp_path}/out", f"{tmp_path}/mark", "set").awaitTermination()
+    found = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out").select("value").collect()]
+    assert sorted(int(r["meta"]["row_id"]) for r in found) == list(range(100)) and len({r["messages"][0]["content"] for r in found}) == 100

@@ -52,3 +52,15 @@ def test_quality_is_fitted_off_the_driver(spark, monkeypatch):
     monkeypatch.setattr(quality.ByteConv, "fit", None)
     docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
     assert quality.fit_quality(docs, labels).tables.any()
+
+
+def test_stream_files_of_large_tables_are_more(spark, tmp_path, monkeypatch):
+    """Written side by side, yet in the order of rows by their times."""
+    monkeypatch.setattr(queries, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(queries, "FILE_BYTES", 1 + os.path.getsize(f"{SF}/documents.parquet") // 12, raising=False)
+    found = sorted(r.line for r in queries.stream_row_range(spark, SF).collect())
+    files = sorted((tmp_path / "stream/in").glob("part-*"), key=lambda x: x.stat().st_mtime)
+    assert len(files) == 12 and files == sorted(files) and len({x.stat().st_mtime for x in files}) == 12
+    assert found == sorted(r.line for r in queries.generate_offline(spark, SF).where("row_index >= 100 and row_index < 250").collect())
+    texts = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    assert [r.text for x in files for r in spark.read.parquet(str(x)).collect()] == [r.text for r in texts]
