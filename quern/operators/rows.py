@@ -80,18 +80,29 @@ def with_row_index(df: DataFrame, order_by: list[str] | None = None, name: str =
 _PLACE_BITS = 33
 
 
-def numbered(df: DataFrame, path: str, name: str = ROW_INDEX, base: int = 0, by: int = 0) -> DataFrame:
-    """df, stored at path, with the row's place in it, from base on, as its first column; all in the JVM.
+def numbered(df: DataFrame, path: str, name: str = ROW_INDEX) -> DataFrame:
+    """df, stored at path, with the row's place in it as its first column; all in the JVM.
 
     Partitions are written with each row's partition and place in it; the rows of partitions before are added, a row for each partition. It is
     stored as a frame that is shuffled may have its rows in another order the next time.
-
-    by: df's last columns, so many, order its blocks of rows instead (see with_blocks) and are left out. Where a block's rows don't lie side by
-    side in one partition, as after a shuffle, they say nothing of the order within it, and rows stay in that of partitions.
     """
+    return numbered_stored(stored(df, path), df.columns, name)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """df, written to path, with columns by place (c0 and so on) and each row's partition and place in it as m."""
     own = [f"c{i}" for i in range(len(df.columns))]
     df.toDF(*own).select("*", F.monotonically_increasing_id().alias("m")).write.mode("overwrite").parquet(path)
-    kept = df.sparkSession.read.schema(df.toDF(*own).select("*", F.lit(0).cast("long").alias("m")).schema).parquet(path)
+    return df.sparkSession.read.schema(df.toDF(*own).select("*", F.lit(0).cast("long").alias("m")).schema).parquet(path)
+
+
+def numbered_stored(kept: DataFrame, columns: list[str], name: str = ROW_INDEX, base: int = 0, by: int = 0) -> DataFrame:
+    """What stored() gave, under its columns' names, with the row's place in it, from base on, as its first column.
+
+    by: the last columns, so many, order its blocks of rows instead (see with_blocks) and are left out. Where a block's rows don't lie side by
+    side in one partition, as after a shuffle, they say nothing of the order within it, and rows stay in that of partitions.
+    """
+    own = kept.columns[:-1]
     shown, few = len(own) - by, len(kept.inputFiles()) <= MOST_BLOCKS
 
     def blocks_by(keys: dict) -> DataFrame:
@@ -108,7 +119,7 @@ def numbered(df: DataFrame, path: str, name: str = ROW_INDEX, base: int = 0, by:
     blocks = blocks_by(keys).select(*keys, (F.coalesce(F.sum("n").over(before), F.lit(0)) + base - F.col("first")).alias("before"))
     same = [c.eqNullSafe(F.col(k)) for k, c in keys.items()]
     joined = kept.join(F.broadcast(blocks) if few else blocks, same)
-    return joined.select(F.col("before") + F.col("m"), *own[:shown]).toDF(name, *df.columns[:shown])
+    return joined.select(F.col("before") + F.col("m"), *own[:shown]).toDF(name, *columns[:shown])
 
 
 def with_blocks(df: DataFrame) -> tuple[DataFrame, int]:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.extract import SOURCE_CHARS, with_row_id, with_source_text
 from ..operators.inference import Backend
 from ..operators.prompts import user_prompt
-from ..operators.rows import numbered, select_rows, with_blocks
+from ..operators.rows import numbered_stored, select_rows, stored, with_blocks
 from ..plans.generate import prepare_numbered, records, statuses
 from ..sources.hadoop import Store
 
@@ -41,14 +41,17 @@ class Ordinals:
     def _records(self, store: Store) -> list[int]:
         return sorted(int(n.removeprefix("batch-").removesuffix(".json")) for n in store.names(self.folder) if n.startswith("batch-"))
 
-    def number(self, batch: DataFrame, number: int, by: int = 0) -> DataFrame:
-        """The batch, stored, with __row_index first. Its rows are numbered in the order of its last columns, so many as by says, which are left out (see with_blocks), or else as its source gives them."""
-        store, rows = Store(batch.sparkSession), f"{self.folder}/rows-{number}"
+    def select(self, batch: DataFrame, number: int, start_row: int = 0, max_rows: int | None = None, by: int = 0) -> DataFrame | None:
+        """The batch's rows whose ordinals are in the range (see select_rows), stored, with __row_index first; None if none can be, which counting the batch says. by: as of numbered_stored()."""
+        store = Store(batch.sparkSession)
         before = [n for n in self._records(store) if n < number]
         first = json.loads(store.read(f"{self.folder}/batch-{before[-1]}.json"))["next"] if before else 0
-        out = numbered(batch, rows, "__row_index", first, by)
-        store.write(f"{self.folder}/batch-{number}.json", json.dumps({"first": first, "next": first + out.count()}))
-        return out
+        kept = stored(batch, f"{self.folder}/rows-{number}")
+        stop = first + kept.count()
+        store.write(f"{self.folder}/batch-{number}.json", json.dumps({"first": first, "next": stop}))
+        if stop <= start_row or max_rows is not None and first >= start_row + max_rows:
+            return None
+        return select_rows(numbered_stored(kept, batch.columns, "__row_index", first, by), start_row, max_rows, "__row_index")
 
     def done(self, batch: DataFrame, number: int) -> None:
         """Forgets the batch's rows, and records of batches long ago."""
@@ -64,15 +67,20 @@ def generate_stream(
     """Asks the model about each micro-batch and writes its records to <out>/batch=<n>.
 
     A row's ordinal is its place in the stream: its place in its batch, and the rows of all batches before. Of a batch of files, which Spark
-    takes in the order of their times, the rows are in that order too, then in that of paths. start_row and max_rows are of ordinals, over batches. A batch that is run again after a failure has the ordinals that it had, if its source gives its rows in the same order (files
-    and logs do), and overwrites its own folder, so each row's record is there once. log: as of infer().
+    takes in the order of their times, the rows are in that order too, then in that of paths. start_row and max_rows are of ordinals, over
+    batches; a batch without any of them is counted alone. A batch that is run again after a failure has the ordinals
+    that it had, if its source gives its rows in the same order (files and logs do), and overwrites its own folder, so each row's record is
+    there once. log: as of infer().
     """
     ordinals = Ordinals(checkpoint)
     rows, by = with_blocks(rows)
 
     def write(batch: DataFrame, number: int) -> None:
-        some = select_rows(ordinals.number(batch, number, by), start_row, max_rows, "__row_index")
-        lines = records(statuses(prepare_numbered(some, max_source_chars), backend, parallelism, log=log), dataset, split)
+        some = ordinals.select(batch, number, start_row, max_rows, by)
+        if some is None:
+            lines = batch.sparkSession.createDataFrame([], "line string")
+        else:
+            lines = records(statuses(prepare_numbered(some, max_source_chars), backend, parallelism, log=log), dataset, split)
         lines.select(F.col("line").alias("value")).write.mode("overwrite").text(f"{out.rstrip('/')}/batch={number}")
         ordinals.done(batch, number)
 
